@@ -110,6 +110,7 @@ def mixed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         F.col("pkt_id").alias("frame_no"),
         (F.col("ts_us") * 1000).alias("ts_ns"),
+        F.concat("sensor", F.lit(".pcap")).alias("source_file"),
         F.when(icmp, F.when(F.col("icmp_type") == "echo", 8).otherwise(0)).alias("icmp_type_number"),
         F.when(icmp, F.lit("no_code")).alias("icmp_code"),
         F.when(icmp, F.lit(0)).alias("icmp_code_number"),
@@ -118,7 +119,7 @@ def mixed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The same NULLing and derived columns for the oracle.
 DUCK_MIXED_PACKETS = f"""
-select pkt_id, origin_id, pkt_id as frame_no, ts_us, ts_us * 1000 as ts_ns, reference, sensor, ip_version, protocol,
+select pkt_id, origin_id, pkt_id as frame_no, ts_us, ts_us * 1000 as ts_ns, concat(sensor, '.pcap') as source_file, reference, sensor, ip_version, protocol,
  id_orig_h, id_resp_h, bytes,
  case when protocol in ('tcp','udp') then id_orig_p end as id_orig_p,
  case when protocol in ('tcp','udp') then id_resp_p end as id_resp_p,
