@@ -83,3 +83,23 @@ def split_idle(
     return joined.withColumn("session_ts", F.coalesce("own_start", "head_session_ts")).drop(
         "own_start", "head_session_ts", "starts_run", "run"
     )
+
+
+def order_packets(
+    packets: DataFrame, key: list[str] = KEY, tie: str = "arrival", slice_ns: int = SLICE_NS
+) -> DataFrame:
+    """Add ``position``, the packet's place in its flow by time.
+
+    Equal times keep arrival order, or put the later arrival first with ``tie='later_first'``.
+    Positions are counted inside pieces and shifted by the packet counts of earlier pieces.
+    """
+    keyed = packets.withColumn("slice", int_div("ts_ns", slice_ns))
+    before = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = keyed.groupBy(*key, "slice").agg(F.count("*").alias("n"))
+    shifts = shifts.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    arrival = F.col("frame_no").desc() if tie == "later_first" else F.col("frame_no").asc()
+    place = F.row_number().over(Window.partitionBy(*key, "slice").orderBy("ts_ns", arrival))
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*key, "slice")]
+    rows = keyed.withColumn("place", place)
+    joined = rows.alias("r").join(shifts.alias("s"), same)
+    return joined.select("r.*", (F.col("place") + F.col("shift")).alias("position")).drop("place", "slice")
