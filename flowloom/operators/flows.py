@@ -14,7 +14,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions.columns import epoch_millis, epoch_seconds, nano_of_second, stable_uid
-from flowloom.operators.sessions import IDLE_S, KEY, SLICE_NS, flow_key, stitch_runs, with_fragments
+from flowloom.operators.max_span import split_sessions
+from flowloom.operators.sessions import (
+    IDLE_S,
+    KEY,
+    MAX_PIECE_ROWS,
+    SLICE_NS,
+    cut_pieces,
+    flow_key,
+    stitch_runs,
+    with_runs,
+)
 
 # The connection state codes, with descriptions in our own words.
 CONN_STATES = {
@@ -263,25 +273,30 @@ def duration_s(first_ns: str, last_ns: str) -> Column:
     return (F.col(last_ns) - F.col(first_ns)) / F.lit(1e9)
 
 
+def tcp_pieces(packets: DataFrame, slice_ns: int = SLICE_NS, max_rows: int | None = MAX_PIECE_ROWS) -> DataFrame:
+    """TCP packets with flow key and piece, the input of the session operators."""
+    keyed = flow_key(_with_defaults(packets.filter(F.col("protocol") == "tcp")))
+    return cut_pieces(keyed, KEY, slice_ns, max_rows)
+
+
 def summarise_tcp(
     packets: DataFrame,
     timeout_ms: int | None = None,
     idle_s: float = IDLE_S,
     slice_ns: int = SLICE_NS,
+    max_rows: int | None = MAX_PIECE_ROWS,
     ports: str = "oriented",
 ) -> DataFrame:
     """TCP session table: one row per flow key and session.
 
     ``ports='first_packet'`` keeps the first packet's ports even when the hosts are swapped.
     """
-    keyed = flow_key(_with_defaults(packets.filter(F.col("protocol") == "tcp")))
+    pieces = tcp_pieces(packets, slice_ns, max_rows)
     if timeout_ms is None:
-        cut = with_fragments(keyed, KEY, idle_s, slice_ns)
+        cut = with_runs(pieces, KEY, idle_s)
         runs = stitch_runs(_run_summaries(cut, [*KEY, "slice", "run"]), KEY, idle_s)
     else:
-        from flowloom.operators.max_span import split_sessions
-
-        cut = split_sessions(keyed, KEY, idle_s, timeout_ms, slice_ns)
+        cut = split_sessions(pieces, KEY, idle_s, timeout_ms)
         runs = _run_summaries(cut, [*KEY, "slice", "session_ts"])
         runs = runs.withColumn("opens", F.col("first_ts") == F.col("session_ts"))
     sessions = tcp_sessions(runs)
@@ -403,7 +418,28 @@ def drop_duplicates_per_direction(rows: DataFrame, key: list[str] = KEY, match:
     else:
         same = {"dup_ms": ms, "dup_seq": F.coalesce("seq_num", F.lit(0)), "dup_ack": F.coalesce("ack_num", F.lit(0))}
     names = list(same)
-    w = Window.partitionBy(*key, "session_ts", "from_lo", *names).orderBy("frame_no")
+    # Copies meet in a partial aggregate before the shuffle, however many there are.
+    others = [c for c in rows.columns if c not in (*key, "session_ts", "from_lo")]
+    group = [*key, "session_ts", "from_lo", *names]
+    kept = rows.withColumns(same).groupBy(*group).agg(F.min_by(F.struct(*others), "frame_no").alias("kept"))
+    return kept.select(*key, "session_ts", "from_lo", "kept.*")
+
+
+def flow_stats(packets: DataFrame, timeout_ms: int | None = None, idle_s: float = IDLE_S) -> DataFrame:
+    """Byte statistics per flow: over TCP sessions without copies, over other flows as they are."""
+    tcp = drop_duplicates_per_direction(split_sessions(tcp_pieces(packets), KEY, idle_s, timeout_ms))
+    other = flow_key(packets.filter(F.col("protocol") != "tcp"))
     return (
-        rows.withColumns(same).withColumn("copy_no", F.row_number().over(w)).filter("copy_no = 1").drop("copy_no", *names)
+        tcp.groupBy(*KEY, "session_ts")
+        .agg(*feature_stats("bytes"))
+        .unionByName(other.groupBy(*KEY).agg(F.min("ts_ns").alias("session_ts"), *feature_stats("bytes")))
     )
+
+
+def add_stats(flows: DataFrame, stats: DataFrame) -> DataFrame:
+    """Join :func:`flow_stats` to the flow table made from the same packets."""
+    names = {c: f"_{c}" for c in (*KEY, "session_ts")}
+    keyed = flow_key(flows)
+    same = [F.col(c).eqNullSafe(F.col(names[c])) for c in KEY] + [F.col("ts_ns") == F.col("_session_ts")]
+    joined = keyed.join(stats.withColumnsRenamed(names), same, "left")
+    return joined.drop(*names.values(), "host_lo", "port_lo", "host_hi", "port_hi", "from_lo")

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowloom.functions.columns import int_div
-from flowloom.operators.sessions import IDLE_S, KEY, SLICE_NS, split_idle
+from flowloom.functions.lineage import cut_lineage
+from flowloom.operators.sessions import IDLE_S, KEY, split_idle
 
 # Largest session, in distinct packet times, that is folded as one array (8 MB).
 ARRAY_POINTS = 1_000_000
@@ -34,13 +34,12 @@ def _last_start(times: np.ndarray, jump: int) -> np.ndarray:
         hop = twice
 
 
-def _reach(jump: int, slice_ns: int):
+def _reach(jump: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(pdf["ts_ns"].to_numpy())
-        # An earlier start lies before the slice, so the first one here lies before border + jump.
-        border = int(pdf["slice"].iloc[0]) * slice_ns + jump
+        # The start before lies before times[0], so the next is due before times[0] + jump.
         opens = times[0] == pdf["session_ts"].iloc[0]
-        n = 1 if opens else min(len(times), int(np.searchsorted(times, border)) + 1)
+        n = 1 if opens else min(len(times), int(np.searchsorted(times, times[0] + jump)) + 1)
         out = pdf.drop(columns="ts_ns").iloc[[0] * n].reset_index(drop=True)
         return out.assign(first_start=times[:n], last_start=_last_start(times, jump)[:n])
 
@@ -81,68 +80,70 @@ def _schema(df: DataFrame, names: list[str], *longs: str) -> T.StructType:
     return T.StructType(fields + [T.StructField(n, T.LongType()) for n in longs])
 
 
-def _starts_of_long_sessions(points: DataFrame, pieces: DataFrame, key: list[str], jump: int, slice_ns: int, array_points: int) -> DataFrame:
+def _starts(tagged: DataFrame, key: list[str], jump: int, array_points: int) -> DataFrame:
+    """All starts of the long sessions whose packet times are in ``tagged``."""
     session, piece = [*key, "session_ts"], [*key, "slice", "session_ts"]
-    tagged = points.join(pieces.select(*piece, "n_points"), piece)
     ordered = tagged.filter(F.col("n_points") <= array_points).groupBy(*session)
-    times = ordered.agg(F.array_sort(F.collect_list("ts_ns")).alias("times"))
+    times = ordered.agg(F.array_sort(F.collect_list(F.struct("ts_ns", "slice"))).alias("times"))
+    due = lambda acc, t: t["ts_ns"] - F.element_at(acc, -1)["ts_ns"] >= jump
     grown = F.aggregate(
         F.slice("times", 2, F.greatest(F.size("times") - 1, F.lit(0))),
         F.array(F.col("times")[0]),
-        lambda acc, t: F.when(t - F.element_at(acc, -1) >= jump, F.concat(acc, F.array(t))).otherwise(acc),
+        lambda acc, t: F.when(due(acc, t), F.concat(acc, F.array(t))).otherwise(acc),
     )
-    small = times.select(*session, F.explode(grown).alias("start_ts"))
+    small = times.select(*session, F.explode(grown).alias("start"))
+    small = small.select(*piece[:-2], "start.slice", "session_ts", F.col("start.ts_ns").alias("start_ts"))
     large_points = tagged.filter(F.col("n_points") > array_points).drop("n_points")
     reach = large_points.groupBy(*piece).applyInPandas(
-        _reach(jump, slice_ns), _schema(points, large_points.drop("ts_ns").columns, "first_start", "last_start")
+        _reach(jump), _schema(tagged, large_points.drop("ts_ns").columns, "first_start", "last_start")
     )
     entry = reach.groupBy(*session).applyInPandas(
-        _walk(jump), _schema(points, large_points.drop("ts_ns").columns, "first_start")
+        _walk(jump), _schema(tagged, large_points.drop("ts_ns").columns, "first_start")
     )
     large = (
         large_points.join(entry, piece)
         .groupBy(*piece)
-        .applyInPandas(_list_starts(jump), _schema(points, piece, "start_ts"))
+        .applyInPandas(_list_starts(jump), _schema(tagged, piece, "start_ts"))
     )
-    return small.unionByName(large.drop("slice"))
+    return small.unionByName(large)
 
 
 def split_sessions(
-    packets: DataFrame,
+    pieces: DataFrame,
     key: list[str] = KEY,
     idle_s: float = IDLE_S,
     max_span_ms: int | None = None,
-    slice_ns: int = SLICE_NS,
     array_points: int = ARRAY_POINTS,
 ) -> DataFrame:
-    """Add ``session_ts`` after the idle rule and, if given, the maximum span rule."""
-    rows = split_idle(packets, key, idle_s, slice_ns)
+    """Add ``session_ts`` after the idle rule and, if given, the maximum span rule.
+
+    Takes the output of ``sessions.cut_pieces``.
+    """
+    rows = split_idle(pieces, key, idle_s)
     if max_span_ms is None:
         return rows
     # More than max_span_ms whole milliseconds after the start.
     jump = (max_span_ms + 1) * 1_000_000
     session, piece = [*key, "session_ts"], [*key, "slice", "session_ts"]
-    points = split_idle(packets.select(*key, "ts_ns", "frame_no"), key, idle_s, slice_ns)
+    points = split_idle(pieces.select(*key, "slice", "ts_ns", "frame_no"), key, idle_s)
     points = points.select(*piece, "ts_ns").distinct()
     of_session = Window.partitionBy(*session)
-    pieces = (
+    span = F.max("last_ts").over(of_session) - F.col("session_ts")
+    long_parts = (
         points.groupBy(*piece)
-        .agg(F.count("*").alias("n"), F.min("ts_ns").alias("first_ts"), F.max("ts_ns").alias("last_ts"))
-        .withColumns(
-            {
-                "n_points": F.sum("n").over(of_session),
-                "span": F.max("last_ts").over(of_session) - F.col("session_ts"),
-            }
-        )
+        .agg(F.count("*").alias("n"), F.max("ts_ns").alias("last_ts"))
+        .withColumns({"n_points": F.sum("n").over(of_session), "span": span})
         .filter(F.col("span") >= jump)
     )
-    starts = _starts_of_long_sessions(points, pieces, key, jump, slice_ns, array_points)
-    starts = starts.withColumn("slice", int_div("start_ts", slice_ns))
+    tagged = cut_lineage(points.join(long_parts.select(*piece, "n_points"), piece))
+    starts = _starts(tagged, key, jump, array_points)
     # A piece inherits the last start of the pieces before it.
     before = Window.partitionBy(*session).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     last_starts = starts.groupBy(*piece).agg(F.max("start_ts").alias("last_start"))
     inherited = (
-        pieces.join(last_starts, piece, "left")
+        tagged.groupBy(*piece)
+        .agg(F.min("ts_ns").alias("first_ts"))
+        .join(last_starts, piece, "left")
         .withColumn("start_ts", F.last("last_start", ignorenulls=True).over(before))
         .filter("start_ts is not null")
         .select(*piece, "start_ts", F.col("first_ts").alias("ts_ns"))

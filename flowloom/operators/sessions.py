@@ -2,9 +2,10 @@
 
 Ordering is the hard part: one busy flow may hold a large share of all packets, so no step
 sorts a whole flow in one task. Packets are cut into *pieces* - a flow key within one time
-slice - and every window runs inside a piece. What crosses a slice border is carried by one
-small row per piece (or per fragment), whose number is bounded by the capture's time span,
-never by its packet count. The slice width changes only the work split, not the result.
+slice, with overfull slices cut finer - and every window runs inside a piece. What crosses a
+border is carried by one small row per run of a piece, so a flow has at most span/gap +
+span/slice + packets/MAX_PIECE_ROWS of them. The cutting changes only how the work is
+split, never the result.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from flowloom.functions.columns import endpoint_key_columns, int_div
 KEY = ["reference", "sensor", "protocol", "host_lo", "port_lo", "host_hi", "port_hi"]
 IDLE_S = 4
 SLICE_NS = 60 * 1_000_000_000
-_NS_PER_MS = 1_000_000
+MAX_PIECE_ROWS = 10_000_000
+_SUB_SLICES = 1 << 20
 
 
 def flow_key(packets: DataFrame) -> DataFrame:
@@ -25,19 +27,49 @@ def flow_key(packets: DataFrame) -> DataFrame:
     return packets.withColumns(endpoint_key_columns())
 
 
+def cut_pieces(
+    packets: DataFrame,
+    key: list[str] = KEY,
+    slice_ns: int = SLICE_NS,
+    max_rows: int | None = MAX_PIECE_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``slice``, the ordinal of the packet's time slice, finer where a flow is busy.
+
+    The busy pieces are found by a partially aggregated count over ``counted`` (by default
+    the packets themselves). There are at most packets/max_rows of them, 100,000 for a
+    trillion packets, so this one table is always fit for broadcast. ``max_rows=None`` skips
+    the count for callers who know their flows to be even.
+    """
+    base = int_div("ts_ns", slice_ns)
+    if max_rows is None:
+        return packets.withColumn("slice", base * _SUB_SLICES)
+    counted = packets if counted is None else counted
+    wanted = F.least(F.ceil(F.col("n") * 2 / F.lit(max_rows)), F.lit(_SUB_SLICES))
+    busy = (
+        counted.groupBy(*[F.col(c).alias(f"_{c}") for c in key], base.alias("_base"))
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > max_rows)
+        .withColumn("_width", F.ceil(F.lit(slice_ns) / wanted).cast("bigint"))
+        .drop("n")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key] + [base == F.col("_base")]
+    inner = F.pmod(F.col("ts_ns"), F.lit(slice_ns).cast("bigint"))
+    sub = F.coalesce(F.call_function("div", inner, F.col("_width")), F.lit(0))
+    joined = packets.join(F.broadcast(busy), same, "left")
+    return joined.withColumn("slice", base * _SUB_SLICES + sub).drop(*[f"_{c}" for c in key], "_base", "_width")
+
+
 def _piece(key: list[str]):
     return Window.partitionBy(*key, "slice").orderBy("ts_ns", "frame_no")
 
 
-def with_fragments(
-    packets: DataFrame, key: list[str] = KEY, idle_s: float = IDLE_S, slice_ns: int = SLICE_NS
-) -> DataFrame:
+def with_runs(pieces: DataFrame, key: list[str] = KEY, idle_s: float = IDLE_S) -> DataFrame:
     """Number the idle-separated runs inside each piece; run 0 may continue an earlier piece."""
     piece = _piece(key)
-    sliced = packets.withColumn("slice", int_div("ts_ns", slice_ns))
     gap = F.col("ts_ns") - F.lag("ts_ns").over(piece)
     cut = F.coalesce(gap >= F.lit(int(idle_s * 1_000_000_000)), F.lit(False))
-    cuts = sliced.withColumn("starts_run", cut)
+    cuts = pieces.withColumn("starts_run", cut)
     running = piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return cuts.withColumn("run", F.sum(F.col("starts_run").cast("int")).over(running))
 
@@ -45,8 +77,7 @@ def with_fragments(
 def stitch_runs(runs: DataFrame, key: list[str] = KEY, idle_s: float = IDLE_S) -> DataFrame:
     """Join runs across slice borders: adds ``opens`` and ``session_ts`` per run.
 
-    Input has one row per run with ``first_ts`` and ``last_ts``. Runs of one key lie at least
-    the idle gap or a slice apart, so a key has at most span/gap + span/slice of them.
+    Input has one row per run with ``first_ts`` and ``last_ts``.
     """
     order = Window.partitionBy(*key).orderBy("slice", "run")
     gap = F.col("first_ts") - F.lag("last_ts").over(order)
@@ -58,16 +89,14 @@ def stitch_runs(runs: DataFrame, key: list[str] = KEY, idle_s: float = IDLE_S) -
     )
 
 
-def split_idle(
-    packets: DataFrame, key: list[str] = KEY, idle_s: float = IDLE_S, slice_ns: int = SLICE_NS
-) -> DataFrame:
+def split_idle(pieces: DataFrame, key: list[str] = KEY, idle_s: float = IDLE_S) -> DataFrame:
     """Add ``session_ts``, the first packet time of the packet's idle-separated session.
 
-    (key, session_ts) identifies a session: packets of equal time are never cut apart.
+    Takes the output of :func:`cut_pieces`. (key, session_ts) identifies a session: packets
+    of equal time are never cut apart. The key columns must not be NULL.
     """
-    order_only = packets.select(*key, "ts_ns", "frame_no")
     runs = (
-        with_fragments(order_only, key, idle_s, slice_ns)
+        with_runs(pieces.select(*key, "slice", "ts_ns", "frame_no"), key, idle_s)
         .groupBy(*key, "slice", "run")
         .agg(F.min("ts_ns").alias("first_ts"), F.max("ts_ns").alias("last_ts"))
     )
@@ -78,28 +107,26 @@ def split_idle(
     )
     running = _piece(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own_start = F.last(F.when(F.col("starts_run"), F.col("ts_ns")), ignorenulls=True).over(running)
-    rows = with_fragments(packets, key, idle_s, slice_ns).withColumn("own_start", own_start)
+    rows = with_runs(pieces, key, idle_s).withColumn("own_start", own_start)
+    # Both sides are already partitioned by the join columns: the packets are not moved again.
     joined = rows.join(heads, [*key, "slice"])
     return joined.withColumn("session_ts", F.coalesce("own_start", "head_session_ts")).drop(
         "own_start", "head_session_ts", "starts_run", "run"
     )
 
 
-def order_packets(
-    packets: DataFrame, key: list[str] = KEY, tie: str = "arrival", slice_ns: int = SLICE_NS
-) -> DataFrame:
+def order_packets(pieces: DataFrame, key: list[str] = KEY, tie: str = "arrival") -> DataFrame:
     """Add ``position``, the packet's place in its flow by time.
 
     Equal times keep arrival order, or put the later arrival first with ``tie='later_first'``.
     Positions are counted inside pieces and shifted by the packet counts of earlier pieces.
     """
-    keyed = packets.withColumn("slice", int_div("ts_ns", slice_ns))
     before = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = keyed.groupBy(*key, "slice").agg(F.count("*").alias("n"))
+    shifts = pieces.groupBy(*key, "slice").agg(F.count("*").alias("n"))
     shifts = shifts.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     arrival = F.col("frame_no").desc() if tie == "later_first" else F.col("frame_no").asc()
     place = F.row_number().over(Window.partitionBy(*key, "slice").orderBy("ts_ns", arrival))
+    rows = pieces.withColumn("place", place)
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*key, "slice")]
-    rows = keyed.withColumn("place", place)
     joined = rows.alias("r").join(shifts.alias("s"), same)
     return joined.select("r.*", (F.col("place") + F.col("shift")).alias("position")).drop("place", "slice")

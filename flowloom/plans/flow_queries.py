@@ -12,7 +12,7 @@ from flowloom.functions.columns import stable_uid
 from flowloom.operators import flows as op
 from flowloom.operators import packets as packet_op
 from flowloom.operators.max_span import split_sessions
-from flowloom.operators.sessions import KEY, flow_key, order_packets, split_idle
+from flowloom.operators.sessions import KEY, cut_pieces, flow_key, order_packets, split_idle
 from flowloom.plans.inputs import DUCK_MIXED_PACKETS, DUCK_PACKETS, mixed_packets, packets, table
 from flowloom.plans.packet_queries import SQL_ROW_KEY
 
@@ -186,7 +186,7 @@ def _stats_sql(v: str) -> str:
 _add(
     "c4_feature_stats",
     lambda s, d: _rounded(
-        split_idle(flow_key(packets(s, d))).groupBy(*KEY, "session_ts").agg(*op.feature_stats("bytes")),
+        split_idle(op.tcp_pieces(packets(s, d))).groupBy(*KEY, "session_ts").agg(*op.feature_stats("bytes")),
         ["host_lo", "port_lo", "host_hi", "port_hi", "session_ts"],
     ),
     f"with recursive {_sessions(_PLAIN_SRC)} select host_lo, port_lo, host_hi, port_hi, session_ts, {_stats_sql('bytes')} from sess group by all",
@@ -210,8 +210,7 @@ for _name, _protocol in (("c5_orient_first", "ip"), ("c6_orient_udp", "udp"), ("
 
 def _flow_packets(s, d):
     """The flow's packets as rows, time ordered by (ts_ns, frame_no): no array grows with a flow."""
-    rows = flow_key(mixed_packets(s, d).filter("protocol = 'tcp'"))
-    return split_idle(rows).select(
+    return split_idle(op.tcp_pieces(mixed_packets(s, d))).select(
         "reference", "sensor", "host_lo", "port_lo", "host_hi", "port_hi", "session_ts",
         "ts_ns", "frame_no", "bytes", packet_op.packet_row_key().alias("row_key"),
     )
@@ -247,14 +246,14 @@ _add(
 
 _add(
     "d1_split_idle",
-    lambda s, d: split_idle(flow_key(packets(s, d))).select("pkt_id", "session_ts"),
+    lambda s, d: split_idle(op.tcp_pieces(packets(s, d))).select("pkt_id", "session_ts"),
     f"with recursive {_sessions(_PLAIN_SRC)} select pkt_id, session_ts from sess",
 )
 _add(
     "d2_split_max_span",
-    lambda s, d: split_sessions(
-        flow_key(mixed_packets(s, d).filter("protocol = 'tcp'")), max_span_ms=MAX_SPAN_MS
-    ).select("pkt_id", "session_ts"),
+    lambda s, d: split_sessions(op.tcp_pieces(mixed_packets(s, d)), max_span_ms=MAX_SPAN_MS).select(
+        "pkt_id", "session_ts"
+    ),
     f"{_WITH_MIXED}, {_sessions('select * from mixed', MAX_SPAN_MS)} select pkt_id, session_ts from sess",
 )
 _add(
@@ -282,7 +281,7 @@ _add(
 
 
 def _deduped(s, d, match):
-    rows = split_idle(flow_key(mixed_packets(s, d).filter("protocol = 'tcp'")))
+    rows = split_idle(op.tcp_pieces(mixed_packets(s, d)))
     return op.drop_duplicates_per_direction(rows, match=match)
 
 
@@ -314,7 +313,7 @@ _add(
 for _name, _tie, _dir in (("d7_order_packets", "arrival", "asc"), ("d7_order_packets_later_first", "later_first", "desc")):
     _add(
         _name,
-        lambda s, d, t=_tie: order_packets(flow_key(mixed_packets(s, d)), tie=t).select("pkt_id", "position"),
+        lambda s, d, t=_tie: order_packets(cut_pieces(flow_key(mixed_packets(s, d))), tie=t).select("pkt_id", "position"),
         f"""with {_keyed(DUCK_MIXED_PACKETS)} select pkt_id,
          row_number() over (partition by {_KEY_SQL} order by ts_ns, frame_no {_dir}) as position from keyed""",
     )
@@ -325,6 +324,29 @@ _add(
 )
 
 
+def _flow_table_with_stats(s, d):
+    rows = mixed_packets(s, d)
+    return _rounded(op.add_stats(op.summarise(rows), op.flow_stats(rows)), [*_ID, "first_frame"])
+
+
+_add(
+    "c4_flow_table_stats",
+    _flow_table_with_stats,
+    f"""{_ALL_FLOWS}, kept as (select * from sess qualify row_number() over (
+      partition by {_KEY_SQL}, session_ts, id_orig_h, ts_ns // 1000000, seq_num, ack_num order by frame_no) = 1),
+    untimed as (select reference, sensor, protocol, least(id_orig_h, id_resp_h) as host_lo, greatest(id_orig_h, id_resp_h) as host_hi,
+      least(id_orig_p, id_resp_p) as p1, greatest(id_orig_p, id_resp_p) as p2, min(ts_ns) as session_ts, {_stats_sql('bytes')}
+      from mixed where protocol <> 'tcp' group by all),
+    timed as (select reference, sensor, protocol, host_lo, host_hi, least(port_lo, port_hi) as p1, greatest(port_lo, port_hi) as p2,
+      session_ts, {_stats_sql('bytes')} from kept group by all)
+    select f.reference, f.sensor, f.protocol, id_orig_h, id_resp_h, id_orig_p, id_resp_p, ts_ns, first_frame,
+     bytes_min, bytes_mean, bytes_median, bytes_max, bytes_std_dev
+    from flows f join (select * from untimed union all select * from timed) t on t.reference = f.reference and t.sensor = f.sensor
+     and t.protocol = f.protocol and t.session_ts = f.ts_ns and host_lo = least(id_orig_h, id_resp_h) and host_hi = greatest(id_orig_h, id_resp_h)
+     and p1 is not distinct from least(id_orig_p, id_resp_p) and p2 is not distinct from greatest(id_orig_p, id_resp_p)""",
+)
+
+
 def session_table(s, d):
     """Flagship: TCP sessions with orientation, state, counters, span and byte statistics."""
     rows = packets(s, d)
