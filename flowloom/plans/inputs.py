@@ -132,3 +132,76 @@ select pkt_id, origin_id, pkt_id as frame_no, ts_us, ts_us * 1000 as ts_ns, conc
  case when protocol = 'icmp' then 0 end as icmp_code_number
 from ({DUCK_MIXED}) as raw_packets
 """
+
+
+def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with capture tags and a numeric event id, as the event-log operators emit them."""
+    sql = """select event_id as row_id, user_id, event_type, value, {US} * 1000 as ts_ns,
+     case when user_id % 2 = 0 then 'alpha' else 'beta' end as reference,
+     concat('aa-0', cast(1 + user_id % 3 as varchar(10))) as sensor,
+     cast(100 + cast({K} as bigint) % 6 as int) as event_id from events"""
+    return _over_events(spark, sf_dir, sql)
+
+
+# One wide row of raw event-log fields per event; NULL means the field is absent.
+EVENT_FIELDS_SQL = """
+with e as (select event_id n, user_id u, event_type t, cast({K} as bigint) k, {TEXT} as when_text,
+ case when user_id % 2 = 0 then 'alpha' else 'beta' end as reference,
+ concat('aa-0', cast(1 + user_id % 3 as varchar(10))) as sensor from events)
+select n as row_id, reference, sensor,
+ case when n % 11 <> 0 then concat('Provider ', t) end as system_provider_name,
+ case when n % 7 = 0 then concat('{00-', cast(u as varchar(10)), '}') end as system_provider_guid,
+ case when n % 41 = 0 then 'n/a' when n % 43 <> 1 then cast(100 + k % 6 as varchar(10)) end as system_eventid,
+ case when n % 3 = 0 then cast(k as varchar(10)) end as system_eventid_qualifiers,
+ case when n % 5 <> 2 then cast(k % 3 as varchar(10)) end as system_version,
+ cast(k % 5 as varchar(10)) as system_level,
+ case when n % 61 = 3 then 'high' else cast(k * 2 as varchar(10)) end as system_task,
+ case when n % 2 = 0 then '0' end as system_opcode,
+ '0x8020000000000000' as system_keywords,
+ case when n % 53 = 5 then 'yesterday' when n % 17 <> 0 then when_text end as system_timecreated_systemtime,
+ cast(n + 4000000000 as varchar(20)) as system_eventrecordid,
+ cast(k * 4 as varchar(10)) as system_execution_processid,
+ cast(k * 4 + 1 as varchar(10)) as system_execution_threadid,
+ case when n % 4 = 0 then '' when n % 4 <> 3 then 'Security' end as system_channel,
+ case when u % 10 = 9 then 'unknown-host' else concat('Supplier#', right(concat('000000000', cast(u as varchar(10))), 9)) end as system_computer,
+ case when n % 9 = 0 then concat('{a-', cast(n as varchar(20)), '}') end as system_correlation_activityid,
+ case when n % 18 = 0 then '' end as system_correlation_relatedactivityid,
+ case when n % 2 = 1 then concat('S-1-5-', cast(u as varchar(10))) end as system_security_userid,
+ case when n % 6 = 0 then concat('customer#', right(concat('000000000', cast(u as varchar(10))), 9)) end as eventdata_data_targetusername,
+ case when n % 6 <= 1 then case when n % 4 = 1 then 'nobody' else concat('partner#', right(concat('000000000', cast(k as varchar(10))), 9)) end end as eventdata_data_subjectusername,
+ case when n % 6 = 2 then concat('\\\\', 'supplier#', right(concat('000000000', cast(k as varchar(10))), 9)) end as eventdata_data_workstation,
+ cast(k % 13 as varchar(10)) as eventdata_data_logontype,
+ case when n % 3 = 0 then '::1' when n % 3 = 1 then concat('ip ::ffff:10.1.2.', cast(k as varchar(10)), '!') else '10.9.8.7' end as eventdata_data_ipaddress,
+ case when n % 2 = 0 then concat('%%18', cast(30 + k % 22 as varchar(10))) end as eventdata_data_impersonationlevel,
+ case when n % 10 = 1 then when_text end as eventdata_data_starttime
+from e
+"""
+_TEXT = {
+    "SPARK": "date_format(cast(ts as timestamp), 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+    "DUCK": "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')",
+}
+DUCK_EVENT_FIELDS = _fill(EVENT_FIELDS_SQL, {**DUCK, "TEXT": _TEXT["DUCK"]}).replace("'\\\\'", "'\\'")
+EVENT_FIELD_NAMES = [
+    line.rsplit(" as ", 1)[1].strip(", ") for line in EVENT_FIELDS_SQL.splitlines() if " as system_" in line or " as eventdata_" in line
+]
+# Fixed value: the type name of time-valued fields.
+TIME_TYPE = "SystemtimeTypeNode"
+
+
+def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as decoded from a log: ``fields`` maps a name to its text value and type name."""
+    wide = _over_events(spark, sf_dir, EVENT_FIELDS_SQL.replace("{TEXT}", _TEXT["SPARK"]))
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(name.upper()).alias("key"),
+                F.struct(
+                    F.col(name).alias("value"),
+                    F.lit(TIME_TYPE if name == "eventdata_data_starttime" else "WStringTypeNode").alias("type"),
+                ).alias("value"),
+            )
+            for name in EVENT_FIELD_NAMES
+        ]
+    )
+    present = F.filter(entries, lambda e: e["value"]["value"].isNotNull())
+    return wide.select("row_id", "reference", "sensor", F.map_from_entries(present).alias("fields"))
