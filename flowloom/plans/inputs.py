@@ -150,7 +150,7 @@ with e as (select event_id n, user_id u, event_type t, cast({K} as bigint) k, {T
  concat('aa-0', cast(1 + user_id % 3 as varchar(10))) as sensor from events)
 select n as row_id, reference, sensor,
  case when n % 11 <> 0 then concat('Provider ', t) end as system_provider_name,
- case when n % 7 = 0 then concat('{00-', cast(u as varchar(10)), '}') end as system_provider_guid,
+ case when n % 7 = 0 then concat('guid-', cast(u as varchar(10))) end as system_provider_guid,
  case when n % 41 = 0 then 'n/a' when n % 43 <> 1 then cast(100 + k % 6 as varchar(10)) end as system_eventid,
  case when n % 3 = 0 then cast(k as varchar(10)) end as system_eventid_qualifiers,
  case when n % 5 <> 2 then cast(k % 3 as varchar(10)) end as system_version,
@@ -164,7 +164,7 @@ select n as row_id, reference, sensor,
  cast(k * 4 + 1 as varchar(10)) as system_execution_threadid,
  case when n % 4 = 0 then '' when n % 4 <> 3 then 'Security' end as system_channel,
  case when u % 10 = 9 then 'unknown-host' else concat('Supplier#', right(concat('000000000', cast(u as varchar(10))), 9)) end as system_computer,
- case when n % 9 = 0 then concat('{a-', cast(n as varchar(20)), '}') end as system_correlation_activityid,
+ case when n % 9 = 0 then concat('act-', cast(n as varchar(20))) end as system_correlation_activityid,
  case when n % 18 = 0 then '' end as system_correlation_relatedactivityid,
  case when n % 2 = 1 then concat('S-1-5-', cast(u as varchar(10))) end as system_security_userid,
  case when n % 6 = 0 then concat('customer#', right(concat('000000000', cast(u as varchar(10))), 9)) end as eventdata_data_targetusername,
