@@ -87,13 +87,13 @@ def _syn_state(syn: Column, ack: Column) -> Column:
 
 
 def _with_defaults(packets: DataFrame) -> DataFrame:
-    optional = {"service": "string", "source_file": "string", "seq_num": "bigint", "ack_num": "bigint"}
+    optional = {"service": "string", "source_file": "string", "ip_version": "string", "seq_num": "bigint", "ack_num": "bigint"}
     missing = {n: F.lit(None).cast(t) for n, t in optional.items() if n not in packets.columns}
     return packets.withColumns(missing) if missing else packets
 
 
 _FIRST = ["ts_ns", "frame_no", "from_lo", "id_orig_h", "id_resp_h", "id_orig_p", "id_resp_p"]
-_FIRST += ["syn", "ack", "fin", "rst", "seq_num", "ack_num", "service", "source_file"]
+_FIRST += ["syn", "ack", "fin", "rst", "seq_num", "ack_num", "service", "source_file", "ip_version"]
 
 
 def _run_summaries(rows: DataFrame, run_key: list[str]) -> DataFrame:
@@ -264,6 +264,7 @@ def _flow_columns(merged: DataFrame, ports: str) -> DataFrame:
         _either(lo, "hi_pkts", "lo_pkts").alias("resp_pkts"),
         F.col("head.service").alias("service"),
         F.col("head.source_file").alias("source_file"),
+        F.col("head.ip_version").alias("ip_version"),
         F.col("head.frame_no").alias("first_frame"),
         *[c for c in ("conn_state", "icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number") if c in merged.columns],
     )
@@ -322,7 +323,7 @@ def summarise_untimed(packets: DataFrame, protocol: str, tie: str = "arrival") -
     arrival = -F.col("frame_no") if tie == "later_first" else F.col("frame_no")
     order = F.struct(F.col("ts_ns"), arrival.alias("arrival"))
     from_lo = F.col("from_lo")
-    head = ["from_lo", "frame_no", "id_orig_p", "id_resp_p", "service", "source_file", *icmp]
+    head = ["from_lo", "frame_no", "id_orig_p", "id_resp_p", "service", "source_file", "ip_version", *icmp]
     merged = rows.groupBy(*KEY).agg(
         F.min_by(F.struct(*head), order).alias("head"),
         F.min("ts_ns").alias("session_ts"),
