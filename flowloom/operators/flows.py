@@ -410,20 +410,19 @@ def feature_stats(value: Column | str) -> list[Column]:
 def drop_duplicates_per_direction(rows: DataFrame, key: list[str] = KEY, match: str = "fields") -> DataFrame:
     """Keep the first-seen packet per session, sender and (millisecond, seq, ack).
 
-    ``match='sum'`` compares the sum of the three numbers, which can also merge packets that
-    differ.
+    Takes the output of the session split. Such copies share a piece, so nothing is
+    shuffled. ``match='sum'`` compares the sum of the three numbers, which can also merge
+    packets that differ; those are pre-aggregated before their shuffle.
     """
-    ms = epoch_millis("ts_ns")
-    if match == "sum":
-        same = {"dup_sum": ms + F.coalesce("seq_num", F.lit(0)) + F.coalesce("ack_num", F.lit(0))}
-    else:
-        same = {"dup_ms": ms, "dup_seq": F.coalesce("seq_num", F.lit(0)), "dup_ack": F.coalesce("ack_num", F.lit(0))}
-    names = list(same)
-    # Copies meet in a partial aggregate before the shuffle, however many there are.
-    others = [c for c in rows.columns if c not in (*key, "session_ts", "from_lo")]
-    group = [*key, "session_ts", "from_lo", *names]
-    kept = rows.withColumns(same).groupBy(*group).agg(F.min_by(F.struct(*others), "frame_no").alias("kept"))
-    return kept.select(*key, "session_ts", "from_lo", "kept.*")
+    ms, seq, ackn = epoch_millis("ts_ns"), F.coalesce("seq_num", F.lit(0)), F.coalesce("ack_num", F.lit(0))
+    if match == "fields":
+        copies = Window.partitionBy(*key, "slice", "session_ts", "from_lo", ms, seq, ackn).orderBy("frame_no")
+        return rows.withColumn("copy_no", F.row_number().over(copies)).filter("copy_no = 1").drop("copy_no")
+    group = [*key, "session_ts", "from_lo"]
+    others = [c for c in rows.columns if c not in group]
+    first = F.min_by(F.struct(*others), "frame_no").alias("kept")
+    kept = rows.withColumn("dup_sum", ms + seq + ackn).groupBy(*group, "dup_sum").agg(first)
+    return kept.select(*group, "kept.*")
 
 
 def flow_stats(packets: DataFrame, timeout_ms: int | None = None, idle_s: float = IDLE_S) -> DataFrame:

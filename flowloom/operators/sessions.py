@@ -39,7 +39,7 @@ def cut_pieces(
     The busy pieces are found by a partially aggregated count over ``counted`` (by default
     the packets themselves). There are at most packets/max_rows of them, 100,000 for a
     trillion packets, so this one table is always fit for broadcast. ``max_rows=None`` skips
-    the count for callers who know their flows to be even.
+    the count for callers who know their flows to be even. Borders lie on whole milliseconds.
     """
     base = int_div("ts_ns", slice_ns)
     if max_rows is None:
@@ -50,7 +50,7 @@ def cut_pieces(
         counted.groupBy(*[F.col(c).alias(f"_{c}") for c in key], base.alias("_base"))
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") > max_rows)
-        .withColumn("_width", F.ceil(F.lit(slice_ns) / wanted).cast("bigint"))
+        .withColumn("_width", F.ceil(F.lit(slice_ns) / wanted / 1_000_000).cast("bigint") * 1_000_000)
         .drop("n")
     )
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key] + [base == F.col("_base")]

@@ -30,8 +30,8 @@ def _swap(text: Column) -> Column:
     return F.concat(*[F.substring(text, i, 2) for i in (7, 5, 3, 1)])
 
 
-def frame_hex() -> Column:
-    """A packet row as hex text of its IP packet."""
+def with_frame(rows: DataFrame, lower: Column) -> DataFrame:
+    """Add ``frame``: the packet as hex text behind its link-layer header."""
     protocol, bytes_, v6 = F.col("protocol"), F.col("bytes"), F.col("ip_version") == "ipv6"
     flags = sum(
         (F.when(F.col(n), F.lit(bit)).otherwise(F.lit(0)) for n, bit in (("fin", 1), ("syn", 2), ("rst", 4), ("psh", 8), ("ack", 16), ("urg", 32))),
@@ -47,24 +47,27 @@ def frame_hex() -> Column:
         F.when(protocol == "tcp", F.lit("06")).when(protocol == "udp", F.lit("11"))
         .when(protocol == "gre", F.lit("2f")).when(v6, F.lit("3a")).otherwise(F.lit("01"))
     )
-    body = F.concat(head, F.repeat(F.lit("00"), bytes_.cast("int")))
-    size = F.length(body) / 2
+    # Steps in columns of their own are computed once each.
+    rows = rows.withColumn("body", F.concat(head, F.repeat(F.lit("00"), bytes_.cast("int"))))
+    body, size = F.col("body"), F.length("body") / 2
     octets = [F.concat(*[_hex(F.split(F.col(h), r"\.")[i].cast("int"), 2) for i in range(4)]) for h in ("id_orig_h", "id_resp_h")]
-    v4_packet = F.concat(F.lit("4500"), _hex(size + 20, 4), F.lit("0000000040"), number, F.lit("0000"), *octets, body)
+    v4_head = F.concat(F.lit("4500"), _hex(size + 20, 4), F.lit("0000000040"), number, F.lit("0000"), *octets)
     long = [F.concat(F.lit("fd00" + "0" * 20), F.lit("0000000"), F.split(F.col(h), r"\.")[3]) for h in ("id_orig_h", "id_resp_h")]
-    v6_packet = F.concat(F.lit("60000000"), _hex(size, 4), number, F.lit("40"), *long, body)
-    return F.when(v6, v6_packet).otherwise(v4_packet)
+    v6_head = F.concat(F.lit("60000000"), _hex(size, 4), number, F.lit("40"), *long)
+    return rows.withColumn("frame", F.concat(lower, F.when(v6, v6_head).otherwise(v4_head), body)).drop("body")
 
 
 def capture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One capture per 256 events, varying byte order, precision, link type and damage."""
     rows = mixed_packets(spark, sf_dir).withColumn("file_no", F.expr(f"origin_id div {EVENTS_PER_FILE}"))
+    # The frames are rendered where their file is put together, on all cores.
+    rows = rows.repartition(max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()), "file_no")
     big, nano = F.col("file_no") % 4 == 3, F.col("file_no") % 3 == 0
     link = F.when(F.col("file_no") % 29 == 7, 147).when(F.col("file_no") % 4 == 1, 12).when(F.col("file_no") % 4 == 2, 113).otherwise(1)
     kind = F.when(F.col("ip_version") == "ipv6", F.lit("86dd")).otherwise(F.lit("0800"))
     lower = F.when(link == 1, F.concat(F.lit("02" * 12), kind)).when(link == 113, F.concat(F.lit("00" * 14), kind)).otherwise(F.lit(""))
-    frame = F.concat(lower, frame_hex())
-    size = F.length(frame) / 2
+    rows = with_frame(rows, lower)
+    frame, size = F.col("frame"), F.length("frame") / 2
 
     def word(value) -> Column:
         plain = _hex(value, 8)
@@ -77,10 +80,11 @@ def capture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     magic = F.when(big, magic).otherwise(_swap(magic))
     header = F.concat(magic, F.when(big, F.lit("00020004")).otherwise(F.lit("02000400")), F.lit("0" * 16), word(F.lit(65535)), word(link))
     whole = F.concat(header, F.array_join(F.transform("records", lambda r: r["record"]), ""))
-    damaged = F.when(F.col("file_no") % 31 == 11, F.substring(whole, F.lit(1), F.length(whole) - 10)).otherwise(whole)
-    content = F.unhex(damaged)
+    files = files.withColumn("whole", F.unhex(whole))
+    cut = F.substring("whole", F.lit(1), F.length("whole") - 5)
+    files = files.withColumn("content", F.when(F.col("file_no") % 31 == 11, cut).otherwise(F.col("whole")))
     path = F.concat(F.lit("/captures/aa-0"), (F.col("file_no") % 3 + 1).cast("string"), F.lit("-"), F.lpad(F.col("file_no").cast("string"), 6, "0"), F.lit(".pcap"))
-    return files.select("file_no", path.alias("path"), F.length(content).cast("bigint").alias("length"), content.alias("content"))
+    return files.select("file_no", path.alias("path"), F.length("content").cast("bigint").alias("length"), "content")
 
 
 # The same files seen from the tables: every packet with its file and place in it.

@@ -73,10 +73,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _over_events(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work when the input has fewer files than cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
+def _over_events(spark: SparkSession, sf_dir: str, sql: str, wide: bool = False) -> DataFrame:
     # ts is stored without a zone; read it as UTC whatever the session zone is.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = table(spark, sf_dir, "events")
+    events = spread(events) if wide else events
     return spark.sql(_fill(sql, SPARK).replace("from events", "from {events}"), events=events)
 
 
@@ -96,9 +103,9 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def mixed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mixed_packets(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     """All protocols, with the columns that do not apply to a protocol set to NULL."""
-    df = _over_events(spark, sf_dir, MIXED_SQL)
+    df = _over_events(spark, sf_dir, MIXED_SQL, wide)
     ported = F.col("protocol").isin("tcp", "udp")
     tcp = F.col("protocol") == "tcp"
     icmp = F.col("protocol") == "icmp"
@@ -190,7 +197,7 @@ TIME_TYPE = "SystemtimeTypeNode"
 
 def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as decoded from a log: ``fields`` maps a name to its text value and type name."""
-    wide = _over_events(spark, sf_dir, EVENT_FIELDS_SQL.replace("{TEXT}", _TEXT["SPARK"]))
+    wide = _over_events(spark, sf_dir, EVENT_FIELDS_SQL.replace("{TEXT}", _TEXT["SPARK"]), wide=True)
     entries = F.array(
         *[
             F.struct(

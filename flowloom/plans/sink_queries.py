@@ -65,7 +65,7 @@ _SQL_PACKETS = f"""with cell_src as (select *, (ts_ns % 1000000000)::integer as
  from ({DUCK_MIXED_PACKETS.replace("select pkt_id, origin_id,", "select pkt_id, origin_id, psh as event_psh,")}) as m)"""
 _add(
     "g1_packet_cells",
-    lambda s, d: _hexed(op.packet_cells(mixed_packets(s, d))),
+    lambda s, d: _hexed(op.packet_cells(mixed_packets(s, d, wide=True))),
     f"{_SQL_PACKETS} {_sql_cells('cell_src', SQL_ROW_KEY, op.PACKET_CELLS, _PACKET_COLUMNS)}",
 )
 _FLOW_COLUMNS = {
