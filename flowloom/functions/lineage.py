@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in ``spark.checkpoint.dir``, so that lost executors cost no recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
 
     A machine-local folder is used only by local sessions that name none.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="flowloom-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint, so that lost executors cost no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

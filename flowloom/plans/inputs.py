@@ -79,17 +79,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
-def _over_events(spark: SparkSession, sf_dir: str, sql: str, wide: bool = False) -> DataFrame:
+def _over_events(
+    spark: SparkSession, sf_dir: str, sql: str, wide: bool = False, events: DataFrame | None = None
+) -> DataFrame:
     # ts is stored without a zone; read it as UTC whatever the session zone is.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events") if events is None else events
     events = spread(events) if wide else events
     return spark.sql(_fill(sql, SPARK).replace("from events", "from {events}"), events=events)
 
 
-def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TCP packets of one capture, in the library's packet schema."""
-    df = _over_events(spark, sf_dir, PACKETS_SQL)
+def packets(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """TCP packets of one capture, in the library's packet schema.
+
+    ``events`` may be a stream over the table.
+    """
+    df = _over_events(spark, sf_dir, PACKETS_SQL, events=events)
     return df.select(
         "*",
         F.col("pkt_id").alias("frame_no"),
@@ -141,13 +146,13 @@ from ({DUCK_MIXED}) as raw_packets
 """
 
 
-def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_points(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Events with capture tags and a numeric event id, as the event-log operators emit them."""
     sql = """select event_id as row_id, user_id, event_type, value, {US} * 1000 as ts_ns,
      case when user_id % 2 = 0 then 'alpha' else 'beta' end as reference,
      concat('aa-0', cast(1 + user_id % 3 as varchar(10))) as sensor,
      cast(100 + cast({K} as bigint) % 6 as int) as event_id from events"""
-    return _over_events(spark, sf_dir, sql)
+    return _over_events(spark, sf_dir, sql, events=events)
 
 
 # One wide row of raw event-log fields per event; NULL means the field is absent.
