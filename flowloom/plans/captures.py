@@ -9,14 +9,16 @@ from __future__ import annotations
 import bz2
 import gzip
 import io
+import struct
 import tarfile
 import zipfile
+from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.plans.inputs import DUCK_MIXED_PACKETS, mixed_packets
+from flowloom.plans.inputs import DUCK_MIXED_PACKETS, event_fields, mixed_packets
 
 EVENTS_PER_FILE = 256
 
@@ -150,3 +152,144 @@ DUCK_LEAVES = f"""(with f as (select distinct file_no, path, substr(path, 11) as
  union all select path, file_no, 'day.tgz/' || name, 3, 'zip,gzip,tar', 'pcap', null from f where file_no % 7 = 4
  union all select path, file_no, 'notes.txt', 1, 'zip', 'unsupported', null from f where file_no % 7 in (4, 5)
  union all select path, file_no, '', 0, '', 'gzip', 'ValueError: truncated gzip stream' from f where file_no % 7 = 6) as leaves"""
+
+
+# --- event logs -------------------------------------------------------------------------
+
+
+class _LogWriter:
+    """Writes events as log chunks: one template for the system part, event data spelled out."""
+
+    # Element, attribute or None, and field name, in document order.
+    SYSTEM = (
+        ("Provider", "Name", "SYSTEM_PROVIDER_NAME"), ("Provider", "Guid", "SYSTEM_PROVIDER_GUID"),
+        ("EventID", "Qualifiers", "SYSTEM_EVENTID_QUALIFIERS"), ("EventID", None, "SYSTEM_EVENTID"),
+        ("Version", None, "SYSTEM_VERSION"), ("Level", None, "SYSTEM_LEVEL"), ("Task", None, "SYSTEM_TASK"),
+        ("Opcode", None, "SYSTEM_OPCODE"), ("Keywords", None, "SYSTEM_KEYWORDS"),
+        ("TimeCreated", "SystemTime", "SYSTEM_TIMECREATED_SYSTEMTIME"), ("EventRecordID", None, "SYSTEM_EVENTRECORDID"),
+        ("Correlation", "ActivityID", "SYSTEM_CORRELATION_ACTIVITYID"),
+        ("Correlation", "RelatedActivityID", "SYSTEM_CORRELATION_RELATEDACTIVITYID"),
+        ("Execution", "ProcessID", "SYSTEM_EXECUTION_PROCESSID"), ("Execution", "ThreadID", "SYSTEM_EXECUTION_THREADID"),
+        ("Channel", None, "SYSTEM_CHANNEL"), ("Computer", None, "SYSTEM_COMPUTER"), ("Security", "UserID", "SYSTEM_SECURITY_USERID"),
+    )
+
+    def __init__(self):
+        self.out, self.template = bytearray(512), None
+
+    def name(self, text: str) -> None:
+        """A name reference with the name itself right behind it."""
+        self.out += struct.pack("<IIHH", len(self.out) + 4, 0, 0, len(text)) + text.encode("utf-16-le") + b"\0\0"
+
+    def open(self, tag: str, attributes: bool = False) -> None:
+        self.out += struct.pack("<BHI", 0x41 if attributes else 0x01, 0xFFFF, 0)
+        self.name(tag)
+        if attributes:
+            self.out += struct.pack("<I", 0)
+
+    def text(self, value: str) -> None:
+        self.out += struct.pack("<BBH", 0x05, 0x01, len(value)) + value.encode("utf-16-le")
+
+    def system_template(self) -> None:
+        self.open("Event")
+        self.out += b"\x02"
+        self.open("System")
+        self.out += b"\x02"
+        tags = list(dict.fromkeys(tag for tag, _, _ in self.SYSTEM))
+        for tag in tags:
+            parts = [(i, attribute) for i, (t, attribute, _) in enumerate(self.SYSTEM) if t == tag]
+            self.open(tag, attributes=any(a for _, a in parts))
+            for i, attribute in parts:
+                if attribute:
+                    self.out += b"\x06"
+                    self.name(attribute)
+                    self.out += struct.pack("<BHB", 0x0E, i, 0x01)
+            self.out += b"\x02"
+            for i, attribute in parts:
+                if not attribute:
+                    self.out += struct.pack("<BHB", 0x0E, i, 0x01)
+            self.out += b"\x04"
+        self.out += b"\x04" + struct.pack("<BHB", 0x0D, len(self.SYSTEM), 0x21) + b"\x04\x00"
+
+    @staticmethod
+    def value(field: str, text: str | None) -> tuple[int, bytes]:
+        """Type and bytes of a substitution; numbers, times and masks in their own types."""
+        if text is None:
+            return 0x00, b""
+        if field in ("SYSTEM_EVENTID", "SYSTEM_TASK") and text.isdigit():
+            return 0x06, struct.pack("<H", int(text))
+        if field == "SYSTEM_EVENTRECORDID":
+            return 0x0A, struct.pack("<Q", int(text))
+        if field == "SYSTEM_KEYWORDS":
+            return 0x15, struct.pack("<Q", int(text, 16))
+        if field == "SYSTEM_TIMECREATED_SYSTEMTIME" and text[0].isdigit():
+            since = datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f") - datetime(1601, 1, 1)
+            return 0x11, struct.pack("<Q", (since // timedelta(microseconds=1)) * 10)
+        return 0x01, text.encode("utf-16-le")
+
+    def record(self, number: int, fields: dict[str, str]) -> None:
+        begin = len(self.out)
+        self.out += struct.pack("<IIQQ", 0x2A2A, 0, number, 133_500_000_000_000_000) + b"\x0f\x01\x01\x00"
+        definition = self.template or len(self.out) + 10
+        self.out += struct.pack("<BBII", 0x0C, 1, 1, definition)
+        if self.template is None:
+            self.template = definition
+            at = len(self.out)
+            self.out += struct.pack("<I16sI", 0, bytes(16), 0) + b"\x0f\x01\x01\x00"
+            self.system_template()
+            struct.pack_into("<I", self.out, at + 20, len(self.out) - at - 24)
+        values = [self.value(f, fields.get(f)) for _, _, f in self.SYSTEM]
+        # The nested part holds positions, so it is written in place and its size set afterwards.
+        self.out += struct.pack("<I", len(values) + 1)
+        sizes = len(self.out)
+        self.out += b"".join(struct.pack("<HBB", len(raw), kind, 0) for kind, raw in values) + struct.pack("<HBB", 0, 0x21, 0)
+        self.out += b"".join(raw for _, raw in values)
+        nested = len(self.out)
+        self.out += b"\x0f\x01\x01\x00"
+        self.open("EventData")
+        self.out += b"\x02"
+        for field, value in fields.items():
+            if field.startswith("EVENTDATA_DATA_"):
+                self.open("Data", attributes=True)
+                self.out += b"\x06"
+                self.name("Name")
+                self.text(field.removeprefix("EVENTDATA_DATA_").title())
+                self.out += b"\x02"
+                self.text(value + "\n")
+                self.out += b"\x04"
+        self.out += b"\x04\x00"
+        struct.pack_into("<H", self.out, sizes + 4 * len(values), len(self.out) - nested)
+        self.out += b"\0" * (-(len(self.out) - begin + 4) % 8)
+        size = len(self.out) - begin + 4
+        self.out += struct.pack("<I", size)
+        struct.pack_into("<I", self.out, begin + 4, size)
+
+    def chunk(self) -> bytes:
+        struct.pack_into("<8s", self.out, 0, b"ElfChnk\0")
+        struct.pack_into("<II", self.out, 40, 128, 0)
+        struct.pack_into("<I", self.out, 48, len(self.out))
+        return bytes(self.out).ljust(65536, b"\0")
+
+
+def log_file(events: list[tuple[int, dict[str, str]]]) -> bytes:
+    """A whole log file; a chunk takes as many events as surely fit."""
+    chunks, writer = [], _LogWriter()
+    for number, fields in events:
+        if len(writer.out) > 65536 - 8192:
+            chunks.append(writer.chunk())
+            writer = _LogWriter()
+        writer.record(number, fields)
+    chunks.append(writer.chunk())
+    header = struct.pack("<8sQQQIHHHH", b"ElfFile\0", 0, len(chunks) - 1, len(events), 128, 1, 3, 4096, len(chunks))
+    return header.ljust(4096, b"\0") + b"".join(chunks)
+
+
+def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log file per 256 events."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row_id")
+        content = log_file([(int(n), {k: v["value"] for k, v in dict(f).items()}) for n, f in zip(pdf["row_id"], pdf["fields"])])
+        return pd.DataFrame({"source_file": [f"/logs/{pdf['file_no'].iloc[0]:06}.evtx"], "member": [""], "content": [content]})
+
+    rows = event_fields(spark, sf_dir).withColumn("file_no", F.expr(f"row_id div {EVENTS_PER_FILE}"))
+    return rows.groupBy("file_no").applyInPandas(run, "source_file string, member string, content binary")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["packet_queries", "flow_queries", "metric_queries", "event_queries", "sink_queries", "source_queries", "stream_queries"]
+MODULES = ["packet_queries", "flow_queries", "metric_queries", "event_queries", "sink_queries", "source_queries", "log_queries", "stream_queries"]
 
 
 def collect() -> tuple[dict, dict]:
