@@ -18,8 +18,10 @@ from flowloom.functions.columns import endpoint_key_columns, int_div
 KEY = ["reference", "sensor", "protocol", "host_lo", "port_lo", "host_hi", "port_hi"]
 IDLE_S = 4
 SLICE_NS = 60 * 1_000_000_000
+# Busiest piece that is sorted as one: about a gigabyte of packet rows.
 MAX_PIECE_ROWS = 10_000_000
-_SUB_SLICES = 1 << 20
+_NS_PER_MS = 1_000_000
+_SLICE_MS = 1 << 32  # more than the milliseconds of any slice
 
 
 def flow_key(packets: DataFrame) -> DataFrame:
@@ -27,37 +29,49 @@ def flow_key(packets: DataFrame) -> DataFrame:
     return packets.withColumns(endpoint_key_columns())
 
 
+def _same(key: list[str], *more: str) -> list[Column]:
+    """Join condition with a table whose columns have ``_`` before their names."""
+    return [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*key, *more)]
+
+
 def cut_pieces(
     packets: DataFrame,
     key: list[str] = KEY,
     slice_ns: int = SLICE_NS,
     max_rows: int | None = MAX_PIECE_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``slice``, the ordinal of the packet's time slice, finer where a flow is busy.
 
-    The busy pieces are found by a partially aggregated count over ``counted`` (by default
-    the packets themselves). There are at most packets/max_rows of them, 100,000 for a
-    trillion packets, so this one table is always fit for broadcast. ``max_rows=None`` skips
-    the count for callers who know their flows to be even. Borders lie on whole milliseconds.
+    Slices with over ``max_rows`` packets of a flow are cut evenly by their packet count,
+    and what is still too full is cut by the millisecond. Both steps rest on partially
+    aggregated counts. The tables of busy slices have at most packets/max_rows rows, 100,000
+    for a trillion packets, so they are always fit for broadcast; without busy slices they
+    are empty and the second count is skipped. ``max_rows=None`` skips all counting.
     """
+    if slice_ns % _NS_PER_MS:
+        raise ValueError("slice_ns must be whole milliseconds")
     base = int_div("ts_ns", slice_ns)
     if max_rows is None:
-        return packets.withColumn("slice", base * _SUB_SLICES)
-    counted = packets if counted is None else counted
-    wanted = F.least(F.ceil(F.col("n") * 2 / F.lit(max_rows)), F.lit(_SUB_SLICES))
-    busy = (
-        counted.groupBy(*[F.col(c).alias(f"_{c}") for c in key], base.alias("_base"))
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > max_rows)
-        .withColumn("_width", F.ceil(F.lit(slice_ns) / wanted / 1_000_000).cast("bigint") * 1_000_000)
-        .drop("n")
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key] + [base == F.col("_base")]
-    inner = F.pmod(F.col("ts_ns"), F.lit(slice_ns).cast("bigint"))
-    sub = F.coalesce(F.call_function("div", inner, F.col("_width")), F.lit(0))
-    joined = packets.join(F.broadcast(busy), same, "left")
-    return joined.withColumn("slice", base * _SUB_SLICES + sub).drop(*[f"_{c}" for c in key], "_base", "_width")
+        return packets.withColumn("slice", base * _SLICE_MS)
+    in_slice = F.pmod("ts_ns", F.lit(slice_ns).cast("bigint"))
+    timed = {"base": base, "ms": int_div(in_slice, _NS_PER_MS)}
+    names = {c: f"_{c}" for c in (*key, "base", "sub")}
+
+    def overfull(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.groupBy(*by).agg(F.count("*").alias("n")).filter(F.col("n") > max_rows)
+
+    even = F.ceil(F.lit(slice_ns / _NS_PER_MS * max_rows / 2) / F.col("n")).cast("bigint")
+    order_only = packets.select(*key, "ts_ns").withColumns(timed)
+    busy = overfull(order_only, *key, "base").withColumn("_width", even).drop("n").withColumnsRenamed(names)
+    busy = F.broadcast(busy)
+    sub = F.col("ms") - F.pmod("ms", F.col("_width"))
+    still = overfull(order_only.join(busy, _same(key, "base")).withColumn("sub", sub), *key, "base", "sub")
+    still = F.broadcast(still.withColumnsRenamed(names))
+    cut = packets.withColumns(timed).join(busy, _same(key, "base"), "left")
+    cut = cut.withColumn("sub", F.coalesce(sub, F.lit(0))).drop(*[names[c] for c in (*key, "base")], "_width")
+    cut = cut.join(still, _same(key, "base", "sub"), "left")
+    fine = F.when(F.col("n").isNotNull(), F.col("ms")).otherwise(F.col("sub"))
+    return cut.withColumn("slice", F.col("base") * _SLICE_MS + fine).drop(*names.values(), "base", "ms", "sub", "n")
 
 
 def _piece(key: list[str]):

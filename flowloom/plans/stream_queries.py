@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions.lineage import shared_folder
 from flowloom.operators import metrics as metric_op
+from flowloom.operators.cells import write_records
 from flowloom.plans import inputs
 from flowloom.plans.flow_queries import _ID, _ID_SQL, _KEY_SQL, _PLAIN_SRC, _sessions, _tcp_flows
 from flowloom.plans.metric_queries import _SQL_EVENT_POINTS
@@ -89,3 +90,18 @@ def _directory(s, d):
 
 
 _add("a8_stream_directory", _directory)
+
+
+def _written(s, d):
+    """Packets written by reference and day, read back through their partitions."""
+    folder = f"{shared_folder(s)}/packets-{uuid.uuid4().hex}"
+    write_records(inputs.mixed_packets(s, d), folder)
+    back = s.read.parquet(folder)
+    return back.select("pkt_id", "reference", F.date_format("date", "yyyy-MM-dd").alias("date"), "protocol", "bytes")
+
+
+_add(
+    "g5_write_records",
+    _written,
+    f"""select pkt_id, reference, strftime(make_timestamp(ts_us), '%Y-%m-%d') as date, protocol, bytes from ({inputs.DUCK_MIXED}) as m""",
+)
