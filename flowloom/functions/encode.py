@@ -35,7 +35,7 @@ def float32(value: Column | str) -> Column:
         .when(size < 2.0**-126, (size * F.lit(2.0**100) * F.lit(2.0**49)).cast("bigint"))
         .otherwise(((exponent + 127) * (1 << 23)) + fraction.cast("bigint"))
     )
-    return int32(F.when(exact < 0, bits + (1 << 31)).otherwise(bits))
+    return int32(F.when(_col(value) < 0, bits + (1 << 31)).otherwise(bits))
 
 
 def text(value: Column | str) -> Column:

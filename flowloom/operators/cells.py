@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions.columns import epoch_millis, flag_string, nano_of_second, timestamp_of
 from flowloom.functions.encode import ENCODERS
-from flowloom.operators.packets import packet_row_key
+from flowloom.operators.packets import packet_row_key, with_optional_columns
 
 # Fixed values: (family, qualifier, column, encoding) of each stored record kind.
 PACKET_CELLS = (
@@ -106,7 +106,7 @@ def to_cells(df: DataFrame, row_key: Column, spec: tuple, ts_ns: str = "ts_ns",
 
 
 def packet_cells(packets: DataFrame) -> DataFrame:
-    out = packets.withColumn("nanos", nano_of_second("ts_ns"))
+    out = with_optional_columns(packets).withColumn("nanos", nano_of_second("ts_ns"))
     if "syn" in packets.columns:
         out = out.withColumn("flags", F.when(F.col("syn").isNotNull(), flag_string()))
     return to_cells(out, packet_row_key(), PACKET_CELLS)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions.columns import epoch_millis, epoch_seconds, nano_of_second, stable_uid
 from flowloom.operators.max_span import split_sessions
+from flowloom.operators.packets import with_optional_columns
 from flowloom.operators.sessions import (
     IDLE_S,
     KEY,
@@ -86,12 +87,6 @@ def _syn_state(syn: Column, ack: Column) -> Column:
     return F.when(syn & ack, "S1").when(syn, "S0")
 
 
-def _with_defaults(packets: DataFrame) -> DataFrame:
-    optional = {"service": "string", "source_file": "string", "ip_version": "string", "seq_num": "bigint", "ack_num": "bigint"}
-    missing = {n: F.lit(None).cast(t) for n, t in optional.items() if n not in packets.columns}
-    return packets.withColumns(missing) if missing else packets
-
-
 _FIRST = ["ts_ns", "frame_no", "from_lo", "id_orig_h", "id_resp_h", "id_orig_p", "id_resp_p"]
 _FIRST += ["syn", "ack", "fin", "rst", "seq_num", "ack_num", "service", "source_file", "ip_version"]
 
@@ -276,7 +271,7 @@ def duration_s(first_ns: str, last_ns: str) -> Column:
 
 def tcp_pieces(packets: DataFrame, slice_ns: int = SLICE_NS, max_rows: int | None = MAX_PIECE_ROWS) -> DataFrame:
     """TCP packets with flow key and piece, the input of the session operators."""
-    keyed = flow_key(_with_defaults(packets.filter(F.col("protocol") == "tcp")))
+    keyed = flow_key(with_optional_columns(packets.filter(F.col("protocol") == "tcp")))
     return cut_pieces(keyed, KEY, slice_ns, max_rows)
 
 
@@ -319,7 +314,7 @@ def summarise_untimed(packets: DataFrame, protocol: str, tie: str = "arrival") -
         "ip": ~F.col("protocol").isin("tcp", "udp", "icmp"),
     }[protocol]
     icmp = [c for c in ("icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number") if protocol == "icmp"]
-    rows = flow_key(_with_defaults(packets.filter(wanted)))
+    rows = flow_key(with_optional_columns(packets.filter(wanted)))
     arrival = -F.col("frame_no") if tie == "later_first" else F.col("frame_no")
     order = F.struct(F.col("ts_ns"), arrival.alias("arrival"))
     from_lo = F.col("from_lo")

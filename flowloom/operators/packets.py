@@ -14,6 +14,28 @@ from flowloom.functions.columns import (
 )
 
 
+# Columns a packet table may lack, because its capture has no such protocol.
+OPTIONAL_COLUMNS = {
+    "id_orig_p": "int",
+    "id_resp_p": "int",
+    "seq_num": "bigint",
+    "ack_num": "bigint",
+    "icmp_type": "string",
+    "icmp_code": "string",
+    "icmp_type_number": "int",
+    "icmp_code_number": "int",
+    "service": "string",
+    "source_file": "string",
+    "ip_version": "string",
+}
+
+
+def with_optional_columns(packets: DataFrame) -> DataFrame:
+    """The packets with every optional column, NULL where it was missing."""
+    missing = {n: F.lit(None).cast(t) for n, t in OPTIONAL_COLUMNS.items() if n not in packets.columns}
+    return packets.withColumns(missing) if missing else packets
+
+
 def filter_ipv4(packets: DataFrame) -> DataFrame:
     return packets.filter(F.col("ip_version") == "ipv4")
 

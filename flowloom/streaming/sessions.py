@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowloom.functions.columns import timestamp_of
-from flowloom.operators.flows import _flow_columns, _with_defaults
+from flowloom.operators.flows import _flow_columns
+from flowloom.operators.packets import with_optional_columns
 from flowloom.operators.sessions import IDLE_S, KEY, flow_key
 
 # State after a FIN or RST without SYN, by (state, flag, sent by originator).
@@ -154,7 +155,7 @@ def stream_sessions(
         if closed:
             yield pd.DataFrame([[*key, *(s[n] for n in _NAMES)] for s in closed], columns=output)
 
-    keyed = flow_key(_with_defaults(packets.filter(F.col("protocol") == "tcp")))
+    keyed = flow_key(with_optional_columns(packets.filter(F.col("protocol") == "tcp")))
     timed = keyed.withColumn("ts", timestamp_of("ts_ns"))
     timeout = GroupStateTimeout.ProcessingTimeTimeout
     if clock == "event":
