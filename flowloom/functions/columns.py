@@ -42,9 +42,9 @@ def ip_key() -> Column:
 
 
 def ip_port_key() -> Column:
-    """``ip_key`` plus the sorted ports for protocols that have ports."""
+    """``ip_key`` plus the sorted ports for records that have ports."""
     with_ports = F.concat(ip_key(), sorted_pair("id_orig_p", "id_resp_p"))
-    return F.when(F.col("protocol").isin("tcp", "udp"), with_ports).otherwise(ip_key())
+    return F.coalesce(with_ports, ip_key())
 
 
 def endpoint_key_columns() -> dict[str, Column]:

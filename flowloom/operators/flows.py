@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions.columns import epoch_millis, epoch_seconds, nano_of_second, stable_uid
 from flowloom.operators.max_span import split_sessions
-from flowloom.operators.packets import with_optional_columns
+from flowloom.operators.packets import protocol_numbers, record_type, with_optional_columns
 from flowloom.operators.sessions import (
     IDLE_S,
     KEY,
@@ -269,9 +269,14 @@ def duration_s(first_ns: str, last_ns: str) -> Column:
     return (F.col(last_ns) - F.col(first_ns)) / F.lit(1e9)
 
 
+def records_of(packets: DataFrame, kind: str) -> DataFrame:
+    """The packets of one record type, with all optional columns."""
+    return with_optional_columns(packets).filter(record_type() == kind)
+
+
 def tcp_pieces(packets: DataFrame, slice_ns: int = SLICE_NS, max_rows: int | None = MAX_PIECE_ROWS) -> DataFrame:
     """TCP packets with flow key and piece, the input of the session operators."""
-    keyed = flow_key(with_optional_columns(packets.filter(F.col("protocol") == "tcp")))
+    keyed = flow_key(records_of(packets, "tcp"))
     return cut_pieces(keyed, KEY, slice_ns, max_rows)
 
 
@@ -305,16 +310,11 @@ def summarise_tcp(
 def summarise_untimed(packets: DataFrame, protocol: str, tie: str = "arrival") -> DataFrame:
     """UDP, ICMP and other IP flows: one flow per key, oriented by the earliest packet.
 
-    ``protocol`` is ``udp``, ``icmp`` or ``ip`` (everything else). ``tie='later_first'`` puts
+    ``protocol`` is the record type: ``udp``, ``icmp`` or ``ip``. ``tie='later_first'`` puts
     the later arrival first among packets of equal time.
     """
-    wanted = {
-        "udp": F.col("protocol") == "udp",
-        "icmp": F.col("protocol") == "icmp",
-        "ip": ~F.col("protocol").isin("tcp", "udp", "icmp"),
-    }[protocol]
-    icmp = [c for c in ("icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number") if protocol == "icmp"]
-    rows = flow_key(with_optional_columns(packets.filter(wanted)))
+    icmp = ["icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number"] if protocol == "icmp" else []
+    rows = flow_key(records_of(packets, protocol))
     arrival = -F.col("frame_no") if tie == "later_first" else F.col("frame_no")
     order = F.struct(F.col("ts_ns"), arrival.alias("arrival"))
     from_lo = F.col("from_lo")
@@ -330,7 +330,7 @@ def summarise_untimed(packets: DataFrame, protocol: str, tie: str = "arrival") -
     )
     swap = {
         "udp": F.col("head.id_orig_p") < F.col("head.id_resp_p"),
-        "icmp": F.endswith(F.col("head.icmp_type"), F.lit("reply")) if icmp else None,
+        "icmp": F.coalesce(F.endswith(F.col("head.icmp_type"), F.lit("reply")), F.lit(False)) if icmp else None,
         "ip": F.lit(False),
     }[protocol]
     merged = merged.withColumns(
@@ -352,16 +352,13 @@ def flow_uid() -> Column:
 
 def flow_row_key(uid: Column | None = None) -> Column:
     """``|``-joined flow key; ports, ICMP numbers or neither, by protocol."""
-    middle = F.when(
-        F.col("protocol").isin("tcp", "udp"), F.concat_ws("|", "id_orig_p", "id_resp_p")
-    ).when(F.col("protocol") == "icmp", F.concat_ws("|", "icmp_type_number", "icmp_code_number"))
     return F.concat_ws(
         "|",
         "reference",
         "sensor",
         "id_orig_h",
         "id_resp_h",
-        middle,
+        protocol_numbers(),
         "protocol",
         epoch_seconds("ts_ns").cast("string"),
         nano_of_second("ts_ns").cast("string"),
@@ -423,7 +420,7 @@ def drop_duplicates_per_direction(rows: DataFrame, key: list[str] = KEY, match:
 def flow_stats(packets: DataFrame, timeout_ms: int | None = None, idle_s: float = IDLE_S) -> DataFrame:
     """Byte statistics per flow: over TCP sessions without copies, over other flows as they are."""
     tcp = drop_duplicates_per_direction(split_sessions(tcp_pieces(packets), KEY, idle_s, timeout_ms))
-    other = flow_key(packets.filter(F.col("protocol") != "tcp"))
+    other = flow_key(with_optional_columns(packets).filter(record_type() != "tcp"))
     return (
         tcp.groupBy(*KEY, "session_ts")
         .agg(*feature_stats("bytes"))

@@ -41,17 +41,21 @@ def filter_ipv4(packets: DataFrame) -> DataFrame:
 
 
 def record_type() -> Column:
-    """``tcp``, ``udp``, ``icmp`` or ``ip`` by first match; NULL when none applies."""
+    """``tcp``, ``udp``, ``icmp`` or ``ip`` by first match; NULL when none applies.
+
+    Fragments have a protocol but no transport header, so they are plain ``ip``. IPv6
+    packets of any other protocol have no record type.
+    """
     return (
-        F.when(F.col("protocol") == "tcp", "tcp")
-        .when(F.col("protocol") == "udp", "udp")
-        .when(F.col("protocol").isin("icmp", "icmpv6"), "icmp")
+        F.when((F.col("protocol") == "tcp") & F.col("id_orig_p").isNotNull(), "tcp")
+        .when((F.col("protocol") == "udp") & F.col("id_orig_p").isNotNull(), "udp")
+        .when(F.col("protocol").isin("icmp", "icmpv6") & F.col("icmp_type_number").isNotNull(), "icmp")
         .when(F.col("ip_version") == "ipv4", "ip")
     )
 
 
 def dispatch_protocol(packets: DataFrame) -> DataFrame:
-    typed = packets.withColumn("record_type", record_type())
+    typed = with_optional_columns(packets).withColumn("record_type", record_type())
     reason = F.when(F.col("record_type").isNull(), F.lit("unsupported protocol"))
     return typed.withColumn("reason", reason)
 
@@ -95,18 +99,22 @@ def frame_uid() -> Column:
     return stable_uid("source_file", "frame_no")
 
 
+def protocol_numbers() -> Column:
+    """The ports or the ICMP numbers as ``a|b``; NULL where a record has neither."""
+    return F.when(F.col("id_orig_p").isNotNull(), F.concat_ws("|", "id_orig_p", "id_resp_p")).when(
+        F.col("icmp_type_number").isNotNull(), F.concat_ws("|", "icmp_type_number", "icmp_code_number")
+    )
+
+
 def packet_row_key() -> Column:
     """``|``-joined packet key; the ports or ICMP numbers only where the protocol has them."""
-    middle = F.when(
-        F.col("protocol").isin("tcp", "udp"), F.concat_ws("|", "id_orig_p", "id_resp_p")
-    ).when(F.col("protocol") == "icmp", F.concat_ws("|", "icmp_type_number", "icmp_code_number"))
     return F.concat_ws(
         "|",
         "reference",
         "sensor",
         "id_orig_h",
         "id_resp_h",
-        middle,
+        protocol_numbers(),
         "protocol",
         epoch_seconds("ts_ns").cast("string"),
         nano_of_second("ts_ns").cast("string"),

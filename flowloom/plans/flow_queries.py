@@ -107,7 +107,7 @@ tcp as (select s.reference, s.sensor, s.protocol, e.orig as id_orig_h,
 
 
 def _untimed(protocol: str) -> str:
-    where = "protocol not in ('tcp','udp','icmp')" if protocol == "ip" else f"protocol = '{protocol}'"
+    where = "protocol not in ('tcp','udp','icmp') and ip_version = 'ipv4'" if protocol == "ip" else f"protocol = '{protocol}'"
     swap = {"udp": "f.id_orig_p < f.id_resp_p", "icmp": "f.icmp_type like '%reply'", "ip": "false"}[protocol]
     flow_key = "reference, sensor, protocol, least(id_orig_h, id_resp_h), greatest(id_orig_h, id_resp_h)"
     if protocol == "udp":
@@ -336,7 +336,7 @@ _add(
       partition by {_KEY_SQL}, session_ts, id_orig_h, ts_ns // 1000000, seq_num, ack_num order by frame_no) = 1),
     untimed as (select reference, sensor, protocol, least(id_orig_h, id_resp_h) as host_lo, greatest(id_orig_h, id_resp_h) as host_hi,
       least(id_orig_p, id_resp_p) as p1, greatest(id_orig_p, id_resp_p) as p2, min(ts_ns) as session_ts, {_stats_sql('bytes')}
-      from mixed where protocol <> 'tcp' group by all),
+      from mixed where protocol in ('udp','icmp') or (protocol = 'gre' and ip_version = 'ipv4') group by all),
     timed as (select reference, sensor, protocol, host_lo, host_hi, least(port_lo, port_hi) as p1, greatest(port_lo, port_hi) as p2,
       session_ts, {_stats_sql('bytes')} from kept group by all)
     select f.reference, f.sensor, f.protocol, id_orig_h, id_resp_h, id_orig_p, id_resp_p, ts_ns, first_frame,

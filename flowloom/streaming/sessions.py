@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowloom.functions.columns import timestamp_of
-from flowloom.operators.flows import _flow_columns
-from flowloom.operators.packets import with_optional_columns
+from flowloom.operators.flows import _flow_columns, records_of
 from flowloom.operators.sessions import IDLE_S, KEY, flow_key
 
 # State after a FIN or RST without SYN, by (state, flag, sent by originator).
@@ -155,7 +154,7 @@ def stream_sessions(
         if closed:
             yield pd.DataFrame([[*key, *(s[n] for n in _NAMES)] for s in closed], columns=output)
 
-    keyed = flow_key(with_optional_columns(packets.filter(F.col("protocol") == "tcp")))
+    keyed = flow_key(records_of(packets, "tcp"))
     timed = keyed.withColumn("ts", timestamp_of("ts_ns"))
     timeout = GroupStateTimeout.ProcessingTimeTimeout
     if clock == "event":
@@ -177,7 +176,7 @@ def stream_counters(packets: DataFrame, idle_s: float = IDLE_S, delay: str = "0
     short of the idle time. Partial aggregation keeps busy flows out of single tasks' way.
     """
     gap = f"{int(idle_s * 1_000_000) - 1} microseconds"
-    timed = flow_key(packets.filter(F.col("protocol") == "tcp")).withColumn("ts", timestamp_of("ts_ns"))
+    timed = flow_key(records_of(packets, "tcp")).withColumn("ts", timestamp_of("ts_ns"))
     from_lo = F.col("from_lo")
     counted = (
         timed.withWatermark("ts", delay)
