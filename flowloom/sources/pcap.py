@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -83,32 +84,26 @@ def _frames(content: bytes, precision: str) -> Iterator[tuple]:
         yield _rejected("truncated record")
 
 
+def frame_batches(source_file: str, member: str, reference: str, sensor: str, numbered: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in FRAME_SCHEMA of (frame number, frame) pairs of one capture."""
+    names = [part.split(" ")[0] for part in FRAME_SCHEMA.split(", ")]
+    while rows := list(islice(numbered, _FRAMES_PER_BATCH)):
+        made = [(source_file, member, n, *f[:5], reference, sensor, *f[5:]) for n, f in rows]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), _FRAME_TYPES)], names=names)
+
+
 def read_pcap(captures: DataFrame, precision: str = "header") -> DataFrame:
     """One row per frame; a reject has ``error`` and the place where framing stopped.
 
     Needs source_file, member, reference, sensor and content. ``precision='header'`` also
     accepts a 1 in the header's fourth field for nanoseconds, ``'magic'`` only the signature.
     """
-    names = [part.split(" ")[0] for part in FRAME_SCHEMA.split(", ")]
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                rows = []
-                for number, frame in enumerate(_frames(row["content"], precision)):
-                    ts, incl, orig, link, unit, data, error = frame
-                    rows.append(
-                        (row["source_file"], row["member"], number, ts, incl, orig, link, unit, row["reference"], row["sensor"], data, error)
-                    )
-                    if len(rows) == _FRAMES_PER_BATCH:
-                        yield _batch(rows)
-                        rows = []
-                if rows:
-                    yield _batch(rows)
-
-    def _batch(rows):
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows), _FRAME_TYPES)]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+                frames = enumerate(_frames(row["content"], precision))
+                yield from frame_batches(row["source_file"], row["member"], row["reference"], row["sensor"], frames)
 
     needed = captures.select("source_file", "member", "reference", "sensor", "content")
     return needed.mapInArrow(run, FRAME_SCHEMA)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from flowloom.operators import quality
 from flowloom.plans.captures import log_file
+from flowloom.sources import capture_scan
+from flowloom.sources.capture_scan import capture_splits, scan_captures
 from flowloom.sources.event_logs import flatten_event, read_evtx
 from flowloom.sources.files import classify_magic, expand_containers, file_inventory, read_files
 from flowloom.sources.pcap import LINK_TYPES, decode_packets, read_pcap
@@ -284,3 +286,58 @@ def test_split_bad(spark):
     df = spark.range(10).withColumn("error", F.when(F.col("id") % 3 == 0, "third"))
     good, bad = quality.split_bad(df)
     assert (good.count(), bad.count()) == (6, 4)
+
+
+# --- captures read by byte range --------------------------------------------------------
+
+
+@pytest.fixture
+def captures(tmp_path):
+    folder = tmp_path / "captures"
+    folder.mkdir()
+    frames = [(i, i * 7, ether(ipv4(17, udp(b"x" * (i % 50))))) for i in range(900)]
+    (folder / "ab-01-000001.pcap").write_bytes(capture(frames))
+    (folder / "ab-02-000002.pcap").write_bytes(capture(frames[:40], ">", nano=True)[:-3])
+    (folder / "ab-02-000003.pcap").write_bytes(capture(frames[:3], link=147))
+    (folder / "notes.txt").write_bytes(b"not a capture, but long enough")
+    return folder
+
+
+def frame_rows(df):
+    names = ["sensor", "frame_no", "ts_ns", "incl_len", "orig_len", "link_type", "precision", "data", "error"]
+    split = F.element_at(F.split("source_file", "/"), -1)
+    return sorted((tuple(str(v) for v in r) for r in df.select(split, *names).collect()))
+
+
+@pytest.mark.parametrize("split_bytes", [1 << 30, 2000, 1])
+def test_ranges_give_what_whole_files_give(spark, captures, split_bytes):
+    whole = quality.tag_source(expand_containers(read_files(spark, str(captures))), "lab")
+    ranged = scan_captures(spark, str(captures), "lab", split_bytes=split_bytes)
+    assert frame_rows(ranged) == frame_rows(read_pcap(whole))
+
+
+def test_large_captures_are_split(spark, captures):
+    files = spark.read.format("binaryFile").load(str(captures / "ab-01-000001.pcap"))
+    splits = capture_splits(files, split_bytes=10_000).orderBy("start").collect()
+    assert len(splits) > 5 and splits[0].start == 24
+    assert [s.start for s in splits[1:]] == [s.stop for s in splits[:-1]]
+    assert max(s.stop - s.start for s in splits) < 10_000 + 200
+
+
+def test_record_longer_than_a_block(spark, tmp_path, monkeypatch):
+    (tmp_path / "x.pcap").write_bytes(capture([(1, 0, b"a" * 5000), (2, 0, b"b")]))
+    monkeypatch.setattr(capture_scan, "_BLOCK", 64)
+    split = list(capture_scan._splits(str(tmp_path / "x.pcap"), (tmp_path / "x.pcap").stat().st_size, 1 << 20, "header"))[0]
+    names = [p.split(" ")[0] for p in capture_scan._SPLIT_SCHEMA.split(", ")]
+    assert [len(f[5]) for _, f in capture_scan._split_frames(dict(zip(names, split)))] == [5000, 1]
+
+
+def test_pcap_format(spark, captures):
+    spark.dataSource.register(capture_scan.PcapDataSource)
+    got = spark.read.format("pcap").option("reference", "lab").load(str(captures))
+    good = got.filter("error is null")
+    assert good.count() == 939 and {r.reference for r in good.select("reference").distinct().collect()} == {"lab"}
+    assert sorted(r.error for r in got.filter("error is not null").collect()) == [
+        "not a capture", "truncated record", "unsupported link type 147",
+    ]
+    assert decode_packets(got).filter("protocol = 'udp'").count() == 939
