@@ -79,13 +79,10 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
-def _over_events(
-    spark: SparkSession, sf_dir: str, sql: str, wide: bool = False, events: DataFrame | None = None
-) -> DataFrame:
+def _over_events(spark: SparkSession, sf_dir: str, sql: str, events: DataFrame | None = None) -> DataFrame:
     # ts is stored without a zone; read it as UTC whatever the session zone is.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = table(spark, sf_dir, "events") if events is None else events
-    events = spread(events) if wide else events
+    events = spread(table(spark, sf_dir, "events")) if events is None else events
     return spark.sql(_fill(sql, SPARK).replace("from events", "from {events}"), events=events)
 
 
@@ -108,9 +105,9 @@ def packets(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -
     )
 
 
-def mixed_packets(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+def mixed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All protocols, with the columns that do not apply to a protocol set to NULL."""
-    df = _over_events(spark, sf_dir, MIXED_SQL, wide)
+    df = _over_events(spark, sf_dir, MIXED_SQL)
     ported = F.col("protocol").isin("tcp", "udp")
     tcp = F.col("protocol") == "tcp"
     icmp = F.col("protocol") == "icmp"
@@ -202,7 +199,7 @@ TIME_TYPE = "SystemtimeTypeNode"
 
 def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as decoded from a log: ``fields`` maps a name to its text value and type name."""
-    wide = _over_events(spark, sf_dir, EVENT_FIELDS_SQL.replace("{TEXT}", _TEXT["SPARK"]), wide=True)
+    wide = _over_events(spark, sf_dir, EVENT_FIELDS_SQL.replace("{TEXT}", _TEXT["SPARK"]))
     entries = F.array(
         *[
             F.struct(
