@@ -22,6 +22,7 @@ from flowloom.operators.sessions import (
     MAX_PIECE_ROWS,
     SLICE_NS,
     cut_pieces,
+    fill_key,
     flow_key,
     stitch_runs,
     with_runs,
@@ -276,11 +277,7 @@ def records_of(packets: DataFrame, kind: str) -> DataFrame:
 
 def tcp_pieces(packets: DataFrame, slice_ns: int = SLICE_NS, max_rows: int | None = MAX_PIECE_ROWS) -> DataFrame:
     """TCP packets with a non-NULL flow key and their piece, the input of the session operators."""
-    keyed = flow_key(records_of(packets, "tcp"))
-    # Keys that cannot be NULL lose no rows in joins, and Spark need not test them in the scan.
-    unset = {c: F.lit(0) if c.startswith("port") else F.lit("") for c in KEY}
-    keyed = keyed.withColumns({c: F.coalesce(F.col(c), unset[c]) for c in KEY})
-    return cut_pieces(keyed, KEY, slice_ns, max_rows)
+    return cut_pieces(fill_key(flow_key(records_of(packets, "tcp"))), KEY, slice_ns, max_rows)
 
 
 def summarise_tcp(

@@ -3,12 +3,15 @@
 The rule is greedy, so each start depends on the one before it. Idle-separated sessions
 shorter than the limit need nothing. Longer ones of ordinary size are folded as one array.
 Sessions too large for that are solved piece by piece: every piece computes, in parallel,
-which last start each possible first start leads to; a walk over these short tables then
-fixes the real first start of every piece, and the pieces list their starts in parallel.
+which last start each possible first start leads to; a walk that streams over these short
+tables then tells every piece when its first start is due, and the pieces list their starts
+in parallel.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -18,8 +21,9 @@ from pyspark.sql import types as T
 from flowloom.functions.lineage import cut_lineage
 from flowloom.operators.sessions import IDLE_S, KEY, split_idle
 
-# Largest session, in distinct packet times, that is folded as one array (8 MB).
-ARRAY_POINTS = 1_000_000
+# Largest session, in distinct packet times, that is folded as one array. Growing the list of
+# starts copies it, so this stays small.
+ARRAY_POINTS = 20_000
 
 
 def _last_start(times: np.ndarray, jump: int) -> np.ndarray:
@@ -40,24 +44,37 @@ def _reach(jump: int):
         # The start before lies before times[0], so the next is due before times[0] + jump.
         opens = times[0] == pdf["session_ts"].iloc[0]
         n = 1 if opens else min(len(times), int(np.searchsorted(times, times[0] + jump)) + 1)
-        out = pdf.drop(columns="ts_ns").iloc[[0] * n].reset_index(drop=True)
-        return out.assign(first_start=times[:n], last_start=_last_start(times, jump)[:n])
+        last = _last_start(times, jump)[:n]
+        # Later first starts never lead to earlier last ones: one row per last start will do.
+        steps = np.append(np.flatnonzero(np.diff(last)), n - 1)
+        out = pdf.drop(columns="ts_ns").iloc[[0] * len(steps)].reset_index(drop=True)
+        return out.assign(first_upto=times[steps], last_start=last[steps])
 
     return run
 
 
-def _walk(jump: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["slice", "first_start"], ignore_index=True)
-        first, last = pdf["first_start"].to_numpy(), pdf["last_start"].to_numpy()
-        borders = np.flatnonzero(np.diff(pdf["slice"].to_numpy(), prepend=np.iinfo(np.int64).min))
-        keep, due = [], np.iinfo(np.int64).min
-        for lo, hi in zip(borders, np.append(borders[1:], len(pdf))):
-            at = lo + np.searchsorted(first[lo:hi], due)
-            if at < hi:
-                keep.append(at)
-                due = last[at] + jump
-        return pdf.iloc[keep].drop(columns="last_start")
+def _walk(jump: int, session: list[str]):
+    """Follow the starts through the pieces of each session, in order, row batch by row batch."""
+    piece = [*session, "slice"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at_session, at_slice, due, passed = None, None, 0, False
+        for pdf in batches:
+            first, last = pdf["first_upto"].to_numpy(), pdf["last_start"].to_numpy()
+            borders = np.flatnonzero((pdf[piece] != pdf[piece].shift()).any(axis=1))
+            keep, dues = [], []
+            for lo, hi in zip(borders, np.append(borders[1:], len(pdf))):
+                here = tuple(pdf[session].iloc[lo])
+                if here != at_session:
+                    at_session, at_slice, due = here, None, int(pdf["session_ts"].iloc[lo])
+                if pdf["slice"].iloc[lo] != at_slice:
+                    at_slice, passed = pdf["slice"].iloc[lo], False
+                step = lo + np.searchsorted(first[lo:hi], due)
+                if not passed and step < hi:
+                    keep.append(lo)
+                    dues.append(due)
+                    due, passed = int(last[step]) + jump, True
+            yield pdf.iloc[keep].drop(columns=["first_upto", "last_start"]).assign(due=dues)
 
     return run
 
@@ -65,11 +82,11 @@ def _walk(jump: int):
 def _list_starts(jump: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(pdf["ts_ns"].to_numpy())
-        at, starts = np.searchsorted(times, pdf["first_start"].iloc[0]), []
+        at, starts = np.searchsorted(times, pdf["due"].iloc[0]), []
         while at < len(times):
             starts.append(times[at])
             at = np.searchsorted(times, times[at] + jump)
-        out = pdf.drop(columns=["ts_ns", "first_start"]).iloc[[0] * len(starts)].reset_index(drop=True)
+        out = pdf.drop(columns=["ts_ns", "due"]).iloc[[0] * len(starts)].reset_index(drop=True)
         return out.assign(start_ts=starts)
 
     return run
@@ -94,12 +111,12 @@ def _starts(tagged: DataFrame, key: list[str], jump: int, array_points: int) ->
     small = times.select(*session, F.explode(grown).alias("start"))
     small = small.select(*piece[:-2], "start.slice", "session_ts", F.col("start.ts_ns").alias("start_ts"))
     large_points = tagged.filter(F.col("n_points") > array_points).drop("n_points")
+    carried = large_points.drop("ts_ns").columns
     reach = large_points.groupBy(*piece).applyInPandas(
-        _reach(jump), _schema(tagged, large_points.drop("ts_ns").columns, "first_start", "last_start")
-    )
-    entry = reach.groupBy(*session).applyInPandas(
-        _walk(jump), _schema(tagged, large_points.drop("ts_ns").columns, "first_start")
+        _reach(jump), _schema(tagged, carried, "first_upto", "last_start")
     )
+    in_order = reach.repartition(*session).sortWithinPartitions(*session, "slice", "first_upto")
+    entry = in_order.mapInPandas(_walk(jump, session), _schema(tagged, carried, "due"))
     large = (
         large_points.join(entry, piece)
         .groupBy(*piece)

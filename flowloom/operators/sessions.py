@@ -29,6 +29,12 @@ def flow_key(packets: DataFrame) -> DataFrame:
     return packets.withColumns(endpoint_key_columns())
 
 
+def fill_key(packets: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """Replace NULL in the key, so that joins lose no rows and Spark tests nothing in the scan."""
+    unset = {c: F.lit(0) if c.startswith("port") else F.lit("") for c in key}
+    return packets.withColumns({c: F.coalesce(F.col(c), unset[c]) for c in key})
+
+
 def _same(key: list[str], *more: str) -> list[Column]:
     """Join condition with a table whose columns have ``_`` before their names."""
     return [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*key, *more)]
@@ -134,6 +140,7 @@ def order_packets(pieces: DataFrame, key: list[str] = KEY, tie: str = "arrival")
 
     Equal times keep arrival order, or put the later arrival first with ``tie='later_first'``.
     Positions are counted inside pieces and shifted by the packet counts of earlier pieces.
+    The key columns must not be NULL.
     """
     before = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = pieces.groupBy(*key, "slice").agg(F.count("*").alias("n"))
@@ -141,6 +148,5 @@ def order_packets(pieces: DataFrame, key: list[str] = KEY, tie: str = "arrival")
     arrival = F.col("frame_no").desc() if tie == "later_first" else F.col("frame_no").asc()
     place = F.row_number().over(Window.partitionBy(*key, "slice").orderBy("ts_ns", arrival))
     rows = pieces.withColumn("place", place)
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*key, "slice")]
-    joined = rows.alias("r").join(shifts.alias("s"), same)
-    return joined.select("r.*", (F.col("place") + F.col("shift")).alias("position")).drop("place", "slice")
+    joined = rows.join(shifts, [*key, "slice"])
+    return joined.withColumn("position", F.col("place") + F.col("shift")).drop("place", "shift", "slice")

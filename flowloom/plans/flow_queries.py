@@ -12,7 +12,7 @@ from flowloom.functions.columns import stable_uid
 from flowloom.operators import flows as op
 from flowloom.operators import packets as packet_op
 from flowloom.operators.max_span import split_sessions
-from flowloom.operators.sessions import KEY, cut_pieces, flow_key, order_packets, split_idle
+from flowloom.operators.sessions import KEY, cut_pieces, fill_key, flow_key, order_packets, split_idle
 from flowloom.plans.inputs import DUCK_MIXED_PACKETS, DUCK_PACKETS, mixed_packets, packets, table
 from flowloom.plans.packet_queries import SQL_ROW_KEY
 
@@ -313,7 +313,7 @@ _add(
 for _name, _tie, _dir in (("d7_order_packets", "arrival", "asc"), ("d7_order_packets_later_first", "later_first", "desc")):
     _add(
         _name,
-        lambda s, d, t=_tie: order_packets(cut_pieces(flow_key(mixed_packets(s, d))), tie=t).select("pkt_id", "position"),
+        lambda s, d, t=_tie: order_packets(cut_pieces(fill_key(flow_key(mixed_packets(s, d)))), tie=t).select("pkt_id", "position"),
         f"""with {_keyed(DUCK_MIXED_PACKETS)} select pkt_id,
          row_number() over (partition by {_KEY_SQL} order by ts_ns, frame_no {_dir}) as position from keyed""",
     )

@@ -2,12 +2,13 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from flowloom.operators import flows
+from flowloom.operators import flows, max_span
 from flowloom.operators.max_span import split_sessions
-from flowloom.operators.sessions import KEY, cut_pieces, flow_key, order_packets
+from flowloom.operators.sessions import KEY, cut_pieces, fill_key, flow_key, order_packets
 from reference_fold import sessions, summary_rows
 
 SCHEMA = (
@@ -167,8 +168,39 @@ def test_ports_do_not_collide(spark):
     assert flows.summarise_tcp(frame(spark, packets)).count() == 2
 
 
+@pytest.mark.parametrize("batch", [1, 3, 1000])
+def test_walk_goes_on_across_batches(batch):
+    """Starts found through the pieces' tables equal the greedy ones, however the rows arrive."""
+    rng = random.Random(8)
+    jump, rows, want = 50, [], []
+    for flow in ("f", "g"):
+        times = sorted(rng.sample(range(3000), 400))
+        due = times[0]
+        starts = []
+        for t in times:
+            if t >= due:
+                starts.append(t)
+                due = t + jump
+        for slice_no in range(30):
+            part = [t for t in times if t // 100 == slice_no]
+            if part:
+                pdf = pd.DataFrame({"flow": flow, "slice": slice_no, "session_ts": times[0], "ts_ns": part})
+                rows.append((max_span._reach(jump)(pdf), pdf))
+                want += [(flow, t) for t in starts if t // 100 == slice_no]
+    table = pd.concat([r for r, _ in rows], ignore_index=True)
+    batches = (table.iloc[i : i + batch].reset_index(drop=True) for i in range(0, len(table), batch))
+    entries = pd.concat(list(max_span._walk(jump, ["flow", "session_ts"])(batches)))
+    dues = {(r.flow, r.slice): r.due for r in entries.itertuples()}
+    got = []
+    for _, pdf in rows:
+        where = (pdf["flow"].iloc[0], pdf["slice"].iloc[0])
+        if where in dues:
+            got += [(where[0], t) for t in max_span._list_starts(jump)(pdf.assign(due=dues[where]))["start_ts"]]
+    assert sorted(got) == sorted(want)
+
+
 def test_positions_do_not_depend_on_pieces(spark):
-    keyed = flow_key(frame(spark, random_packets(3)))
+    keyed = fill_key(flow_key(frame(spark, random_packets(3))))
     placed = [
         {r.frame_no: r.position for r in order_packets(cut_pieces(keyed, KEY, width, rows)).collect()}
         for width, rows in ((60_000_000_000, None), (3_000_000_000, 5))
