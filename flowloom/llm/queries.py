@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowloom.llm import rules
+from flowloom.llm import rules, secrets
 from flowloom.llm.common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -16,3 +17,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_quality_rules"] = op7_quality_rules
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+
+    def count(name: str):
+        kind = secrets.KINDS.index(name)
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{name}")
+
+    return found.select(
+        "doc_id",
+        *(count(name) for name in secrets.KINDS[:3]),
+        F.sha2(secrets.listing("secrets", secrets.KINDS[:3]), 256).alias("base_sha256"),
+        secrets.listing("secrets").alias("spans"),
+    )
+
+
+QUERIES["op9_secret_scan"] = op9_secret_scan
