@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import rules, secrets
+from flowloom.llm import rules, secrets, sharding
 from flowloom.llm.common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -35,3 +35,27 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_secret_scan"] = op9_secret_scan
+
+
+#: Bytes of text that a shard of the query holds at most.
+SHARD_BYTES = 16 << 20
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    return sharding.shard(docs, ["doc_id"], F.col("n_bytes"), SHARD_BYTES).select("doc_id", "n_bytes", "shard_depth", "shard_bucket", "shard_part")
+
+
+QUERIES["op10_sharding"] = op10_sharding
+ORACLES["op10_sharding"] = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS n_bytes,
+         ('0x' || substr(md5(coalesce('kv' || doc_id::VARCHAR, 'kn')), 1, 15))::BIGINT AS h
+  FROM documents),
+s AS (SELECT greatest(0, ceil(log2(greatest(1, ceil(sum(n_bytes) / {SHARD_BYTES}.0)))))::INT AS first FROM d),
+t AS (SELECT d.*, k.depth, d.h >> (60 - k.depth)::INT AS bucket, sum(n_bytes) OVER (PARTITION BY k.depth, d.h >> (60 - k.depth)::INT) AS held,
+             count(*) OVER (PARTITION BY k.depth, d.h >> (60 - k.depth)::INT) AS held_rows
+      FROM d, (SELECT unnest(range(0, 31)) AS depth) k, s WHERE k.depth >= s.first)
+SELECT doc_id, n_bytes, min(depth)::INT AS shard_depth, min_by(bucket, depth) AS shard_bucket, 0::BIGINT AS shard_part
+FROM t WHERE held <= {SHARD_BYTES} OR held_rows = 1 GROUP BY doc_id, n_bytes
+"""
