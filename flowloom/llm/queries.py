@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import rules, secrets, sharding
+from flowloom.llm import bpe, rules, secrets, sharding
 from flowloom.llm.common import documents
 
 QUERIES, ORACLES = {}, {}
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), tokens, public_tokenizers.PATTERN, keep_text=False)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    counted = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), "ids")
+    return bpe.decode(counted, tokens, keep_ids=False).withColumn("decoded", F.sha2("decoded", 256)).withColumnRenamed("decoded", "decoded_sha256")
+
+
+QUERIES["op1_byte_bpe"] = op1_byte_bpe
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return rules.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).select(*columns)
