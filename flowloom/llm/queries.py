@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, rules, secrets, sharding
+from flowloom.llm import bpe, chat, rules, secrets, sharding
 from flowloom.llm.common import documents
 
 QUERIES, ORACLES = {}, {}
@@ -23,6 +23,16 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op1_byte_bpe"] = op1_byte_bpe
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(told.unionByName(more)))
+
+
+QUERIES["op2_chat_format"] = op2_chat_format
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return rules.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).select(*columns)
