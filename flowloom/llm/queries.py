@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat, rules, secrets, sharding
-from flowloom.llm.common import documents
+from flowloom.llm import bpe, chat, packing, rules, secrets, sharding
+from flowloom.llm.common import documents, shared_table
 
 QUERIES, ORACLES = {}, {}
 
@@ -33,6 +33,15 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op2_chat_format"] = op2_chat_format
 
 
+def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    digests = shared_table(cut.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32"))
+    return packing.pack(digests, keys=["doc_id", "piece"])
+
+
+QUERIES["op4_pattern_packing"] = op4_pattern_packing
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return rules.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).select(*columns)
