@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat, packing, rules, secrets, sharding
+from flowloom.llm import bpe, chat, langid, packing, rules, secrets, sharding
 from flowloom.llm.common import documents, shared_table
 
 QUERIES, ORACLES = {}, {}
@@ -42,6 +42,21 @@ def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op4_pattern_packing"] = op4_pattern_packing
 
 
+def is_held_out():
+    """Whether the checksum of a document's id leaves 2 when divided by 4; a null id counts as empty."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs.filter(~is_held_out()).select("text", "lang"))
+    rows = docs.select("doc_id", is_held_out().alias("held_out"), "text")
+    return langid.identify(rows, model, keep_text=False)
+
+
+QUERIES["op5_language_id"] = op5_language_id
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return rules.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).select(*columns)
