@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat, langid, packing, rules, secrets, sharding
+from flowloom.llm import bpe, chat, langid, packing, rules, secrets, sharding, topk
 from flowloom.llm.common import documents, shared_table
 
 QUERIES, ORACLES = {}, {}
@@ -65,6 +65,23 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op7_quality_rules"] = op7_quality_rules
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.whole_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return topk.top_k(vectors.filter("vec_id % 100 = 0"), vectors)
+
+
+QUERIES["op8_top_k"] = op8_top_k
+ORACLES["op8_top_k"] = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
 
