@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat, langid, packing, rules, secrets, sharding, topk
+from flowloom.llm import bpe, chat, jaccard, langid, packing, rules, secrets, sharding, topk
 from flowloom.llm.common import documents, shared_table
 
 QUERIES, ORACLES = {}, {}
@@ -33,6 +33,13 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op2_chat_format"] = op2_chat_format
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(documents(spark, sf_dir).select("doc_id", "text"), width=4, percent=85)
+
+
+QUERIES["op3_jaccard_join"] = op3_jaccard_join
+
+
 def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
     digests = shared_table(cut.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32"))
