@@ -103,20 +103,23 @@ class Encoder:
         """A long text in parts that cut no pre-token: a single space between other characters always begins one."""
         start = 0
         while len(text) - start > LONG:
-            cut = self.border.search(text, start + LONG)
+            cut = self.border.search(text, start + LONG // 2)
             if cut is None:
                 break
             yield text[start : cut.start()]
             start = cut.start()
         yield text[start:] if start else text
 
-    def encode(self, text: str) -> bytes:
-        out = []
-        for part in self.parts(text):
-            words = self.pattern.findall(part)
-            self.learn(set(words))
-            out.append(b"".join(map(self.known.__getitem__, words)))
-        return b"".join(out)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; new pre-tokens of all texts are learnt together, those of a long text part by part."""
+        if len(texts) == 1 and len(texts[0]) > LONG:
+            return [b"".join(self._encode([part])[0] for part in self.parts(texts[0]))]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        split = [self.pattern.findall(text) for text in texts]
+        self.learn(set().union(*split))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 def _without(df: DataFrame, *names: str) -> DataFrame:
@@ -142,7 +145,7 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text",
             texts = batch.column(batch.schema.get_field_index(text))
             sizes = np.diff(np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, texts.offset * 4)) if len(texts) else []
             for a, b in slices(sizes, SLICE_BYTES):
-                coded = [encoder.encode(t or "") for t in texts[a:b].to_pylist()]
+                coded = encoder.encode([t or "" for t in texts[a:b].to_pylist()])
                 offsets = np.zeros(b - a + 1, "<i4")
                 np.cumsum([len(x) // 4 for x in coded], out=offsets[1:])
                 values = pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32())

@@ -22,7 +22,7 @@ from flowloom.llm.common import per_process, shared_table, slices
 #: Bytes of text that a task tokenises at a time.
 SLICE_BYTES = 4 << 20
 #: Distinct words that a task remembers; then it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 #: Steps of the least squares fit. Its time does not depend on the number of pieces.
 FIT_STEPS = 250
 #: Pieces that one salt of a length ranks within a task, about.
@@ -77,11 +77,21 @@ class WordEncoder:
             for word, ids in zip(other[a : a + 1000], self._ids(other[a : a + 1000]), strict=True):
                 self.known[word] = np.array(ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words = text.replace("\n", " ").split(" ")
-        self.learn(set(words))
-        return b"".join(map(self.known.__getitem__, words))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; new words of all texts are learnt together."""
+        split = [_lower(text).replace("\n", " ").split(" ") for text in texts]
+        self.learn(set().union(*split))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
+
+def _lower(text: str) -> str:
+    """Latin-1 texts in lower case, as the tokenizer makes them anyway, so that fewer words differ; others as they are."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
 
 
 def _windows(text: str, most: int = 1 << 20) -> Iterator[str]:
@@ -114,8 +124,13 @@ def pieces(df: DataFrame, path: str, size: int = 2048, text: str = "text", keep:
             sizes = np.diff(np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, texts.offset * 4)) if len(texts) else []
             for a, b in slices(sizes, SLICE_BYTES):
                 rows, number, begin, cut = [], [], [], []
-                for i, t in enumerate(texts[a:b].to_pylist()):
-                    ids = b"".join([*(encoder.encode(w) for w in _windows(t or "")), closing])
+                taken = texts[a:b].to_pylist()
+                if b - a > 1:
+                    coded = encoder.encode([t or "" for t in taken])
+                else:  # one text, perhaps a long one
+                    coded = [b"".join(encoder.encode([w])[0] for w in _windows(taken[0] or ""))]
+                for i, ids in enumerate(coded):
+                    ids += closing
                     for k, at in enumerate(range(0, len(ids), 4 * size)):
                         rows.append(i)
                         number.append(k)
