@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat, jaccard, langid, packing, rules, secrets, sharding, topk
+from flowloom.llm import bpe, chat, jaccard, langid, packing, quality, rules, secrets, sharding, topk
 from flowloom.llm.common import documents, shared_table
 
 QUERIES, ORACLES = {}, {}
@@ -64,6 +64,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op5_language_id"] = op5_language_id
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality IS NOT NULL")
+    labels = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    docs, metadata = documents(spark, sf_dir), ["source", "lang", "n_chars"]
+    model = quality.train(docs.join(labels, "doc_id", "left"), "quality", metadata=metadata)
+    return quality.classify(docs, model, metadata=metadata, keep=["doc_id"])
+
+
+QUERIES["op6_quality_classifier"] = op6_quality_classifier
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return rules.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).select(*columns)
