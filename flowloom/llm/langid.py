@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowloom.llm.common import slices
+from flowloom.llm.common import shared_table, slices
 
 TRAIN_ROWS = 40_000
 MOST_WORDS = 100_000
@@ -96,7 +96,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRA
         yield from flush()
 
     counted = picked.mapInArrow(count, schema).groupBy("kind", "item", "lang").agg(F.sum("n").alias("n"))
-    counted = counted.groupBy("kind", "item").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    # Read twice, for words and for n-grams.
+    counted = shared_table(counted.groupBy("kind", "item").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by")))
 
     def most(kind: str, limit: int) -> list:
         return counted.filter(kind).orderBy(F.desc("total"), "kind", "item").limit(limit).collect()
