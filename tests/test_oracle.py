@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, oracle_connection
+from flowloom.plans.registry import collect
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = collect()
 
 
 @pytest.fixture(scope="module")

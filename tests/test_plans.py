@@ -4,17 +4,19 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__  # noqa: F401  (ships the package)
 from flowloom.operators import flows
 from flowloom.operators.sessions import split_idle
 from flowloom.plans import inputs
 from flowloom.plans.inputs import table
+from flowloom.plans.registry import collect
 
 SF = "/root/testdata/sf0.001"
 # These run actions of their own (streams, checkpoints), so their plans only read files back.
 EAGER = {"d2_split_max_span", "d3_orient_tcp", "g5_write_records", "a8_stream_directory", "e6_stream_metrics",
          "d9_stream_sessions", "d9_stream_counters"}
-LAZY = sorted(set(entry.queries()) - EAGER)
+QUERIES = collect()[0]
+LAZY = sorted(set(QUERIES) - EAGER)
 
 
 def plan(df) -> str:
@@ -23,7 +25,7 @@ def plan(df) -> str:
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_and_no_single_partition(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Exchange SinglePartition"):
         assert bad not in text
     # Only literal tables and the counted busy slices are ever broadcast unasked at scale.
@@ -54,7 +56,7 @@ def test_session_split_joins_without_moving_packets_again(spark):
 
 
 def test_scans_read_only_needed_columns(spark):
-    text = plan(entry.queries()["e2_event_metrics"](spark, SF))
+    text = plan(QUERIES["e2_event_metrics"](spark, SF))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert "value" not in schema and "event_type" not in schema
 
