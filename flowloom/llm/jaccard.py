@@ -23,10 +23,10 @@ from pyspark.sql import types as T
 from flowloom.llm.common import shared_table, slices
 
 #: Bytes of text that a task hashes at a time, and shingles that it packs at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 PACKED = 2_000_000
 #: Shingles of a hash range, about, and of a group of sets.
-RANGE_SHINGLES = 500_000
+RANGE_SHINGLES = 2_000_000
 #: Parts of the shingle space that the suffix filter counts by.
 BANDS = 64
 
@@ -121,10 +121,12 @@ def digests(shingles: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _texts(batch: pa.RecordBatch, column: int):
     """(first row, rows, bytes, offsets) of slices of a text column."""
-    texts = batch.column(column).fill_null("").cast(pa.large_string())
+    texts = batch.column(column)
     if not len(texts):
         return
-    offsets = np.frombuffer(texts.buffers()[1], "<i8", len(texts) + 1, texts.offset * 8)
+    if texts.null_count:
+        texts = texts.fill_null("")
+    offsets = np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, texts.offset * 4)
     data = np.frombuffer(texts.buffers()[2], "u1") if texts.buffers()[2] is not None else np.zeros(0, "u1")
     for a, b in slices(np.diff(offsets), SLICE_BYTES):
         yield a, b - a, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -176,6 +178,8 @@ def repeated_shingles(df: DataFrame, text: str, width: int, range_bits: int, gro
             order = np.argsort(parts.astype("u2") if range_bits <= 16 else parts, kind="stable")
             parts, shingles, owner = parts[order], shingles[order], owner[order]
             new = np.concatenate([[True], (parts[1:] != parts[:-1]) | (owner[1:] != owner[:-1])])
+            places = np.arange(len(parts))
+            new |= (places - np.maximum.accumulate(np.where(new, places, 0))) % 0xFFFF == 0  # lengths have 16 bits
             runs = np.flatnonzero(new)
             lengths = np.diff(np.concatenate([runs, [len(parts)]]))
             cut = np.flatnonzero(np.concatenate([[True], parts[runs][1:] != parts[runs][:-1]]))
@@ -183,7 +187,7 @@ def repeated_shingles(df: DataFrame, text: str, width: int, range_bits: int, gro
             rows = []
             for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True):
                 i, j = runs[a], runs[b] if b < len(runs) else len(parts)
-                rows.append((int(parts[i]), _blob(sigs[owner[runs[a:b]]], "<u8"), _blob(lengths[a:b], "<u4"), _blob(shingles[i:j], "<u8")))
+                rows.append((int(parts[i]), _blob(sigs[owner[runs[a:b]]], "<u8"), _blob(lengths[a:b], "<u2"), _blob(shingles[i:j], "<u8")))
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["part", "sigs", "counts", "shingles"])
 
@@ -205,7 +209,7 @@ def repeated_shingles(df: DataFrame, text: str, width: int, range_bits: int, gro
 
     def count(table: pa.Table) -> pa.Table:
         shingles = _joined(table, "shingles", "<u8")
-        sigs = np.repeat(_joined(table, "sigs", "<u8"), _joined(table, "counts", "<u4"))
+        sigs = np.repeat(_joined(table, "sigs", "<u8"), _joined(table, "counts", "<u2"))
         order = np.lexsort((sigs, shingles))
         shingles, sigs = shingles[order], sigs[order]
         once = np.concatenate([[True], (shingles[1:] != shingles[:-1]) | (sigs[1:] != sigs[:-1])])  # copies in other tasks
@@ -214,12 +218,12 @@ def repeated_shingles(df: DataFrame, text: str, width: int, range_bits: int, gro
         sets = np.diff(np.concatenate([starts, [len(shingles)]]))
         held = np.repeat(sets, sets)
         keep = held > 1
-        shingles, sigs, held = shingles[keep], sigs[keep], np.minimum(held[keep], 0xFFFFFFFF)
+        shingles, sigs, held = shingles[keep], sigs[keep], np.minimum(held[keep], 0xFFFF)  # an order is all it gives
         group = (sigs >> np.uint64(64 - group_bits)).astype("u4")
         order = np.argsort(group, kind="stable")
         group, shingles, sigs, held = group[order], shingles[order], sigs[order], held[order]
         cuts = np.concatenate([np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, "i8"), [len(group)]])
-        rows = [(int(group[a]), _blob(sigs[a:b], "<u8"), _blob(shingles[a:b], "<u8"), _blob(held[a:b], "<u4")) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        rows = [(int(group[a]), _blob(sigs[a:b], "<u8"), _blob(shingles[a:b], "<u8"), _blob(held[a:b], "<u2")) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
         return pa.Table.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["grp", "sigs", "shingles", "dfs"])
 
@@ -241,7 +245,7 @@ def candidates(repeated: DataFrame, sets: DataFrame, group_bits: int, percent: i
     def choose(blobs: pa.Table, known: pa.Table) -> pa.Table:
         out = []
         if blobs.num_rows and known.num_rows:
-            sigs, shingles, held = _joined(blobs, "sigs", "<u8"), _joined(blobs, "shingles", "<u8"), _joined(blobs, "dfs", "<u4")
+            sigs, shingles, held = _joined(blobs, "sigs", "<u8"), _joined(blobs, "shingles", "<u8"), _joined(blobs, "dfs", "<u2")
             order = np.lexsort((shingles, held, sigs))
             sigs, shingles = sigs[order], shingles[order]
             sizes = dict(zip(known["sig"].to_numpy().view("u8").tolist(), known["n"].to_pylist(), strict=True))
