@@ -88,8 +88,11 @@ def timestamp_of(ts_ns: Column | str) -> Column:
 
 
 def stable_uid(*parts: Column | str) -> Column:
-    """Repeatable identifier: the same record gets the same uid on every run and retry."""
-    return F.sha2(F.concat_ws("|", *[_col(p).cast("string") for p in parts]), 256)
+    """Repeatable identifier: the same record gets the same uid on every run and retry.
+
+    A NULL has a text of its own, so parts never move into each other's place.
+    """
+    return F.sha2(F.concat_ws("|", *[F.coalesce(_col(p).cast("string"), F.lit("\\N")) for p in parts]), 256)
 
 
 def normalise_ip(value: Column | str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +26,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that lost executors cost no recomputation."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_table(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back, for steps that read it more than once."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,43 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Deepest rule that is looked up, in labels. Public suffix rules have at most five.
-MAX_RULE_LABELS = 5
-
-
 def url_host(url: Column | str) -> Column:
     return F.lower(F.try_parse_url(url, F.lit("HOST")))
 
 
-def registrable_domain(
-    df: DataFrame, host: str, rules: DataFrame, max_labels: int = MAX_RULE_LABELS
-) -> DataFrame:
+def registrable_domain(df: DataFrame, host: str, rules: DataFrame) -> DataFrame:
     """Add ``suffix`` and ``domain`` (suffix plus one label, NULL when there is none).
 
     ``rules(suffix, rule)`` holds exact, wildcard (any one label before the suffix) and
-    exception rules. An exception wins over everything, else the longest rule does, and a
-    host no rule fits has its last label as suffix. One lookup per depth replaces exploding
-    hosts, so no host, however frequent, is gathered in one place.
+    exception rules of any depth. An exception wins over everything, else the longest rule does,
+    and a host no rule fits has its last label as suffix. Every distinct host is looked up once,
+    at all its depths in one join, so a frequent host costs no more than a rare one.
     """
     kinds = ("exact", "wildcard", "exception")
     dim = rules.groupBy("suffix").agg(*[F.bool_or(F.col("rule") == k).alias(k) for k in kinds])
-    out = df.withColumn("_labels", F.split(F.col(host), r"\."))
-    size = F.size("_labels")
-    lengths, exceptions = [], []
-    for depth in range(1, max_labels + 1):
-        tail = F.array_join(F.slice("_labels", F.greatest(size - depth + 1, F.lit(1)), F.lit(depth)), ".")
-        found = dim.select(F.col("suffix").alias(f"_s{depth}"), *[F.col(k).alias(f"_{k}{depth}") for k in kinds])
-        out = out.withColumn(f"_t{depth}", F.when(size >= depth, tail))
-        out = out.join(found, F.col(f"_t{depth}") == F.col(f"_s{depth}"), "left")
-        lengths.append(F.when(F.col(f"_exact{depth}"), F.lit(depth)))
-        lengths.append(F.when(F.col(f"_wildcard{depth}") & (size > depth), F.lit(depth + 1)))
-        exceptions.append(F.when(F.col(f"_exception{depth}"), F.lit(depth - 1)))
-    n = F.coalesce(*exceptions[::-1], F.greatest(*lengths), F.lit(1))
+    hosts = df.select(F.col(host).alias("_host")).filter("_host IS NOT NULL").distinct()
+    labels = F.split("_host", r"\.")
+    tails = hosts.select("_host", F.size(labels).alias("_size"), F.explode(F.sequence(F.lit(1), F.size(labels))).alias("_depth"))
+    tail = F.array_join(F.slice(labels, F.col("_size") - F.col("_depth") + 1, F.col("_depth")), ".")
+    met = tails.withColumn("suffix", tail).join(dim, "suffix")
+    depth = F.col("_depth")
+    longest = F.greatest(F.when(F.col("exact"), depth), F.when(F.col("wildcard") & (F.col("_size") > depth), depth + 1))
+    ruled = met.groupBy("_host").agg(
+        F.coalesce(F.max(F.when(F.col("exception"), depth - 1)), F.max(longest), F.lit(1)).alias("_n")
+    )
+    out = df.join(ruled, F.col(host) == F.col("_host"), "left").withColumn("_labels", F.split(F.col(host), r"\."))
+    size, n = F.size("_labels"), F.coalesce("_n", F.lit(1))
 
     def last(count: Column) -> Column:
         return F.when(size >= count, F.array_join(F.slice("_labels", F.greatest(size - count + 1, F.lit(1)), count), "."))
 
-    out = out.withColumn("_n", n).withColumns({"suffix": last(F.col("_n")), "domain": last(F.col("_n") + 1)})
+    out = out.withColumns({"suffix": last(n), "domain": last(n + 1)})
     return out.select(*df.columns, "suffix", "domain")
 
 

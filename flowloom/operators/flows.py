@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions.columns import epoch_millis, epoch_seconds, nano_of_second, stable_uid
+from flowloom.functions.lineage import shared_table
 from flowloom.operators.max_span import split_sessions
 from flowloom.operators.packets import protocol_numbers, record_type, with_optional_columns
 from flowloom.operators.sessions import (
@@ -275,9 +276,15 @@ def records_of(packets: DataFrame, kind: str) -> DataFrame:
     return with_optional_columns(packets).filter(record_type() == kind)
 
 
-def tcp_pieces(packets: DataFrame, slice_ns: int = SLICE_NS, max_rows: int | None = MAX_PIECE_ROWS) -> DataFrame:
-    """TCP packets with a non-NULL flow key and their piece, the input of the session operators."""
-    return cut_pieces(fill_key(flow_key(records_of(packets, "tcp"))), KEY, slice_ns, max_rows)
+def tcp_pieces(
+    packets: DataFrame, slice_ns: int = SLICE_NS, max_rows: int | None = MAX_PIECE_ROWS, stored: bool = True
+) -> DataFrame:
+    """TCP packets with a non-NULL flow key and their piece, the input of the session operators.
+
+    The pieces are ``stored`` as a table, as those operators read them more than once.
+    """
+    pieces = cut_pieces(fill_key(flow_key(records_of(packets, "tcp"))), KEY, slice_ns, max_rows)
+    return shared_table(pieces) if stored else pieces
 
 
 def summarise_tcp(
@@ -287,12 +294,15 @@ def summarise_tcp(
     slice_ns: int = SLICE_NS,
     max_rows: int | None = MAX_PIECE_ROWS,
     ports: str = "oriented",
+    pieces: DataFrame | None = None,
 ) -> DataFrame:
     """TCP session table: one row per flow key and session.
 
-    ``ports='first_packet'`` keeps the first packet's ports even when the hosts are swapped.
+    ``ports='first_packet'`` keeps the first packet's ports even when the hosts are swapped. ``pieces`` is the output
+    of :func:`tcp_pieces` where it is there already.
     """
-    pieces = tcp_pieces(packets, slice_ns, max_rows)
+    if pieces is None:  # without a maximum span the pieces are read once
+        pieces = tcp_pieces(packets, slice_ns, max_rows, stored=timeout_ms is not None)
     if timeout_ms is None:
         cut = with_runs(pieces, KEY, idle_s)
         runs = stitch_runs(_run_summaries(cut, [*KEY, "slice", "run"]), KEY, idle_s)
@@ -307,19 +317,16 @@ def summarise_tcp(
     return _flow_columns(merged, ports)
 
 
-def summarise_untimed(packets: DataFrame, protocol: str, tie: str = "arrival") -> DataFrame:
-    """UDP, ICMP and other IP flows: one flow per key, oriented by the earliest packet.
+_ICMP = ["icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number"]
 
-    ``protocol`` is the record type: ``udp``, ``icmp`` or ``ip``. ``tie='later_first'`` puts
-    the later arrival first among packets of equal time.
-    """
-    icmp = ["icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number"] if protocol == "icmp" else []
-    rows = flow_key(records_of(packets, protocol))
+
+def _untimed(rows: DataFrame, tie: str) -> DataFrame:
+    """Flows of other record types in one aggregate; ``kind`` is the record type."""
     arrival = -F.col("frame_no") if tie == "later_first" else F.col("frame_no")
     order = F.struct(F.col("ts_ns"), arrival.alias("arrival"))
-    from_lo = F.col("from_lo")
-    head = ["from_lo", "frame_no", "id_orig_p", "id_resp_p", "service", "source_file", "ip_version", *icmp]
-    merged = rows.groupBy(*KEY).agg(
+    from_lo, kind = F.col("from_lo"), F.col("kind")
+    head = ["from_lo", "frame_no", "id_orig_p", "id_resp_p", "service", "source_file", "ip_version", *_ICMP]
+    merged = rows.groupBy(*KEY, "kind").agg(
         F.min_by(F.struct(*head), order).alias("head"),
         F.min("ts_ns").alias("session_ts"),
         F.max("ts_ns").alias("last_ts"),
@@ -328,26 +335,39 @@ def summarise_untimed(packets: DataFrame, protocol: str, tie: str = "arrival") -
         F.coalesce(F.sum(F.when(from_lo, F.col("bytes"))), F.lit(0)).alias("lo_bytes"),
         F.coalesce(F.sum(F.when(~from_lo, F.col("bytes"))), F.lit(0)).alias("hi_bytes"),
     )
-    swap = {
-        "udp": F.col("head.id_orig_p") < F.col("head.id_resp_p"),
-        "icmp": F.coalesce(F.endswith(F.col("head.icmp_type"), F.lit("reply")), F.lit(False)) if icmp else None,
-        "ip": F.lit(False),
-    }[protocol]
-    merged = merged.withColumns(
-        {"orig_lo": F.col("head.from_lo") != swap, **{c: F.col(f"head.{c}") for c in icmp}}
-    )
-    return _flow_columns(merged, "oriented")
+    reply = F.coalesce(F.endswith(F.col("head.icmp_type"), F.lit("reply")), F.lit(False))
+    swap = F.when(kind == "udp", F.col("head.id_orig_p") < F.col("head.id_resp_p")).when(kind == "icmp", reply).otherwise(F.lit(False))
+    icmp = {c: F.when(kind == "icmp", F.col(f"head.{c}")) for c in _ICMP}
+    return merged.withColumns({"orig_lo": F.col("head.from_lo") != swap, **icmp})
 
 
-def summarise(packets: DataFrame, timeout_ms: int | None = None, idle_s: float = IDLE_S, **kw) -> DataFrame:
-    """All protocols in one flow table, each by its own rule."""
-    parts = [summarise_tcp(packets, timeout_ms, idle_s, **kw)]
-    parts += [summarise_untimed(packets, p) for p in ("udp", "icmp", "ip")]
+def summarise_untimed(packets: DataFrame, protocol: str | None = None, tie: str = "arrival") -> DataFrame:
+    """UDP, ICMP and other IP flows: one flow per key, oriented by the earliest packet.
+
+    ``protocol`` is the record type: ``udp``, ``icmp`` or ``ip``, or None for all of them in one pass.
+    ``tie='later_first'`` puts the later arrival first among packets of equal time.
+    """
+    kinds = ["udp", "icmp", "ip"] if protocol is None else [protocol]
+    rows = flow_key(with_optional_columns(packets).withColumn("kind", record_type()).filter(F.col("kind").isin(kinds)))
+    merged = _untimed(rows, tie)
+    if protocol not in (None, "icmp"):
+        merged = merged.drop(*_ICMP)
+    return _flow_columns(merged.drop("kind"), "oriented")
+
+
+def summarise(
+    packets: DataFrame, timeout_ms: int | None = None, idle_s: float = IDLE_S, pieces: DataFrame | None = None, **kw
+) -> DataFrame:
+    """All protocols in one flow table, each by its own rule: TCP sessions, and one pass for all others."""
+    parts = [summarise_tcp(packets, timeout_ms, idle_s, pieces=pieces, **kw), summarise_untimed(packets)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def flow_uid() -> Column:
-    return stable_uid("reference", "sensor", "protocol", "first_frame", "ts_ns")
+    """Identifier of a flow: its endpoints, and the time and frame that it begins with."""
+    return stable_uid(
+        "reference", "sensor", "protocol", "id_orig_h", "id_resp_h", "id_orig_p", "id_resp_p", "first_frame", "ts_ns"
+    )
 
 
 def flow_row_key(uid: Column | None = None) -> Column:
@@ -417,9 +437,12 @@ def drop_duplicates_per_direction(rows: DataFrame, key: list[str] = KEY, match:
     return kept.select(*group, "kept.*")
 
 
-def flow_stats(packets: DataFrame, timeout_ms: int | None = None, idle_s: float = IDLE_S) -> DataFrame:
+def flow_stats(
+    packets: DataFrame, timeout_ms: int | None = None, idle_s: float = IDLE_S, pieces: DataFrame | None = None
+) -> DataFrame:
     """Byte statistics per flow: over TCP sessions without copies, over other flows as they are."""
-    tcp = drop_duplicates_per_direction(split_sessions(tcp_pieces(packets), KEY, idle_s, timeout_ms))
+    pieces = tcp_pieces(packets) if pieces is None else pieces
+    tcp = drop_duplicates_per_direction(split_sessions(pieces, KEY, idle_s, timeout_ms))
     other = flow_key(with_optional_columns(packets).filter(record_type() != "tcp"))
     return (
         tcp.groupBy(*KEY, "session_ts")

@@ -26,6 +26,7 @@ OPTIONAL_COLUMNS = {
     "icmp_code_number": "int",
     "service": "string",
     "source_file": "string",
+    "member": "string",
     "ip_version": "string",
 }
 
@@ -96,7 +97,8 @@ def icmp_names(packets: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def frame_uid() -> Column:
-    return stable_uid("source_file", "frame_no")
+    """Identifier of a frame: its file, the container's member that it lies in, and its number there."""
+    return stable_uid("source_file", "member", "frame_no")
 
 
 def protocol_numbers() -> Column:

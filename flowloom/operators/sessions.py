@@ -3,9 +3,9 @@
 Ordering is the hard part: one busy flow may hold a large share of all packets, so no step
 sorts a whole flow in one task. Packets are cut into *pieces* - a flow key within one time
 slice, with overfull slices cut finer - and every window runs inside a piece. What crosses a
-border is carried by one small row per run of a piece, so a flow has at most span/gap +
-span/slice + packets/MAX_PIECE_ROWS of them. The cutting changes only how the work is
-split, never the result.
+border is carried by one small row per run of a piece. A flow has at most span/gap + span/slice of them, and per
+MAX_PIECE_ROWS packets of a busy slice 60 more, or one per millisecond of a second that is itself overfull. The
+cutting changes only how the work is split, never the result.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ SLICE_NS = 60 * 1_000_000_000
 MAX_PIECE_ROWS = 10_000_000
 _NS_PER_MS = 1_000_000
 _SLICE_MS = 1 << 32  # more than the milliseconds of any slice
+_PARTS = 60  # of a busy slice
 
 
 def flow_key(packets: DataFrame) -> DataFrame:
@@ -48,36 +49,27 @@ def cut_pieces(
 ) -> DataFrame:
     """Add ``slice``, the ordinal of the packet's time slice, finer where a flow is busy.
 
-    Slices with over ``max_rows`` packets of a flow are cut evenly by their packet count,
-    and what is still too full is cut by the millisecond. Both steps rest on partially
-    aggregated counts. The tables of busy slices have at most packets/max_rows rows, 100,000
-    for a trillion packets, so they are always fit for broadcast; without busy slices they
-    are empty and the second count is skipped. ``max_rows=None`` skips all counting.
+    A slice with over ``max_rows`` packets of a flow is cut into 60 parts, and a part that is still too full by the
+    millisecond. One partially aggregated count by part says both; it reads the key and the time only. Its rows in busy
+    slices, at most 60 * packets / max_rows, are joined to the packets, with a broadcast where Spark finds them small.
+    ``max_rows=None`` skips the counting.
     """
     if slice_ns % _NS_PER_MS:
         raise ValueError("slice_ns must be whole milliseconds")
     base = int_div("ts_ns", slice_ns)
     if max_rows is None:
         return packets.withColumn("slice", base * _SLICE_MS)
-    in_slice = F.pmod("ts_ns", F.lit(slice_ns).cast("bigint"))
-    timed = {"base": base, "ms": int_div(in_slice, _NS_PER_MS)}
-    names = {c: f"_{c}" for c in (*key, "base", "sub")}
-
-    def overfull(rows: DataFrame, *by: str) -> DataFrame:
-        return rows.groupBy(*by).agg(F.count("*").alias("n")).filter(F.col("n") > max_rows)
-
-    even = F.ceil(F.lit(slice_ns / _NS_PER_MS * max_rows / 2) / F.col("n")).cast("bigint")
-    order_only = packets.select(*key, "ts_ns").withColumns(timed)
-    busy = overfull(order_only, *key, "base").withColumn("_width", even).drop("n").withColumnsRenamed(names)
-    busy = F.broadcast(busy)
-    sub = F.col("ms") - F.pmod("ms", F.col("_width"))
-    still = overfull(order_only.join(busy, _same(key, "base")).withColumn("sub", sub), *key, "base", "sub")
-    still = F.broadcast(still.withColumnsRenamed(names))
-    cut = packets.withColumns(timed).join(busy, _same(key, "base"), "left")
-    cut = cut.withColumn("sub", F.coalesce(sub, F.lit(0))).drop(*[names[c] for c in (*key, "base")], "_width")
-    cut = cut.join(still, _same(key, "base", "sub"), "left")
-    fine = F.when(F.col("n").isNotNull(), F.col("ms")).otherwise(F.col("sub"))
-    return cut.withColumn("slice", F.col("base") * _SLICE_MS + fine).drop(*names.values(), "base", "ms", "sub", "n")
+    ms = int_div(F.pmod("ts_ns", F.lit(slice_ns).cast("bigint")), _NS_PER_MS)
+    part_ms = max(1, slice_ns // _NS_PER_MS // _PARTS)
+    timed = {"base": base, "part": int_div(ms, part_ms)}
+    counts = packets.select(*key, "ts_ns").withColumns(timed).groupBy(*key, "base", "part").agg(F.count("*").alias("n"))
+    held = F.sum("n").over(Window.partitionBy(*key, "base"))
+    busy = counts.withColumn("held", held).filter(F.col("held") > max_rows)
+    names = {c: f"_{c}" for c in (*key, "base", "part")}
+    busy = busy.select(*key, "base", "part", (F.col("n") > max_rows).alias("_full")).withColumnsRenamed(names)
+    cut = packets.withColumns(timed).join(busy, _same(key, "base", "part"), "left")
+    fine = F.when(F.col("_full"), ms).when(F.col("_full").isNotNull(), F.col("part") * part_ms).otherwise(F.lit(0))
+    return cut.withColumn("slice", F.col("base") * _SLICE_MS + fine).drop(*names.values(), "base", "part", "_full")
 
 
 def _piece(key: list[str]):

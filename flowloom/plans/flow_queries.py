@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowloom.functions.columns import stable_uid
 from flowloom.operators import flows as op
 from flowloom.operators import packets as packet_op
 from flowloom.operators.max_span import split_sessions
@@ -222,7 +221,8 @@ _add(
     f"""{_WITH_MIXED}, {_sessions("select * from mixed")}
     select reference, sensor, host_lo, port_lo, host_hi, port_hi, session_ts, ts_ns, frame_no, bytes, {SQL_ROW_KEY} as row_key from sess""",
 )
-_SQL_FLOW_UID = "sha256(concat_ws('|', reference, sensor, protocol, first_frame::varchar, ts_ns::varchar))"
+_SQL_FLOW_UID = """sha256(concat_ws('|', reference, sensor, protocol, id_orig_h, id_resp_h, coalesce(id_orig_p::varchar, '\\N'),
+ coalesce(id_resp_p::varchar, '\\N'), first_frame::varchar, ts_ns::varchar))"""
 _SQL_FLOW_ROW_KEY = f"""concat_ws('|', reference, sensor, id_orig_h, id_resp_h,
  case when protocol in ('tcp','udp') then id_orig_p::varchar || '|' || id_resp_p::varchar
       when protocol = 'icmp' then icmp_type_number::varchar || '|' || icmp_code_number::varchar end,
@@ -326,7 +326,8 @@ _add(
 
 def _flow_table_with_stats(s, d):
     rows = mixed_packets(s, d)
-    return _rounded(op.add_stats(op.summarise(rows), op.flow_stats(rows)), [*_ID, "first_frame"])
+    pieces = op.tcp_pieces(rows)
+    return _rounded(op.add_stats(op.summarise(rows, pieces=pieces), op.flow_stats(rows, pieces=pieces)), [*_ID, "first_frame"])
 
 
 _add(
@@ -354,7 +355,7 @@ def session_table(s, d):
     return op.describe_states(flows).select(
         *_ID, "ts_end_ns", F.round("duration_s", 6).alias("duration_s"), "conn_state", "conn_state_text",
         "orig_pkts", "resp_pkts", "orig_bytes", "resp_bytes",
-        stable_uid("reference", "sensor", "protocol", "first_frame", "ts_ns").alias("flow_id"),
+        op.flow_uid().alias("flow_id"),
     )
 
 

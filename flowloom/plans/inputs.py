@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowloom.functions.lineage import shared_table
+
 SPARK = {
     "US": "unix_micros(cast(ts as timestamp))",
     "K": "get_json_object(props,'$.k')",
@@ -73,16 +75,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work when the input has fewer files than cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def _over_events(spark: SparkSession, sf_dir: str, sql: str, events: DataFrame | None = None) -> DataFrame:
     # ts is stored without a zone; read it as UTC whatever the session zone is.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = spread(table(spark, sf_dir, "events")) if events is None else events
+    events = table(spark, sf_dir, "events") if events is None else events
     return spark.sql(_fill(sql, SPARK).replace("from events", "from {events}"), events=events)
 
 
@@ -92,7 +88,7 @@ def packets(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -
     ``events`` may be a stream over the table.
     """
     df = _over_events(spark, sf_dir, PACKETS_SQL, events=events)
-    return df.select(
+    df = df.select(
         "*",
         F.col("pkt_id").alias("frame_no"),
         (F.col("ts_us") * 1000).alias("ts_ns"),
@@ -103,10 +99,11 @@ def packets(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -
         F.lit(None).cast("bigint").alias("seq_num"),
         F.lit(None).cast("bigint").alias("ack_num"),
     )
+    return shared_table(df) if events is None else df
 
 
 def mixed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All protocols, with the columns that do not apply to a protocol set to NULL."""
+    """All protocols, with the columns that do not apply to a protocol set to NULL, as a table of its own."""
     df = _over_events(spark, sf_dir, MIXED_SQL)
     ported = F.col("protocol").isin("tcp", "udp")
     tcp = F.col("protocol") == "tcp"
@@ -115,20 +112,23 @@ def mixed_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     only |= {c: tcp for c in ("syn", "ack", "rst", "fin", "psh", "urg", "seq_num", "ack_num")}
     only |= {"icmp_type": icmp}
     df = df.withColumns({c: F.when(cond, F.col(c)) for c, cond in only.items()})
-    return df.select(
+    df = df.select(
         "*",
         F.col("pkt_id").alias("frame_no"),
         (F.col("ts_us") * 1000).alias("ts_ns"),
         F.concat("sensor", F.lit(".pcap")).alias("source_file"),
+        F.expr("case when pkt_id % 3 > 0 then concat('part-', cast(pkt_id % 3 as varchar(10))) end").alias("member"),
         F.when(icmp, F.when(F.col("icmp_type") == "echo", 8).otherwise(0)).alias("icmp_type_number"),
         F.when(icmp, F.lit("no_code")).alias("icmp_code"),
         F.when(icmp, F.lit(0)).alias("icmp_code_number"),
     )
+    return shared_table(df)
 
 
 # The same NULLing and derived columns for the oracle.
 DUCK_MIXED_PACKETS = f"""
-select pkt_id, origin_id, pkt_id as frame_no, ts_us, ts_us * 1000 as ts_ns, concat(sensor, '.pcap') as source_file, reference, sensor, ip_version, protocol,
+select pkt_id, origin_id, pkt_id as frame_no, ts_us, ts_us * 1000 as ts_ns, concat(sensor, '.pcap') as source_file,
+ case when pkt_id % 3 > 0 then concat('part-', (pkt_id % 3)::varchar) end as member, reference, sensor, ip_version, protocol,
  id_orig_h, id_resp_h, bytes,
  case when protocol in ('tcp','udp') then id_orig_p end as id_orig_p,
  case when protocol in ('tcp','udp') then id_resp_p end as id_resp_p,

@@ -90,7 +90,7 @@ _add(
     lambda s, d: mixed_packets(s, d).select("pkt_id", fc.ip_port_key().alias("ip_port_key")),
     f"select pkt_id, {_SQL_IP_KEY} || case when protocol in ('tcp','udp') then {_SQL_PORTS} else '' end as ip_port_key from {_MIXED}",
 )
-SQL_UID = "sha256(source_file || '|' || frame_no::varchar)"
+SQL_UID = "sha256(source_file || '|' || coalesce(member, '\\N') || '|' || frame_no::varchar)"
 SQL_ROW_KEY = f"""concat_ws('|', reference, sensor, id_orig_h, id_resp_h,
  case when protocol in ('tcp','udp') then id_orig_p::varchar || '|' || id_resp_p::varchar
       when protocol = 'icmp' then icmp_type_number::varchar || '|' || icmp_code_number::varchar end,

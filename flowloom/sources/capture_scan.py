@@ -21,7 +21,6 @@ from flowloom.sources.pcap import FRAME_SCHEMA, LINK_TYPES, MAGICS, frame_batche
 
 SPLIT_BYTES = 256 << 20
 _BLOCK = 8 << 20
-_LONGEST_RECORD = 256 << 20
 _SPLIT_SCHEMA = "path string, length long, start long, stop long, first_frame long, byte_order string, unit int, link_type int, error string"
 _SPLIT_TYPES = [pa.string(), *[pa.int64()] * 4, pa.string(), pa.int32(), pa.int32(), pa.string()]
 
@@ -56,7 +55,7 @@ def _walk(handle: pa.NativeFile, order: str, start: int, stop: int) -> Iterator[
             return
         header = record.unpack_from(block, at - block_at)
         size = header[2]
-        if at + 16 + size > block_at + len(block) and size <= _LONGEST_RECORD:
+        if at + 16 + size > block_at + len(block):
             block, block_at = handle.read_at(max(_BLOCK, 16 + size), at), at
         begin = at - block_at + 16
         if begin + size > len(block):

@@ -49,8 +49,11 @@ VALUE_TYPES = {
     0x14: ("Hex32TypeNode", None),
     0x15: ("Hex64TypeNode", None),
     0x21: ("BXmlTypeNode", None),
-    0x81: ("WStringArrayTypeNode", None),
+    0x20: ("HandleTypeNode", None),
+    0x23: ("EvtXmlTypeNode", None),
 }
+# Bytes of an array's value, where they are no plain number.
+ITEM_SIZES = {0x0D: 4, 0x0F: 16, 0x10: 8, 0x11: 8, 0x12: 16, 0x14: 4, 0x15: 8}
 
 
 def _name(section: str, tag: str, part: str = "") -> str:
@@ -109,6 +112,8 @@ def flatten_event(df: DataFrame, xml: str) -> DataFrame:
 
 
 def _filetime(ticks: int) -> str:
+    if ticks >= 0x24C85A5ED1C04000:  # past the year 9999, such as the "never" time
+        return f"0x{ticks:016x}"
     moment = datetime(1601, 1, 1) + timedelta(microseconds=ticks // 10)
     return f"{moment:%Y-%m-%d %H:%M:%S.%f}{ticks % 10}"
 
@@ -136,11 +141,41 @@ def _render(kind: int, raw: bytes) -> str:
     if kind == 0x13:
         parts = struct.unpack_from(f"<{raw[1]}I", raw, 8)
         return "-".join(["S", str(raw[0]), str(int.from_bytes(raw[2:8], "big")), *map(str, parts)])
-    if kind == 0x81:
-        return ",".join(raw.decode("utf-16-le").rstrip("\0").split("\0"))
     return raw.hex().upper()
 
 
+def _array_items(kind: int, raw: bytes) -> list[bytes]:
+    """The values of an array of ``kind``: texts end with a zero, the others have one size or say their own."""
+    if kind == 0x01:
+        return [t.encode("utf-16-le") for t in raw.decode("utf-16-le").removesuffix("\0").split("\0")]
+    if kind == 0x02:
+        return raw.removesuffix(b"\0").split(b"\0")
+    if kind == 0x13:
+        out, at = [], 0
+        while at + 8 <= len(raw):
+            out.append(raw[at : at + 8 + 4 * raw[at + 1]])
+            at += len(out[-1])
+        return out
+    size = struct.calcsize(VALUE_TYPES[kind][1]) if VALUE_TYPES[kind][1] else ITEM_SIZES.get(kind, len(raw) or 1)
+    return [raw[i : i + size] for i in range(0, len(raw), size)]
+
+
+def _typed(kind: int, raw: bytes) -> tuple[str, str]:
+    """(text, type name) of a value; one that does not fit its type is given as its bytes."""
+    if kind & 0x80:
+        base = kind & 0x7F
+        name = VALUE_TYPES.get(base, (f"Type{base:#04x}", None))[0].removesuffix("TypeNode") + "ArrayTypeNode"
+        try:
+            return ",".join(_render(base, item) for item in _array_items(base, raw)), name
+        except Exception:
+            return raw.hex().upper(), name
+    name = VALUE_TYPES.get(kind, (f"Type{kind:#04x}", None))[0]
+    try:
+        return _render(kind, raw), name
+    except Exception:
+        return raw.hex().upper(), name
+
+
 class _Xml:
     """Reader of one chunk's binary XML; flattens while it reads, templates included."""
 
@@ -200,14 +235,14 @@ class _Xml:
             token = self.chunk[at] & 0x3F
             if token == 0x05:
                 size = 2 * self._u("H", at + 2)[0]
-                parts.append((_render(self.chunk[at + 1], self.chunk[at + 4 : at + 4 + size]), VALUE_TYPES[self.chunk[at + 1]][0], True))
+                parts.append((*_typed(self.chunk[at + 1], self.chunk[at + 4 : at + 4 + size]), True))
                 at += 4 + size
             elif token in (0x0D, 0x0E):
                 kind, where, raw = subs[self._u("H", at + 1)[0]]
                 if kind == 0x21:
                     parts.append((where, None, False))
                 elif kind or token == 0x0D:
-                    parts.append((_render(kind, raw) if kind else "", VALUE_TYPES[kind][0], False))
+                    parts.append((*(_typed(kind, raw) if kind else ("", VALUE_TYPES[kind][0])), False))
                 at += 4
             elif token == 0x08:
                 parts.append((chr(self._u("H", at + 1)[0]), TEXT_TYPE, True))
@@ -229,6 +264,7 @@ class _Xml:
             while self.chunk[at] & 0x3F == 0x06:
                 attribute, at = self._text_name(at + 1)
                 parts, at = self._content(at, subs)
+                parts = [p for p in parts if p[1] is not None]  # a nested value has no place in an attribute
                 if parts and not parts[0][2]:
                     found[_name(section, tag, attribute)] = (_strip_line_end(parts[0][0]), parts[0][1])
                 elif attribute == "Name":
@@ -256,21 +292,58 @@ class _Xml:
         return at + 1
 
 
+def _next_record(chunk: bytes, at: int, end: int) -> int:
+    """Where the next record begins at or behind ``at``, at an 8-byte border; ``end`` if none does."""
+    mark = struct.pack("<I", _RECORD_SIGNATURE)
+    while at < end:
+        at = chunk.find(mark, at, end)
+        if at < 0:
+            return end
+        if at % 8 == 0 and at + 28 <= end:
+            size = struct.unpack_from("<I", chunk, at + 4)[0]
+            # A record repeats its size at its end.
+            if 28 <= size <= end - at and chunk[at + size - 4 : at + size] == chunk[at + 4 : at + 8]:
+                return at
+        at += 1
+    return end
+
+
 def _records(chunk: bytes) -> Iterator[tuple]:
-    """(record_id, written_ns, fields, error) of each record; a bad one does not stop the rest."""
-    (end,) = struct.unpack_from("<I", chunk, 48)
-    at, reader = _FIRST_RECORD, _Xml(chunk)
-    while at + 28 <= min(end, len(chunk)):
+    """(record_id, written_ns, fields, error) of each record; a bad one or a gap is one reject and the rest goes on."""
+    if chunk[:8] != bytes.fromhex(_CHUNK_SIGNATURE):
+        if any(chunk):
+            yield None, None, None, "damaged chunk header"
+        end = len(chunk)
+        at = _next_record(chunk, min(_FIRST_RECORD, end), end)
+    elif len(chunk) < _FIRST_RECORD:
+        yield None, None, None, "truncated chunk"
+        return
+    else:
+        (used,) = struct.unpack_from("<I", chunk, 48)
+        end, at = min(used, len(chunk)), _FIRST_RECORD
+    reader = _Xml(chunk)
+    while at + 28 <= end:
         signature, size, number, ticks = struct.unpack_from("<IIQQ", chunk, at)
         if signature != _RECORD_SIGNATURE or size < 28:
+            if not any(chunk[at:end]):  # nothing was written here
+                break
             yield None, None, None, "damaged record header"
-            return
+            at = _next_record(chunk, at + 8, end)
+            continue
+        if at + size > end:
+            yield number if number < 1 << 63 else None, None, None, "truncated record"
+            at = _next_record(chunk, at + 8, end)
+            continue
         try:
             fields, error = reader.fields(at + 24), None
-        except (ValueError, IndexError, KeyError, struct.error, UnicodeDecodeError, RecursionError) as problem:
+        except Exception as problem:  # damaged records take many forms
             fields, error = None, f"{type(problem).__name__}: {problem}"
-        yield number, (ticks - 116444736000000000) * 100, fields, error
+        written = (ticks - 116444736000000000) * 100
+        in_range = -(1 << 63) <= written < 1 << 63
+        yield number if number < 1 << 63 else None, written if in_range else None, fields, error
         at += size
+    if len(chunk) < _CHUNK:
+        yield None, None, None, "truncated chunk"
 
 
 _LOG_SCHEMA = f"source_file string, member string, chunk_no int, record_id long, written_ns long, fields {FIELDS}, error string"
@@ -286,14 +359,16 @@ _LOG_TYPES = [
 
 
 def log_chunks(logs: DataFrame) -> DataFrame:
-    """One row per valid chunk of each log file (needs source_file, member, content)."""
-    last = F.greatest(F.length("content") - F.lit(_CHUNK), F.lit(_FILE_HEADER))
-    starts = F.sequence(F.lit(_FILE_HEADER), last, F.lit(_CHUNK))
+    """One row per chunk of each log file (needs source_file, member, content), a last partial one included.
+
+    Chunks of zeros are unused and go; what else lacks the signature stays, as its rejects must be told.
+    """
+    starts = F.sequence(F.lit(_FILE_HEADER), F.length("content") - 1, F.lit(_CHUNK))
+    starts = F.when(F.length("content") > _FILE_HEADER, starts)
     chunks = logs.select("source_file", "member", "content", F.posexplode(starts).alias("chunk_no", "start"))
     body: Column = F.substring("content", F.col("start") + 1, F.lit(_CHUNK))
-    return chunks.select("source_file", "member", "chunk_no", body.alias("chunk")).filter(
-        F.substring("chunk", 1, 8) == F.unhex(F.lit(_CHUNK_SIGNATURE))
-    )
+    chunks = chunks.select("source_file", "member", "chunk_no", body.alias("chunk"))
+    return chunks.filter(F.hex("chunk").rlike("[^0]"))
 
 
 def read_evtx(logs: DataFrame, rebalance: bool = True) -> DataFrame:

@@ -31,9 +31,6 @@ SIGNATURES = (
 )
 UNSUPPORTED = "unsupported"
 
-# Limits against decompression bombs. What exceeds them is reported as a reject, with the path.
-MAX_DEPTH = 8
-MAX_BYTES = 8 << 30
 _BATCH_BYTES = 32 << 20
 
 MEMBER_SCHEMA = "path string, length long, member string, depth int, chain array<string>, file_type string, content binary, error string"
@@ -62,55 +59,77 @@ def _kind(head: bytes) -> str:
     return UNSUPPORTED
 
 
-def _members(kind: str, content: bytes, budget: int) -> Iterator[tuple[str, bytes]]:
-    """Direct members of a container; at most ``budget`` bytes are unpacked."""
-    if kind in ("gzip", "bzip2"):
+def _streams(kind: str, content: bytes, budget: int | None) -> bytes:
+    """All gzip members or bzip2 streams of a file, one after the other; zero padding behind them is ignored."""
+    parts, size, rest = [], 0, content
+    while rest:
         unpack = zlib.decompressobj(wbits=31) if kind == "gzip" else bz2.BZ2Decompressor()
-        out = unpack.decompress(content, budget + 1)
-        if len(out) > budget:
+        most = 0 if budget is None and kind == "gzip" else -1 if budget is None else budget - size + 1
+        out = unpack.decompress(rest, most)
+        parts.append(out)
+        size += len(out)
+        if budget is not None and size > budget:
             raise ValueError("unpacks to too many bytes")
         if not unpack.eof:
             raise ValueError(f"truncated {kind} stream")
-        yield "", out
+        rest = unpack.unused_data.lstrip(b"\0")
+    return b"".join(parts)
+
+
+def _members(kind: str, content: bytes, budget: int | None) -> Iterator[tuple[str, bytes]]:
+    """Direct members of a container, one at a time; at most ``budget`` bytes in all, if it is set."""
+    left = budget
+
+    def take(size: int) -> None:
+        nonlocal left
+        if left is not None:
+            left -= size
+            if left < 0:
+                raise ValueError("unpacks to too many bytes")
+
+    if kind in ("gzip", "bzip2"):
+        yield "", _streams(kind, content, budget)
     elif kind == "tar":
         with tarfile.open(fileobj=io.BytesIO(content), mode="r:") as archive:
             for entry in archive:
                 if entry.isfile():
-                    budget -= entry.size
-                    if budget < 0:
-                        raise ValueError("unpacks to too many bytes")
+                    take(entry.size)
                     yield entry.name, archive.extractfile(entry).read()
     else:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             for entry in archive.infolist():
                 if not entry.is_dir():
-                    budget -= entry.file_size
-                    if budget < 0:
-                        raise ValueError("unpacks to too many bytes")
+                    take(entry.file_size)
                     yield entry.filename, archive.read(entry)
 
 
-def _unpack(content: bytes, max_depth: int, max_bytes: int) -> Iterator[tuple]:
-    """(member, depth, chain, file_type, content, error) of every leaf of a file."""
-    waiting = [("", 0, [], content)]
-    while waiting:
-        member, depth, chain, data = waiting.pop()
-        kind = _kind(data[:512])
-        if kind not in ("gzip", "bzip2", "tar", "zip"):
-            yield member, depth, chain, kind, data, None
-        elif depth >= max_depth:
-            yield member, depth, chain, kind, None, "nested too deep"
-        else:
+def _unpack(content: bytes, max_depth: int | None, max_bytes: int | None, at: tuple = ("", 0, ())) -> Iterator[tuple]:
+    """(member, depth, chain, file_type, content, error) of every leaf, each before the next member is unpacked."""
+    member, depth, chain = at
+    kind = _kind(content[:512])
+    if kind not in ("gzip", "bzip2", "tar", "zip"):
+        yield member, depth, list(chain), kind, content, None
+    elif max_depth is not None and depth >= max_depth:
+        yield member, depth, list(chain), kind, None, "nested too deep"
+    else:
+        found = _members(kind, content, max_bytes)
+        while True:
             try:
-                for name, inner in _members(kind, data, max_bytes):
-                    path = "/".join(x for x in (member, name) if x)
-                    waiting.append((path, depth + 1, [*chain, kind], inner))
+                name, inner = next(found)
+            except StopIteration:
+                return
             except Exception as problem:  # damaged containers take many forms
-                yield member, depth, chain, kind, None, f"{type(problem).__name__}: {problem}"
+                yield member, depth, list(chain), kind, None, f"{type(problem).__name__}: {problem}"
+                return
+            yield from _unpack(inner, max_depth, max_bytes, ("/".join(x for x in (member, name) if x), depth + 1, (*chain, kind)))
+
 
+def expand_containers(files: DataFrame, max_depth: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """One row per leaf member at any nesting depth; a damaged one carries ``error``.
 
-def expand_containers(files: DataFrame, max_depth: int = MAX_DEPTH, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """One row per leaf member at any nesting depth; a damaged or too deep one carries ``error``."""
+    There are no limits unless the caller sets them, against decompression bombs: nesting levels, and bytes unpacked
+    per container. What exceeds them is a reject with its path.
+    """
     names = [part.split(" ")[0] for part in MEMBER_SCHEMA.split(", ")]
 
     def run(batches):

@@ -141,8 +141,10 @@ def _snap(b: _Bytes, at):
 
 def _ethernet(b: _Bytes, at):
     at, kind = at + 12, b.u16(at + 12)
-    for _ in range(4):  # stacked VLAN tags
-        tagged = np.isin(kind, (0x8100, 0x88A8, 0x9100))
+    while True:  # stacked VLAN tags
+        tagged = np.isin(kind, (0x8100, 0x88A8, 0x9100)) & (at < b.end)
+        if not tagged.any():
+            break
         at = np.where(tagged, at + 4, at)
         kind = b.u16(at)
     length_field = kind < 0x0600
@@ -229,8 +231,10 @@ def _decode(data: pa.Array, links: np.ndarray) -> list[pa.Array]:
     # A zero length means that the sender left segmentation to the network card.
     stop = np.where(total > 0, np.minimum(at + total, b.end), b.end)
     fragment = v4 & ((b.u16(at + 6) & 0x3FFF) > 0)
-    for _ in range(8):  # IPv6 extension headers
+    while True:  # IPv6 extension headers
         step = v6 & ~fragment & np.isin(proto, (0, 43, 60, 44, 51)) & (body + 8 <= stop)
+        if not step.any():
+            break
         fragment |= step & (proto == 44) & ((b.u16(body + 2) & 0xFFF9) > 0)
         size = np.where(proto == 44, 8, np.where(proto == 51, (b.u8(body + 1) + 2) * 4, (b.u8(body + 1) + 1) * 8))
         proto = np.where(step, b.u8(body), proto)

@@ -224,10 +224,12 @@ def test_service_of_the_lower_port(spark):
 
 def test_domains(spark):
     rules = [("com", "exact"), ("uk", "exact"), ("co.uk", "exact"), ("ck", "wildcard"), ("www.ck", "exception"), ("a.b.c.d", "exact")]
+    rules.append(("p.q.r.s.t.u.v", "exact"))
     hosts = {
         "x.example.com": ("com", "example.com"), "com": ("com", None), "a.b.co.uk": ("co.uk", "b.co.uk"), "q.uk": ("uk", "q.uk"),
         "z.y.x.ck": ("x.ck", "y.x.ck"), "x.ck": ("x.ck", None), "www.ck": ("ck", "www.ck"), "t.www.ck": ("ck", "www.ck"),
         "unknown.zone": ("zone", "unknown.zone"), "e.a.b.c.d": ("a.b.c.d", "e.a.b.c.d"), "ck": ("ck", None),
+        "n.o.p.q.r.s.t.u.v": ("p.q.r.s.t.u.v", "o.p.q.r.s.t.u.v"), None: (None, None),
     }
     df = spark.createDataFrame([(h,) for h in hosts], "host string")
     found = domains.registrable_domain(df, "host", spark.createDataFrame(rules, "suffix string, rule string"))

@@ -14,6 +14,7 @@ from flowloom.operators import quality
 from flowloom.plans.captures import log_file
 from flowloom.sources import capture_scan
 from flowloom.sources.capture_scan import capture_splits, scan_captures
+from flowloom.sources import event_logs
 from flowloom.sources.event_logs import flatten_event, read_evtx
 from flowloom.sources.files import classify_magic, expand_containers, file_inventory, read_files
 from flowloom.sources.pcap import LINK_TYPES, decode_packets, read_pcap
@@ -205,6 +206,26 @@ def test_depth_and_size_limits_reject_with_a_reason(spark):
     assert leaves(spark, zipped([("x", bytes(5000))]), max_bytes=1000)[0][-1] == "ValueError: unpacks to too many bytes"
 
 
+def test_all_streams_and_depths_are_unpacked(spark):
+    two = gzip.compress(CAPTURE[:30]) + gzip.compress(CAPTURE[30:]) + bytes(512)
+    files = spark.createDataFrame(
+        [("g", 1, bytearray(two)), ("b", 1, bytearray(bz2.compress(CAPTURE[:30]) + bz2.compress(CAPTURE[30:])))],
+        "path string, length long, content binary",
+    )
+    assert {(r.path, bytes(r.content)) for r in expand_containers(files).collect()} == {("g", CAPTURE), ("b", CAPTURE)}
+    assert leaves(spark, gzip.compress(CAPTURE) + b"junk")[0][-1] is not None
+    deep = CAPTURE
+    for _ in range(12):
+        deep = gzip.compress(deep)
+    assert leaves(spark, deep) == [("", 12, ["gzip"] * 12, "pcap", None)]
+
+
+def test_members_before_the_damage_are_kept(spark):
+    cut = tar([("a.pcap", CAPTURE), ("b.pcap", CAPTURE)])
+    found = leaves(spark, cut[: len(CAPTURE) + 1400])
+    assert ("a.pcap", 1, ["tar"], "pcap", None) in found
+
+
 def test_damaged_container_is_reported(spark):
     assert leaves(spark, gzip.compress(CAPTURE)[:-10])[0][-1] == "ValueError: truncated gzip stream"
     assert "BadZipFile" in leaves(spark, zipped([("x", b"1")])[:30])[0][-1]
@@ -268,6 +289,45 @@ def test_log_of_several_chunks_and_a_damaged_record(spark):
     assert len(bad) == 200
 
 
+def test_no_record_of_a_cut_or_damaged_log_is_silent(spark):
+    whole = log_file([(i, EVENT) for i in range(400)])
+    chunks = (len(whole) - 4096) // 65536
+    assert chunks >= 2
+    cut = log_rows(spark, whole[: 4096 + 65536 * (chunks - 1) + 9000])
+    good = [r.record_id for r in cut if not r.error]
+    assert good == list(range(len(good))) and any(r.chunk_no == chunks - 1 for r in cut if not r.error)
+    assert "truncated chunk" in {r.error for r in cut}
+    damaged = bytearray(whole)
+    damaged[4096:4104] = b"ElfXXXX\0"
+    rows = log_rows(spark, damaged)
+    assert [r.error for r in rows if r.error] == ["damaged chunk header"]
+    assert sorted(r.record_id for r in rows if not r.error) == list(range(400))
+    assert log_rows(spark, whole + bytes(65536)) == log_rows(spark, whole)  # unused chunks say nothing
+
+
+def test_records_go_on_behind_a_damaged_header(spark):
+    content = bytearray(log_file([(i, EVENT) for i in range(20)]))
+    at = content.index(struct.pack("<I", 0x2A2A), 4096 + 512 + 8)
+    content[at : at + 8] = b"\x00" * 8
+    rows = log_rows(spark, content)
+    assert [r.record_id for r in rows if not r.error] == [0, *range(2, 20)]
+    assert [r.error for r in rows if r.error] == ["damaged record header"]
+
+
+def test_values_of_every_type():
+    never = struct.pack("<Q", 0x7FFFFFFFFFFFFFFF)
+    assert event_logs._typed(0x11, never) == ("0x7fffffffffffffff", "FiletimeTypeNode")
+    assert event_logs._typed(0x81, "a\0b\0".encode("utf-16-le")) == ("a,b", "WStringArrayTypeNode")
+    assert event_logs._typed(0x82, b"a\0b\0") == ("a,b", "StringArrayTypeNode")
+    assert event_logs._typed(0x83, struct.pack("<bb", -1, 2)) == ("-1,2", "SignedByteArrayTypeNode")
+    assert event_logs._typed(0x8A, struct.pack("<QQ", 1, 1 << 63)) == (f"1,{1 << 63}", "UnsignedQWordArrayTypeNode")
+    sid = bytes([1, 1, 0, 0, 0, 0, 0, 5]) + struct.pack("<I", 18)
+    assert event_logs._typed(0x93, sid * 2) == ("S-1-5-18,S-1-5-18", "SIDArrayTypeNode")
+    assert event_logs._typed(0x20, b"\x01\x02") == ("0102", "HandleTypeNode")
+    assert event_logs._typed(0x7E, b"\x01") == ("01", "Type0x7e")
+    assert event_logs._typed(0x06, b"\x01") == ("01", "UnsignedWordTypeNode")  # too short for its type
+
+
 def test_rendered_xml(spark):
     xml = (
         "<Event xmlns='http://schemas.microsoft.com/win/2004/08/events/event'><System><Provider Name='P'/>"
@@ -291,6 +351,19 @@ def test_split_bad(spark):
 # --- captures read by byte range --------------------------------------------------------
 
 
+def test_any_number_of_tags_and_extension_headers(spark):
+    inner = ether(ipv4(6, tcp()))
+    tagged = inner[:12] + b"\x81\x00\x00\x01" * 9 + inner[12:]
+    extended = b"\x00\x01" + bytes(6)  # hop-by-hop header of eight bytes, then another of its kind
+    chain = b"".join((b"\x00" if i < 11 else b"\x11") + extended[1:2].replace(b"\x01", b"\x00") + bytes(6) for i in range(12))
+    body = chain + udp(b"xyz")
+    v6 = struct.pack(">IHBB", 6 << 28, len(body), 0, 64) + bytes(15) + b"\x01" + bytes(15) + b"\x02" + body
+    frames = capture([(1, 0, tagged), (2, 0, inner[:12] + b"\x86\xdd" + v6)])
+    rows = spark.createDataFrame([("p", len(frames), bytearray(frames))], "path string, length long, content binary")
+    got = decode_packets(read_pcap(quality.tag_source(expand_containers(rows), "lab"))).orderBy("frame_no").collect()
+    assert [r.protocol for r in got] == ["tcp", "udp"] and got[1].bytes == 3
+
+
 @pytest.fixture
 def captures(tmp_path):
     folder = tmp_path / "captures"
