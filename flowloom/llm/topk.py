@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 #: Queries and candidates of a grid cell, about.
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 8192
-#: Looks at the bounds while lists are read to their ends.
-STRIDES = 16
+#: Shares of the lists that are read before each look at the bounds.
+LOOKS = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1)
 
 RESULT = "query_id long, vec_id long, score long"
 
@@ -31,39 +31,42 @@ def whole_components(df: DataFrame, scale: int = 1024, vector: str = "embedding"
     return rows.select("vec_id", F.transform("x", lambda c: F.floor(c * float(scale)).cast("long")).alias("v"))
 
 
-def no_random_access(query: np.ndarray, values: np.ndarray, order: np.ndarray, k: int, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def no_random_access(query: np.ndarray, values: np.ndarray, order: np.ndarray, k: int, barred: np.ndarray, lists: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(rows, scores) of all candidates that may be among the k best for a query, scores exact.
 
-    ``values`` is dimension by candidate, ``order`` sorts each dimension, ``barred`` marks candidates that don't count.
-    All candidates tied with the k-th score are among the result. Scores and bounds must stay below 2 ** 53.
+    ``values`` is dimension by candidate, ``order`` sorts each dimension and ``lists`` are the values in that order,
+    ``barred`` marks candidates that don't count. All candidates tied with the k-th score are among the result. Scores
+    and bounds must stay below 2 ** 53.
     """
-    used = np.flatnonzero(query)
     n = values.shape[1]
-    if not len(used) or n <= k:
+    up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+    if not len(up) + len(down) or n <= k:
         rows = np.flatnonzero(~barred)
         return rows, query @ values[:, rows]
-    # Each list from its best end: from the largest value down for a positive weight, else from the smallest up.
-    lists = [order[d][::-1] if query[d] > 0 else order[d] for d in used]
-    worst = np.array([query[d] * values[d, rows[-1]] for d, rows in zip(used, lists, strict=True)])
-    partial = np.zeros(n, "i8")
-    unread_worst = np.full(n, worst.sum())
+    lists = np.take_along_axis(values, order, axis=1) if lists is None else lists
+    # A list is read from its best end: from the largest value down for a positive weight, else from the smallest up.
+    used = np.concatenate([up, down])
+    weights = query[used].astype("f8")
+    worst = np.concatenate([query[up] * lists[up, 0], query[down] * lists[down, -1]]).astype("f8")
+    partial, unread_worst = np.zeros(n), np.full(n, worst.sum())
     unread = np.ones((len(used), n))  # 1 or 0
-    stride = max(k, -(-n // STRIDES))
-    for depth in range(0, n, stride):
-        frontier = np.empty(len(used))
-        for i, (d, rows) in enumerate(zip(used, lists, strict=True)):
-            now = rows[depth : depth + stride]
-            partial[now] += query[d] * values[d, now]
-            unread_worst[now] -= worst[i]
-            unread[i, now] = 0
-            frontier[i] = query[d] * values[d, now[-1]]
+    places = (np.arange(len(used)) * n)[:, None]
+    begin = 0
+    for share in LOOKS:
+        end = max(begin + 1, int(n * share))
+        ids = np.concatenate([order[up, n - end : n - begin], order[down, begin:end]])
+        read = np.concatenate([lists[up, n - end : n - begin], lists[down, begin:end]]) * weights[:, None]
+        partial += np.bincount(ids.ravel(), read.ravel(), n)
+        unread_worst -= np.bincount(ids.ravel(), np.repeat(worst, end - begin), n)
+        unread.ravel()[(ids + places).ravel()] = 0
+        frontier = np.concatenate([query[up] * lists[up, n - end], query[down] * lists[down, end - 1]])
         lower = partial + unread_worst
-        lower[barred] = np.iinfo("i8").min
+        lower[barred] = -np.inf
         least = np.partition(lower, n - k)[n - k]  # the k-th best lower bound
-        # Nothing unseen can be better than the frontier, which bounds the sum of what is unread.
-        upper = partial + (frontier @ unread).astype("i8")
-        open_rows = np.flatnonzero((upper >= least) & ~barred)
-        if len(open_rows) <= max(4 * k, n // 16):
+        # What is unread of a list can't be better than where reading has come to.
+        open_rows = np.flatnonzero((partial + frontier @ unread >= least) & ~barred)
+        begin = end
+        if len(open_rows) <= max(4 * k, n // 16) or end >= n:
             break
     return open_rows, query @ values[:, open_rows]
 
@@ -99,8 +102,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
                 raise ValueError("vectors must have one dimension")
             values = np.ascontiguousarray(rows.T)
             order = np.argsort(values, axis=1, kind="stable")
+            lists = np.take_along_axis(values, order, axis=1)
             for q_id, query in zip(q_ids, q_rows, strict=True):
-                found, scores = no_random_access(query, values, order, k, ids == q_id)
+                found, scores = no_random_access(query, values, order, k, ids == q_id, lists)
                 best = np.lexsort((ids[found], -scores))[:k]
                 out[0].append(np.full(len(best), q_id))
                 out[1].append(ids[found[best]])
