@@ -22,6 +22,7 @@ from flowloom.operators.sessions import (
     KEY,
     MAX_PIECE_ROWS,
     SLICE_NS,
+    arrival,
     cut_pieces,
     fill_key,
     flow_key,
@@ -101,7 +102,7 @@ def _run_summaries(rows: DataFrame, run_key: list[str]) -> DataFrame:
     closing packet if the responder is the lower (``end_lo``) or the higher endpoint
     (``end_hi``), or the one shown by the first orienting packet (``end_late``).
     """
-    order = Window.partitionBy(*run_key).orderBy("ts_ns", "frame_no")
+    order = Window.partitionBy(*run_key).orderBy("ts_ns", *arrival(rows))
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("rn", F.row_number().over(order))
     rest = F.col("rn") > 1
@@ -263,7 +264,7 @@ def _flow_columns(merged: DataFrame, ports: str) -> DataFrame:
         F.col("head.source_file").alias("source_file"),
         F.col("head.ip_version").alias("ip_version"),
         F.col("head.frame_no").alias("first_frame"),
-        *[c for c in ("conn_state", "icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number") if c in merged.columns],
+        *[c for c in ("conn_state", "icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number", "late_pkts") if c in merged.columns],
     )
 
 
@@ -322,12 +323,14 @@ _ICMP = ["icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number"]
 
 def _untimed(rows: DataFrame, tie: str) -> DataFrame:
     """Flows of other record types in one aggregate; ``kind`` is the record type."""
-    arrival = -F.col("frame_no") if tie == "later_first" else F.col("frame_no")
-    order = F.struct(F.col("ts_ns"), arrival.alias("arrival"))
+    # The earliest time, and the last arrival at that time or the first one.
+    later = tie == "later_first"
+    order = F.struct((-F.col("ts_ns") if later else F.col("ts_ns")).alias("t"), *arrival(rows))
+    chosen = F.max_by if later else F.min_by
     from_lo, kind = F.col("from_lo"), F.col("kind")
     head = ["from_lo", "frame_no", "id_orig_p", "id_resp_p", "service", "source_file", "ip_version", *_ICMP]
     merged = rows.groupBy(*KEY, "kind").agg(
-        F.min_by(F.struct(*head), order).alias("head"),
+        chosen(F.struct(*head), order).alias("head"),
         F.min("ts_ns").alias("session_ts"),
         F.max("ts_ns").alias("last_ts"),
         F.count_if(from_lo).alias("lo_pkts"),
@@ -428,11 +431,11 @@ def drop_duplicates_per_direction(rows: DataFrame, key: list[str] = KEY, match:
     """
     ms, seq, ackn = epoch_millis("ts_ns"), F.coalesce("seq_num", F.lit(0)), F.coalesce("ack_num", F.lit(0))
     if match == "fields":
-        copies = Window.partitionBy(*key, "slice", "session_ts", "from_lo", ms, seq, ackn).orderBy("frame_no")
+        copies = Window.partitionBy(*key, "slice", "session_ts", "from_lo", ms, seq, ackn).orderBy(*arrival(rows))
         return rows.withColumn("copy_no", F.row_number().over(copies)).filter("copy_no = 1").drop("copy_no")
     group = [*key, "session_ts", "from_lo"]
     others = [c for c in rows.columns if c not in group]
-    first = F.min_by(F.struct(*others), "frame_no").alias("kept")
+    first = F.min_by(F.struct(*others), F.struct(*arrival(rows))).alias("kept")
     kept = rows.withColumn("dup_sum", ms + seq + ackn).groupBy(*group, "dup_sum").agg(first)
     return kept.select(*group, "kept.*")
 
@@ -451,6 +454,22 @@ def flow_stats(
     )
 
 
+def flow_packets(
+    packets: DataFrame, timeout_ms: int | None = None, idle_s: float = IDLE_S, pieces: DataFrame | None = None
+) -> DataFrame:
+    """The packets of every flow as rows, with the flow's key and ``session_ts``; no array grows with a flow.
+
+    TCP sessions list each copy once; other flows list what they have.
+    """
+    pieces = tcp_pieces(packets) if pieces is None else pieces
+    tcp = drop_duplicates_per_direction(split_sessions(pieces, KEY, idle_s, timeout_ms)).drop("slice")
+    other = flow_key(with_optional_columns(packets).filter(record_type() != "tcp"))
+    names = {c: f"_{c}" for c in KEY}
+    starts = other.groupBy(*KEY).agg(F.min("ts_ns").alias("session_ts")).withColumnsRenamed(names)
+    listed = other.join(starts, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]).drop(*names.values())
+    return tcp.unionByName(listed, allowMissingColumns=True)
+
+
 def add_stats(flows: DataFrame, stats: DataFrame) -> DataFrame:
     """Join :func:`flow_stats` to the flow table made from the same packets."""
     names = {c: f"_{c}" for c in (*KEY, "session_ts")}

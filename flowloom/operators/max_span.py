@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowloom.functions.lineage import cut_lineage
-from flowloom.operators.sessions import IDLE_S, KEY, split_idle
+from flowloom.operators.sessions import IDLE_S, KEY, arrival, split_idle
 
 # Largest session, in distinct packet times, that is folded as one array. Growing the list of
 # starts copies it, so this stays small.
@@ -142,7 +142,7 @@ def split_sessions(
     # More than max_span_ms whole milliseconds after the start.
     jump = (max_span_ms + 1) * 1_000_000
     session, piece = [*key, "session_ts"], [*key, "slice", "session_ts"]
-    points = split_idle(pieces.select(*key, "slice", "ts_ns", "frame_no"), key, idle_s)
+    points = split_idle(pieces.select(*key, "slice", "ts_ns", *arrival(pieces)), key, idle_s)
     points = points.select(*piece, "ts_ns").distinct()
     of_session = Window.partitionBy(*session)
     span = F.max("last_ts").over(of_session) - F.col("session_ts")
@@ -170,7 +170,7 @@ def split_sessions(
     markers = own.unionByName(inherited).select(
         *key, "slice", "ts_ns", F.struct("session_ts", "start_ts").alias("marker")
     )
-    order = Window.partitionBy(*key, "slice").orderBy("ts_ns", "frame_no", "marker")
+    order = Window.partitionBy(*key, "slice").orderBy("ts_ns", *arrival(rows), "marker")
     latest = F.last("marker", ignorenulls=True).over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

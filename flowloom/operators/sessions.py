@@ -25,6 +25,14 @@ _SLICE_MS = 1 << 32  # more than the milliseconds of any slice
 _PARTS = 60  # of a busy slice
 
 
+def arrival(df: DataFrame) -> list[str]:
+    """The columns that put packets of equal time into one order, whatever files they come from.
+
+    Frame numbers begin anew in every file, so the file and its member come first where they are known.
+    """
+    return [c for c in ("source_file", "member", "frame_no") if c in df.columns]
+
+
 def flow_key(packets: DataFrame) -> DataFrame:
     """Add the direction-free key columns and ``from_lo`` (sender is the lower endpoint)."""
     return packets.withColumns(endpoint_key_columns())
@@ -72,13 +80,13 @@ def cut_pieces(
     return cut.withColumn("slice", F.col("base") * _SLICE_MS + fine).drop(*names.values(), "base", "part", "_full")
 
 
-def _piece(key: list[str]):
-    return Window.partitionBy(*key, "slice").orderBy("ts_ns", "frame_no")
+def _piece(pieces: DataFrame, key: list[str]):
+    return Window.partitionBy(*key, "slice").orderBy("ts_ns", *arrival(pieces))
 
 
 def with_runs(pieces: DataFrame, key: list[str] = KEY, idle_s: float = IDLE_S) -> DataFrame:
     """Number the idle-separated runs inside each piece; run 0 may continue an earlier piece."""
-    piece = _piece(key)
+    piece = _piece(pieces, key)
     gap = F.col("ts_ns") - F.lag("ts_ns").over(piece)
     cut = F.coalesce(gap >= F.lit(int(idle_s * 1_000_000_000)), F.lit(False))
     cuts = pieces.withColumn("starts_run", cut)
@@ -108,7 +116,7 @@ def split_idle(pieces: DataFrame, key: list[str] = KEY, idle_s: float = IDLE_S)
     of equal time are never cut apart. The key columns must not be NULL.
     """
     runs = (
-        with_runs(pieces.select(*key, "slice", "ts_ns", "frame_no"), key, idle_s)
+        with_runs(pieces.select(*key, "slice", "ts_ns", *arrival(pieces)), key, idle_s)
         .groupBy(*key, "slice", "run")
         .agg(F.min("ts_ns").alias("first_ts"), F.max("ts_ns").alias("last_ts"))
     )
@@ -117,7 +125,7 @@ def split_idle(pieces: DataFrame, key: list[str] = KEY, idle_s: float = IDLE_S)
         .filter("run = 0")
         .select(*key, "slice", F.col("session_ts").alias("head_session_ts"))
     )
-    running = _piece(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = _piece(pieces, key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own_start = F.last(F.when(F.col("starts_run"), F.col("ts_ns")), ignorenulls=True).over(running)
     rows = with_runs(pieces, key, idle_s).withColumn("own_start", own_start)
     # Both sides are already partitioned by the join columns: the packets are not moved again.
@@ -137,8 +145,8 @@ def order_packets(pieces: DataFrame, key: list[str] = KEY, tie: str = "arrival")
     before = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = pieces.groupBy(*key, "slice").agg(F.count("*").alias("n"))
     shifts = shifts.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    arrival = F.col("frame_no").desc() if tie == "later_first" else F.col("frame_no").asc()
-    place = F.row_number().over(Window.partitionBy(*key, "slice").orderBy("ts_ns", arrival))
+    later = [F.col(c).desc() if tie == "later_first" else F.col(c).asc() for c in arrival(pieces)]
+    place = F.row_number().over(Window.partitionBy(*key, "slice").orderBy("ts_ns", *later))
     rows = pieces.withColumn("place", place)
     joined = rows.join(shifts, [*key, "slice"])
     return joined.withColumn("position", F.col("place") + F.col("shift")).drop("place", "shift", "slice")

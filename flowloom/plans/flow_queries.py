@@ -27,7 +27,15 @@ def _add(name, query, sql):
 
 # --- oracle building blocks -------------------------------------------------------------
 
-_PLAIN_SRC = f"""select *, '' as reference, '' as sensor, 'tcp' as protocol, pkt_id as frame_no, ts_us * 1000 as ts_ns,
+# Packets of equal time, in the order of their files, members and frames; Spark sorts NULLs first.
+ARRIVAL_SQL = "source_file nulls first, member nulls first, frame_no"
+
+
+def _arrival_sql(direction: str) -> str:
+    return ARRIVAL_SQL if direction == "asc" else "source_file desc nulls last, member desc nulls last, frame_no desc"
+
+
+_PLAIN_SRC = f"""select *, null::varchar as source_file, null::varchar as member, '' as reference, '' as sensor, 'tcp' as protocol, pkt_id as frame_no, ts_us * 1000 as ts_ns,
  null::bigint as seq_num, null::bigint as ack_num from ({DUCK_PACKETS}) as ep"""
 _KEY_SQL = "reference, sensor, protocol, host_lo, port_lo, host_hi, port_hi"
 
@@ -43,7 +51,7 @@ def _sessions(src: str, max_span_ms: int | None = None) -> str:
     idle = f"""{_keyed(src)},
 cuts as (select *, coalesce(ts_ns - lag(ts_ns) over w >= 4000000000, true) as cut,
  row_number() over w as flow_rn from keyed where protocol = 'tcp'
- window w as (partition by {_KEY_SQL} order by ts_ns, frame_no))"""
+ window w as (partition by {_KEY_SQL} order by ts_ns, {ARRIVAL_SQL}))"""
     if max_span_ms is None:
         starts = """,
 starts as (select *, max(case when cut then ts_ns end) over (partition by {k} order by flow_rn) as session_ts from cuts)"""
@@ -60,7 +68,7 @@ starts as (select cuts.*, chain.session_ts from cuts join chain using (reference
         idle
         + starts.replace("{k}", _KEY_SQL)
         + f""",
-sess as (select *, row_number() over (partition by {_KEY_SQL}, session_ts order by ts_ns, frame_no) as rn from starts)"""
+sess as (select *, row_number() over (partition by {_KEY_SQL}, session_ts order by ts_ns, {ARRIVAL_SQL}) as rn from starts)"""
     )
 
 
@@ -123,7 +131,7 @@ def _untimed(protocol: str) -> str:
  {swap} as swapped, f.icmp_type, f.icmp_code, f.icmp_type_number, f.icmp_code_number
  from (select *, dense_rank() over (order by {flow_key}) as flow_no from mixed where {where}) p
  join (select *, dense_rank() over (order by {flow_key}) as flow_no from mixed where {where}
-  qualify row_number() over (partition by {flow_key} order by ts_ns, frame_no) = 1) f using (flow_no) group by all"""
+  qualify row_number() over (partition by {flow_key} order by ts_ns, {ARRIVAL_SQL}) = 1) f using (flow_no) group by all"""
 
 
 def _untimed_flows(protocol: str) -> str:
@@ -207,19 +215,23 @@ for _name, _protocol in (("c5_orient_first", "ip"), ("c6_orient_udp", "udp"), ("
     )
 
 
+_PACKET_ROW = ["reference", "sensor", "protocol", "host_lo", "port_lo", "host_hi", "port_hi", "session_ts", "ts_ns", "frame_no", "bytes"]
+
+
 def _flow_packets(s, d):
-    """The flow's packets as rows, time ordered by (ts_ns, frame_no): no array grows with a flow."""
-    return split_idle(op.tcp_pieces(mixed_packets(s, d))).select(
-        "reference", "sensor", "host_lo", "port_lo", "host_hi", "port_hi", "session_ts",
-        "ts_ns", "frame_no", "bytes", packet_op.packet_row_key().alias("row_key"),
-    )
+    return op.flow_packets(mixed_packets(s, d)).select(*_PACKET_ROW, packet_op.packet_row_key().alias("row_key"))
 
 
 _add(
     "c8_flow_packets",
     _flow_packets,
-    f"""{_WITH_MIXED}, {_sessions("select * from mixed")}
-    select reference, sensor, host_lo, port_lo, host_hi, port_hi, session_ts, ts_ns, frame_no, bytes, {SQL_ROW_KEY} as row_key from sess""",
+    f"""{_WITH_MIXED}, {_sessions("select * from mixed")},
+    listed as (select * from sess qualify row_number() over (
+      partition by {_KEY_SQL}, session_ts, id_orig_h, ts_ns // 1000000, seq_num, ack_num order by {ARRIVAL_SQL}) = 1),
+    others as (select *, min(ts_ns) over (partition by {_KEY_SQL}) as session_ts from (with {_keyed("select * from mixed")} select * from keyed)
+      where protocol in ('udp','icmp') or (protocol = 'gre' and ip_version = 'ipv4'))
+    select {', '.join(_PACKET_ROW)}, {SQL_ROW_KEY} as row_key from listed
+    union all select {', '.join(_PACKET_ROW)}, {SQL_ROW_KEY} as row_key from others""",
 )
 _SQL_FLOW_UID = """sha256(concat_ws('|', reference, sensor, protocol, id_orig_h, id_resp_h, coalesce(id_orig_p::varchar, '\\N'),
  coalesce(id_resp_p::varchar, '\\N'), first_frame::varchar, ts_ns::varchar))"""
@@ -289,7 +301,7 @@ def _dedupe_sql(match: str) -> str:
     ms = "ts_ns // 1000000"
     same = f"{ms} + seq_num + ack_num" if match == "sum" else f"{ms}, seq_num, ack_num"
     return f"""{_WITH_MIXED}, {_sessions("select * from mixed")}, kept as (select * from sess
-     qualify row_number() over (partition by {_KEY_SQL}, session_ts, id_orig_h, {same} order by frame_no) = 1)"""
+     qualify row_number() over (partition by {_KEY_SQL}, session_ts, id_orig_h, {same} order by {ARRIVAL_SQL}) = 1)"""
 
 
 _add(
@@ -315,7 +327,7 @@ for _name, _tie, _dir in (("d7_order_packets", "arrival", "asc"), ("d7_order_pac
         _name,
         lambda s, d, t=_tie: order_packets(cut_pieces(fill_key(flow_key(mixed_packets(s, d)))), tie=t).select("pkt_id", "position"),
         f"""with {_keyed(DUCK_MIXED_PACKETS)} select pkt_id,
-         row_number() over (partition by {_KEY_SQL} order by ts_ns, frame_no {_dir}) as position from keyed""",
+         row_number() over (partition by {_KEY_SQL} order by ts_ns, {_arrival_sql(_dir)}) as position from keyed""",
     )
 _add(
     "d8_flow_ready",
@@ -334,7 +346,7 @@ _add(
     "c4_flow_table_stats",
     _flow_table_with_stats,
     f"""{_ALL_FLOWS}, kept as (select * from sess qualify row_number() over (
-      partition by {_KEY_SQL}, session_ts, id_orig_h, ts_ns // 1000000, seq_num, ack_num order by frame_no) = 1),
+      partition by {_KEY_SQL}, session_ts, id_orig_h, ts_ns // 1000000, seq_num, ack_num order by {ARRIVAL_SQL}) = 1),
     untimed as (select reference, sensor, protocol, least(id_orig_h, id_resp_h) as host_lo, greatest(id_orig_h, id_resp_h) as host_hi,
       least(id_orig_p, id_resp_p) as p1, greatest(id_orig_p, id_resp_p) as p2, min(ts_ns) as session_ts, {_stats_sql('bytes')}
       from mixed where protocol in ('udp','icmp') or (protocol = 'gre' and ip_version = 'ipv4') group by all),

@@ -37,8 +37,12 @@ def drain(df: DataFrame) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = inputs.table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The table as a stream, whether it is one file or, like any large table, a folder of part files."""
+    stored = inputs.table(spark, sf_dir, "events")
+    files, reader = stored.inputFiles(), spark.readStream.schema(stored.schema)
+    if len(files) == 1 and files[0].endswith("/events.parquet"):  # streams watch folders only
+        return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return reader.parquet(f"{sf_dir}/events.parquet")
 
 
 def _packet_stream(spark, sf_dir):

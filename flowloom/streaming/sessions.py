@@ -18,7 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowloom.functions.columns import timestamp_of
 from flowloom.operators.flows import _flow_columns, records_of
-from flowloom.operators.sessions import IDLE_S, KEY, flow_key
+from flowloom.operators.sessions import IDLE_S, KEY, arrival, flow_key
 
 # State after a FIN or RST without SYN, by (state, flag, sent by originator).
 # Where a packet carries both flags the table is asked in this order.
@@ -39,11 +39,11 @@ _COUNTERS = ("lo_pkts", "lo_bytes", "hi_pkts", "hi_bytes")
 _SESSION_FIELDS = (
     "session_ts long, last_ts long, frame_no long, id_orig_p int, id_resp_p int, service string, "
     "source_file string, ip_version string, orig_lo boolean, known boolean, state string, "
-    "lo_pkts long, lo_bytes long, hi_pkts long, hi_bytes long"
+    "lo_pkts long, lo_bytes long, hi_pkts long, hi_bytes long, late_pkts long"
 )
 _NAMES = [f.split(" ")[0] for f in _SESSION_FIELDS.split(", ")]
 _HEAD = ["frame_no", "id_orig_p", "id_resp_p", "service", "source_file", "ip_version"]
-_PACKET = ["ts_ns", "from_lo", "syn", "ack", "fin", "rst", "seq_num", "ack_num", "bytes", *_HEAD]
+_PACKET = ["ts_ns", "from_lo", "syn", "ack", "fin", "rst", "seq_num", "ack_num", "bytes", "member", *_HEAD]
 
 
 def _orientation(p, first: bool) -> bool | None:
@@ -65,7 +65,7 @@ def _fold(session: dict | None, part: pd.DataFrame) -> dict:
         head = part.iloc[0]
         session = {"session_ts": int(head.ts_ns), "known": False, "orig_lo": bool(head.from_lo), "state": "OTH"}
         session |= {name: None if pd.isna(head[name]) else head[name] for name in _HEAD}
-        session |= dict.fromkeys(_COUNTERS, 0)
+        session |= dict.fromkeys((*_COUNTERS, "late_pkts"), 0)
     lo = part["from_lo"].to_numpy(bool)
     size = part["bytes"].to_numpy()
     session["lo_pkts"] += int(lo.sum())
@@ -125,7 +125,8 @@ def stream_sessions(
     """TCP sessions of a packet stream, each emitted once when it closes.
 
     ``clock='event'`` closes silent sessions when the watermark passes the idle gap,
-    ``'wall'`` when no packet arrived for that long in real time.
+    ``'wall'`` when no packet arrived for that long in real time. A packet older than the last one of its open session
+    is not folded in but counted, as ``late_pkts``.
     """
     idle_ns = int(idle_s * 1_000_000_000)
     idle_ms = -(-idle_ns // 1_000_000)
@@ -138,7 +139,12 @@ def stream_sessions(
         if state.hasTimedOut:
             closed, session = [session], None
         else:
-            rows = pd.concat(list(batches)).sort_values(["ts_ns", "frame_no"], ignore_index=True)
+            rows = pd.concat(list(batches))
+            rows = rows.sort_values(["ts_ns", *arrival(rows)], ignore_index=True, na_position="first")
+            if session is not None:  # what is older than the last packet came too late to be placed: counted only
+                late = rows["ts_ns"] < session["last_ts"]
+                session["late_pkts"] += int(late.sum())
+                rows = rows[~late].reset_index(drop=True)
             for session, done in _split(session, rows, idle_ns, jump):
                 if done:
                     closed.append(session)

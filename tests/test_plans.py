@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__  # noqa: F401  (ships the package)
 from flowloom.operators import flows
+from flowloom.operators.max_span import split_sessions
 from flowloom.operators.sessions import split_idle
 from flowloom.plans import inputs
 from flowloom.plans.inputs import table
@@ -38,17 +39,32 @@ def exchanges(text: str) -> list[str]:
 
 
 def test_packets_of_the_session_table_move_once(spark):
-    df = flows.summarise_tcp(inputs.packets(spark, SF), max_rows=None)
-    moves = exchanges(plan(df))
-    # Packets by piece, then one row per run by flow; sessions stay where their runs are.
-    assert len(moves) == 2
-    assert "slice" in moves[1] and "slice" not in moves[0]
+    text = plan(flows.summarise_tcp(inputs.packets(spark, SF)))
+    moves = exchanges(text)
+    # Default arguments: the packets once by piece, then one row per run by flow; sessions stay where their runs are.
+    # The counts of slice parts and of slices are the other two moves, and the only other scan reads key and time.
+    assert len(moves) == 4 and sum("slice" in m for m in moves) == 1
+    assert text.count("FileScan parquet") == 2
+
+
+def test_flow_tables_store_pieces_once(spark, monkeypatch):
+    """With a maximum span or statistics, everything after the cut reads the stored pieces, never the packets again."""
+    rows = inputs.mixed_packets(spark, SF)
+    folder = rows.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
+    pieces = flows.tcp_pieces(rows)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    assert folder not in plan(split_sessions(pieces, max_span_ms=30_000))
+    both = flows.add_stats(flows.summarise(rows, pieces=pieces), flows.flow_stats(rows, pieces=pieces))
+    # Other protocols: once for their flows and once for their statistics.
+    text = plan(both)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert text.count(folder) == 2
 
 
 def test_session_split_joins_without_moving_packets_again(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the run heads were large
     try:
-        text = plan(split_idle(flows.tcp_pieces(inputs.packets(spark, SF), max_rows=None)))
+        text = plan(split_idle(flows.tcp_pieces(inputs.packets(spark, SF), max_rows=None, stored=False)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Packets once, their order columns once, and run heads by flow and back by piece.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from flowloom.operators import flows, max_span
 from flowloom.operators.max_span import split_sessions
+from flowloom.operators.packets import packet_row_key, with_optional_columns
 from flowloom.operators.sessions import KEY, cut_pieces, fill_key, flow_key, order_packets
 from reference_fold import sessions, summary_rows
 
@@ -232,3 +233,25 @@ def test_copies_are_dropped_per_direction(spark):
     rows = split_sessions(flows.tcp_pieces(frame(spark, packets)))
     kept = flows.drop_duplicates_per_direction(rows).select("frame_no").collect()
     assert sorted(r.frame_no for r in kept) == [0, 2, 3]
+
+
+def test_rotated_files_fold_in_one_order(spark):
+    """Frames of equal time and number in two files and two members give one result, however the rows are spread."""
+    flags = ["S", "SA", "A", "FA", "R", "A"]
+    packets = [packet(i % 3, START + (i // 4) * 10**8, flags=flags[i % 6], size=i) for i in range(24)]
+    df = frame(spark, packets, 1).withColumn("n", F.monotonically_increasing_id())
+    df = df.withColumns({"source_file": F.concat(F.lit("f"), F.col("n") % 2), "member": F.when(F.col("n") % 5 > 0, (F.col("n") % 5).cast("string"))})
+    results = {
+        str(sorted(map(str, flows.summarise_tcp(df.orderBy(F.rand(seed)).repartition(1 + seed)).collect()))) for seed in range(3)
+    }
+    assert len(results) == 1
+
+
+def test_keys_tell_members_and_endpoints_apart(spark):
+    df = frame(spark, [packet(0, START), packet(0, START)], 1).withColumn("n", F.monotonically_increasing_id())
+    df = df.withColumns({"source_file": F.lit("a.tar|5"), "member": F.concat(F.lit("m"), F.col("n"))})
+    assert with_optional_columns(df).select(packet_row_key()).distinct().count() == 2
+    ends = [(None, "x", 1, None), ("x", None, None, 1), ("x", "y", None, 1), ("x", "y", 1, None)]
+    same = spark.createDataFrame([("r", "s", "tcp", *e, 0, 5) for e in ends],
+        "reference string, sensor string, protocol string, id_orig_h string, id_resp_h string, id_orig_p int, id_resp_p int, first_frame long, ts_ns long")
+    assert same.select(flows.flow_uid()).distinct().count() == 4

@@ -52,6 +52,27 @@ def test_sessions_equal_batch(spark, tmp_path, batches, timeout_ms):
     assert got == want
 
 
+def test_late_packets_are_counted_and_time_never_falls(spark, tmp_path):
+    at = lambda i, seconds: packet(i, START + seconds * 10**9)
+    df = frame(spark, with_late_flow([at(1, 10), at(2, 12), at(3, 9), at(4, 13)]), 1)
+    stream = arrivals(spark, df, tmp_path / "in", ["frame_no"], 5)  # one packet each, the third too late
+    rows = drain(stream_sessions(stream, delay="1 minute"), tmp_path).filter("id_orig_h <> 'z' and id_orig_h <> 'y'").collect()
+    assert [(r.ts_ns - START, r.ts_end_ns - START, r.orig_pkts + r.resp_pkts, r.late_pkts) for r in rows] == [
+        (10 * 10**9, 13 * 10**9, 3, 1)
+    ]
+
+
+@pytest.mark.parametrize("name", ["d9_stream_sessions", "d9_stream_counters", "e6_stream_metrics"])
+def test_streams_read_folder_tables(spark, tmp_path, name):
+    from flowloom.plans.registry import collect
+
+    single = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{single}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    query = collect()[0][name]
+    want, got = (sorted(map(str, query(spark, d).collect())) for d in (single, str(tmp_path)))
+    assert got == want and want
+
+
 def test_counters_equal_batch(spark, tmp_path):
     df = frame(spark, with_late_flow(random_packets(22, 400)), 1)
     # Native session windows count microseconds.
