@@ -20,7 +20,7 @@ LEAST_ROWS = 200
 #: Fences lie this many times the distance of the quartiles outside them.
 REACH = 4
 #: Per mille measures and the slack that a fence leaves at least, so that groups without spread reject nothing clean.
-MEASURES = {"mean_word": 1500, "symbols": 150, "dup_lines": 250, "repeats": 250, "shouts": 250}
+MEASURES = {"mean_word": 1500, "symbols": 150, "dup_lines": 500, "repeats": 450, "shouts": 250}
 
 ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_shouts", "n_repeat_words", *MEASURES, "base_failed", "kept"]
 
