@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from flowloom.llm.common import shared_table, slices
 
 TRAIN_ROWS = 40_000
-MOST_WORDS = 100_000
-MOST_GRAMS = 100_000
+MOST_WORDS = 50_000
+MOST_GRAMS = 50_000
 #: Character n-grams of padded words, longest first.
 LENGTHS = (4, 3, 2, 1)
 #: Words beyond this many add no further confidence to a score; they still count for the language.
@@ -99,23 +99,25 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRA
     # Read twice, for words and for n-grams.
     counted = shared_table(counted.groupBy("kind", "item").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by")))
 
-    def most(kind: str, limit: int) -> list:
-        return counted.filter(kind).orderBy(F.desc("total"), "kind", "item").limit(limit).collect()
+    def most(kind: str, limit: int) -> pa.Table:
+        return counted.filter(kind).orderBy(F.desc("total"), "kind", "item").limit(limit).drop("total").toArrow().combine_chunks()
 
     found = [most("kind = 0", MOST_WORDS), most("kind > 0", MOST_GRAMS)]
-    langs = sorted({x["lang"] for items in found for row in items for x in row["by"]})
-    place, scores = {name: i for i, name in enumerate(langs)}, []
-    for items in found:
-        table = np.zeros((len(items), len(langs)))
-        kinds = np.array([row["kind"] for row in items], "i4")
-        for i, row in enumerate(items):
-            for x in row["by"]:
-                table[i, place[x["lang"]]] = x["n"]
+    by = [pa.chunked_array(items["by"]).combine_chunks() if items.num_rows else None for items in found]
+    langs = sorted({name for lists in by if lists is not None for name in lists.flatten().field("lang").unique().to_pylist()})
+    scores = []
+    for items, lists in zip(found, by, strict=True):
+        table = np.zeros((items.num_rows, len(langs)))
+        kinds = np.array(items["kind"].to_pylist(), "i4")
+        if lists is not None:
+            entries = lists.flatten()
+            row = np.repeat(np.arange(items.num_rows), lists.value_lengths().to_numpy())
+            table[row, np.searchsorted(langs, entries.field("lang").to_pylist())] = entries.field("n").to_numpy()
         for kind in set(kinds.tolist()):  # frequencies among the items of one length
             own = kinds == kind
             table[own] = np.log((table[own] + 0.5) / (table[own].sum(axis=0) + 0.5 * own.sum()))
         scores.append(table.astype("f4"))
-    return Model(langs, *({row["item"]: i for i, row in enumerate(items)} for items in found), *scores)
+    return Model(langs, *({item: i for i, item in enumerate(items["item"].to_pylist())} for items in found), *scores)
 
 
 class Scorer:
