@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat, jaccard, langid, packing, quality, rules, secrets, sharding, topk
+from flowloom.llm import bpe, chat, jaccard, langid, oracles, packing, quality, rules, secrets, sharding, topk
 from flowloom.llm.common import documents, shared_table
 
 QUERIES, ORACLES = {}, {}
@@ -38,6 +38,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_jaccard_join"] = op3_jaccard_join
+ORACLES["op3_jaccard_join"] = oracles.JACCARD
 
 
 def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +82,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_quality_rules"] = op7_quality_rules
+ORACLES["op7_quality_rules"] = oracles.QUALITY
 
 
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
