@@ -128,12 +128,13 @@ def decode_name(
 
     The name is upper-cased and the pattern may match anywhere in it. Adds one column per
     group, ``code_description`` and ``decode_error``; all parts are NULL when the pattern does
-    not match or the code is unknown. ``pattern`` may be a dict of versions.
+    not match or the code is unknown. ``pattern`` may be a dict of versions. Of several
+    descriptions of a code the first by text counts.
     """
     regex = pattern[version] if isinstance(pattern, dict) else pattern
     name = F.upper(F.col(column))
     parts = {f"_{g}": F.regexp_extract(name, regex, i + 1) for i, g in enumerate(groups)}
-    dim = codes.select(F.upper("code").alias("_known"), F.col("description").alias("_text")).dropDuplicates(["_known"])
+    dim = codes.groupBy(F.upper("code").alias("_known")).agg(F.min("description").alias("_text"))
     joined = df.withColumns(parts).join(dim, F.col("_code") == F.col("_known"), "left")
     matched = F.rlike(name, F.lit(regex))
     error = (

@@ -70,24 +70,23 @@ def service_name(packets: DataFrame, ports: DataFrame) -> DataFrame:
     """Add ``service``: the name of the lower port (the destination's on a tie).
 
     ``ports(port, service)`` is the caller's; Spark broadcasts it while it is below the
-    session's broadcast limit and falls back to a skew-handled join beyond.
+    session's broadcast limit and falls back to a skew-handled join beyond. Of several names of
+    a port the first by text counts.
     """
-    named = ports.select(F.col("port").alias("_port"), normalise_name("service").alias("service"))
-    named = named.dropDuplicates(["_port"])
+    named = ports.groupBy(F.col("port").alias("_port")).agg(F.min(normalise_name("service")).alias("service"))
     src, dst = F.col("id_orig_p"), F.col("id_resp_p")
     joined = packets.withColumn("_service_port", F.when(src < dst, src).otherwise(dst))
     return joined.join(named, F.col("_service_port") == F.col("_port"), "left").drop("_port", "_service_port")
 
 
 def icmp_names(packets: DataFrame, names: DataFrame) -> DataFrame:
-    """Add ``icmp_type`` and ``icmp_code`` from ``names(ip_version, type, code, type_name, code_name)``."""
-    dim = names.select(
-        F.col("ip_version").alias("_v"),
-        F.col("type").alias("_t"),
-        F.col("code").alias("_c"),
-        normalise_name("type_name").alias("icmp_type"),
-        normalise_name("code_name").alias("icmp_code"),
-    ).dropDuplicates(["_v", "_t", "_c"])
+    """Add ``icmp_type`` and ``icmp_code`` from ``names(ip_version, type, code, type_name, code_name)``.
+
+    Of several names of one type and code the first pair by text counts.
+    """
+    pair = F.struct(normalise_name("type_name").alias("icmp_type"), normalise_name("code_name").alias("icmp_code"))
+    keys = [F.col(c).alias(a) for c, a in (("ip_version", "_v"), ("type", "_t"), ("code", "_c"))]
+    dim = names.groupBy(*keys).agg(F.min(pair).alias("_pair")).select("_v", "_t", "_c", "_pair.*")
     on = (
         (F.col("ip_version") == F.col("_v"))
         & (F.col("icmp_type_number") == F.col("_t"))

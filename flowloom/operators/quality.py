@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: how a sensor name appears in a capture file's name.
-SENSOR_PATTERN = r"([a-z]{2}-[0-9]{2})-\d{6}"
-
 
 def split_bad(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows); the stream of records goes on past a bad one."""
@@ -39,9 +36,9 @@ def ingest_counts(df: DataFrame, by: str = "source_file", error: str = "error")
 
 
 def tag_source(
-    files: DataFrame, reference: str, path: str = "path", length: str = "length", pattern: str = SENSOR_PATTERN
+    files: DataFrame, reference: str, pattern: str, path: str = "path", length: str = "length"
 ) -> DataFrame:
-    """Add ``reference``, ``sensor`` (from the path, else the reference) and ``source_file``."""
+    """Add ``reference``, ``sensor`` (the path's first match of the pattern's group, else the reference) and ``source_file``."""
     found = F.regexp_extract(F.col(path), pattern, 1)
     return files.withColumns(
         {

@@ -12,6 +12,8 @@ from flowloom.plans.inputs import table
 from flowloom.sources import files as file_src
 from flowloom.sources import pcap
 
+# How the captures of the queries name their sensor.
+NAMES = "([a-z]+-[0-9]+)-[0-9]+"
 QUERIES, ORACLES = {}, {}
 
 
@@ -53,11 +55,11 @@ _add(
 def frames(s, d):
     """Frames of all captures, found at any nesting depth."""
     leaves = file_src.expand_containers(packed_files(s, d)).filter("file_type = 'pcap' and error is null")
-    return pcap.read_pcap(quality.tag_source(leaves, "lab"))
+    return pcap.read_pcap(quality.tag_source(leaves, "lab", NAMES))
 
 
 _SQL_FRAMES = f"""(select *, file_no % 7 not in (5, 6) as kept, case when file_no % 3 = 0 then 'nano' else 'micro' end as precision,
- regexp_extract(path, '([a-z]{{2}}-[0-9]{{2}})', 1) as sensor_name from {DUCK_CAPTURED}) as f"""
+ regexp_extract(path, '{NAMES}', 1) as sensor_name from {DUCK_CAPTURED}) as f"""
 
 
 def _frame_rows(s, d):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from flowloom.operators.quality import SENSOR_PATTERN, tag_source
+from flowloom.operators.quality import tag_source
 from flowloom.sources.pcap import FRAME_SCHEMA, LINK_TYPES, MAGICS, frame_batches
 
 SPLIT_BYTES = 256 << 20
@@ -114,10 +114,10 @@ def scan_captures(
     spark: SparkSession,
     path: str,
     reference: str,
+    pattern: str,
     glob: str = "*",
     split_bytes: int = SPLIT_BYTES,
     precision: str = "header",
-    pattern: str = SENSOR_PATTERN,
     tasks: int | None = None,
 ) -> DataFrame:
     """Frames of all plain captures under ``path``, in the layout of ``read_pcap``.

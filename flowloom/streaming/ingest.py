@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.operators.quality import SENSOR_PATTERN, tag_source
+from flowloom.operators.quality import tag_source
 from flowloom.sources.files import expand_containers
 from flowloom.sources.pcap import decode_packets, read_pcap
 
@@ -34,7 +34,7 @@ def stream_directory(spark: SparkSession, path: str, glob: str = "*", max_files:
 
 
 def stream_captures(
-    spark: SparkSession, config: str, glob: str = "*", max_files: int = MAX_FILES, pattern: str = SENSOR_PATTERN
+    spark: SparkSession, config: str, pattern: str, glob: str = "*", max_files: int = MAX_FILES
 ) -> DataFrame:
     """Packets and rejects of all captures arriving in the configured directories."""
 

@@ -177,6 +177,7 @@ def zipped(entries):
     return out.getvalue()
 
 
+NAMES = r"([a-z]+-\d+)-\d+"
 CAPTURE = capture([(1, 0, ether(ipv4(6, tcp())))])
 
 
@@ -245,7 +246,7 @@ def test_read_files_classify_and_inventory(spark, tmp_path):
 
 def test_tag_source(spark):
     files = spark.createDataFrame([("/d/xy-07-123456.pcap", 5), ("/d/other", 6)], "path string, length long")
-    rows = quality.tag_source(files, "ref").collect()
+    rows = quality.tag_source(files, "ref", NAMES).collect()
     assert [(r.reference, r.sensor, r.source_file) for r in rows] == [
         ("ref", "xy-07", "/d/xy-07-123456.pcap|5"), ("ref", "ref", "/d/other|6"),
     ]
@@ -360,7 +361,7 @@ def test_any_number_of_tags_and_extension_headers(spark):
     v6 = struct.pack(">IHBB", 6 << 28, len(body), 0, 64) + bytes(15) + b"\x01" + bytes(15) + b"\x02" + body
     frames = capture([(1, 0, tagged), (2, 0, inner[:12] + b"\x86\xdd" + v6)])
     rows = spark.createDataFrame([("p", len(frames), bytearray(frames))], "path string, length long, content binary")
-    got = decode_packets(read_pcap(quality.tag_source(expand_containers(rows), "lab"))).orderBy("frame_no").collect()
+    got = decode_packets(read_pcap(quality.tag_source(expand_containers(rows), "lab", NAMES))).orderBy("frame_no").collect()
     assert [r.protocol for r in got] == ["tcp", "udp"] and got[1].bytes == 3
 
 
@@ -384,8 +385,8 @@ def frame_rows(df):
 
 @pytest.mark.parametrize("split_bytes", [1 << 30, 2000, 1])
 def test_ranges_give_what_whole_files_give(spark, captures, split_bytes):
-    whole = quality.tag_source(expand_containers(read_files(spark, str(captures))), "lab")
-    ranged = scan_captures(spark, str(captures), "lab", split_bytes=split_bytes)
+    whole = quality.tag_source(expand_containers(read_files(spark, str(captures))), "lab", NAMES)
+    ranged = scan_captures(spark, str(captures), "lab", NAMES, split_bytes=split_bytes)
     assert frame_rows(ranged) == frame_rows(read_pcap(whole))
 
 

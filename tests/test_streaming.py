@@ -13,7 +13,7 @@ from flowloom.streaming.ingest import parse_sources, stream_captures, stream_dir
 from flowloom.streaming.metrics import stream_metrics, stream_metrics_idle
 from flowloom.streaming.sessions import stream_counters, stream_sessions
 from test_sessions import COLUMNS, START, frame, packet, random_packets, spark_rows
-from test_sources import CAPTURE, capture, ether, ipv4, tcp, udp, zipped
+from test_sources import CAPTURE, NAMES, capture, ether, ipv4, tcp, udp, zipped
 
 MINUTE = 60 * 10**9
 
@@ -147,7 +147,7 @@ def test_watched_directory_to_stored_packets(spark, tmp_path):
     (inbox / "ab-01-000001.pcap").write_bytes(CAPTURE)
 
     def poll():
-        packets = stream_captures(spark, f"{inbox}|lab").filter("error is null")
+        packets = stream_captures(spark, f"{inbox}|lab", NAMES).filter("error is null")
         write_stream(packets.drop("ts"), f"{tmp_path}/packets", f"{tmp_path}/cp").awaitTermination()
 
     poll()
