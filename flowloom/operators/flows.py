@@ -470,6 +470,14 @@ def flow_packets(
     return tcp.unionByName(listed, allowMissingColumns=True)
 
 
+def with_flow_key(listed: DataFrame, flows: DataFrame) -> DataFrame:
+    """The packets of :func:`flow_packets` with ``flow_row_key``, the key of their row in the flow table."""
+    names = {c: f"_{c}" for c in (*KEY, "ts_ns")}
+    keys = flow_key(flows).select(*[F.col(c).alias(n) for c, n in names.items()], flow_row_key().alias("flow_row_key"))
+    same = [F.col(c).eqNullSafe(F.col(names[c])) for c in KEY] + [F.col("session_ts") == F.col("_ts_ns")]
+    return listed.join(keys, same).drop(*names.values())
+
+
 def add_stats(flows: DataFrame, stats: DataFrame) -> DataFrame:
     """Join :func:`flow_stats` to the flow table made from the same packets."""
     names = {c: f"_{c}" for c in (*KEY, "session_ts")}

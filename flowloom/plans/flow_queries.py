@@ -35,7 +35,7 @@ def _arrival_sql(direction: str) -> str:
     return ARRIVAL_SQL if direction == "asc" else "source_file desc nulls last, member desc nulls last, frame_no desc"
 
 
-_PLAIN_SRC = f"""select *, null::varchar as source_file, null::varchar as member, '' as reference, '' as sensor, 'tcp' as protocol, pkt_id as frame_no, ts_us * 1000 as ts_ns,
+_PLAIN_SRC = f"""select *, null::varchar as source_file, null::varchar as member, 'ipv4' as ip_version, '' as reference, '' as sensor, 'tcp' as protocol, pkt_id as frame_no, ts_us * 1000 as ts_ns,
  null::bigint as seq_num, null::bigint as ack_num from ({DUCK_PACKETS}) as ep"""
 _KEY_SQL = "reference, sensor, protocol, host_lo, port_lo, host_hi, port_hi"
 
@@ -107,6 +107,7 @@ tcp as (select s.reference, s.sensor, s.protocol, e.orig as id_orig_h,
  case when e.orig = s.host_lo then s.port_lo else s.port_hi end as id_orig_p,
  case when e.orig = s.host_lo then s.port_hi else s.port_lo end as id_resp_p,
  s.session_ts as ts_ns, max(s.ts_ns) as ts_end_ns, arg_min(s.frame_no, s.rn) as first_frame, e.conn_state,
+ arg_min(s.source_file, s.rn) as source_file, arg_min(s.ip_version, s.rn) as ip_version,
  count(*) filter (where s.id_orig_h = e.orig) as orig_pkts, count(*) filter (where s.id_orig_h <> e.orig) as resp_pkts,
  coalesce(sum(s.bytes) filter (where s.id_orig_h = e.orig), 0)::bigint as orig_bytes,
  coalesce(sum(s.bytes) filter (where s.id_orig_h <> e.orig), 0)::bigint as resp_bytes
@@ -128,7 +129,7 @@ def _untimed(protocol: str) -> str:
  count(*) filter (where p.id_orig_h = f.id_orig_h) as a_pkts, count(*) filter (where p.id_orig_h <> f.id_orig_h) as b_pkts,
  coalesce(sum(p.bytes) filter (where p.id_orig_h = f.id_orig_h), 0)::bigint as a_bytes,
  coalesce(sum(p.bytes) filter (where p.id_orig_h <> f.id_orig_h), 0)::bigint as b_bytes,
- {swap} as swapped, f.icmp_type, f.icmp_code, f.icmp_type_number, f.icmp_code_number
+ {swap} as swapped, f.source_file, f.ip_version, f.icmp_type, f.icmp_code, f.icmp_type_number, f.icmp_code_number
  from (select *, dense_rank() over (order by {flow_key}) as flow_no from mixed where {where}) p
  join (select *, dense_rank() over (order by {flow_key}) as flow_no from mixed where {where}
   qualify row_number() over (partition by {flow_key} order by ts_ns, {ARRIVAL_SQL}) = 1) f using (flow_no) group by all"""
@@ -138,14 +139,14 @@ def _untimed_flows(protocol: str) -> str:
     return f"""select reference, sensor, protocol, id_orig_h, id_resp_h, id_orig_p, id_resp_p, ts_ns, ts_end_ns, first_frame, conn_state,
  case when swapped then b_pkts else a_pkts end as orig_pkts, case when swapped then a_pkts else b_pkts end as resp_pkts,
  case when swapped then b_bytes else a_bytes end as orig_bytes, case when swapped then a_bytes else b_bytes end as resp_bytes,
- icmp_type, icmp_code, icmp_type_number, icmp_code_number from ({_untimed(protocol)}) as u"""
+ icmp_type, icmp_code, icmp_type_number, icmp_code_number, source_file, ip_version from ({_untimed(protocol)}) as u"""
 
 
 _WITH_MIXED = f"with recursive mixed as ({DUCK_MIXED_PACKETS})"
 _ALL_FLOWS = f"""{_WITH_MIXED}, {_tcp_flows("select * from mixed")},
 flows as (select reference, sensor, protocol, id_orig_h, id_resp_h, id_orig_p, id_resp_p, ts_ns, ts_end_ns, first_frame, conn_state,
   orig_pkts, resp_pkts, orig_bytes, resp_bytes, null::varchar as icmp_type, null::varchar as icmp_code,
-  null::integer as icmp_type_number, null::integer as icmp_code_number from tcp
+  null::integer as icmp_type_number, null::integer as icmp_code_number, source_file, ip_version from tcp
  union all {_untimed_flows("udp")} union all {_untimed_flows("icmp")} union all {_untimed_flows("ip")})"""
 _ID = ["reference", "sensor", "protocol", "id_orig_h", "id_resp_h", "id_orig_p", "id_resp_p", "ts_ns"]
 _ID_SQL = ", ".join(_ID)
@@ -222,16 +223,16 @@ def _flow_packets(s, d):
     return op.flow_packets(mixed_packets(s, d)).select(*_PACKET_ROW, packet_op.packet_row_key().alias("row_key"))
 
 
+_LISTED = f"""listed as (select * from sess qualify row_number() over (
+      partition by {_KEY_SQL}, session_ts, id_orig_h, ts_ns // 1000000, seq_num, ack_num order by {ARRIVAL_SQL}) = 1),
+    others as (select *, min(ts_ns) over (partition by {_KEY_SQL}) as session_ts from (with {_keyed("select * from mixed")} select * from keyed)
+      where protocol in ('udp','icmp') or (protocol = 'gre' and ip_version = 'ipv4')),
+    flow_packets as (select {', '.join(_PACKET_ROW)}, {SQL_ROW_KEY} as row_key from listed
+     union all select {', '.join(_PACKET_ROW)}, {SQL_ROW_KEY} as row_key from others)"""
 _add(
     "c8_flow_packets",
     _flow_packets,
-    f"""{_WITH_MIXED}, {_sessions("select * from mixed")},
-    listed as (select * from sess qualify row_number() over (
-      partition by {_KEY_SQL}, session_ts, id_orig_h, ts_ns // 1000000, seq_num, ack_num order by {ARRIVAL_SQL}) = 1),
-    others as (select *, min(ts_ns) over (partition by {_KEY_SQL}) as session_ts from (with {_keyed("select * from mixed")} select * from keyed)
-      where protocol in ('udp','icmp') or (protocol = 'gre' and ip_version = 'ipv4'))
-    select {', '.join(_PACKET_ROW)}, {SQL_ROW_KEY} as row_key from listed
-    union all select {', '.join(_PACKET_ROW)}, {SQL_ROW_KEY} as row_key from others""",
+    f"""{_WITH_MIXED}, {_sessions("select * from mixed")}, {_LISTED} select * from flow_packets""",
 )
 _SQL_FLOW_UID = """sha256(concat_ws('|', reference, sensor, protocol, id_orig_h, id_resp_h, coalesce(id_orig_p::varchar, '\\N'),
  coalesce(id_resp_p::varchar, '\\N'), first_frame::varchar, ts_ns::varchar))"""
@@ -342,21 +343,21 @@ def _flow_table_with_stats(s, d):
     return _rounded(op.add_stats(op.summarise(rows, pieces=pieces), op.flow_stats(rows, pieces=pieces)), [*_ID, "first_frame"])
 
 
-_add(
-    "c4_flow_table_stats",
-    _flow_table_with_stats,
-    f"""{_ALL_FLOWS}, kept as (select * from sess qualify row_number() over (
+_FLOWS_WITH_STATS = f"""{_ALL_FLOWS}, kept as (select * from sess qualify row_number() over (
       partition by {_KEY_SQL}, session_ts, id_orig_h, ts_ns // 1000000, seq_num, ack_num order by {ARRIVAL_SQL}) = 1),
     untimed as (select reference, sensor, protocol, least(id_orig_h, id_resp_h) as host_lo, greatest(id_orig_h, id_resp_h) as host_hi,
       least(id_orig_p, id_resp_p) as p1, greatest(id_orig_p, id_resp_p) as p2, min(ts_ns) as session_ts, {_stats_sql('bytes')}
       from mixed where protocol in ('udp','icmp') or (protocol = 'gre' and ip_version = 'ipv4') group by all),
     timed as (select reference, sensor, protocol, host_lo, host_hi, least(port_lo, port_hi) as p1, greatest(port_lo, port_hi) as p2,
-      session_ts, {_stats_sql('bytes')} from kept group by all)
-    select f.reference, f.sensor, f.protocol, id_orig_h, id_resp_h, id_orig_p, id_resp_p, ts_ns, first_frame,
-     bytes_min, bytes_mean, bytes_median, bytes_max, bytes_std_dev
+      session_ts, {_stats_sql('bytes')} from kept group by all),
+    with_stats as (select f.*, bytes_min, bytes_mean, bytes_median, bytes_max, bytes_std_dev
     from flows f join (select * from untimed union all select * from timed) t on t.reference = f.reference and t.sensor = f.sensor
      and t.protocol = f.protocol and t.session_ts = f.ts_ns and host_lo = least(id_orig_h, id_resp_h) and host_hi = greatest(id_orig_h, id_resp_h)
-     and p1 is not distinct from least(id_orig_p, id_resp_p) and p2 is not distinct from greatest(id_orig_p, id_resp_p)""",
+     and p1 is not distinct from least(id_orig_p, id_resp_p) and p2 is not distinct from greatest(id_orig_p, id_resp_p))"""
+_add(
+    "c4_flow_table_stats",
+    _flow_table_with_stats,
+    f"""{_FLOWS_WITH_STATS} select {_ID_SQL}, first_frame, bytes_min, bytes_mean, bytes_median, bytes_max, bytes_std_dev from with_stats""",
 )
 
 

@@ -12,8 +12,8 @@ from flowloom.operators import events as event_op
 from flowloom.operators import flows as flow_op
 from flowloom.operators import packets as packet_op
 from flowloom.plans import dims
-from flowloom.plans.event_queries import _RAW
-from flowloom.plans.flow_queries import _ALL_FLOWS, _SQL_FLOW_ROW_KEY
+from flowloom.plans.event_queries import _RAW, _SQL_IP
+from flowloom.plans.flow_queries import _ALL_FLOWS, _FLOWS_WITH_STATS, _LISTED, _SQL_FLOW_ROW_KEY
 from flowloom.plans.inputs import (
     DUCK_MIXED_PACKETS,
     EVENT_FIELD_NAMES,
@@ -70,41 +70,52 @@ _add(
 )
 _FLOW_COLUMNS = {
     "ts_ns", "ts_end_ns", "nanos", "reference", "sensor", "id_orig_h", "id_resp_h", "id_orig_p", "id_resp_p", "icmp_type",
-    "icmp_code", "protocol", "orig_bytes", "resp_bytes", "orig_pkts", "resp_pkts", "conn_state",
+    "icmp_code", "protocol", "orig_bytes", "resp_bytes", "orig_pkts", "resp_pkts", "conn_state", "duration_s", "ip_version",
+    "source_file", "bytes_min", "bytes_mean", "bytes_median", "bytes_max", "bytes_std_dev",
 }
 
 
 def _flow_cells(s, d):
-    flows = flow_op.summarise(mixed_packets(s, d)).drop("duration_s", "ip_version", "source_file", "service")
+    """Every qualifier of a flow; the derived packets know no service, so that one stays empty."""
+    rows = mixed_packets(s, d)
+    pieces = flow_op.tcp_pieces(rows)
+    flows = flow_op.add_stats(flow_op.summarise(rows, pieces=pieces), flow_op.flow_stats(rows, pieces=pieces))
     return _hexed(op.flow_cells(flows, flow_op.flow_row_key()))
 
 
 _add(
     "g1_flow_cells",
     _flow_cells,
-    f"""{_ALL_FLOWS}, cell_src as (select *, (ts_ns % 1000000000)::integer as nanos from flows)
+    f"""{_FLOWS_WITH_STATS}, cell_src as (select *, (ts_ns % 1000000000)::integer as nanos, (ts_end_ns - ts_ns) / 1e9 as duration_s from with_stats)
      {_sql_cells('cell_src', _SQL_FLOW_ROW_KEY, op.FLOW_CELLS, _FLOW_COLUMNS)}""",
 )
 
 
 def _payload_cells(s, d):
-    """Payload cells of the UDP flows: every packet under its flow's key."""
-    packets = mixed_packets(s, d).filter("protocol = 'udp'").withColumn("packet_key", packet_op.packet_row_key())
-    packets = packets.withColumn("flow_key", F.concat_ws("|", "reference", "sensor", F.least("id_orig_h", "id_resp_h")))
-    packets = packets.withColumn("payload", F.col("bytes").cast("string"))
-    return _hexed(op.flow_payload_cells(packets, "flow_key", "packet_key", "payload", "ts_ns"))
+    """Payload cells of all flows: every packet, TCP copies once, under its flow's key."""
+    rows = mixed_packets(s, d)
+    pieces = flow_op.tcp_pieces(rows)
+    listed = flow_op.with_flow_key(flow_op.flow_packets(rows, pieces=pieces), flow_op.summarise(rows, pieces=pieces))
+    listed = listed.withColumns({"packet_key": packet_op.packet_row_key(), "payload": F.col("bytes").cast("string")})
+    return _hexed(op.flow_payload_cells(listed, "flow_row_key", "packet_key", "payload", "session_ts"))
 
 
 _add(
     "g1_payload_cells",
     _payload_cells,
-    f"""select concat_ws('|', reference, sensor, least(id_orig_h, id_resp_h)) as row_key, 'PLD' as family, {SQL_ROW_KEY} as qualifier,
-     hex(encode(bytes::varchar)) as value, ts_ns // 1000000 as cell_ts from {_MIXED} where protocol = 'udp'""",
+    f"""{_ALL_FLOWS}, {_LISTED},
+     keyed_flows as (select *, {_SQL_FLOW_ROW_KEY} as flow_row_key, case when id_orig_h < id_resp_h then id_orig_p else id_resp_p end as p_lo,
+      case when id_orig_h < id_resp_h then id_resp_p else id_orig_p end as p_hi from flows)
+     select flow_row_key as row_key, 'PLD' as family, p.row_key as qualifier, hex(encode(p.bytes::varchar)) as value, session_ts // 1000000 as cell_ts
+     from flow_packets p join keyed_flows f on f.reference = p.reference and f.sensor = p.sensor and f.protocol = p.protocol and f.ts_ns = p.session_ts
+      and host_lo = least(f.id_orig_h, f.id_resp_h) and host_hi = greatest(f.id_orig_h, f.id_resp_h)
+      and port_lo is not distinct from p_lo and port_hi is not distinct from p_hi""",
 )
 
 
 def _event_cells(s, d):
-    rows = event_op.drop_empty(event_op.residual_fields(event_op.typed_fields(event_fields(s, d))))
+    rows = event_op.describe_events(event_op.residual_fields(event_op.typed_fields(event_fields(s, d))), dims.dim(s, dims.EVENTS))
+    rows = event_op.drop_empty(rows.withColumn("data", event_op.normalise_ips("data")))
     rows = rows.filter("error is null and ts is not null")
     return _hexed(op.event_cells(rows, stable_uid("sensor", "row_id")))
 
@@ -121,17 +132,19 @@ def _event_cells_sql() -> str:
         value = f"coalesce({value}, {default[c]})"
         cols.append(f"nullif({value}, '') as {c}" if c in event_op.OMITTED_WHEN_EMPTY else f"{value} as {c}")
     opened = [n for n in EVENT_FIELD_NAMES if n.startswith("eventdata_")]
-    src = f"""with cell_src as (select row_id, sensor, {', '.join(cols)}, {', '.join(o + ' as o_' + o for o in opened)},
-      epoch_us(try_cast(system_timecreated_systemtime as timestamp)) * 1000 as ts_ns from {_RAW}
+    src = f"""with described as (select event_id as d_id, arg_max(description, rank) as d_text from {dims.EVENTS} group by event_id),
+     cell_src as (select row_id, sensor, coalesce(d_text, '') as description, {', '.join(cols)}, {', '.join(o + ' as o_' + o for o in opened)},
+      epoch_us(try_cast(system_timecreated_systemtime as timestamp)) * 1000 as ts_ns from {_RAW} left join described on d_id = coalesce(try_cast(system_eventid as bigint), 0)
       where try_cast(system_timecreated_systemtime as timestamp) is not null
        and (system_eventid is null or try_cast(system_eventid as integer) is not null)
        and (system_task is null or try_cast(system_task as integer) is not null))"""
     key = "sha256(sensor || '|' || row_id::varchar)"
-    spec = [x for x in op.EVENT_CELLS if x[2] != "description"]
-    named = _sql_cells("cell_src", key, spec, {*_EVENT_SQL_COLUMNS, "ts_ns"})
+    named = _sql_cells("cell_src", key, op.EVENT_CELLS, {*_EVENT_SQL_COLUMNS, "ts_ns", "description"})
     more = []
     for o in opened:
         value = _SQL_ENCODE["text"].format(c=f"o_{o}")
+        if o == "eventdata_data_ipaddress":
+            value = _SQL_ENCODE["text"].format(c=_SQL_IP.replace(o, f"o_{o}"))
         if o == "eventdata_data_starttime":
             value = _SQL_ENCODE["instant"].format(c=f"(epoch_us(o_{o}::timestamp) * 1000)")
         more.append(

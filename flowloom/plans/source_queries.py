@@ -106,7 +106,7 @@ def _sessions_from_bytes(s, d):
 
 
 _SQL_AS_PACKETS = f"""select 'lab' as reference, sensor_name as sensor, protocol, ts_ns, place as frame_no,
- path as source_file, null::varchar as member, {_SQL_HOST.format(c='id_orig_h')} as id_orig_h, {_SQL_HOST.format(c='id_resp_h')} as id_resp_h, id_orig_p, id_resp_p,
+ path as source_file, null::varchar as member, ip_version, {_SQL_HOST.format(c='id_orig_h')} as id_orig_h, {_SQL_HOST.format(c='id_resp_h')} as id_resp_h, id_orig_p, id_resp_p,
  syn, ack, rst, fin, seq_num, ack_num, bytes from {_SQL_FRAMES} where kept and framed"""
 _add(
     "a5_capture_sessions",
