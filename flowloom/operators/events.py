@@ -238,6 +238,25 @@ def computer_parts(
     return out.withColumn("error", F.coalesce("error", error) if "error" in out.columns else error)
 
 
+def tag_origin(
+    logs: DataFrame,
+    reference: str,
+    pattern: str | dict[int, str],
+    codes: DataFrame,
+    path: str = "path",
+    groups: Sequence[str] = ("code", "site", "number"),
+    version: int = 1,
+) -> DataFrame:
+    """Add ``reference`` and ``sensor``, the parts of the log file's name joined by dots.
+
+    A name that does not decode leaves ``sensor`` NULL and says why in ``decode_error``.
+    """
+    out = decode_name(logs, path, pattern, codes, groups, version)
+    sensor = F.when(F.col("decode_error").isNull(), F.concat_ws(".", *groups))
+    tagged = out.withColumns({"reference": F.lit(reference), "sensor": sensor})
+    return tagged.drop(*groups, "code_description")
+
+
 def event_row_key(uid: Column) -> Column:
     return F.concat_ws(
         "|", F.col("event_id").cast("string"), "computer", F.col("record_id").cast("string"), uid

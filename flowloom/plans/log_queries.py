@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowloom.operators import events as event_op
 from flowloom.plans.captures import EVENTS_PER_FILE, event_logs
-from flowloom.plans.event_queries import _RAW
+from flowloom.plans.event_queries import _RAW, _SQL_TYPED
 from flowloom.plans.inputs import EVENT_FIELD_NAMES, event_fields
 from flowloom.sources.event_logs import flatten_event, read_evtx
 
@@ -48,6 +48,19 @@ _add(
       case when try_cast(system_timecreated_systemtime as timestamp) is not null then 'FiletimeTypeNode'
        when system_timecreated_systemtime is not null then 'WStringTypeNode' end as time_type, null::varchar as error from {_RAW}""",
 )
+
+
+def _log_events(s, d):
+    """Log files to typed events in one plan."""
+    typed = event_op.typed_fields(read_evtx(event_logs(s, d)).withColumn("row_id", F.col("record_id")).drop("error"))
+    return typed.select("row_id", "event_id", "version", "level", "opcode", "channel", "computer", F.unix_micros("ts").alias("ts_us"), "error")
+
+
+_add(
+    "a6_log_events",
+    _log_events,
+    f"""select row_id, event_id, version, level, opcode, channel, computer, ts_us, error from (select row_id, {_SQL_TYPED} from {_RAW}) as t""",
+)
 _SYSTEM_TAGS = (
     ("Provider", {"Name": "SYSTEM_PROVIDER_NAME", "Guid": "SYSTEM_PROVIDER_GUID"}, None),
     ("EventID", {"Qualifiers": "SYSTEM_EVENTID_QUALIFIERS"}, "SYSTEM_EVENTID"),

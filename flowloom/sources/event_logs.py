@@ -358,6 +358,10 @@ _LOG_TYPES = [
 ]
 
 
+#: Capture tags that a log's records keep.
+TAGS = ("reference", "sensor")
+
+
 def log_chunks(logs: DataFrame) -> DataFrame:
     """One row per chunk of each log file (needs source_file, member, content), a last partial one included.
 
@@ -365,28 +369,31 @@ def log_chunks(logs: DataFrame) -> DataFrame:
     """
     starts = F.sequence(F.lit(_FILE_HEADER), F.length("content") - 1, F.lit(_CHUNK))
     starts = F.when(F.length("content") > _FILE_HEADER, starts)
-    chunks = logs.select("source_file", "member", "content", F.posexplode(starts).alias("chunk_no", "start"))
+    tags = [c for c in TAGS if c in logs.columns]
+    chunks = logs.select("source_file", "member", *tags, "content", F.posexplode(starts).alias("chunk_no", "start"))
     body: Column = F.substring("content", F.col("start") + 1, F.lit(_CHUNK))
-    chunks = chunks.select("source_file", "member", "chunk_no", body.alias("chunk"))
+    chunks = chunks.select("source_file", "member", *tags, "chunk_no", body.alias("chunk"))
     return chunks.filter(F.hex("chunk").rlike("[^0]"))
 
 
 def read_evtx(logs: DataFrame, rebalance: bool = True) -> DataFrame:
     """One row per record with its ``fields``, or ``error`` where it does not decode.
 
-    ``rebalance`` spreads chunks evenly first, so that one large log is not one task.
+    ``rebalance`` spreads chunks evenly first, so that one large log is not one task. ``reference`` and ``sensor`` of
+    the logs, where they have them, are kept.
     """
-    names = ["source_file", "member", "chunk_no", "record_id", "written_ns", "fields", "error"]
+    tags = [c for c in TAGS if c in logs.columns]
+    names = ["source_file", "member", "chunk_no", "record_id", "written_ns", "fields", "error", *tags]
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 found = [
-                    (row["source_file"], row["member"], row["chunk_no"], number, written, _entries(fields), error)
+                    (row["source_file"], row["member"], row["chunk_no"], number, written, _entries(fields), error, *(row[c] for c in tags))
                     for number, written, fields, error in _records(row["chunk"])
                 ]
                 if found:
-                    columns = [pa.array(c, t) for c, t in zip(zip(*found), _LOG_TYPES)]
+                    columns = [pa.array(c, t) for c, t in zip(zip(*found), [*_LOG_TYPES, *[pa.string()] * len(tags)])]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def _entries(fields):
@@ -394,4 +401,4 @@ def read_evtx(logs: DataFrame, rebalance: bool = True) -> DataFrame:
 
     chunks = log_chunks(logs)
     chunks = chunks.hint("rebalance") if rebalance else chunks
-    return chunks.mapInArrow(run, _LOG_SCHEMA)
+    return chunks.mapInArrow(run, _LOG_SCHEMA + "".join(f", {c} string" for c in tags))

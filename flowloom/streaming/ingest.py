@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.operators.quality import tag_source
+from flowloom.sources.event_logs import TAGS, read_evtx
 from flowloom.sources.files import expand_containers
 from flowloom.sources.pcap import decode_packets, read_pcap
 
@@ -33,6 +34,21 @@ def stream_directory(spark: SparkSession, path: str, glob: str = "*", max_files:
     return reader.option("maxFilesPerTrigger", max_files).load(path).filter("length > 0")
 
 
+def stream_event_logs(spark: SparkSession, config: str, pattern: str, glob: str = "*", max_files: int = MAX_FILES) -> DataFrame:
+    """Decoded records and rejects of all event logs arriving in the configured directories, packed or not.
+
+    The rows are the input of ``events.typed_events``. Each damaged container is one row with its ``error``.
+    """
+
+    def one(path: str, reference: str) -> DataFrame:
+        leaves = tag_source(expand_containers(stream_directory(spark, path, glob, max_files)), reference, pattern)
+        records = read_evtx(leaves.filter((F.col("file_type") == "evtx") & F.col("error").isNull()), rebalance=False)
+        broken = leaves.filter(F.col("error").isNotNull()).select("source_file", "member", "error", *TAGS)
+        return records.unionByName(broken, allowMissingColumns=True)
+
+    return reduce(DataFrame.unionByName, [one(*source) for source in parse_sources(config)])
+
+
 def stream_captures(
     spark: SparkSession, config: str, pattern: str, glob: str = "*", max_files: int = MAX_FILES
 ) -> DataFrame:
@@ -40,8 +56,10 @@ def stream_captures(
 
     def one(path: str, reference: str) -> DataFrame:
         leaves = expand_containers(stream_directory(spark, path, glob, max_files))
-        captures = leaves.filter((F.col("file_type") == "pcap") & F.col("error").isNull())
-        return read_pcap(tag_source(captures, reference, pattern=pattern))
+        tagged = tag_source(leaves, reference, pattern)
+        broken = tagged.filter(F.col("error").isNotNull()).select("source_file", "member", "error", *TAGS)
+        frames = read_pcap(tagged.filter((F.col("file_type") == "pcap") & F.col("error").isNull()))
+        return frames.unionByName(broken, allowMissingColumns=True)
 
     frames = [one(*source) for source in parse_sources(config)]
     return decode_packets(reduce(DataFrame.unionByName, frames))

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from flowloom.operators import flows
 from flowloom.operators.cells import write_stream
+from flowloom.operators.events import tag_origin, typed_fields
 from flowloom.operators.metrics import event_metrics, rollup_metrics
 from flowloom.operators.sessions import IDLE_S
-from flowloom.streaming.ingest import parse_sources, stream_captures, stream_directory
+from flowloom.plans.captures import log_file
+from flowloom.streaming.ingest import parse_sources, stream_captures, stream_directory, stream_event_logs
 from flowloom.streaming.metrics import stream_metrics, stream_metrics_idle
 from flowloom.streaming.sessions import stream_counters, stream_sessions
 from test_sessions import COLUMNS, START, frame, packet, random_packets, spark_rows
-from test_sources import CAPTURE, NAMES, capture, ether, ipv4, tcp, udp, zipped
+from test_sources import CAPTURE, EVENT, NAMES, capture, ether, ipv4, tcp, udp, zipped
 
 MINUTE = 60 * 10**9
 
@@ -177,3 +179,27 @@ def test_source_config():
         with pytest.raises(ValueError):
             parse_sources(wrong)
 
+
+
+def test_event_logs_stream_to_typed_events(spark, tmp_path):
+    """Logs in containers, a cut one and a broken container, in two micro-batches."""
+    inbox = tmp_path / "logs"
+    inbox.mkdir()
+    (inbox / "xy-07-000001.zip").write_bytes(zipped([("a.evtx", log_file([(i, EVENT) for i in range(30)])), ("notes", b"n")]))
+    (inbox / "xy-08-000002.evtx").write_bytes(log_file([(i, EVENT) for i in range(5)])[: 4096 + 3000])
+    (inbox / "xy-09-000003.gz").write_bytes(b"\x1f\x8b\x08 broken")
+    records = drain(stream_event_logs(spark, f"{inbox}|lab", NAMES, max_files=1), tmp_path)
+    good = typed_fields(records.filter("error is null").drop("error")).filter("error is null")
+    assert good.filter("sensor = 'xy-07'").count() == 30
+    assert {(r.reference, r.event_id) for r in good.select("reference", "event_id").distinct().collect()} == {("lab", 4624)}
+    errors = [(r.sensor, r.error) for r in records.filter("error is not null").collect()]
+    assert ("xy-08", "truncated chunk") in errors and any(s == "xy-09" for s, _ in errors)
+
+
+def test_origin_of_a_log(spark):
+    logs = spark.createDataFrame([("/in/AB.north.7.evtx",), ("/in/zz.north.7.evtx",), ("odd",)], "path string")
+    codes = spark.createDataFrame([("ab", "desk"), ("ab", "another")], "code string, description string")
+    rows = tag_origin(logs, "lab", r"([A-Z]{2})\.([A-Z]+)\.([0-9]+)\.EVTX", codes).orderBy("path").collect()
+    assert [(r.reference, r.sensor, r.decode_error) for r in rows] == [
+        ("lab", "AB.NORTH.7", None), ("lab", None, "unknown code"), ("lab", None, "name does not match"),
+    ]
