@@ -78,7 +78,7 @@ QUERIES["op6_quality_classifier"] = op6_quality_classifier
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return rules.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).select(*columns)
+    return rules.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"), keep=["doc_id"]).select(*columns)
 
 
 QUERIES["op7_quality_rules"] = op7_quality_rules

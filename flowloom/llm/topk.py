@@ -91,7 +91,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
     def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         lists = table["v"].combine_chunks()
         ids = table["vec_id"].to_numpy()
-        return ids, np.asarray(lists.flatten(), "i8").reshape(len(ids), -1)
+        sizes = set(lists.value_lengths().to_pylist())
+        if len(sizes) > 1:
+            raise ValueError("vectors must have one dimension")
+        return ids, np.asarray(lists.flatten(), "i8").reshape(len(ids), sizes.pop())
 
     def cell(asked: pa.Table, there: pa.Table) -> pa.Table:
         out = [[], [], []]
