@@ -22,7 +22,7 @@ LEAST_CONFIDENCE = 0.4
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie within the fences of their language and source."""
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source")
-    return rules.quality_rules(rows, keep=["_row"]).filter("kept").select("_row.*")
+    return rules.quality_rules(rows, keep=["_row"], stored=False).filter("kept").select("_row.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

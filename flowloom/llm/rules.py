@@ -142,14 +142,15 @@ def judge(measured: DataFrame, lang: str = "lang", source: str = "source") -> Da
     return named.select(*measured.columns, (~F.col("base_failed") & F.coalesce(ok, F.lit(True))).alias("kept"))
 
 
-def quality_rules(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", keep: list[str] | None = None) -> DataFrame:
+def quality_rules(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", keep: list[str] | None = None, stored: bool = True) -> DataFrame:
     """All rows and the ``keep`` columns (all by default) of ``df`` with counts, measures, ``base_failed`` and ``kept``.
 
-    Counts and measures are made once, written with the kept columns, and read twice: for the sketches and for the
-    filter. Columns of ``df`` named like an added one give way to it.
+    Counts and measures are needed twice, for the sketches and for the filter. They are written once with the kept
+    columns, or worked out again if not ``stored``, which spares the disk where whole texts are kept. Columns of ``df``
+    named like an added one give way to it.
     """
     measured = measure(df, text)
     if keep is not None:
         measured = measured.select(*dict.fromkeys([*keep, lang, source]), *(c for c in ADDED if c != "kept"))
-    judged = judge(shared_table(measured), lang, source)
+    judged = judge(shared_table(measured) if stored else measured, lang, source)
     return judged if keep is None else judged.select(*keep, *ADDED)
