@@ -22,7 +22,7 @@ from flowloom.llm.common import per_process, shared_table, slices
 #: Bytes of text that a task tokenises at a time.
 SLICE_BYTES = 4 << 20
 #: Distinct words that a task remembers; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Steps of the least squares fit. Its time does not depend on the number of pieces.
 FIT_STEPS = 250
 #: Pieces that one salt of a length ranks within a task, about.
