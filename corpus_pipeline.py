@@ -13,16 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.llm import jaccard, langid, packing, rules, secrets
-from flowloom.llm.common import documents, shared_table
+from flowloom.llm.common import documents, shared_table, whole
 
 #: A document whose language is this uncertain goes.
 LEAST_CONFIDENCE = 0.4
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and lie within the fences of their language and source."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source")
-    return rules.quality_rules(rows, keep=["_row"], stored=False).filter("kept").select("_row.*")
+    """Documents that pass the base rules and lie within the fences of their language and source.
+
+    A verdict depends on these and on the text alone, so the rejected ones are named by the text's digest and the texts
+    themselves are not written a second time.
+    """
+    digest = F.md5(whole("text"))
+    judged = rules.quality_rules(docs.select(digest.alias("_digest"), "text", "lang", "source"), keep=["_digest", "lang", "source"])
+    names = {"_digest": "_d", "lang": "_l", "source": "_s"}
+    rejected = judged.filter(~F.col("kept")).select(*[F.col(c).alias(n) for c, n in names.items()]).distinct()
+    same = (digest == rejected["_d"]) & docs["lang"].eqNullSafe(rejected["_l"]) & docs["source"].eqNullSafe(rejected["_s"])
+    return docs.join(rejected, same, "left_anti")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
