@@ -21,9 +21,11 @@ KINDS = ["assign", "access", "hex", "entropy"]
 WINDOW = 20
 #: Bits per character that a window of a class must exceed. The classes are tried in this order.
 CLASSES = [("[0-9]+", 9.0), ("[0-9a-f]+", 3.25), ("[A-Za-z]+", 9.0), ("[A-Za-z0-9+/_=-]+", 3.75)]
+#: A part between delimiters that names itself a placeholder. A longer part can spell such a word by chance.
+PLACEHOLDER = r"(?=[A-Za-z0-9+_]{1,80}(?![A-Za-z0-9+_]))[A-Za-z0-9+_]*?(?:(?i:example|placeholder|changeme|xxxx|dummy|sample))[A-Za-z0-9+_]*"
 #: Candidates that are no secrets: placeholders, UUIDs, and paths and names whose parts never mix letters and digits.
 ALLOW = [
-    r"(?i).*(?:example|placeholder|changeme|xxxx|dummy|sample).*",
+    PLACEHOLDER,
     r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}",
     r"(?!.*(?:[A-Za-z][0-9]|[0-9][A-Za-z])).*",
 ]
@@ -100,12 +102,31 @@ def window_spans(value: Column, window: int = WINDOW, threshold: Column | None =
     return F.aggregate(F.transform(moves, lambda m, i: F.struct(m.alias("m"), i.alias("at"))), empty, step, lambda a: a["spans"])
 
 
-def scan(df: DataFrame, text: str = "text", allow: list[str] | None = None) -> DataFrame:
+def outside(c: Column, cuts: Column, least: int = WINDOW) -> Column:
+    """What lies of the span ``c`` outside the spans ``cuts``: the pieces of ``least`` characters or more."""
+    none = F.filter(F.array(c), lambda x: F.lit(False))
+
+    def piece(start: Column, end: Column) -> Column:
+        value = F.substr(c["value"], (start - c["start"] + 1).cast("int"), (end - start).cast("int"))
+        made = F.struct(start.alias("start"), end.alias("end"), c["kind"].alias("kind"), value.alias("value"))
+        return F.when(end - start >= least, F.array(made)).otherwise(none)
+
+    def step(a: Column, x: Column) -> Column:
+        return F.struct(F.greatest(a["at"], x["end"]).alias("at"), F.concat(a["pieces"], piece(a["at"], x["start"])).alias("pieces"))
+
+    met = F.array_sort(F.filter(cuts, lambda x: (x["start"] < c["end"]) & (c["start"] < x["end"])))
+    begin = F.struct(c["start"].alias("at"), none.alias("pieces"))
+    cut = F.aggregate(met, begin, step, lambda a: F.concat(a["pieces"], piece(a["at"], c["end"])))
+    return F.when(F.size(met) > 0, cut).otherwise(F.array(c))
+
+
+def scan(df: DataFrame, text: str = "text", allow: list[str] | None = None, placeholder: str = PLACEHOLDER) -> DataFrame:
     """Adds ``secrets``, an array of (start, end, kind, value) by start, then kind as in ``KINDS``.
 
-    Positions are code points of the whole text, the end exclusive. ``kind`` is a number into ``KINDS``. Entropy spans
-    that overlap one of a fixed pattern are left out. A null or empty text has none. Columns of ``df`` stay, except
-    one named ``secrets``.
+    Positions are code points of the whole text, the end exclusive. ``kind`` is a number into ``KINDS``. Spans of fixed
+    patterns and parts that match ``placeholder`` are cut out of a candidate; each piece left that is long enough is a
+    candidate of its own, unless all of it matches one of ``allow``. So no entropy span overlaps one of a fixed
+    pattern. A null or empty text has none. Columns of ``df`` stay, except one named ``secrets``.
     """
     allow = ALLOW if allow is None else allow
     kept = [c for c in df.columns if c != "secrets"]
@@ -114,13 +135,20 @@ def scan(df: DataFrame, text: str = "text", allow: list[str] | None = None) -> D
     for kind, pattern, group, least in (("assign", ASSIGN, 2, 8), ("access", ACCESS, 0, 16), ("hex", HEX, 0, 32), ("entropy", CANDIDATE, 0, 20)):
         helpers, spans[kind] = matches("_text", pattern, kind, group, least)
         df = df.withColumns(helpers)
-    df = df.select(*kept, "_text", F.concat(spans["assign"], spans["access"], spans["hex"]).alias("_base"), spans["entropy"].alias("_candidates"))
+    df = df.select(*kept, "_text", F.concat(spans["assign"], spans["access"], spans["hex"]).alias("_base"), spans["entropy"].alias("_runs"))
+
+    # Only texts with a candidate are searched for placeholders.
+    df = df.withColumn("_long", F.when(F.size("_runs") > 0, F.col("_text")))
+    helpers, named = matches("_long", rf"(?<![A-Za-z0-9+_]){placeholder}", "entropy")
+    df = df.withColumns(helpers).withColumn("_cuts", F.when(F.size("_runs") > 0, F.concat("_base", named)))
+    pieces = F.flatten(F.transform("_runs", lambda c: outside(c, F.col("_cuts"))))
+    df = df.select(*kept, "_text", "_base", F.when(F.size("_cuts") > 0, pieces).otherwise(F.col("_runs")).alias("_candidates"))
 
     def fresh(c: Column) -> Column:
         listed = F.lit(False)
         for pattern in allow:
             listed = listed | c["value"].rlike(f"^(?:{pattern})$")
-        return ~listed & (_threshold(c["value"]) < 9) & ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+        return ~listed & (_threshold(c["value"]) < 9)
 
     df = df.withColumn("_candidates", F.filter("_candidates", fresh))
 

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import string
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -145,6 +146,41 @@ def test_secrets_of_odd_texts(spark):
     assert secrets.scan(df.limit(0)).count() == 0
 
 
+def spelled(spark, texts):
+    """The values of the entropy spans of each text."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: [s.value for s in r.secrets if s.kind == 3] for r in secrets.scan(df).collect()}
+    return [rows[i] for i in range(len(texts))]
+
+
+def test_secrets_beside_patterns_and_placeholders(spark):
+    random.seed(5)
+    key = "k3Y9Zx81Qw7Lp0Rt5UvB2nM4cD6eF8gHjKsTaWqE"
+    digest, blob = "0123456789abcdef" * 2, "".join(random.choices(string.ascii_letters + string.digits, k=3000))
+    found = spelled(
+        spark,
+        [
+            f"{digest}/{key}",
+            f"{key}/token=abcdefgh",
+            f"samples/prod/{key}",
+            f"{blob}xXxX{blob}",
+            f"{blob}{digest}{blob}",
+            f"{key}/{digest}/{key[::-1]}=sample",
+            f"AKIAABCDEFGHIJKL/{digest}",
+            "a_example_k3y9Zx81Qw7Lp0Rt5",
+            f"path/sample_{key}",
+            f"{digest}/{key[:15]}",
+        ],
+    )
+    for i in range(3):
+        assert any(key in v for v in found[i])
+    assert "".join(found[3]) == f"{blob}xXxX{blob}"
+    # The hex run takes what hex characters of the blob stand beside it.
+    assert sum(map(len, found[4])) > 2 * len(blob) - 20
+    assert any(key in v for v in found[5]) and any(key[::-1] in v for v in found[5])
+    assert found[6:] == [[], [], [], []]
+
+
 # Jaccard join
 
 
