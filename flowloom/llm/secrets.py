@@ -20,14 +20,19 @@ KINDS = ["assign", "access", "hex", "entropy"]
 #: Characters in an entropy window.
 WINDOW = 20
 #: Bits per character that a window of a class must exceed. The classes are tried in this order.
-CLASSES = [("[0-9]+", 9.0), ("[0-9a-f]+", 3.25), ("[A-Za-z]+", 9.0), ("[A-Za-z0-9+/_=-]+", 3.75)]
+CLASSES = [("[0-9]+", 2.8), ("[0-9a-f]+", 3.25), ("[0-9A-F]+", 3.25), ("[A-Za-z]+", 3.75), ("[A-Za-z0-9+/_=-]+", 3.75)]
+#: Words of one class inside a run, which have their own threshold whatever stands beside them.
+PURE = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9]{20})(?:[0-9]++|[0-9a-f]++|[0-9A-F]++|[A-Za-z]++)(?![A-Za-z0-9])"
 #: A part between delimiters that names itself a placeholder. A longer part can spell such a word by chance.
 PLACEHOLDER = r"(?=[A-Za-z0-9+_]{1,80}(?![A-Za-z0-9+_]))[A-Za-z0-9+_]*?(?:(?i:example|placeholder|changeme|xxxx|dummy|sample))[A-Za-z0-9+_]*"
-#: Candidates that are no secrets: placeholders, UUIDs, and paths and names whose parts never mix letters and digits.
+#: Candidates that are no secrets: placeholders, UUIDs, paths and names whose parts never mix letters and digits, and
+#: plain numbers, which count up or down or are a time to the second with fractions.
 ALLOW = [
     PLACEHOLDER,
     r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}",
-    r"(?!.*(?:[A-Za-z][0-9]|[0-9][A-Za-z])).*",
+    r"(?![A-Za-z]+$|[0-9]+$)(?!.*(?:[A-Za-z][0-9]|[0-9][A-Za-z])).*",
+    r"[0-9]{0,9}(?:(?:0123456789)+|(?:1234567890)+|(?:9876543210)+|(?:0987654321)+)[0-9]{0,9}",
+    r"(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])(?:[01][0-9]|2[0-3])[0-5][0-9][0-5][0-9][0-9]{6,9}",
 ]
 
 
@@ -126,7 +131,7 @@ def scan(df: DataFrame, text: str = "text", allow: list[str] | None = None, plac
     Positions are code points of the whole text, the end exclusive. ``kind`` is a number into ``KINDS``. Spans of fixed
     patterns and parts that match ``placeholder`` are cut out of a candidate; each piece left that is long enough is a
     candidate of its own, unless all of it matches one of ``allow``. So no entropy span overlaps one of a fixed
-    pattern. A null or empty text has none. Columns of ``df`` stay, except one named ``secrets``.
+    pattern. Words that match ``PURE`` are candidates beside the run they lie in. A null or empty text has none. Columns of ``df`` stay, except one named ``secrets``.
     """
     allow = ALLOW if allow is None else allow
     kept = [c for c in df.columns if c != "secrets"]
@@ -141,29 +146,40 @@ def scan(df: DataFrame, text: str = "text", allow: list[str] | None = None, plac
     df = df.withColumn("_long", F.when(F.size("_runs") > 0, F.col("_text")))
     helpers, named = matches("_long", rf"(?<![A-Za-z0-9+_]){placeholder}", "entropy")
     df = df.withColumns(helpers).withColumn("_cuts", F.when(F.size("_runs") > 0, F.concat("_base", named)))
+    helpers, words = matches("_long", PURE, "entropy")
+    df = df.withColumns(helpers).withColumn("_runs", F.when(F.size("_runs") > 0, F.array_distinct(F.concat("_runs", words))).otherwise(F.col("_runs")))
     pieces = F.flatten(F.transform("_runs", lambda c: outside(c, F.col("_cuts"))))
-    df = df.select(*kept, "_text", "_base", F.when(F.size("_cuts") > 0, pieces).otherwise(F.col("_runs")).alias("_candidates"))
+    df = df.select(*kept, "_text", "_base", F.when(F.size("_cuts") > 0, F.array_distinct(pieces)).otherwise(F.col("_runs")).alias("_candidates"))
 
     def fresh(c: Column) -> Column:
         listed = F.lit(False)
         for pattern in allow:
             listed = listed | c["value"].rlike(f"^(?:{pattern})$")
-        return ~listed & (_threshold(c["value"]) < 9)
+        return ~listed
 
     df = df.withColumn("_candidates", F.filter("_candidates", fresh))
 
     def inside(c: Column) -> Column:
-        return F.transform(
-            window_spans(c["value"]),
-            lambda s: F.struct(
-                (c["start"] + s["start"]).alias("start"),
-                (c["start"] + s["end"]).alias("end"),
-                F.lit(KINDS.index("entropy")).alias("kind"),
-                F.substr(c["value"], s["start"] + 1, s["end"] - s["start"]).alias("value"),
-            ),
-        )
-
-    entropy = F.flatten(F.transform("_candidates", inside))
+        return F.transform(window_spans(c["value"]), lambda s: F.struct((c["start"] + s["start"]).alias("start"), (c["start"] + s["end"]).alias("end")))
+
+    # A word and its run may both report; overlapping spans are one.
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def join(a: Column, x: Column) -> Column:
+        last = F.try_element_at(a, F.lit(-1))
+        longer = F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))))
+        return F.when(last["end"] >= x["start"], longer).otherwise(F.concat(a, F.array(x)))
+
+    joined = F.aggregate(F.array_sort(F.flatten(F.transform("_candidates", inside))), none, join)
+    entropy = F.transform(
+        joined,
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            s["end"].alias("end"),
+            F.lit(KINDS.index("entropy")).alias("kind"),
+            F.substr("_text", (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")).alias("value"),
+        ),
+    )
     df = df.withColumn("_entropy", F.when(F.size("_candidates") > 0, entropy).otherwise(F.filter("_candidates", lambda c: F.lit(False))))
     ordered = F.array_sort(F.transform(F.concat("_base", "_entropy"), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"))))
     return df.select(*kept, ordered.alias("secrets"))

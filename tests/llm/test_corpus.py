@@ -181,6 +181,16 @@ def test_secrets_beside_patterns_and_placeholders(spark):
     assert found[6:] == [[], [], [], []]
 
 
+def test_secrets_of_one_class(spark):
+    letters, upper, digits = "qZrTkWmXvBnLpYsHdGfC", "9F3A07C5E1B84D62F0A9C7356E1D8B40", "73920518463957201846"
+    hot = [letters, upper, digits, f"id-{upper}", f"docs/read/{letters}", f"{upper}/token=abcdefgh", f"no_{digits}"]
+    found = spelled(spark, hot)
+    for text, values, key in zip(hot, found, [letters, upper, digits, upper, letters, upper, digits], strict=True):
+        assert any(key in v for v in values), text
+    plain = ["keitstlichschenverpf", "01234567890123456789012", "20240131123045123456", "10000000000000000000", "internationalization/settings/of/names"]
+    assert spelled(spark, plain) == [[]] * len(plain)
+
+
 # Jaccard join
 
 
