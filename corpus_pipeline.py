@@ -9,7 +9,7 @@ repeated rows and empty tables pass through every stage as its operator defines;
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.llm import jaccard, langid, packing, rules, secrets
@@ -41,18 +41,30 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of alike texts: the one with the smallest id. A row without an id stays.
+    """One row of each group of alike texts: of the smallest id, and where its texts differ, of the smallest digest.
 
-    Rows that repeat an id are one document if their texts are one, and of these a single row stays.
+    A row is known by its id and its text's digest, so other texts under the same id are decided on their own. A row
+    without an id stays only where its group has no id. Blank texts are in no group: of these, rows that repeat an id
+    and a text are one, and those without an id all stay.
     """
-    groups = jaccard.jaccard_groups(docs.select("doc_id", "text"), width=5, percent=80)
-    losers = shared_table(groups.filter("component_id <> doc_id").select("doc_id").distinct())
-    kept = docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
-    repeated = shared_table(groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    digest = F.coalesce(F.md5("text"), F.lit(""))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), digest.alias("digest"))
+    groups = shared_table(jaccard.jaccard_groups(docs.select(row.alias("_row"), "text"), width=5, percent=80, id_column="_row"))
+
+    def names(rows: DataFrame) -> DataFrame:
+        return shared_table(rows.select(F.col("_row.id").alias("_id"), F.col("_row.digest").alias("_digest")))
+
+    def same(rows: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(rows["_id"]) & (digest == rows["_digest"])
+
+    losers = names(groups.filter("component_id <> _row").select("_row").distinct())
+    kept = docs.join(losers, same(losers), "left_anti")
+    winners = groups.filter("component_id = _row AND (n_shingles > 0 OR NOT _row.unnamed)")
+    repeated = names(winners.groupBy("_row").count().filter("count > 1"))
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    once = kept.join(repeated, same(repeated), "left_semi").withColumn("_digest", digest).dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+    return kept.join(repeated, same(repeated), "left_anti").unionByName(once)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

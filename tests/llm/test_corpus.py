@@ -383,3 +383,13 @@ def test_pipeline_stages_take_odd_rows(spark):
     assert counts["quality_rules"] == 3 and counts["secret_scan"] == len(rows)
     assert counts["ngram_jaccard_join"] == 5  # nulls stay, repeated rows once
     assert counts["best_fit_packing"] >= len(rows)
+
+
+def test_near_duplicates_are_decided_by_row(spark):
+    a, b, c, d, e, f = (prose(100 + i, 80) for i in range(6))
+    rows = [(1, a), (2, f"{a} more"), (2, b), (3, c), (3, f"{c} more"), (None, d), (None, f"{d} more"), (None, d), (None, f"{e} more"), (4, e), (5, f), (5, f)]
+    rows += [(None, ""), (None, ""), (6, None), (6, ""), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOC)
+    found = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    first = lambda t: min(t, f"{t} more", key=lambda x: hashlib.md5(x.encode()).hexdigest())
+    assert found == Counter([(1, a), (2, b), (3, first(c)), (None, first(d)), (4, e), (5, f), (None, ""), (None, ""), (6, None), (6, "")])
