@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat, jaccard, langid, oracles, packing, quality, rules, secrets, sharding, topk
+from flowloom.llm import bpe, chat, jaccard, langid, merkle, oracles, packing, quality, rules, secrets, sharding, topk
 from flowloom.llm.common import documents, shared_table
 
 QUERIES, ORACLES = {}, {}
@@ -142,3 +142,21 @@ t AS (SELECT d.*, k.depth, d.h >> (60 - k.depth)::INT AS bucket, sum(n_bytes) OV
 SELECT doc_id, n_bytes, min(depth)::INT AS shard_depth, min_by(bucket, depth) AS shard_bucket, 0::BIGINT AS shard_part
 FROM t WHERE held <= {SHARD_BYTES} OR held_rows = 1 GROUP BY doc_id, n_bytes
 """
+
+
+def _manifest_leaf(text: str):
+    return merkle.digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), F.col("text") if text == "text" else F.expr(text))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    changed = even & F.col("text").contains("\n")
+    tampered = F.when(changed, _manifest_leaf("replace(text, '\\n', '')"))  # null: as it was
+    leaves = documents(spark, sf_dir).select("doc_id", "source", _manifest_leaf("text").alias("leaf"), tampered.alias("tampered"))
+    proven = merkle.manifest(leaves)
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), "proof")
+    told = proven.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest("proof").alias("proof_sha256"), folded.alias("folded_root"))
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES["op12_merkle_manifest"] = op12_merkle_manifest
