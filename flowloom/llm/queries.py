@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat, jaccard, langid, merkle, oracles, packing, quality, rules, secrets, sharding, topk
+from flowloom.llm import bpe, chat, jaccard, langid, merkle, oracles, packing, quality, rules, secrets, sharding, topk, whitening
 from flowloom.llm.common import documents, shared_table
 
 QUERIES, ORACLES = {}, {}
@@ -160,3 +160,23 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op12_merkle_manifest"] = op12_merkle_manifest
+
+
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", whitening.whole_entries("embedding").alias("x"))
+    vectors = vectors.filter("x IS NOT NULL")
+    model = whitening.fit(vectors, "x")
+    explained = F.lit((model.values / model.trace if model.trace else model.values).tolist()).cast("array<double>")
+    rows = whitening.whiten(vectors, model, "x").select("vec_id", F.col("deviation").cast("long").alias("deviation"), F.posexplode("whitened").alias("k", "whitened"))
+    return rows.select(
+        "vec_id",
+        (F.col("k") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("k")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+QUERIES["op11_embedding_whitening"] = op11_embedding_whitening
