@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import bpe, chat, jaccard, langid, merkle, oracles, packing, quality, rules, secrets, sharding, topk, whitening
+from flowloom.llm import bpe, chat, jaccard, langid, merkle, oracles, packing, quality, rules, secrets, sharding, topk, toxicity, whitening
 from flowloom.llm.common import documents, shared_table
 
 QUERIES, ORACLES = {}, {}
@@ -180,3 +180,14 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op11_embedding_whitening"] = op11_embedding_whitening
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apart = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic IS NOT NULL")
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs.filter(~apart).select("doc_id", "text").join(labels, "doc_id"), "toxic")
+    return toxicity.score(docs.select("doc_id", apart.alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
+
+
+QUERIES["op13_toxicity"] = op13_toxicity
