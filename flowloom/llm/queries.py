@@ -186,7 +186,7 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     apart = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic IS NOT NULL")
     docs = documents(spark, sf_dir)
-    model = toxicity.train(docs.filter(~apart).select("doc_id", "text").join(labels, "doc_id"), "toxic")
+    model = toxicity.train(docs.filter(~apart).select("doc_id", "text").join(labels.hint("merge"), "doc_id"), "toxic")
     return toxicity.score(docs.select("doc_id", apart.alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
 
 

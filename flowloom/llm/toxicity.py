@@ -4,7 +4,8 @@ How many toxic and how many clean training texts hold an n-gram is counted over
 log of the ratio of the two smoothed shares is the n-gram's scale. N-grams whose ratio lies within ``SIGNIFICANT``
 standard errors of none tell nothing and are left out. A logistic regression over the scaled indicators is then fitted
 on the driver, on a bounded sample: ``FIT_TEXTS`` distinct texts of either label, those of smallest hash, weighted back
-to the labels' shares. The model is broadcast, at most ``MOST_GRAMS`` hashes and weights, and scores whole texts.
+to the labels' shares; an absolute penalty leaves few n-grams with a weight. The model is broadcast, at most
+``MOST_GRAMS`` hashes and weights, and scores whole texts.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ from flowloom.llm.common import shared_table, slices
 LENGTHS = (2, 3, 4, 5)
 SIGNIFICANT = 4.0
 #: Size bound of the model: the n-grams of largest ratio by standard error are kept.
-MOST_GRAMS = 100_000
+MOST_GRAMS = 30_000
 #: Distinct texts of each label that the regression is fitted on, at most.
 FIT_TEXTS = 2_500
 FIT_STEPS = 150
-PENALTY = 1e-4
+#: Penalties of the regression: squared, and absolute, which leaves few n-grams in the model.
+PENALTY, SPARSE = 1e-4, 1e-3
 SMOOTHING = 1.0
 SLICE_BYTES = 1 << 20
 #: Entries that a step of the fit handles at a time.
@@ -37,7 +39,7 @@ BLOCK = 1 << 20
 COUNTED_TOGETHER = 2_000_000
 
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_SIEVE_BITS = 20
+_SIEVE_BITS = 22
 
 
 def _grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -161,6 +163,7 @@ def fit_scaled(entries: np.ndarray, sizes: np.ndarray, scale: np.ndarray, y: np.
         p = 1 / (1 + np.exp(-np.clip(forward(z, d), -35, 35)))
         down, flat = backward(weight * (p - y) / m)
         new, new_c = z - step * (down + PENALTY * z), d - step * flat
+        new = np.sign(new) * np.maximum(np.abs(new) - step * SPARSE, 0.0)
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         z, d = new + (t - 1) / nt * (new - w), new_c + (t - 1) / nt * (new_c - c)
         w, c, t = new, new_c, nt
