@@ -184,11 +184,15 @@ def _rounded(df, keys):
     return df.select(*keys, *[F.round(c, 6).alias(c) for c in _STATS])
 
 
+_STAT_SQL = {"min": "min", "mean": "avg", "median": "median", "max": "max", "std_dev": "stddev_pop"}
+
+
+def _exact_stats_sql(v: str) -> str:
+    return ", ".join(f"case when count(*) > 1 then {f}({v})::double end as bytes_{n}" for n, f in _STAT_SQL.items())
+
+
 def _stats_sql(v: str) -> str:
-    fns = {"min": "min", "mean": "avg", "median": "median", "max": "max", "std_dev": "stddev_pop"}
-    return ", ".join(
-        f"case when count(*) > 1 then round({f}({v})::double, 6) end as bytes_{n}" for n, f in fns.items()
-    )
+    return ", ".join(f"case when count(*) > 1 then round({f}({v})::double, 6) end as bytes_{n}" for n, f in _STAT_SQL.items())
 
 
 _add(
@@ -346,10 +350,10 @@ def _flow_table_with_stats(s, d):
 _FLOWS_WITH_STATS = f"""{_ALL_FLOWS}, kept as (select * from sess qualify row_number() over (
       partition by {_KEY_SQL}, session_ts, id_orig_h, ts_ns // 1000000, seq_num, ack_num order by {ARRIVAL_SQL}) = 1),
     untimed as (select reference, sensor, protocol, least(id_orig_h, id_resp_h) as host_lo, greatest(id_orig_h, id_resp_h) as host_hi,
-      least(id_orig_p, id_resp_p) as p1, greatest(id_orig_p, id_resp_p) as p2, min(ts_ns) as session_ts, {_stats_sql('bytes')}
+      least(id_orig_p, id_resp_p) as p1, greatest(id_orig_p, id_resp_p) as p2, min(ts_ns) as session_ts, {_exact_stats_sql('bytes')}
       from mixed where protocol in ('udp','icmp') or (protocol = 'gre' and ip_version = 'ipv4') group by all),
     timed as (select reference, sensor, protocol, host_lo, host_hi, least(port_lo, port_hi) as p1, greatest(port_lo, port_hi) as p2,
-      session_ts, {_stats_sql('bytes')} from kept group by all),
+      session_ts, {_exact_stats_sql('bytes')} from kept group by all),
     with_stats as (select f.*, bytes_min, bytes_mean, bytes_median, bytes_max, bytes_std_dev
     from flows f join (select * from untimed union all select * from timed) t on t.reference = f.reference and t.sensor = f.sensor
      and t.protocol = f.protocol and t.session_ts = f.ts_ns and host_lo = least(id_orig_h, id_resp_h) and host_hi = greatest(id_orig_h, id_resp_h)
@@ -357,7 +361,7 @@ _FLOWS_WITH_STATS = f"""{_ALL_FLOWS}, kept as (select * from sess qualify row_nu
 _add(
     "c4_flow_table_stats",
     _flow_table_with_stats,
-    f"""{_FLOWS_WITH_STATS} select {_ID_SQL}, first_frame, bytes_min, bytes_mean, bytes_median, bytes_max, bytes_std_dev from with_stats""",
+    f"""{_FLOWS_WITH_STATS} select {_ID_SQL}, first_frame, {", ".join(f"round({c}, 6) as {c}" for c in _STATS)} from with_stats""",
 )
 
 
