@@ -1,8 +1,9 @@
 """Bidirectional flow summaries with connection states.
 
 TCP: rows are shuffled once, by piece (see ``sessions``). Each run of a piece is reduced to
-one row holding sums and the few packets that can change the outcome; runs of one session
-are then merged in order. Every other protocol is one flow per key and needs only
+one row holding sums and the few packets that can change the outcome. The runs of a session
+within an epoch of slices become a function from what the session brings in to what it is
+after them, and these functions are applied in order. Every other protocol is one flow per key and needs only
 associative aggregates, so it runs with map-side partial aggregation.
 """
 
@@ -151,23 +152,52 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: Slices whose runs are reduced to one row per session before rows of a flow meet.
+EPOCH_SLICES = 256
+# What a session may bring into a run: no packet yet, or an orientation, known or guessed, and a state. States that no
+# FIN or RST changes are all alike there; what comes out as kept is the state that went in.
+_KEPT = "*"
+_OPEN_STATES = ["S0", "S1", "OTH"]
+_SIDES = [(lo, known) for known in (False, True) for lo in (False, True)]
+
+
+def _session(orig_lo: bool | None, known: bool, state: str | None) -> Column:
+    return F.struct(
+        F.lit(orig_lo).cast("boolean").alias("orig_lo"), F.lit(known).alias("known"), F.lit(state).cast("string").alias("state")
+    )
+
+
+def _unopened() -> Column:
+    return _session(None, False, None)
+
+
+def _carried() -> list[Column]:
+    return [_session(lo, known, state) for lo, known in _SIDES for state in (*_OPEN_STATES, _KEPT)]
+
+
+def _place(session: Column) -> Column:
+    """The place of a session among ``_carried``."""
+    side = session["known"].cast("int") * 2 + session["orig_lo"].cast("int")
+    state = F.when(session["state"] == "S0", 0).when(session["state"] == "S1", 1).when(session["state"] == "OTH", 2).otherwise(3)
+    return side * (len(_OPEN_STATES) + 1) + state
+
+
 def _merge_run(acc: Column, run: Column) -> Column:
-    """Fold step over the runs of one session, in order."""
-    head, late, last = run["head"], run["first_hit"], run["last"]
+    """The session after one more run; its state is NULL before its first one."""
+    head, late, last, opens = run["head"], run["first_hit"], run["last"], acc["state"].isNull()
 
     def after_head(seen: Column) -> Column:
         # The run's first packet seeds the session or is one more ordinary packet.
-        orig_lo = F.coalesce(F.when(seen["known"], seen["guess"]), run["head_hit"], seen["guess"])
-        return F.struct(
-            orig_lo.alias("orig_lo"), (seen["known"] | run["head_hit"].isNotNull()).alias("known")
-        )
+        hit = F.when(opens, run["seed_hit"]).otherwise(run["head_hit"])
+        orig_lo = F.coalesce(F.when(seen["known"], seen["guess"]), hit, seen["guess"])
+        return F.struct(orig_lo.alias("orig_lo"), (seen["known"] | hit.isNotNull()).alias("known"))
 
     def after_rest(side: Column) -> Column:
         final_lo = F.when(side["known"], side["orig_lo"]).otherwise(F.coalesce(late["hit"], side["orig_lo"]))
         early = F.when(side["orig_lo"], run["end_hi"]).otherwise(run["end_lo"])
         in_time = side["known"] | late.isNull() | (early["rn"] < late["rn"])
         carried = next_state(acc["state"], head["from_lo"] == side["orig_lo"], head["fin"], head["rst"])
-        state = F.coalesce(run["head_opening"], F.when(run["opens"], F.lit("OTH")).otherwise(carried))
+        state = F.coalesce(run["head_opening"], F.when(opens, F.lit("OTH")).otherwise(carried))
         return F.struct(
             side["orig_lo"],
             side["known"],
@@ -196,45 +226,76 @@ def _merge_run(acc: Column, run: Column) -> Column:
             s["final_lo"].alias("orig_lo"), (s["known"] | late.isNotNull()).alias("known"), closed.alias("state")
         )
 
-    before = F.struct(
-        (~run["opens"] & acc["known"]).alias("known"),
-        F.when(run["opens"], head["from_lo"]).otherwise(acc["orig_lo"]).alias("guess"),
-    )
+    before = F.struct((~opens & acc["known"]).alias("known"), F.when(opens, head["from_lo"]).otherwise(acc["orig_lo"]).alias("guess"))
     return _let(_let(_let(before, after_head), after_rest), final_state)
 
 
-def tcp_sessions(runs: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """Merge stitched runs into one row per session."""
-    start = F.struct(
-        F.lit(None).cast("boolean").alias("orig_lo"),
-        F.lit(False).alias("known"),
-        F.lit(None).cast("string").alias("state"),
-    )
+def _apply(acc: Column, step: Column) -> Column:
+    """The session after an epoch, whose ``fold`` says what becomes of an unopened session and of each carried one."""
+    found = F.when(step["opens"], step["fold"][0]).otherwise(F.get(step["fold"], 1 + _place(acc)))
+    return _let(found, lambda out: F.struct(out["orig_lo"], out["known"], F.when(out["state"] == _KEPT, acc["state"]).otherwise(out["state"]).alias("state")))
+
+
+_SUMS = ("lo_pkts", "lo_bytes", "hi_pkts", "hi_bytes")
+
+
+def _epoch(slice_ns: int) -> Column:
+    """Epochs follow one another as slices do; their length decides about arrays only."""
+    return F.expr(f"slice div {EPOCH_SLICES * slice_ns // 1_000_000}")
+
+
+def _fold_epochs(runs: DataFrame, part: str, may_continue: Column) -> DataFrame:
+    """One row per flow key, epoch and ``part``, the runs of one session within an epoch.
+
+    Where the session may have begun earlier, its runs become a function: ``fold`` has the outcome for every session
+    that may come in. Such functions are applied one after the other, so no array grows with a session's runs: there
+    are at most the runs of an epoch in one, and the epochs of a session in the next.
+    """
     head, last = F.col("head"), F.col("last")
     runs = runs.withColumns(
         {
-            "head_hit": F.when(F.col("opens"), seed_orientation(head)).otherwise(later_orientation(head)),
+            "seed_hit": seed_orientation(head),
+            "head_hit": later_orientation(head),
             "head_opening": _syn_state(head["syn"], head["ack"]),
             "last_end": F.struct(F.lit(0).alias("rn"), last["from_lo"], last["fin"], last["rst"]),
         }
     )
-    run = F.struct(
-        *("first_ts", "opens", "head", "head_hit", "head_opening"),
-        *("first_hit", "last", "last_end", "end_lo", "end_hi", "end_late"),
-    )
-    merged = runs.groupBy(*key, "session_ts").agg(
+    run = F.struct("first_ts", "head", "seed_hit", "head_hit", "head_opening", "first_hit", "last", "last_end", "end_lo", "end_hi", "end_late")
+    merged = runs.groupBy(*KEY, "epoch", part).agg(
         F.array_sort(F.collect_list(run)).alias("runs"),
+        F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
-        *[F.sum(c).alias(c) for c in ("lo_pkts", "lo_bytes", "hi_pkts", "hi_bytes")],
+        F.bool_or(may_continue).alias("may_continue"),
+        *[F.sum(c).alias(c) for c in _SUMS],
     )
-    return merged.select(
-        *key,
-        "session_ts",
-        "last_ts",
-        *("lo_pkts", "lo_bytes", "hi_pkts", "hi_bytes"),
-        F.col("runs")[0]["head"].alias("head"),
-        F.aggregate("runs", start, _merge_run).alias("fold"),
+    start = F.when(F.col("may_continue"), F.array(_unopened(), *_carried())).otherwise(F.array(_unopened()))
+    fold = F.aggregate("runs", start, lambda accs, run: F.transform(accs, lambda acc: _merge_run(acc, run)))
+    return merged.select(*KEY, "epoch", part, "first_ts", "last_ts", *_SUMS, F.col("runs")[0]["head"].alias("head"), fold.alias("fold"))
+
+
+def idle_epochs(runs: DataFrame, idle_s: float = IDLE_S, slice_ns: int = SLICE_NS) -> DataFrame:
+    """Epoch rows of idle-separated runs, with the ``session_ts`` that each belongs to and whether it ``opens`` it."""
+    idle_ns = F.lit(int(idle_s * 1_000_000_000))
+    runs = runs.withColumn("epoch", _epoch(slice_ns))
+    order = Window.partitionBy(*KEY, "epoch").orderBy("slice", "run")
+    gap = F.col("first_ts") - F.lag("last_ts").over(order)
+    opens = F.coalesce(gap >= idle_ns, F.lit(False)).cast("int")
+    runs = runs.withColumn("opens", opens).withColumn("part", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    # A session from earlier slices has a packet here within the idle time after the border.
+    near = F.col("first_ts") - F.col("slice") * 1_000_000 < idle_ns
+    parts = _fold_epochs(runs, "part", (F.col("part") == 0) & near)
+    return stitch_runs(parts.withColumnsRenamed({"epoch": "slice", "part": "run"}), KEY, idle_s)
+
+
+def tcp_sessions(parts: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """Merge epoch rows, each with its ``session_ts`` and whether it ``opens`` it, into one row per session."""
+    merged = parts.groupBy(*key, "session_ts").agg(
+        F.array_sort(F.collect_list(F.struct("first_ts", "opens", "fold"))).alias("steps"),
+        F.min_by("head", "first_ts").alias("head"),
+        F.max("last_ts").alias("last_ts"),
+        *[F.sum(c).alias(c) for c in _SUMS],
     )
+    return merged.select(*key, "session_ts", "last_ts", *_SUMS, "head", F.aggregate("steps", _unopened(), _apply).alias("fold"))
 
 
 def _either(flag: Column, if_lo: str, if_hi: str) -> Column:
@@ -306,12 +367,13 @@ def summarise_tcp(
         pieces = tcp_pieces(packets, slice_ns, max_rows, stored=timeout_ms is not None)
     if timeout_ms is None:
         cut = with_runs(pieces, KEY, idle_s)
-        runs = stitch_runs(_run_summaries(cut, [*KEY, "slice", "run"]), KEY, idle_s)
+        parts = idle_epochs(_run_summaries(cut, [*KEY, "slice", "run"]), idle_s, slice_ns)
     else:
         cut = split_sessions(pieces, KEY, idle_s, timeout_ms)
-        runs = _run_summaries(cut, [*KEY, "slice", "session_ts"])
-        runs = runs.withColumn("opens", F.col("first_ts") == F.col("session_ts"))
-    sessions = tcp_sessions(runs)
+        runs = _run_summaries(cut, [*KEY, "slice", "session_ts"]).withColumn("epoch", _epoch(slice_ns))
+        opens = F.col("first_ts") == F.col("session_ts")
+        parts = _fold_epochs(runs, "session_ts", F.col("first_ts") != F.col("session_ts")).withColumn("opens", opens)
+    sessions = tcp_sessions(parts)
     merged = sessions.withColumns(
         {"orig_lo": F.col("fold.orig_lo"), "conn_state": F.col("fold.state")}
     )

@@ -21,7 +21,6 @@ SLICE_NS = 60 * 1_000_000_000
 # Busiest piece that is sorted as one: about a gigabyte of packet rows.
 MAX_PIECE_ROWS = 10_000_000
 _NS_PER_MS = 1_000_000
-_SLICE_MS = 1 << 32  # more than the milliseconds of any slice
 _PARTS = 60  # of a busy slice
 
 
@@ -55,7 +54,7 @@ def cut_pieces(
     slice_ns: int = SLICE_NS,
     max_rows: int | None = MAX_PIECE_ROWS,
 ) -> DataFrame:
-    """Add ``slice``, the ordinal of the packet's time slice, finer where a flow is busy.
+    """Add ``slice``, the millisecond that the packet's time slice begins with; slices are finer where a flow is busy.
 
     A slice with over ``max_rows`` packets of a flow is cut into 60 parts, and a part that is still too full by the
     millisecond. One partially aggregated count by part says both; it reads the key and the time only. Its rows in busy
@@ -64,11 +63,11 @@ def cut_pieces(
     """
     if slice_ns % _NS_PER_MS:
         raise ValueError("slice_ns must be whole milliseconds")
-    base = int_div("ts_ns", slice_ns)
+    base, slice_ms = int_div("ts_ns", slice_ns), slice_ns // _NS_PER_MS
     if max_rows is None:
-        return packets.withColumn("slice", base * _SLICE_MS)
+        return packets.withColumn("slice", base * slice_ms)
     ms = int_div(F.pmod("ts_ns", F.lit(slice_ns).cast("bigint")), _NS_PER_MS)
-    part_ms = max(1, slice_ns // _NS_PER_MS // _PARTS)
+    part_ms = max(1, slice_ms // _PARTS)
     timed = {"base": base, "part": int_div(ms, part_ms)}
     counts = packets.select(*key, "ts_ns").withColumns(timed).groupBy(*key, "base", "part").agg(F.count("*").alias("n"))
     held = F.sum("n").over(Window.partitionBy(*key, "base"))
@@ -77,7 +76,7 @@ def cut_pieces(
     busy = busy.select(*key, "base", "part", (F.col("n") > max_rows).alias("_full")).withColumnsRenamed(names)
     cut = packets.withColumns(timed).join(busy, _same(key, "base", "part"), "left")
     fine = F.when(F.col("_full"), ms).when(F.col("_full").isNotNull(), F.col("part") * part_ms).otherwise(F.lit(0))
-    return cut.withColumn("slice", F.col("base") * _SLICE_MS + fine).drop(*names.values(), "base", "part", "_full")
+    return cut.withColumn("slice", F.col("base") * slice_ms + fine).drop(*names.values(), "base", "part", "_full")
 
 
 def _piece(pieces: DataFrame, key: list[str]):

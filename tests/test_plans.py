@@ -41,9 +41,9 @@ def exchanges(text: str) -> list[str]:
 def test_packets_of_the_session_table_move_once(spark):
     text = plan(flows.summarise_tcp(inputs.packets(spark, SF)))
     moves = exchanges(text)
-    # Default arguments: the packets once by piece, then one row per run by flow; sessions stay where their runs are.
-    # The counts of slice parts and of slices are the other two moves, and the only other scan reads key and time.
-    assert len(moves) == 4 and sum("slice" in m for m in moves) == 1
+    # Default arguments: the packets once by piece, one row per run by epoch, one per session and epoch by flow; sessions
+    # stay there. The counts of slice parts and of slices are the other two moves, the other scan reads key and time.
+    assert len(moves) == 5 and sum("slice" in m for m in moves) == 1
     assert text.count("FileScan parquet") == 2
 
 

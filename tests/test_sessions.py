@@ -137,6 +137,43 @@ def test_state_table(spark, script, state):
     assert [r.conn_state for r in rows] == [state]
 
 
+def test_a_million_runs_of_one_session(spark):
+    """A packet per slice: no array holds more than an epoch's runs, or the epochs of the session."""
+    n, slice_ns = 1_000_000, 1_000_000
+    rows = spark.range(n).withColumnRenamed("id", "frame_no").withColumns(
+        {
+            "ts_ns": F.col("frame_no") * slice_ns + START,
+            **{c: F.lit(v) for c, v in {"reference": "r", "sensor": "s", "ip_version": "ipv4", "protocol": "tcp"}.items()},
+            "id_orig_h": F.when(F.col("frame_no") % 3 == 1, "b").otherwise("a"),
+            "id_resp_h": F.when(F.col("frame_no") % 3 == 1, "a").otherwise("b"),
+            "id_orig_p": F.lit(7),
+            "id_resp_p": F.lit(7),
+            "syn": F.col("frame_no").isin(0, 600_001),
+            "ack": F.col("frame_no") != 0,
+            "fin": F.col("frame_no").isin(500_000, 900_000),
+            "rst": F.col("frame_no") == 800_002,
+            "seq_num": F.lit(1).cast("long"),
+            "ack_num": F.lit(1).cast("long"),
+            "bytes": F.lit(10).cast("long"),
+        }
+    )
+    got = flows.summarise_tcp(rows, slice_ns=slice_ns, max_rows=None).collect()
+    # The first SYN orients; the second one, answered, reopens what the FIN had closed; then the responder resets.
+    assert [(r.id_orig_h, r.conn_state, r.orig_pkts, r.resp_pkts, r.ts_ns, r.ts_end_ns) for r in got] == [
+        ("a", "RSTR", 666_667, 333_333, START, START + (n - 1) * slice_ns)
+    ]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_epochs_change_nothing(spark, seed, monkeypatch):
+    monkeypatch.setattr(flows, "EPOCH_SLICES", 2)
+    packets = random_packets(20 + seed)
+    got = flows.summarise_tcp(frame(spark, packets), slice_ns=1_000_000_000, max_rows=5)
+    assert spark_rows(got) == summary_rows(sessions(packets))
+    spans = flows.summarise_tcp(frame(spark, packets), timeout_ms=9_000, slice_ns=1_000_000_000)
+    assert spark_rows(spans) == summary_rows(sessions(packets, max_span_ms=9_000))
+
+
 def test_late_orientation_by_numbers(spark):
     a, b = ("a", 7), ("b", 7)
     packets = [packet(0, START, a, b, "A"), packet(1, START + 1, a, b, "", ackn=0), packet(2, START + 2, b, a, "R")]
