@@ -75,12 +75,15 @@ def test_idle_sessions_equal_the_fold(spark, seed, slice_ns, max_rows):
     assert spark_rows(got) == want
 
 
-@pytest.mark.parametrize("array_points", [1_000_000, 20, 0])
-def test_max_span_equals_the_fold(spark, array_points):
+@pytest.mark.parametrize("fan", [64, 2])
+@pytest.mark.parametrize("slice_ns,max_rows", [(5_000_000_000, 40), (1_000_000_000, None)])
+def test_max_span_equals_the_fold(spark, monkeypatch, fan, slice_ns, max_rows):
+    """Slices longer and shorter than the span, tables composed in one round and in many."""
+    monkeypatch.setattr(max_span, "FAN", fan)
     packets = random_packets(11)
     want = sessions(packets, max_span_ms=2500)
-    pieces = flows.tcp_pieces(frame(spark, packets), 5_000_000_000, 40)
-    rows = split_sessions(pieces, max_span_ms=2500, array_points=array_points)
+    pieces = flows.tcp_pieces(frame(spark, packets), slice_ns, max_rows)
+    rows = split_sessions(pieces, max_span_ms=2500)
     got = rows.groupBy("host_lo", "port_lo", "host_hi", "port_hi", "session_ts").count().collect()
     counted = {((((r[0], r[1]), (r[2], r[3]))), r[4]): r[5] for r in got}
     assert counted == {k: sum(s["pkts"].values()) for k, s in want.items()}
