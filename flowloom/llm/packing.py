@@ -38,9 +38,11 @@ class WordEncoder:
     Plain words are encoded together as one text and told apart by the tokens that end a word; other ones by themselves.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        self.remembered = remembered
+
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         vocabulary = self.model.get_vocab()
@@ -52,7 +54,7 @@ class WordEncoder:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known = {"": b""}
         plain, parts, other = [], [], []
         for word in words.difference(self.known):
@@ -106,11 +108,11 @@ def _windows(text: str, most: int = 1 << 20) -> Iterator[str]:
     yield text[start:]
 
 
-def pieces(df: DataFrame, path: str, size: int = 2048, text: str = "text", keep: list[str] | None = None, end_id: int = 0) -> DataFrame:
+def pieces(df: DataFrame, path: str, size: int = 2048, text: str = "text", keep: list[str] | None = None, end_id: int = 0, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: the ``keep`` columns of ``df``, then piece, start, length and ids.
 
     ``ids`` are the little-endian unsigned 32-bit ids of the whole text and a closing ``end_id``, in runs of ``size``.
-    A null or empty text is the closing id alone. Columns of ``df`` with these names must not be in ``keep``.
+    A task remembers the ids of ``remembered`` words, about 200 bytes each. A null or empty text is the closing id alone. Columns of ``df`` with these names must not be in ``keep``.
     """
     keep = [c for c in df.columns if c != text] if keep is None else keep
     added = [T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())]
@@ -118,7 +120,7 @@ def pieces(df: DataFrame, path: str, size: int = 2048, text: str = "text", keep:
     closing = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        encoder = per_process(f"words{path}", lambda: WordEncoder(path))
+        encoder = per_process(f"words{remembered},{path}", lambda: WordEncoder(path, remembered))
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             sizes = np.diff(np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, texts.offset * 4)) if len(texts) else []

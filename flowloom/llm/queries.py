@@ -42,7 +42,7 @@ ORACLES["op3_jaccard_join"] = oracles.JACCARD
 
 
 def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = packing.pieces(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    cut = packing.pieces(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), remembered=1_000_000)
     digests = shared_table(cut.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32"))
     return packing.pack(digests, keys=["doc_id", "piece"])
 
