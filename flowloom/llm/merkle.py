@@ -170,7 +170,7 @@ def _indexed(rows: DataFrame) -> tuple[DataFrame, int]:
     alone = alone.withColumn("first", F.col("base") + rank).withColumn("copies", F.lit(1).cast("long")).select(*kept)
     placed = alone.withColumn("block", F.expr(f"first div {SLOTS}"))
     if shared:  # some rows share an id: these words are ordered by id and digest
-        digits = F.greatest(F.lit(0), F.ceil(F.log(F.lit(16.0), F.col("n") / ORDERED_TOGETHER))).cast("int")
+        digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("n") / ORDERED_TOGETHER))).cast("int")
         same = rows.join(found.filter(~single), ["grp", "word"]).withColumn("part", F.substring("digest", F.lit(1), digits))
         same = same.groupBy("grp", "total", "word", "base", "pos", "part", "id", "digest", "row").agg(F.count("*").alias("copies"))
         same = shared_table(same)

@@ -169,7 +169,7 @@ def fit(df: DataFrame, vector: str, most: int = 32) -> Whitening:
 
     At most ``most`` components are kept, and none whose variance is rounding alone (constant or dependent dimensions).
     The fit list are the vectors of the most frequent length, of equal ones the larger; others don't count. Equal
-    vectors count each. No rows give no components.
+    vectors count each. No rows give no components. Entries of 2 ** 53 or more in size are an error.
     """
     rows = df.select(F.col(vector).cast("array<bigint>").alias("x")).filter("x IS NOT NULL")
     found = rows.groupBy(F.size("x").alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).first()
