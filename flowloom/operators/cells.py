@@ -79,16 +79,23 @@ EVENT_CELLS = (
     ("ED", "SYSTEM_CORRELATION_ACTIVITYID", "activity_id", "text"),
     ("ED", "SYSTEM_CORRELATION_RELATEDACTIVITYID", "related_activity_id", "text"),
     ("ED", "SYSTEM_SECURITY_USERID", "user_id", "text"),
+    ("ED", "SYSTEM_SITE_CODE", "computer_site", "text"),
+    ("ED", "SYSTEM_FUNCTIONAL_CODE", "computer_code", "text"),
+    ("ED", "SYSTEM_FUNCTIONAL_CODE_DESCRIPTION", "computer_code_description", "text"),
+    ("ED", "SYSTEM_CUSTOM_ID", "computer_number", "text"),
 )
 TIME_TYPE = "SystemtimeTypeNode"
 
 
-def to_cells(df: DataFrame, row_key: Column, spec: tuple, ts_ns: str = "ts_ns", more: Column | None = None) -> DataFrame:
+def to_cells(
+    df: DataFrame, row_key: Column, spec: tuple, ts_ns: str = "ts_ns", more: Column | None = None, table: Column | None = None
+) -> DataFrame:
     """(row_key, family, qualifier, value, cell_ts) rows; a NULL value makes no cell.
 
-    ``more`` is an optional array of further (family, qualifier, value) cells. Rows are
-    expanded in place, nothing is shuffled.
+    ``more`` is an optional array of further (family, qualifier, value) cells. With ``table``
+    every cell comes with the table that it goes to. Rows are expanded in place, nothing is shuffled.
     """
+    routes = [] if table is None else [table.alias("table")]
     cells = F.array(
         *[
             F.struct(F.lit(f).alias("family"), F.lit(q).alias("qualifier"), ENCODERS[e](c).alias("value"))
@@ -99,21 +106,22 @@ def to_cells(df: DataFrame, row_key: Column, spec: tuple, ts_ns: str = "ts_ns",
     if more is not None:
         cells = F.concat(cells, more)
     return df.select(
+        *routes,
         row_key.alias("row_key"),
         epoch_millis(ts_ns).alias("cell_ts"),
         F.inline(F.filter(cells, lambda c: c["value"].isNotNull())),
-    ).select("row_key", "family", "qualifier", "value", "cell_ts")
+    ).select(*(["table"] if routes else []), "row_key", "family", "qualifier", "value", "cell_ts")
 
 
-def packet_cells(packets: DataFrame) -> DataFrame:
+def packet_cells(packets: DataFrame, table: Column | None = None) -> DataFrame:
     out = with_optional_columns(packets).withColumn("nanos", nano_of_second("ts_ns"))
     if "syn" in packets.columns:
         out = out.withColumn("flags", F.when(F.col("syn").isNotNull(), flag_string()))
-    return to_cells(out, packet_row_key(), PACKET_CELLS)
+    return to_cells(out, packet_row_key(), PACKET_CELLS, table=table)
 
 
-def flow_cells(flows: DataFrame, row_key: Column) -> DataFrame:
-    return to_cells(flows.withColumn("nanos", nano_of_second("ts_ns")), row_key, FLOW_CELLS)
+def flow_cells(flows: DataFrame, row_key: Column, table: Column | None = None) -> DataFrame:
+    return to_cells(flows.withColumn("nanos", nano_of_second("ts_ns")), row_key, FLOW_CELLS, table=table)
 
 
 def flow_payload_cells(flow_packets: DataFrame, flow_key: str, packet_key: str, payload: str, flow_ts: str) -> DataFrame:
@@ -127,8 +135,11 @@ def flow_payload_cells(flow_packets: DataFrame, flow_key: str, packet_key: str,
     )
 
 
-def event_cells(events: DataFrame, row_key: Column) -> DataFrame:
-    """Named system fields plus one cell per open field; time-typed ones as instants."""
+def event_cells(events: DataFrame, row_key: Column, table: Column | None = None) -> DataFrame:
+    """Named system fields plus one cell per open field; time-typed ones as instants.
+
+    The decoded parts of the computer's name, where the columns of ``events.computer_parts`` are there, are cells too.
+    """
 
     def field(entry: Column) -> Column:
         value = entry["value"]["value"]
@@ -139,7 +150,7 @@ def event_cells(events: DataFrame, row_key: Column) -> DataFrame:
         return F.struct(F.lit("ED").alias("family"), entry["key"].alias("qualifier"), encoded.alias("value"))
 
     timed = events.withColumn("ts_ns", F.unix_micros("ts") * 1000)
-    return to_cells(timed, row_key, EVENT_CELLS, more=F.transform(F.map_entries("data"), field))
+    return to_cells(timed, row_key, EVENT_CELLS, more=F.transform(F.map_entries("data"), field), table=table)
 
 
 def upsert_latest(cells: DataFrame, order: str) -> DataFrame:

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from flowloom.functions import encode
 from flowloom.functions.columns import stable_uid
+from flowloom.functions.lineage import shared_folder
 from flowloom.operators import cells as op
 from flowloom.operators import domains
 from flowloom.operators import events as event_op
 from flowloom.operators import flows as flow_op
 from flowloom.operators import packets as packet_op
 from flowloom.plans import dims
-from flowloom.plans.event_queries import _RAW, _SQL_IP
+from flowloom.plans.event_queries import _RAW, _SQL_IP, _sql_decoded
 from flowloom.plans.flow_queries import _ALL_FLOWS, _FLOWS_WITH_STATS, _LISTED, _SQL_FLOW_ROW_KEY
 from flowloom.plans.inputs import (
     DUCK_MIXED_PACKETS,
@@ -22,6 +25,7 @@ from flowloom.plans.inputs import (
     table,
 )
 from flowloom.plans.packet_queries import SQL_ROW_KEY
+from flowloom.streaming.routing import read_routed, write_batch
 
 QUERIES, ORACLES = {}, {}
 _MIXED = f"({DUCK_MIXED_PACKETS}) as p"
@@ -45,9 +49,9 @@ _SQL_ENCODE = {
 }
 
 
-def _sql_cells(src: str, row_key: str, spec, columns, ts: str = "ts_ns") -> str:
+def _sql_cells(src: str, row_key: str, spec, columns, ts: str = "ts_ns", first: str = "") -> str:
     parts = [
-        f"select {row_key} as row_key, '{f}' as family, '{q}' as qualifier, {_SQL_ENCODE[e].format(c=c)} as value, {ts} // 1000000 as cell_ts"
+        f"select {first}{row_key} as row_key, '{f}' as family, '{q}' as qualifier, {_SQL_ENCODE[e].format(c=c)} as value, {ts} // 1000000 as cell_ts"
         f" from {src} where {c} is not null"
         for f, q, c, e in spec
         if c in columns
@@ -113,17 +117,24 @@ _add(
 )
 
 
-def _event_cells(s, d):
+def _stored_events(s, d):
     rows = event_op.describe_events(event_op.residual_fields(event_op.typed_fields(event_fields(s, d))), dims.dim(s, dims.EVENTS))
     rows = event_op.drop_empty(rows.withColumn("data", event_op.normalise_ips("data")))
     rows = rows.filter("error is null and ts is not null")
-    return _hexed(op.event_cells(rows, stable_uid("sensor", "row_id")))
+    return event_op.computer_parts(rows, dims.NAME_PATTERN, dims.dim(s, dims.NAME_CODES))
+
+
+def _event_cells(s, d):
+    return _hexed(op.event_cells(_stored_events(s, d), stable_uid("sensor", "row_id")))
 
 
 _EVENT_SQL_COLUMNS = {c: n.lower() for c, n, _ in event_op.SYSTEM_FIELDS if c != "ts"}
 
 
-def _event_cells_sql() -> str:
+_COMPUTER_SQL = {"computer_code": "code_", "computer_site": "site_", "computer_number": "number_", "computer_code_description": "description_"}
+
+
+def _event_cells_sql(first: str = "") -> str:
     default = {c: "''" if k == "string" else "0" for c, _, k in event_op.SYSTEM_FIELDS}
     kinds = {c: k for c, _, k in event_op.SYSTEM_FIELDS}
     cols = []
@@ -133,13 +144,13 @@ def _event_cells_sql() -> str:
         cols.append(f"nullif({value}, '') as {c}" if c in event_op.OMITTED_WHEN_EMPTY else f"{value} as {c}")
     opened = [n for n in EVENT_FIELD_NAMES if n.startswith("eventdata_")]
     src = f"""with described as (select event_id as d_id, arg_max(description, rank) as d_text from {dims.EVENTS} group by event_id),
-     cell_src as (select row_id, sensor, coalesce(d_text, '') as description, {', '.join(cols)}, {', '.join(o + ' as o_' + o for o in opened)},
-      epoch_us(try_cast(system_timecreated_systemtime as timestamp)) * 1000 as ts_ns from {_RAW} left join described on d_id = coalesce(try_cast(system_eventid as bigint), 0)
+     cell_src as (select row_id, sensor, reference, {', '.join(f'{v} as {c}' for c, v in _COMPUTER_SQL.items())}, coalesce(d_text, '') as description, {', '.join(cols)}, {', '.join(o + ' as o_' + o for o in opened)},
+      epoch_us(try_cast(system_timecreated_systemtime as timestamp)) * 1000 as ts_ns from {_sql_decoded('(select * from ' + _RAW + ')', 'system_computer')} left join described on d_id = coalesce(try_cast(system_eventid as bigint), 0)
       where try_cast(system_timecreated_systemtime as timestamp) is not null
        and (system_eventid is null or try_cast(system_eventid as integer) is not null)
        and (system_task is null or try_cast(system_task as integer) is not null))"""
     key = "sha256(sensor || '|' || row_id::varchar)"
-    named = _sql_cells("cell_src", key, op.EVENT_CELLS, {*_EVENT_SQL_COLUMNS, "ts_ns", "description"})
+    named = _sql_cells("cell_src", key, op.EVENT_CELLS, {*_EVENT_SQL_COLUMNS, *_COMPUTER_SQL, "ts_ns", "description"}, first=first)
     more = []
     for o in opened:
         value = _SQL_ENCODE["text"].format(c=f"o_{o}")
@@ -148,7 +159,7 @@ def _event_cells_sql() -> str:
         if o == "eventdata_data_starttime":
             value = _SQL_ENCODE["instant"].format(c=f"(epoch_us(o_{o}::timestamp) * 1000)")
         more.append(
-            f"select {key}, 'ED', '{o.upper()}', {value}, ts_ns // 1000000 from cell_src where o_{o} is not null"
+            f"select {first}{key}, 'ED', '{o.upper()}', {value}, ts_ns // 1000000 from cell_src where o_{o} is not null"
         )
     return f"{src} {named} union all {' union all '.join(more)}"
 
@@ -156,6 +167,40 @@ def _event_cells_sql() -> str:
 _add("g1_event_cells", _event_cells, _event_cells_sql())
 
 
+def _through_tables(s, cells):
+    """Cells written twice under one label, as after a lost driver, and read back from their tables."""
+    folder = f"{shared_folder(s)}/tables-{uuid.uuid4().hex}"
+    for _ in range(2):
+        write_batch(cells, folder, "whole")
+    return _hexed(read_routed(s, folder)).select("table", "row_key", "family", "qualifier", "value", "cell_ts")
+
+
+def _written_flows(s, d):
+    rows = mixed_packets(s, d)
+    pieces = flow_op.tcp_pieces(rows)
+    flows = flow_op.add_stats(flow_op.summarise(rows, pieces=pieces), flow_op.flow_stats(rows, pieces=pieces))
+    return _through_tables(s, op.flow_cells(flows, flow_op.flow_row_key(), table=op.packet_table()))
+
+
+_PACKET_TABLE_SQL, _EVENT_TABLE_SQL = """reference || '-packets' as "table", """, """'default:' || reference || '-evtx' as "table", """
+_add(
+    "g5_write_packets",
+    lambda s, d: _through_tables(s, op.packet_cells(mixed_packets(s, d), table=op.packet_table())),
+    f"{_SQL_PACKETS} {_sql_cells('cell_src', SQL_ROW_KEY, op.PACKET_CELLS, _PACKET_COLUMNS, first=_PACKET_TABLE_SQL)}",
+)
+_add(
+    "g5_write_flows",
+    _written_flows,
+    f"""{_FLOWS_WITH_STATS}, cell_src as (select *, (ts_ns % 1000000000)::integer as nanos, (ts_end_ns - ts_ns) / 1e9 as duration_s from with_stats)
+     {_sql_cells('cell_src', _SQL_FLOW_ROW_KEY, op.FLOW_CELLS, _FLOW_COLUMNS, first=_PACKET_TABLE_SQL)}""",
+)
+_add(
+    "g5_write_events",
+    lambda s, d: _through_tables(s, op.event_cells(_stored_events(s, d), stable_uid("sensor", "row_id"), table=op.event_table())),
+    _event_cells_sql(_EVENT_TABLE_SQL),
+)
+
+
 def _encoded(s, d):
     p = mixed_packets(s, d)
     signed = F.col("pkt_id") - 5000
