@@ -83,10 +83,11 @@ def field_value(name: str) -> Column:
     return F.try_element_at(F.col("fields"), F.lit(name))["value"]
 
 
-def typed_fields(events: DataFrame) -> DataFrame:
+def typed_fields(events: DataFrame, ingest: Column | None = None) -> DataFrame:
     """Add the named system fields and ``error`` for values that do not convert.
 
-    An absent field becomes '' or 0; an absent time stays NULL, for no event happened "now".
+    An absent field becomes '' or 0; an absent time stays NULL, for no event happened "now". With
+    ``ingest``, such as ``current_timestamp()``, an event without a time has that one in ``ingest_ts``.
     """
     columns, problems = {}, []
     for column, name, kind in SYSTEM_FIELDS:
@@ -97,6 +98,9 @@ def typed_fields(events: DataFrame) -> DataFrame:
         value = system_time(raw) if kind == "timestamp" else raw.try_cast(kind)
         problems.append(F.when(raw.isNotNull() & value.isNull(), F.lit(name)))
         columns[column] = value if kind == "timestamp" else F.coalesce(value, F.lit(0).cast(kind))
+    if ingest is not None:
+        times = [name for _, name, kind in SYSTEM_FIELDS if kind == "timestamp"]
+        columns["ingest_ts"] = F.when(F.coalesce(*map(field_value, times)).isNull(), ingest.cast("timestamp"))
     bad = F.array_compact(F.array(*problems))
     columns["error"] = F.when(F.size(bad) > 0, F.concat(F.lit("not convertible: "), F.array_join(bad, ",")))
     return events.withColumns(columns)

@@ -11,6 +11,8 @@ from flowloom.plans import dims
 from flowloom.plans.inputs import DUCK_EVENT_FIELDS, EVENT_FIELD_NAMES, event_fields, table
 
 QUERIES, ORACLES = {}, {}
+#: When the derived events are taken to be ingested.
+_INGESTED_US = 1_767_225_600_000_000
 _RAW = f"({DUCK_EVENT_FIELDS}) as r"
 
 
@@ -74,6 +76,14 @@ _add(
     ),
     f"select row_id, epoch_us({_SQL_TS}) as ts_us from {_RAW}",
 )
+_add(
+    "f2_ingest_time",
+    lambda s, d: op.typed_fields(event_fields(s, d), ingest=F.timestamp_micros(F.lit(_INGESTED_US))).select(
+        "row_id", F.unix_micros("ts").alias("ts_us"), F.unix_micros("ingest_ts").alias("ingest_us")
+    ),
+    f"""select row_id, epoch_us({_SQL_TS}) as ts_us, case when system_timecreated_systemtime is null then {_INGESTED_US} end as ingest_us
+     from {_RAW}""",
+)
 _add(
     "f3_describe_event",
     lambda s, d: op.describe_events(_typed(s, d), dims.dim(s, dims.EVENTS)).select("row_id", "event_id", "description"),

@@ -341,6 +341,22 @@ _add(
 )
 
 
+def _ready_at_the_end(s, d):
+    """Flows due by span, or by over five seconds of silence at the moment of the capture's last packet."""
+    rows = mixed_packets(s, d)
+    now = rows.agg(F.max("ts_ns")).first()[0]
+    idle_ms = F.floor((F.lit(now) - F.col("ts_end_ns")) / F.lit(1_000_000))
+    return op.summarise(rows).select(*_ID, op.flow_ready(_READY_MS, idle_ms).alias("ready"))
+
+
+_add(
+    "d8_flow_ready_idle",
+    _ready_at_the_end,
+    f"""{_ALL_FLOWS} select {_ID_SQL}, (protocol <> 'tcp' and (ts_end_ns - ts_ns) // 1000000 > {_READY_MS})
+      or ((select max(ts_ns) from mixed) - ts_end_ns) // 1000000 > 5000 as ready from flows""",
+)
+
+
 def _flow_table_with_stats(s, d):
     rows = mixed_packets(s, d)
     pieces = op.tcp_pieces(rows)

@@ -197,9 +197,12 @@ EVENT_FIELD_NAMES = [
 TIME_TYPE = "SystemtimeTypeNode"
 
 
-def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as decoded from a log: ``fields`` maps a name to its text value and type name."""
-    wide = _over_events(spark, sf_dir, EVENT_FIELDS_SQL.replace("{TEXT}", _TEXT["SPARK"]))
+def event_fields(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Events as decoded from a log: ``fields`` maps a name to its text value and type name.
+
+    ``events`` may be a stream over the table.
+    """
+    wide = _over_events(spark, sf_dir, EVENT_FIELDS_SQL.replace("{TEXT}", _TEXT["SPARK"]), events=events)
     entries = F.array(
         *[
             F.struct(

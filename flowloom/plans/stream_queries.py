@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 
 from flowloom.functions.lineage import shared_folder
 from flowloom.operators import metrics as metric_op
-from flowloom.operators.cells import write_records
+from flowloom.operators.cells import PACKET_CELLS, packet_cells, packet_table, write_records
+from flowloom.operators.events import typed_fields
 from flowloom.plans import inputs
+from flowloom.plans.event_queries import ORACLES as EVENT_ORACLES
 from flowloom.plans.flow_queries import _ID, _ID_SQL, _KEY_SQL, _PLAIN_SRC, _sessions, _tcp_flows
+from flowloom.plans.inputs import DUCK_PACKETS
 from flowloom.plans.metric_queries import _SQL_EVENT_POINTS
 from flowloom.sources.files import classify_magic
+from flowloom.streaming.counts import read_counts, write_counts
 from flowloom.streaming.ingest import stream_directory
 from flowloom.streaming.metrics import stream_metrics
+from flowloom.streaming.routing import read_routed, write_routed, written
 from flowloom.streaming.sessions import stream_counters, stream_sessions
 
 QUERIES, ORACLES = {}, {}
@@ -86,6 +91,35 @@ _add(
 )
 
 
+def _stream_counts(s, d):
+    """Counts per log of an event stream, kept per micro-batch."""
+    rows = typed_fields(inputs.event_fields(s, d, _event_stream(s, d))).withColumn("source_file", F.concat("sensor", F.lit(".evtx")))
+    folder = f"{shared_folder(s)}/counts-{uuid.uuid4().hex}"
+    write_counts(rows, f"{folder}/counts", f"{folder}/checkpoint", "logs").awaitTermination()
+    return read_counts(s, f"{folder}/counts")
+
+
+_add("a11_stream_counts", _stream_counts, EVENT_ORACLES["a11_ingest_counts"])
+
+
+def _routed_packets(s, d):
+    """Cells of a packet stream in the tables of their references."""
+    cells = packet_cells(_packet_stream(s, d).withColumn("reference", F.when(F.col("pkt_id") % 2 == 0, "even").otherwise("odd")), table=packet_table())
+    folder = f"{shared_folder(s)}/tables-{uuid.uuid4().hex}"
+    write_routed(cells, folder, f"{folder}/checkpoint", "packets").awaitTermination()
+    return written(s, folder).join(read_routed(s, folder).groupBy("table").agg(F.countDistinct("row_key").alias("records"), F.count("*").alias("cells")), "table").select("table", "records", "cells", "rows")
+
+
+_CELLS = len([c for _, _, c, _ in PACKET_CELLS if c in {
+    "ts_ns", "nanos", "reference", "sensor", "id_orig_h", "id_orig_p", "id_resp_h", "id_resp_p", "ip_version", "protocol", "bytes", "flags"}])
+_add(
+    "g3_routed_stream",
+    _routed_packets,
+    f"""select case when pkt_id % 2 = 0 then 'even' else 'odd' end || '-packets' as "table", count(*) as records,
+     {_CELLS} * count(*) as cells, ({_CELLS} * count(*))::bigint as rows from ({DUCK_PACKETS}) as p group by all""",
+)
+
+
 def _directory(s, d):
     """The table files themselves as opaque arrivals of a watched directory."""
     files = stream_directory(s, d, glob="*.parquet")

@@ -23,13 +23,14 @@ def write_batch(routed: DataFrame, folder: str, label: str) -> None:
     try:
         told = F.coalesce("table", F.raise_error(F.lit("a cell has no table")).cast("string"))
         dated = kept.select(told.alias("table"), F.to_date(F.timestamp_millis("cell_ts")).alias("date"), F.lit(label).alias("batch"), *(c for c in kept.columns if c != "table"))
-        _replace(dated.hint("rebalance", "table", "date"), f"{folder}/data", ["table", "date", "batch"])
-        _replace(kept.groupBy("table").agg(F.count("*").alias("rows")).withColumn("batch", F.lit(label)), f"{folder}/log", ["table", "batch"])
+        replace_parts(dated.hint("rebalance", "table", "date"), f"{folder}/data", ["table", "date", "batch"])
+        replace_parts(kept.groupBy("table").agg(F.count("*").alias("rows")).withColumn("batch", F.lit(label)), f"{folder}/log", ["table", "batch"])
     finally:
         kept.unpersist()
 
 
-def _replace(df: DataFrame, path: str, parts: list[str]) -> None:
+def replace_parts(df: DataFrame, path: str, parts: list[str]) -> None:
+    """Write ``df`` partitioned by ``parts``, in place of what lies in the partitions that it has."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts).parquet(path)
 

@@ -6,13 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowloom.operators import flows
-from flowloom.operators.cells import write_stream
+from flowloom.operators.cells import packet_cells, packet_table, write_stream
 from flowloom.operators.events import tag_origin, typed_fields
 from flowloom.operators.metrics import event_metrics, rollup_metrics
+from flowloom.operators.quality import ingest_counts
 from flowloom.operators.sessions import IDLE_S
 from flowloom.plans.captures import log_file
+from flowloom.streaming.counts import read_counts, write_counts
 from flowloom.streaming.ingest import parse_sources, stream_captures, stream_directory, stream_event_logs
 from flowloom.streaming.metrics import stream_metrics, stream_metrics_idle
+from flowloom.streaming.routing import read_routed, replace_parts, write_batch, write_routed, written
 from flowloom.streaming.sessions import stream_counters, stream_sessions
 from test_sessions import COLUMNS, START, frame, packet, random_packets, spark_rows
 from test_sources import CAPTURE, EVENT, NAMES, capture, ether, ipv4, tcp, udp, zipped
@@ -87,9 +90,9 @@ def test_counters_equal_batch(spark, tmp_path):
 
 
 def _runs(df):
-    from flowloom.operators.sessions import KEY, stitch_runs, with_runs
+    from flowloom.operators.sessions import KEY, with_runs
 
-    return stitch_runs(flows._run_summaries(with_runs(flows.tcp_pieces(df), KEY, IDLE_S), [*KEY, "slice", "run"]))
+    return flows.idle_epochs(flows._run_summaries(with_runs(flows.tcp_pieces(df), KEY, IDLE_S), [*KEY, "slice", "run"]))
 
 
 def test_silent_sessions_close_by_wall_clock(spark, tmp_path):
@@ -142,6 +145,42 @@ def test_idle_points_are_flushed_by_wall_clock(spark, tmp_path):
     assert sorted((r.tag_value, r["count"]) for r in rows) == [("0", 10.0), ("1", 10.0), ("2", 10.0)]
 
 
+def test_routed_batches_are_written_once(spark, tmp_path):
+    """Several tables from one stream; a replayed batch changes nothing, one that is not in the log is not read."""
+    df = frame(spark, random_packets(31, 300), 1).withColumns({"psh": F.lit(False), "urg": F.lit(False)}).withColumn("reference", F.when(F.col("frame_no") % 3 == 0, "a:b").otherwise("2024"))
+    folder = str(tmp_path / "tables")
+    cells = packet_cells(arrivals(spark, df, tmp_path / "in", ["ts_ns", "frame_no"], 4), table=packet_table())
+    write_routed(cells, folder, f"{tmp_path}/cp", "live").awaitTermination()
+    want = sorted(map(tuple, packet_cells(df, table=packet_table()).collect()))
+    stored = lambda: sorted(map(tuple, read_routed(spark, folder).select("table", "row_key", "family", "qualifier", "value", "cell_ts").collect()))
+    assert stored() == want
+    assert {(r.table, r.batches) for r in written(spark, folder).collect()} == {("a:b-packets", 4), ("2024-packets", 4)}
+    # The same files once more from a new checkpoint, as if the first one's last commit had been lost.
+    again = packet_cells(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), table=packet_table())
+    write_routed(again, folder, f"{tmp_path}/cp2", "live").awaitTermination()
+    assert stored() == want
+    batch = packet_cells(df.limit(5), table=packet_table())
+    with pytest.raises(Exception, match="no table"):
+        write_batch(batch.withColumn("table", F.lit(None).cast("string")), folder, "bad")
+    # Data without a log entry, of a try that failed half-way.
+    extra = batch.select("table", F.lit("2024-01-01").cast("date").alias("date"), F.lit("half").alias("batch"), "row_key", "family", "qualifier", "value", "cell_ts")
+    replace_parts(extra, f"{folder}/data", ["table", "date", "batch"])
+    assert stored() == want
+    assert read_routed(spark, folder, "a:b-packets").count() == sum(r[0] == "a:b-packets" for r in want)
+    write_batch(batch.limit(0), folder, "empty")
+    assert stored() == want
+
+
+def test_stream_counts_equal_batch_and_replays_count_once(spark, tmp_path):
+    df = spark.range(90).select(
+        F.concat(F.lit("f"), (F.col("id") % 4).cast("string")).alias("source_file"), F.when(F.col("id") % 7 == 0, "broken").alias("error"), "id"
+    )
+    stream = arrivals(spark, df, tmp_path / "in", ["id"], 5)
+    for checkpoint in ("cp", "cp2"):  # the second run replays every batch
+        write_counts(stream, f"{tmp_path}/counts", f"{tmp_path}/{checkpoint}", "x").awaitTermination()
+    assert sorted(map(tuple, read_counts(spark, f"{tmp_path}/counts").collect())) == sorted(map(tuple, ingest_counts(df).collect()))
+
+
 def test_watched_directory_to_stored_packets(spark, tmp_path):
     """Captures arriving in two polls, plain and packed, end as partitioned packet files."""
     inbox = tmp_path / "inbox"
