@@ -75,10 +75,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table whose scan has fewer tasks than the session has cores, such as one small file, dealt over the cores.
+
+    A large table's scan has more tasks than that and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _over_events(spark: SparkSession, sf_dir: str, sql: str, events: DataFrame | None = None) -> DataFrame:
     # ts is stored without a zone; read it as UTC whatever the session zone is.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = table(spark, sf_dir, "events") if events is None else events
+    events = _spread(table(spark, sf_dir, "events")) if events is None else events
     return spark.sql(_fill(sql, SPARK).replace("from events", "from {events}"), events=events)
 
 
