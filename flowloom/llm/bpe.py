@@ -7,6 +7,7 @@ into pre-tokens, each pre-token is encoded by itself, and ids are turned back by
 
 from __future__ import annotations
 
+import hashlib
 import base64
 import struct
 from collections.abc import Iterator
@@ -137,10 +138,12 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text",
     kept = [c for c in df.columns if keep_text or c != text]
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(ids, T.ArrayType(T.IntegerType()))])
     shared = df.sparkSession.sparkContext.broadcast((tokens, pattern))
+    # Workers keep encoders between calls, by their whole content.
+    content = hashlib.sha256(repr((pattern, tokens)).encode()).hexdigest()
 
     def run(batches):
         vocabulary, split = shared.value
-        encoder = per_process(f"bpe{hash((split, len(vocabulary), vocabulary[-1]))}", lambda: Encoder(vocabulary, split))
+        encoder = per_process(f"bpe{content}", lambda: Encoder(vocabulary, split))
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             sizes = np.diff(np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, texts.offset * 4)) if len(texts) else []

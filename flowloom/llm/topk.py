@@ -77,7 +77,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
     Both tables are (vec_id, v) with whole components of one dimension. Ties go to the smaller ``vec_id``; a candidate
     with the query's ``vec_id`` is the query itself and left out. Queries that repeat an id count once, with the
     smallest vector; repeated candidates are rows of their own. With fewer candidates all are returned, with none or
-    no query no rows.
+    no query no rows. Vectors whose scores may exceed 64 bits are an error. Further columns are left out.
     """
     queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     n_q, n_c = queries.count(), candidates.count()
@@ -103,11 +103,20 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
             ids, rows = matrix(there)
             if q_rows.shape[1] != rows.shape[1]:
                 raise ValueError("vectors must have one dimension")
+            # The largest score that these could have; beyond 53 bits bounds in doubles are not exact, so all count then.
+            largest = rows.shape[1] * int(np.abs(q_rows).max(initial=0)) * int(np.abs(rows).max(initial=0))
+            if largest >= 1 << 63:
+                raise ValueError("scores may exceed 64 bits")
+            exact = largest < 1 << 53
             values = np.ascontiguousarray(rows.T)
             order = np.argsort(values, axis=1, kind="stable")
             lists = np.take_along_axis(values, order, axis=1)
             for q_id, query in zip(q_ids, q_rows, strict=True):
-                found, scores = no_random_access(query, values, order, k, ids == q_id, lists)
+                if exact:
+                    found, scores = no_random_access(query, values, order, k, ids == q_id, lists)
+                else:
+                    found = np.flatnonzero(ids != q_id)
+                    scores = rows[found] @ query
                 best = np.lexsort((ids[found], -scores))[:k]
                 out[0].append(np.full(len(best), q_id))
                 out[1].append(ids[found[best]])

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowloom.llm import merkle, toxicity, whitening
+from flowloom.llm import bpe, merkle, topk, toxicity, whitening
 from flowloom.llm import queries as registered
 from flowloom.llm.common import documents
 
@@ -94,6 +94,31 @@ def test_deviations_beyond_64_bits(spark):
     assert sorted(int(r.deviation) for r in rows) == sorted((100 * k * 10**13 - total) ** 2 for k in range(100))
 
 
+# Search and tokens, where numbers and vocabularies are unusual
+
+
+def test_large_scores_are_exact_or_refused(spark):
+    rng = np.random.default_rng(8)
+    for size, fits in ((10**8, True), (10**9, True), (10**10, False)):
+        rows = [(i, [int(v) for v in rng.integers(-size, size, 4)]) for i in range(1, 60)]
+        df = spark.createDataFrame(rows, "vec_id long, v array<bigint>")
+        if not fits:
+            with pytest.raises(Exception, match="64 bits"):
+                topk.top_k(df.filter("vec_id = 1"), df).collect()
+            continue
+        got = [(r.vec_id, r.score) for r in topk.top_k(df.filter("vec_id = 1"), df, 5).orderBy("rank").collect()]
+        scores = [(i, sum(a * b for a, b in zip(rows[0][1], v, strict=True))) for i, v in rows[1:]]
+        assert got == sorted(scores, key=lambda x: (-x[1], x[0]))[:5]
+
+
+def test_two_vocabularies_in_one_worker(spark):
+    tokens = [bytes([b]) for b in range(256)] + [b"ab", b"cd", b"zz"]
+    other = [*tokens[:256], b"cd", b"ab", b"zz"]
+    df = spark.createDataFrame([("abcd",)], "text string").coalesce(1)
+    ids = [bpe.encode(df, t, r"\w+").select("ids").first()[0] for t in (tokens, other, tokens)]
+    assert ids == [[256, 257], [257, 256], [256, 257]]
+
+
 # Manifest
 
 
