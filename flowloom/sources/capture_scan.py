@@ -1,15 +1,19 @@
 """Plain captures of any size, read by byte range.
 
-``binaryFile`` holds a file in one row, which ends at 2 GB. Here tasks open captures
-themselves: larger ones are first indexed, by tasks that only walk the record headers, and
-then read in parallel ranges that begin at record borders. Memory stays at one block.
+``binaryFile`` holds a file in one row, which ends at 2 GB. Here tasks open captures themselves. A larger one is cut
+into ranges of equal size; a task looks for the first record of its range by itself, and walks the record headers to
+the first one behind it. The first range is right, and so is each that begins where the one before it ends; only
+others are walked again, from the place that is then known. Memory stays at one block.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +25,21 @@ from flowloom.sources.pcap import FRAME_SCHEMA, LINK_TYPES, MAGICS, frame_batche
 
 SPLIT_BYTES = 256 << 20
 _BLOCK = 8 << 20
+#: Record headers in a row that must look right where a range begins, and the longest record that looks right. They
+#: decide how often a guess is wrong, never the result.
+_CHAIN, _LONGEST = 16, 1 << 18
+_SYNC_BLOCK = 64 << 10
+_ROWS = 1024
 _SPLIT_SCHEMA = "path string, length long, start long, stop long, first_frame long, byte_order string, unit int, link_type int, error string"
+_RANGE_SCHEMA = (
+    "path string, length long, part long, high long, start long, stop long, frames long, byte_order string, unit int, link_type int, error string"
+)
 _SPLIT_TYPES = [pa.string(), *[pa.int64()] * 4, pa.string(), pa.int32(), pa.int32(), pa.string()]
+_RANGE_TYPES = [pa.string(), *[pa.int64()] * 6, pa.string(), pa.int32(), pa.int32(), pa.string()]
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split(" ")[0] for part in schema.split(", ")]
 
 
 def _open(path: str) -> pa.NativeFile:
@@ -65,19 +82,94 @@ def _walk(handle: pa.NativeFile, order: str, start: int, stop: int) -> Iterator[
         at += 16 + size
 
 
-def _splits(path: str, length: int, split_bytes: int, precision: str) -> Iterator[tuple]:
+def _hop(handle: pa.NativeFile, order: str, start: int, stop: int) -> tuple[int, int]:
+    """Place of the first record at or behind ``stop`` and the records before it; the file's end where it cuts a record."""
+    size, length, at, block, block_at, count = struct.Struct(order + "I"), handle.size(), start, b"", start, 0
+    while at < stop:
+        if at + 16 > length:
+            return length, count
+        if at + 16 > block_at + len(block):
+            block, block_at = handle.read_at(min(_BLOCK, stop - at + 15), at), at
+        after = at + 16 + size.unpack_from(block, at - block_at + 8)[0]
+        if after > length:
+            return length, count
+        at, count = after, count + 1
+    return at, count
+
+
+def _synchronise(handle: pa.NativeFile, order: str, low: int, high: int, unit: int) -> int | None:
+    """The first place in a range from which ``_CHAIN`` records in a row look right, or all up to the file's end."""
+    length, fractions = handle.size(), 1_000_000_000 if unit == 1 else 1_000_000
+    record = struct.Struct(order + "4I")
+
+    def holds(at: int) -> bool:
+        for _ in range(_CHAIN):
+            if at == length:
+                return True
+            head = handle.read_at(16, at) if at + 16 <= length else b""
+            if len(head) < 16:
+                return False
+            _, frac, incl, orig = record.unpack(head)
+            if frac >= fractions or incl > min(orig, _LONGEST):
+                return False
+            at += 16 + incl
+        return True
+
+    for base in range(low, high, _SYNC_BLOCK):
+        block = np.frombuffer(handle.read_at(min(_SYNC_BLOCK, high - base) + 15, base), np.uint8)
+        n = len(block) - 15
+        if n <= 0:
+            return None
+
+        def word(at: int) -> np.ndarray:
+            parts = [block[at + i : at + i + n].astype(np.uint32) << (8 * (i if order == "<" else 3 - i)) for i in range(4)]
+            return parts[0] | parts[1] | parts[2] | parts[3]
+
+        incl = word(8)
+        likely = (word(4) < fractions) & (incl > 0) & (incl <= _LONGEST) & (incl <= word(12))
+        for at in np.flatnonzero(likely):
+            if holds(base + int(at)):
+                return base + int(at)
+    return None
+
+
+def _range(path: str, length: int, part: int, low: int, high: int, precision: str) -> Iterator[tuple]:
+    """What a range of a capture finds by itself; of a file that is no capture only the first says so."""
     with _open(path) as handle:
         order, unit, link, error = _header(handle, precision)
-        if error or length <= split_bytes:
-            yield path, length, 24, length, 0, order, unit, link, error
+        if error:
+            if part == 0:
+                yield path, length, part, high, low, length, 0, order, unit, link, error
             return
-        start, first, number = 24, 0, 0
-        for at, header, _ in _walk(handle, order, 24, length):
-            if at - start >= split_bytes:
-                yield path, length, start, at, first, order, unit, link, None
-                start, first = at, number
-            number += header is not None
-        yield path, length, start, length, first, order, unit, link, None
+        start = low if part == 0 else _synchronise(handle, order, low, high, unit)
+        if part == 0 and high == length:  # a file of one range needs no count
+            stop, frames = length, 0
+        else:
+            stop, frames = (None, None) if start is None else _hop(handle, order, start, high)
+        yield path, length, part, high, start, stop, frames, order, unit, link, None
+
+
+def _chained(ranges: Iterator[dict]) -> Iterator[tuple]:
+    """Numbered splits of the ranges of captures, in order; a range that does not begin where the last one ended is mended."""
+    path, due, number = None, None, 0
+    for r in ranges:
+        if r["part"] == 0:
+            path, due, number = r["path"], r["start"], 0
+        start, stop, frames = r["start"], r["stop"], r["frames"]
+        if start != due:
+            start, stop, frames = due, due, 0
+            if due < r["high"]:
+                with _open(path) as handle:
+                    stop, frames = _hop(handle, r["byte_order"], due, r["high"])
+        if start < stop or r["error"]:
+            yield path, r["length"], start, stop, number, r["byte_order"], r["unit"], r["link_type"], r["error"]
+        due, number = stop, number + frames
+
+
+def _whole_file(path: str, length: int, precision: str) -> tuple:
+    with _open(path) as handle:
+        order, unit, link, error = _header(handle, precision)
+    return path, length, 24, length, 0, order, unit, link, error
 
 
 def _split_frames(split: dict) -> Iterator[tuple]:
@@ -97,17 +189,36 @@ def _split_frames(split: dict) -> Iterator[tuple]:
             number += 1
 
 
-def capture_splits(files: DataFrame, split_bytes: int = SPLIT_BYTES, precision: str = "header") -> DataFrame:
-    """Ranges of at most about ``split_bytes`` for each capture in ``files(path, length)``."""
-    names = [part.split(" ")[0] for part in _SPLIT_SCHEMA.split(", ")]
+def _mapped(df: DataFrame, made: Callable[[Iterator[dict]], Iterator[tuple]], schema: str, types: list) -> DataFrame:
+    """What ``made`` yields for the rows of each partition of ``df``."""
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = list(_splits(row["path"], row["length"], split_bytes, precision))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), _SPLIT_TYPES)], names=names)
+        found = made(row for batch in batches for row in batch.to_pylist())
+        while rows := list(islice(found, _ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_names(schema))
 
-    return files.select("path", "length").mapInArrow(run, _SPLIT_SCHEMA)
+    return df.mapInArrow(run, schema)
+
+
+def _guesses(rows: Iterator[dict], precision: str) -> Iterator[tuple]:
+    for row in rows:
+        yield from _range(**row, precision=precision)
+
+
+def capture_splits(files: DataFrame, split_bytes: int = SPLIT_BYTES, precision: str = "header", tasks: int | None = None) -> DataFrame:
+    """Ranges of at most about ``split_bytes`` for each capture in ``files(path, length)``.
+
+    Each range is looked through by a task that reads its headers and no further. One small row per range then goes to
+    a task of its file, which checks them in order, numbers their frames, and reads only what was guessed wrong.
+    """
+    tasks = tasks or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    zero = F.lit(0).cast("long")
+    part = F.explode(F.sequence(zero, F.greatest(zero, F.floor((F.col("length") - 25) / split_bytes))))
+    low = F.col("part") * split_bytes + 24
+    ranges = files.select("path", "length", part.alias("part")).select("*", low.alias("low"), F.least(low + split_bytes, "length").alias("high"))
+    found = _mapped(ranges.repartition(tasks, "path", "part"), partial(_guesses, precision=precision), _RANGE_SCHEMA, _RANGE_TYPES)
+    ordered = found.repartition(tasks, "path").sortWithinPartitions("path", "part")
+    return _mapped(ordered, _chained, _SPLIT_SCHEMA, _SPLIT_TYPES)
 
 
 def scan_captures(
@@ -126,8 +237,8 @@ def scan_captures(
     many as the session has shuffle partitions.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    tagged = tag_source(capture_splits(files.filter("length > 0"), split_bytes, precision), reference, pattern=pattern)
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged = tag_source(capture_splits(files.filter("length > 0"), split_bytes, precision, tasks), reference, pattern=pattern)
     spread = tagged.repartition(tasks, "path", "start")
 
     def run(batches):
@@ -158,10 +269,9 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
         reference, precision = self.options.get("reference", ""), self.options.get("precision", "header")
-        names = [part.split(" ")[0] for part in _SPLIT_SCHEMA.split(", ")]
-        for split in _splits(partition.path, partition.length, partition.length, precision):
-            source = f"{partition.path}|{partition.length}"
-            yield from frame_batches(source, "", reference, self.options.get("sensor", reference), _split_frames(dict(zip(names, split))))
+        split = dict(zip(_names(_SPLIT_SCHEMA), _whole_file(partition.path, partition.length, precision)))
+        source = f"{partition.path}|{partition.length}"
+        yield from frame_batches(source, "", reference, self.options.get("sensor", reference), _split_frames(split))
 
 
 class PcapDataSource(DataSource):

@@ -401,11 +401,61 @@ def test_large_captures_are_split(spark, captures):
 def test_record_longer_than_a_block(spark, tmp_path, monkeypatch):
     (tmp_path / "x.pcap").write_bytes(capture([(1, 0, b"a" * 5000), (2, 0, b"b")]))
     monkeypatch.setattr(capture_scan, "_BLOCK", 64)
-    split = list(capture_scan._splits(str(tmp_path / "x.pcap"), (tmp_path / "x.pcap").stat().st_size, 1 << 20, "header"))[0]
-    names = [p.split(" ")[0] for p in capture_scan._SPLIT_SCHEMA.split(", ")]
+    split = capture_scan._whole_file(str(tmp_path / "x.pcap"), (tmp_path / "x.pcap").stat().st_size, "header")
+    names = capture_scan._names(capture_scan._SPLIT_SCHEMA)
     assert [len(f[5]) for _, f in capture_scan._split_frames(dict(zip(names, split)))] == [5000, 1]
 
 
+def nested_capture(order="<", cut=0):
+    """Records whose payloads are captures themselves, so that guesses inside them are wrong, and records of no bytes."""
+    inner = capture([(i, i, b"q" * (i % 9)) for i in range(300)], order)
+    frames = [(i, i, inner if i % 3 == 1 else b"\0" * (i % 4) * 700) for i in range(24)]
+    return capture(frames, order)[: -cut or None]
+
+
+@pytest.mark.parametrize("order, cut, split_bytes", [("<", 0, 1500), (">", 5, 200), ("<", 4000, 7919)])
+def test_wrong_guesses_are_mended(spark, tmp_path, order, cut, split_bytes):
+    path = tmp_path / "ab-01-000001.pcap"
+    path.write_bytes(nested_capture(order, cut))
+    (tmp_path / "junk.pcap").write_bytes(b"no capture " * 2000)
+    length = path.stat().st_size
+    low = range(24 + split_bytes, length, split_bytes)
+    with capture_scan._open(str(path)) as handle:
+        borders = [at for at, header, _ in capture_scan._walk(handle, order, 24, length) if header]
+        guesses = [capture_scan._synchronise(handle, order, at, min(at + split_bytes, length), 1000) for at in low]
+    assert any(g not in borders for g in guesses if g)  # the test is about wrong ones
+    whole = quality.tag_source(expand_containers(read_files(spark, str(tmp_path))), "lab", NAMES)
+    ranged = scan_captures(spark, str(tmp_path), "lab", NAMES, split_bytes=split_bytes)
+    assert frame_rows(ranged) == frame_rows(read_pcap(whole))
+
+
+def test_a_range_reads_itself_and_one_header(captures, monkeypatch):
+    path, most = captures / "ab-01-000001.pcap", []
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.inner.close()
+
+        def size(self):
+            return self.inner.size()
+
+        def read_at(self, n, at):
+            most.append(at + n)
+            return self.inner.read_at(n, at)
+
+    opened = capture_scan._open
+    monkeypatch.setattr(capture_scan, "_open", lambda p: Watched(opened(p)))
+    monkeypatch.setattr(capture_scan, "_CHAIN", 1)
+    (found,) = capture_scan._range(str(path), path.stat().st_size, 2, 20_000, 30_000, "header")
+    assert found[4] is not None and max(most) <= 30_000 + 15
+
+
 def test_pcap_format(spark, captures):
     spark.dataSource.register(capture_scan.PcapDataSource)
     got = spark.read.format("pcap").option("reference", "lab").load(str(captures))
