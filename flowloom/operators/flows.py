@@ -383,23 +383,38 @@ def summarise_tcp(
 _ICMP = ["icmp_type", "icmp_code", "icmp_type_number", "icmp_code_number"]
 
 
-def _untimed(rows: DataFrame, tie: str) -> DataFrame:
-    """Flows of other record types in one aggregate; ``kind`` is the record type."""
+#: The record types whose flows have no sessions.
+UNTIMED_KINDS = ["udp", "icmp", "ip"]
+#: What their first packet tells.
+HEAD = ["from_lo", "frame_no", "id_orig_p", "id_resp_p", "service", "source_file", "ip_version", *_ICMP]
+
+
+def untimed_rows(packets: DataFrame, kinds: list[str]) -> DataFrame:
+    """The packets of these record types, named by ``kind``, with their flow key."""
+    return flow_key(with_optional_columns(packets).withColumn("kind", record_type()).filter(F.col("kind").isin(kinds)))
+
+
+def untimed_columns(rows: DataFrame, tie: str) -> list[Column]:
+    """Aggregates of a flow: ``head``, its first packet, its span, and the sums of both endpoints."""
     # The earliest time, and the last arrival at that time or the first one.
     later = tie == "later_first"
     order = F.struct((-F.col("ts_ns") if later else F.col("ts_ns")).alias("t"), *arrival(rows))
     chosen = F.max_by if later else F.min_by
-    from_lo, kind = F.col("from_lo"), F.col("kind")
-    head = ["from_lo", "frame_no", "id_orig_p", "id_resp_p", "service", "source_file", "ip_version", *_ICMP]
-    merged = rows.groupBy(*KEY, "kind").agg(
-        chosen(F.struct(*head), order).alias("head"),
+    from_lo = F.col("from_lo")
+    return [
+        chosen(F.struct(*HEAD), order).alias("head"),
         F.min("ts_ns").alias("session_ts"),
         F.max("ts_ns").alias("last_ts"),
         F.count_if(from_lo).alias("lo_pkts"),
         F.count_if(~from_lo).alias("hi_pkts"),
         F.coalesce(F.sum(F.when(from_lo, F.col("bytes"))), F.lit(0)).alias("lo_bytes"),
         F.coalesce(F.sum(F.when(~from_lo, F.col("bytes"))), F.lit(0)).alias("hi_bytes"),
-    )
+    ]
+
+
+def orient_untimed(merged: DataFrame) -> DataFrame:
+    """Adds ``orig_lo``, by the first packet and the rule of the record type ``kind``, and the ICMP columns."""
+    kind = F.col("kind")
     reply = F.coalesce(F.endswith(F.col("head.icmp_type"), F.lit("reply")), F.lit(False))
     swap = F.when(kind == "udp", F.col("head.id_orig_p") < F.col("head.id_resp_p")).when(kind == "icmp", reply).otherwise(F.lit(False))
     icmp = {c: F.when(kind == "icmp", F.col(f"head.{c}")) for c in _ICMP}
@@ -412,9 +427,8 @@ def summarise_untimed(packets: DataFrame, protocol: str | None = None, tie: str
     ``protocol`` is the record type: ``udp``, ``icmp`` or ``ip``, or None for all of them in one pass.
     ``tie='later_first'`` puts the later arrival first among packets of equal time.
     """
-    kinds = ["udp", "icmp", "ip"] if protocol is None else [protocol]
-    rows = flow_key(with_optional_columns(packets).withColumn("kind", record_type()).filter(F.col("kind").isin(kinds)))
-    merged = _untimed(rows, tie)
+    rows = untimed_rows(packets, UNTIMED_KINDS if protocol is None else [protocol])
+    merged = orient_untimed(rows.groupBy(*KEY, "kind").agg(*untimed_columns(rows, tie)))
     if protocol not in (None, "icmp"):
         merged = merged.drop(*_ICMP)
     return _flow_columns(merged.drop("kind"), "oriented")

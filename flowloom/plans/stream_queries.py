@@ -18,6 +18,7 @@ from flowloom.plans.inputs import DUCK_PACKETS
 from flowloom.plans.metric_queries import _SQL_EVENT_POINTS
 from flowloom.sources.files import classify_magic
 from flowloom.streaming.counts import read_counts, write_counts
+from flowloom.streaming.flows import stream_flows
 from flowloom.streaming.ingest import stream_directory
 from flowloom.streaming.metrics import stream_metrics
 from flowloom.streaming.routing import read_routed, write_routed, written

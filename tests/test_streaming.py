@@ -13,6 +13,7 @@ from flowloom.operators.quality import ingest_counts
 from flowloom.operators.sessions import IDLE_S
 from flowloom.plans.captures import log_file
 from flowloom.streaming.counts import read_counts, write_counts
+from flowloom.streaming.flows import stream_flows
 from flowloom.streaming.ingest import parse_sources, stream_captures, stream_directory, stream_event_logs
 from flowloom.streaming.metrics import stream_metrics, stream_metrics_idle
 from flowloom.streaming.routing import read_routed, replace_parts, write_batch, write_routed, written
@@ -25,10 +26,10 @@ MINUTE = 60 * 10**9
 
 def arrivals(spark, df, folder, order, batches):
     """The rows as one file per micro-batch, in the given order; returns a stream over them."""
-    rows = df.orderBy(order).toPandas()
+    rows = df.orderBy(order).collect()
     size = -(-len(rows) // batches)
     for i in range(batches):
-        part = rows.iloc[i * size : (i + 1) * size]
+        part = rows[i * size : (i + 1) * size]
         spark.createDataFrame(part, df.schema).coalesce(1).write.mode("append").parquet(str(folder))
         time.sleep(0.02)  # file times give the order
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
@@ -111,6 +112,65 @@ def test_silent_sessions_close_by_wall_clock(spark, tmp_path):
     assert [(r.orig_pkts, r.conn_state) for r in rows] == [(2, "OTH")]
 
 
+_FLOW = ["protocol", "id_orig_h", "id_resp_h", "id_orig_p", "id_resp_p", "ts_ns", "ts_end_ns", "first_frame", "orig_pkts", "resp_pkts", "orig_bytes", "resp_bytes"]
+
+
+def untimed_packets(seed, n=500):
+    """Random packets as UDP, ICMP or plain IP by their endpoints, a third of them in one UDP flow, with silent times."""
+    made = random_packets(seed, n)
+    for p in made:
+        kind = ("udp", "udp", "icmp", "gre")[(ord(p["id_orig_h"]) + ord(p["id_resp_h"])) % 4] if {p["id_orig_h"], p["id_resp_h"]} != {"a", "b"} else "udp"
+        p |= {"protocol": kind, "icmp_type_number": 8 if kind == "icmp" else None, "icmp_type": ("echo reply" if p["syn"] else "echo") if kind == "icmp" else None}
+        if kind != "udp":
+            p |= {"id_orig_p": None, "id_resp_p": None}
+    return made
+
+
+def folded_flows(packets, timeout_ms, idle_ns=5 * 10**9):
+    """Flows packet by packet: a silence cuts, and so does the second in which the span is exceeded."""
+    by_key, out = {}, []
+    for p in sorted(packets, key=lambda p: (p["ts_ns"], p["frame_no"])):
+        ends = sorted([(p["id_orig_h"], p["id_orig_p"] or 0), (p["id_resp_h"], p["id_resp_p"] or 0)])
+        by_key.setdefault((p["protocol"], *ends), []).append(p)
+    for group in by_key.values():
+        flow, over = [], None
+        for p in group:
+            second = p["ts_ns"] // 10**9
+            if flow and (p["ts_ns"] - flow[-1]["ts_ns"] >= idle_ns or (over is not None and second > over)):
+                out.append(flow)
+                flow, over = [], None
+            flow.append(p)
+            if timeout_ms is not None and over is None and (p["ts_ns"] - flow[0]["ts_ns"]) // 10**6 > timeout_ms:
+                over = second
+        out.append(flow)
+    rows = []
+    for flow in out:
+        f = flow[0]
+        swap = f["id_orig_p"] < f["id_resp_p"] if f["protocol"] == "udp" else f["icmp_type"] == "echo reply"
+        a, b = ("resp", "orig") if swap else ("orig", "resp")
+        sent = [p for p in flow if (p["id_orig_h"], p["id_orig_p"]) == (f[f"id_{a}_h"], f[f"id_{a}_p"])]
+        back = [p for p in flow if not any(p is q for q in sent)]
+        ports = [f[f"id_{a}_p"], f[f"id_{b}_p"]]
+        sums = [len(sent), len(back), sum(p["bytes"] for p in sent), sum(p["bytes"] for p in back)]
+        rows.append((f["protocol"], f[f"id_{a}_h"], f[f"id_{b}_h"], *ports, f["ts_ns"], flow[-1]["ts_ns"], f["frame_no"], *sums))
+    return sorted(map(str, rows))
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+@pytest.mark.parametrize("timeout_ms", [None, 2500])
+def test_flows_of_other_protocols_equal_the_fold(spark, tmp_path, batches, timeout_ms):
+    packets = [p for p in untimed_packets(31) if p["id_orig_h"] != p["id_resp_h"]]
+    packets = [p | {"ts_ns": p["ts_ns"] // 1000 * 1000} for p in packets]  # native session windows count microseconds
+    late = packet(10**6, max(p["ts_ns"] for p in packets) + 3600 * 10**9, ("z", 9), ("y", 9))
+    late |= {"protocol": "udp", "icmp_type_number": None, "icmp_type": None}
+    rows = [tuple(p.values()) for p in [*packets, late]]
+    kinds = frame(spark, [packet(1, START)]).schema.simpleString()[7:-1].replace(":", " ")
+    df = spark.createDataFrame(rows, f"{kinds}, icmp_type_number int, icmp_type string")
+    stream = arrivals(spark, df, tmp_path / "in", ["ts_ns", "frame_no"], batches)
+    got = drain(stream_flows(stream, timeout_ms), tmp_path).filter("id_orig_h not in ('y', 'z')")
+    assert sorted(str(tuple(r)) for r in got.select(_FLOW).collect()) == folded_flows(packets, timeout_ms)
+
+
 def points(spark, n=400):
     df = spark.range(n).select(
         (F.lit(START) + F.col("id") * 7 * 10**9).alias("ts_ns"), F.lit("r").alias("reference"), F.lit("s").alias("sensor"),
