@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,8 @@ from flowloom.operators.cells import PACKET_CELLS, packet_cells, packet_table, w
 from flowloom.operators.events import typed_fields
 from flowloom.plans import inputs
 from flowloom.plans.event_queries import ORACLES as EVENT_ORACLES
-from flowloom.plans.flow_queries import _ID, _ID_SQL, _KEY_SQL, _PLAIN_SRC, _sessions, _tcp_flows
-from flowloom.plans.inputs import DUCK_PACKETS
+from flowloom.plans.flow_queries import _ID, _ID_SQL, _KEY_SQL, _PLAIN_SRC, ARRIVAL_SQL, _keyed, _sessions, _tcp_flows
+from flowloom.plans.inputs import DUCK_MIXED_PACKETS, DUCK_PACKETS
 from flowloom.plans.metric_queries import _SQL_EVENT_POINTS
 from flowloom.sources.files import classify_magic
 from flowloom.streaming.counts import read_counts, write_counts
@@ -79,6 +80,36 @@ _add(
 )
 
 
+def _flow_stream(s, d):
+    stored = inputs.mixed_packets(s, d)
+    return drain(stream_flows(s.readStream.schema(stored.schema).parquet(os.path.dirname(stored.inputFiles()[0]))).select(*_FLOW_COLS))
+
+
+_FLOW_COLS = [*_ID, "ts_end_ns", "first_frame", "icmp_type", "orig_pkts", "resp_pkts", "orig_bytes", "resp_bytes"]
+_OF_FIRST = ["frame_no", "id_orig_h", "id_resp_h", "id_orig_p", "id_resp_p", "icmp_type"]
+_SENT = "id_orig_h = host_lo"
+_add(
+    "d9_stream_flows",
+    _flow_stream,
+    f"""with mixed as ({DUCK_MIXED_PACKETS}), untimed as (select * from mixed where protocol in ('udp', 'icmp') or (protocol <> 'tcp' and ip_version = 'ipv4')),
+     {_keyed("select * from untimed")},
+     cuts as (select *, coalesce(ts_ns - lag(ts_ns) over w >= 5000000000, true) as cut, row_number() over w as place from keyed
+      window w as (partition by {_KEY_SQL} order by ts_ns, {ARRIVAL_SQL})),
+     starts as (select *, max(case when cut then ts_ns end) over (partition by {_KEY_SQL} order by place) as session_ts from cuts),
+     silent as (select {_KEY_SQL}, session_ts, max(ts_ns) as ts_end_ns, {", ".join(f"arg_min_null({c}, place) as f_{c}" for c in _OF_FIRST)},
+      count(*) filter (where {_SENT}) as lo_pkts, coalesce(sum(bytes) filter (where {_SENT}), 0)::bigint as lo_bytes,
+      count(*) filter (where not {_SENT}) as hi_pkts, coalesce(sum(bytes) filter (where not {_SENT}), 0)::bigint as hi_bytes from starts group by all),
+     turned as (select *, case protocol when 'udp' then f_id_orig_p < f_id_resp_p when 'icmp' then f_icmp_type like '%reply' else false end as swap from silent),
+     sided as (select *, (f_id_orig_h = host_lo) <> swap as orig_lo from turned)
+    select reference, sensor, protocol, case when swap then f_id_resp_h else f_id_orig_h end as id_orig_h, case when swap then f_id_orig_h else f_id_resp_h end as id_resp_h,
+     case when swap then f_id_resp_p else f_id_orig_p end as id_orig_p, case when swap then f_id_orig_p else f_id_resp_p end as id_resp_p,
+     session_ts as ts_ns, ts_end_ns, f_frame_no as first_frame, f_icmp_type as icmp_type,
+     case when orig_lo then lo_pkts else hi_pkts end as orig_pkts, case when orig_lo then hi_pkts else lo_pkts end as resp_pkts,
+     case when orig_lo then lo_bytes else hi_bytes end as orig_bytes, case when orig_lo then hi_bytes else lo_bytes end as resp_bytes
+    from sided where (ts_end_ns // 1000 + 4999999) // 1000 <= (select max(ts_ns) // 1000000 from untimed)""",
+)
+
+
 def _metric_stream(s, d):
     points = metric_op.event_metrics(inputs.event_points(s, d, _event_stream(s, d)))
     return drain(stream_metrics(points, ["count"]))

@@ -15,7 +15,7 @@ from flowloom.plans.registry import collect
 SF = "/root/testdata/sf0.001"
 # These run actions of their own (streams, checkpoints), so their plans only read files back.
 EAGER = {"d2_split_max_span", "d3_orient_tcp", "g5_write_records", "g5_write_packets", "a11_stream_counts", "g3_routed_stream", "g5_write_flows", "g5_write_events", "a8_stream_directory", "e6_stream_metrics",
-         "d9_stream_sessions", "d9_stream_counters"}
+         "d9_stream_sessions", "d9_stream_counters", "d9_stream_flows"}
 QUERIES = collect()[0]
 LAZY = sorted(set(QUERIES) - EAGER)
 
