@@ -65,55 +65,61 @@ def directory(rows: DataFrame, limit: int, first: int, bits: int = HASH_BITS) ->
 def shard(df: DataFrame, keys: list[str], size: Column, limit: int) -> DataFrame:
     """``df`` with ``shard_depth``, ``shard_bucket``, ``shard_part`` and ``shard_bytes``, whose triples name the shards.
 
-    No shard exceeds ``limit`` bytes unless one row does. Rows with one hash, such as repeated rows, can't be told
-    apart by bits; where they exceed the limit together they go on to ``shard_part``, numbered by running size, in
-    tasks of salted slices. Null keys hash like any other value. Columns of ``df`` with these names are replaced; an
-    empty table stays empty.
+    No shard exceeds ``limit`` bytes unless one row does, however long its text is. Rows with one hash, such as repeated
+    rows, can't be told apart by bits; where they exceed the limit together they are stored once, so that their order
+    stays, and go on to ``shard_part``, numbered by running size, in tasks of salted slices. Null keys hash like any
+    other value. Columns of ``df`` with these names are replaced, any other stays; an empty table stays empty.
     """
     df = df.drop("shard_depth", "shard_bucket", "shard_part", "shard_bytes")
-    marked = df.withColumn("_hash", key_hash(F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("v"), F.col(k).cast("string")), F.lit("n")) for k in keys])))
-    marked = marked.withColumn("_bytes", F.coalesce(size, F.lit(0)).cast("long"))
-    narrow = shared_table(marked.select(F.col("_hash").alias("hash"), F.col("_bytes").alias("bytes")))
+    key = F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("v"), F.col(k).cast("string")), F.lit("n")) for k in keys])
+    rows = df.select(F.struct(*df.columns).alias("row"), key_hash(key).alias("hash"), F.coalesce(size, F.lit(0)).cast("long").alias("bytes"))
+    narrow = shared_table(rows.select("hash", "bytes"))
     total = narrow.agg(F.sum("bytes")).first()[0] or 0
     first = start_depth(total, limit)
     leaves = shared_table(directory(narrow, limit, first))
-    entries, held = pointers(leaves, first), F.col("_leaf")
+    entries, held = pointers(leaves, first), F.col("leaf")
     bits = min(first + STEP, HASH_BITS)
-    placed = marked.withColumn("_fine", prefix(F.col("_hash"), bits)).join(entries, "_fine")
-    placed = placed.withColumn("_leaf", F.filter("_leaves", lambda x: prefix(F.col("_hash"), x["depth"]) == x["bucket"])[0])
-    columns = [*(F.col(c) for c in df.columns), held["depth"].alias("shard_depth"), held["bucket"].alias("shard_bucket")]
+    placed = rows.withColumn("fine", prefix(F.col("hash"), bits)).join(entries, "fine")
+    placed = placed.withColumn("leaf", F.filter("leaves", lambda x: prefix(F.col("hash"), x["depth"]) == x["bucket"])[0]).drop("fine", "leaves")
+
+    def named(rows: DataFrame, part: Column) -> DataFrame:
+        return rows.select(
+            "row.*", held["depth"].alias("shard_depth"), held["bucket"].alias("shard_bucket"), part.alias("shard_part"), F.col("bytes").alias("shard_bytes")
+        )
+
+    zero = F.lit(0).cast("long")
     if leaves.filter((F.col("bytes") > limit) & (F.col("n_rows") > 1)).isEmpty():
-        return placed.select(*columns, F.lit(0).cast("long").alias("shard_part"), F.col("_bytes").alias("shard_bytes"))
-    plain = placed.filter(held["bytes"] <= limit).select(*columns, F.lit(0).cast("long").alias("shard_part"), F.col("_bytes").alias("shard_bytes"))
-    return plain.unionByName(_parts(placed.filter(held["bytes"] > limit), limit).select(*columns, "shard_part", F.col("_bytes").alias("shard_bytes")))
+        return named(placed, zero)
+    large = _parts(shared_table(placed.filter(held["bytes"] > limit)), limit)
+    return named(placed.filter(held["bytes"] <= limit), zero).unionByName(named(large, F.col("part")))
 
 
 def pointers(leaves: DataFrame, first: int) -> DataFrame:
-    """(_fine, _leaves): for each prefix of the first pass, the leaves below or above it.
+    """(fine, leaves): for each prefix of the first pass, the leaves below or above it.
 
     There is one, but where a hot hash was split further: then one for each bit on its way down at most.
     """
     bits = min(first + STEP, HASH_BITS)
     span = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.lit(bits) - F.col("depth"), F.lit(0)))
     low = F.when(F.col("depth") <= bits, F.col("bucket") * span).otherwise(F.call_function("shiftright", "bucket", F.greatest(F.col("depth") - bits, F.lit(0))))
-    each = leaves.withColumn("_fine", F.explode(F.sequence(low, low + span - 1)))
-    return each.groupBy("_fine").agg(F.collect_list(F.struct("depth", "bucket", "bytes")).alias("_leaves"))
+    each = leaves.withColumn("fine", F.explode(F.sequence(low, low + span - 1)))
+    return each.groupBy("fine").agg(F.collect_list(F.struct("depth", "bucket", "bytes")).alias("leaves"))
 
 
 def _parts(rows: DataFrame, limit: int) -> DataFrame:
-    """Adds ``shard_part`` to rows of leaves that have no bits left, by running size within salted slices of a leaf.
+    """Adds ``part`` to stored rows of leaves that have no bits left, by running size within salted slices of a leaf.
 
     A slice holds about 16 parts. A part spans the limit less the largest row, so it never exceeds the limit with rows
-    that fit.
+    that fit. A row's number in the stored table tells equal rows apart, whichever executor reads it.
     """
-    slices = (F.col("_leaf.bytes") / F.lit(16 * limit)).cast("long") + 1
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), slices))
-    leaf = ["_leaf.depth", "_leaf.bucket"]
-    by = Window.partitionBy(*leaf, "_salt")
-    before = F.sum("_bytes").over(by.orderBy("_hash", "_bytes").rowsBetween(Window.unboundedPreceding, -1))
-    unit = F.greatest(F.lit(1), F.lit(limit) - F.max("_bytes").over(by))
+    slices = (F.col("leaf.bytes") / F.lit(16 * limit)).cast("long") + 1
+    rows = rows.withColumn("place", F.monotonically_increasing_id())
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("place"), slices))
+    by = Window.partitionBy("leaf.depth", "leaf.bucket", "salt")
+    before = F.sum("bytes").over(by.orderBy("hash", "bytes", "place").rowsBetween(Window.unboundedPreceding, -1))
+    unit = F.greatest(F.lit(1), F.lit(limit) - F.max("bytes").over(by))
     part = F.floor(F.coalesce(before, F.lit(0)) / unit).cast("long")
-    return rows.withColumn("shard_part", part * slices + F.col("_salt"))
+    return rows.withColumn("part", part * slices + F.col("salt"))
 
 
 def shard_sizes(sharded: DataFrame) -> DataFrame:

@@ -301,6 +301,22 @@ def test_shards_fit(spark, limit):
     assert sharding.shard(df.limit(0), ["k"], F.length("text"), limit).count() == 0
 
 
+def test_shards_keep_columns_and_part_numbers(spark):
+    rows = [(i % 3 if i % 2 else None, f"{i % 4}" * 90, i, -i, "mine") for i in range(300)] + [(7, "same", 0, 0, "mine")] * 300
+    df = spark.createDataFrame(rows, "k long, text string, hash long, place long, row string").repartition(5, "text")
+    df = df.withColumns({"leaf": F.lit("x"), "_hash": F.lit(1), "_bytes": F.lit("b"), "_leaf": F.lit("l")})
+    sharded = sharding.shard(df, ["k"], F.length("text"), 500)
+    assert sorted(map(str, sharded.select(df.columns).collect())) == sorted(map(str, df.collect()))
+    # Read once more with other partitions, each row lies where it lay.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    once = sorted(map(str, sharded.select("*").collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert sorted(map(str, sharded.select("*").collect())) == once
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
 def test_op10_small_shards_equal_oracle(spark, monkeypatch):
     sql = registered.ORACLES["op10_sharding"].replace(str(registered.SHARD_BYTES), "20000")
     monkeypatch.setattr(registered, "SHARD_BYTES", 20_000)
