@@ -3,8 +3,8 @@
 Queries and candidates are dealt into a grid of bounded blocks, as many as their counts ask for. Within a cell every
 dimension is a list sorted by value. A query reads the lists from their best ends in step, keeps what each candidate has
 collected so far, a lower bound (the worst value for each unread dimension) and an upper bound (the value that each
-list has come to), and stops once no candidate outside the best can still enter. Only then are the scores of those that
-may qualify resolved. The cells' winners are merged by a window per query.
+list has come to), and stops once no candidate outside the k best can still enter. Only then are the scores of these k
+resolved. Candidates that no bound can part, as ties, are read to the end. The cells' winners are merged by a window per query.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 8192
 #: Shares of the lists that are read before each look at the bounds.
-LOOKS = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1)
+LOOKS = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 15 / 16, 1)
 
 RESULT = "query_id long, vec_id long, score long"
 
@@ -32,7 +32,7 @@ def whole_components(df: DataFrame, scale: int = 1024, vector: str = "embedding"
 
 
 def no_random_access(query: np.ndarray, values: np.ndarray, order: np.ndarray, k: int, barred: np.ndarray, lists: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, scores) of all candidates that may be among the k best for a query, scores exact.
+    """(rows, scores) of the k best candidates for a query and of those tied with them, scores exact.
 
     ``values`` is dimension by candidate, ``order`` sorts each dimension and ``lists`` are the values in that order,
     ``barred`` marks candidates that don't count. All candidates tied with the k-th score are among the result. Scores
@@ -51,7 +51,7 @@ def no_random_access(query: np.ndarray, values: np.ndarray, order: np.ndarray, k
     partial, unread_worst = np.zeros(n), np.full(n, worst.sum())
     unread = np.ones((len(used), n))  # 1 or 0
     places = (np.arange(len(used)) * n)[:, None]
-    begin = 0
+    begin, open_rows = 0, np.flatnonzero(~barred)
     for share in LOOKS:
         end = max(begin + 1, int(n * share))
         ids = np.concatenate([order[up, n - end : n - begin], order[down, begin:end]])
@@ -63,10 +63,10 @@ def no_random_access(query: np.ndarray, values: np.ndarray, order: np.ndarray, k
         lower = partial + unread_worst
         lower[barred] = -np.inf
         least = np.partition(lower, n - k)[n - k]  # the k-th best lower bound
-        # What is unread of a list can't be better than where reading has come to.
-        open_rows = np.flatnonzero((partial + frontier @ unread >= least) & ~barred)
+        # What is unread of a list can't be better than where reading has come to. Bounds of k rise, so what is shut out stays.
+        open_rows = open_rows[(partial + frontier @ unread)[open_rows] >= least]
         begin = end
-        if len(open_rows) <= max(4 * k, n // 16) or end >= n:
+        if len(open_rows) <= k or end >= n:
             break
     return open_rows, query @ values[:, open_rows]
 

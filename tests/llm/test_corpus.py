@@ -286,6 +286,18 @@ def test_top_k_of_ties_and_odd_vectors(spark, monkeypatch, blocks):
 # Sharding
 
 
+def test_top_k_reads_until_outsiders_cannot_enter():
+    rng = np.random.default_rng(5)
+    values = rng.integers(-900, 900, (24, 3000))
+    values[:, 1500:1520] = values[:, [1500]]  # ties that no bound parts
+    order = np.argsort(values, axis=1, kind="stable")
+    for at in (0, 7, 1500):
+        found, scores = topk.no_random_access(values[:, at], values, order, 10, np.arange(3000) == at)
+        exact = np.delete(values[:, at] @ values, at)
+        assert sorted(scores) == sorted(s for s in exact if s >= np.sort(exact)[-10])
+        assert len(found) == (19 if at == 1500 else 10)
+
+
 @pytest.mark.parametrize("limit", [300, 5000, 1 << 30])
 def test_shards_fit(spark, limit):
     rows = [(i, "x" * (i % 60)) for i in range(3000)] + [(None, "y" * 50)] * 40 + [(7, "z" * 50)] * 400 + [(9, None), (10, ""), (11, "w" * 400)]
