@@ -283,9 +283,6 @@ def test_top_k_of_ties_and_odd_vectors(spark, monkeypatch, blocks):
     assert [r.rank for r in sorted(few, key=lambda r: r.rank)] == [1, 2, 3]
 
 
-# Sharding
-
-
 def test_top_k_reads_until_outsiders_cannot_enter():
     rng = np.random.default_rng(5)
     values = rng.integers(-900, 900, (24, 3000))
@@ -298,6 +295,9 @@ def test_top_k_reads_until_outsiders_cannot_enter():
         assert len(found) == (19 if at == 1500 else 10)
 
 
+# Sharding
+
+
 @pytest.mark.parametrize("limit", [300, 5000, 1 << 30])
 def test_shards_fit(spark, limit):
     rows = [(i, "x" * (i % 60)) for i in range(3000)] + [(None, "y" * 50)] * 40 + [(7, "z" * 50)] * 400 + [(9, None), (10, ""), (11, "w" * 400)]
