@@ -2,7 +2,7 @@
 
 import random
 
-import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,34 +209,30 @@ def test_ports_do_not_collide(spark):
     assert flows.summarise_tcp(frame(spark, packets)).count() == 2
 
 
-@pytest.mark.parametrize("batch", [1, 3, 1000])
-def test_walk_goes_on_across_batches(batch):
-    """Starts found through the pieces' tables equal the greedy ones, however the rows arrive."""
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_composed_tables_give_the_greedy_starts(width):
+    """Starts found through the pieces' tables equal the greedy ones, however many neighbours are composed at once."""
     rng = random.Random(8)
-    jump, rows, want = 50, [], []
+    jump, session, got, want = 50, ["flow", "session_ts"], [], []
     for flow in ("f", "g"):
         times = sorted(rng.sample(range(3000), 400))
         due = times[0]
-        starts = []
         for t in times:
             if t >= due:
-                starts.append(t)
+                want.append((flow, t))
                 due = t + jump
-        for slice_no in range(30):
-            part = [t for t in times if t // 100 == slice_no]
-            if part:
-                pdf = pd.DataFrame({"flow": flow, "slice": slice_no, "session_ts": times[0], "ts_ns": part})
-                rows.append((max_span._reach(jump)(pdf), pdf))
-                want += [(flow, t) for t in starts if t // 100 == slice_no]
-    table = pd.concat([r for r, _ in rows], ignore_index=True)
-    batches = (table.iloc[i : i + batch].reset_index(drop=True) for i in range(0, len(table), batch))
-    entries = pd.concat(list(max_span._walk(jump, ["flow", "session_ts"])(batches)))
-    dues = {(r.flow, r.slice): r.due for r in entries.itertuples()}
-    got = []
-    for _, pdf in rows:
-        where = (pdf["flow"].iloc[0], pdf["slice"].iloc[0])
-        if where in dues:
-            got += [(where[0], t) for t in max_span._list_starts(jump)(pdf.assign(due=dues[where]))["start_ts"]]
+        parts = [p for p in ([t for t in times if t // 100 == n] for n in range(30)) if p]
+        pieces = [pa.table({"flow": [flow] * len(p), "slice": [p[0] // 100] * len(p), "session_ts": [times[0]] * len(p), "pos": [i] * len(p), "ts_ns": p}) for i, p in enumerate(parts)]
+        tables = [max_span._reach(jump, session)(p) for p in pieces]
+        groups = [pa.concat_tables(tables[i : i + width]) for i in range(0, len(tables), width)]
+        upper = pa.concat_tables([max_span._compose(session)(g) for g in groups])
+        upper = upper.set_column(upper.column_names.index("pos"), "pos", pa.array(range(len(upper))))
+        entries = max_span._hand_down(session)(upper.append_column("due", pa.array([times[0]] * len(upper))))
+        for group, due in zip(groups, entries["due"].to_pylist(), strict=True):
+            dues = max_span._hand_down(session)(group.append_column("due", pa.array([due] * len(group))))
+            for pos, entry in zip(dues["pos"].to_pylist(), dues["due"].to_pylist(), strict=True):
+                rows = pieces[pos].append_column("due", pa.array([entry] * len(pieces[pos])))
+                got += [(flow, t) for t in max_span._list_starts(jump, ["flow", "slice"])(rows)["start_ts"].to_pylist()]
     assert sorted(got) == sorted(want)
 
 
