@@ -95,7 +95,8 @@ def to_cells(
     ``more`` is an optional array of further (family, qualifier, value) cells. With ``table``
     every cell comes with the table that it goes to. Rows are expanded in place, nothing is shuffled.
     """
-    routes = [] if table is None else [table.alias("table")]
+    # What the cells of a record share is computed below the generator, once a record and not once a cell.
+    shared = {"_row_key": row_key, "_cell_ts": epoch_millis(ts_ns)} | ({} if table is None else {"_table": table})
     cells = F.array(
         *[
             F.struct(F.lit(f).alias("family"), F.lit(q).alias("qualifier"), ENCODERS[e](c).alias("value"))
@@ -105,12 +106,11 @@ def to_cells(
     )
     if more is not None:
         cells = F.concat(cells, more)
-    return df.select(
-        *routes,
-        row_key.alias("row_key"),
-        epoch_millis(ts_ns).alias("cell_ts"),
-        F.inline(F.filter(cells, lambda c: c["value"].isNotNull())),
-    ).select(*(["table"] if routes else []), "row_key", "family", "qualifier", "value", "cell_ts")
+    made = df.select(*(c.alias(n) for n, c in shared.items()), F.filter(cells, lambda c: c["value"].isNotNull()).alias("_cells"))
+    return made.select(*shared, F.inline("_cells")).select(
+        *([] if table is None else [F.col("_table").alias("table")]),
+        F.col("_row_key").alias("row_key"), "family", "qualifier", "value", F.col("_cell_ts").alias("cell_ts"),
+    )
 
 
 def packet_cells(packets: DataFrame, table: Column | None = None) -> DataFrame:

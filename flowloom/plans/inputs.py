@@ -6,6 +6,8 @@ very same rows. Everything is plain arithmetic over whole tables.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,13 +77,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Most rows of a table that one task derives a view from, so that its time does not grow with the table.
+ROWS_PER_TASK = 1 << 15
+
+
+def tasks_for(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks for the rows of a stored table, whose footers tell their number; at least one per core."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / rows_per_task))
+
+
 def _spread(df: DataFrame) -> DataFrame:
-    """A table whose scan has fewer tasks than the session has cores, such as one small file, dealt over the cores.
+    """A table whose scan has too few tasks for the session's cores or for its rows, dealt over enough of them.
 
-    A large table's scan has more tasks than that and is left as it is.
+    A small file of narrow rows may hold millions of them, and a scan counts bytes only.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = tasks_for(df)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def _over_events(spark: SparkSession, sf_dir: str, sql: str, events: DataFrame | None = None) -> DataFrame:
@@ -225,4 +236,5 @@ def event_fields(spark: SparkSession, sf_dir: str, events: DataFrame | None = No
         ]
     )
     present = F.filter(entries, lambda e: e["value"]["value"].isNotNull())
-    return wide.select("row_id", "reference", "sensor", F.map_from_entries(present).alias("fields"))
+    # The map leaves a generator, which filters on it do not pass: they would build it anew for each field that they name.
+    return wide.select("row_id", "reference", "sensor", F.explode(F.array(F.map_from_entries(present))).alias("fields"))
