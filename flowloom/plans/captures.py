@@ -15,12 +15,20 @@ import zipfile
 from datetime import datetime, timedelta
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.plans.inputs import DUCK_MIXED_PACKETS, event_fields, mixed_packets
+from flowloom.plans.inputs import DUCK_MIXED_PACKETS, event_fields, mixed_packets, table, tasks_for
 
 EVENTS_PER_FILE = 256
+#: Files that a task makes, on average.
+FILES_PER_TASK = 32
+
+
+def file_tasks(rows: DataFrame) -> int:
+    """Tasks for the files of a stored table's rows, so that what one task holds does not grow with the table."""
+    return tasks_for(rows, EVENTS_PER_FILE * FILES_PER_TASK)
 
 
 def _hex(value, digits: int) -> Column:
@@ -63,7 +71,7 @@ def capture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One capture per 256 events, varying byte order, precision, link type and damage."""
     rows = mixed_packets(spark, sf_dir).withColumn("file_no", F.expr(f"origin_id div {EVENTS_PER_FILE}"))
     # The frames are rendered where their file is put together, on all cores.
-    rows = rows.repartition(max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()), "file_no")
+    rows = rows.repartition(file_tasks(rows), "file_no")
     big, nano = F.col("file_no") % 4 == 3, F.col("file_no") % 3 == 0
     link = F.when(F.col("file_no") % 29 == 7, 147).when(F.col("file_no") % 4 == 1, 12).when(F.col("file_no") % 4 == 2, 113).otherwise(1)
     kind = F.when(F.col("ip_version") == "ipv6", F.lit("86dd")).otherwise(F.lit("0800"))
@@ -135,11 +143,13 @@ def packed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The captures, each packed in one of seven ways (the last two hold no capture)."""
 
     def run(batches):
-        for pdf in batches:
-            packed = [_wrap(n % 7, p.rsplit("/", 1)[1], c) for n, p, c in zip(pdf["file_no"], pdf["path"], pdf["content"])]
-            yield pd.DataFrame({"path": pdf["path"], "length": [len(c) for c in packed], "content": packed})
+        for batch in batches:
+            for number, path, content in zip(*(batch.column(c) for c in ("file_no", "path", "content"))):
+                packed = _wrap(number.as_py() % 7, path.as_py().rsplit("/", 1)[1], content.as_py())
+                columns = [pa.array([path.as_py()], pa.string()), pa.array([len(packed)], pa.int64()), pa.array([packed], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "length", "content"])
 
-    return capture_files(spark, sf_dir).mapInPandas(run, "path string, length long, content binary")
+    return capture_files(spark, sf_dir).mapInArrow(run, "path string, length long, content binary")
 
 
 # Leaves of the packed files by packing: member, depth, chain and type.
@@ -174,11 +184,13 @@ class _LogWriter:
     )
 
     def __init__(self):
-        self.out, self.template = bytearray(512), None
+        self.out, self.template, self.names = bytearray(512), None, {}
 
     def name(self, text: str) -> None:
         """A name reference with the name itself right behind it."""
-        self.out += struct.pack("<IIHH", len(self.out) + 4, 0, 0, len(text)) + text.encode("utf-16-le") + b"\0\0"
+        if text not in self.names:
+            self.names[text] = struct.pack("<IHH", 0, 0, len(text)) + text.encode("utf-16-le") + b"\0\0"
+        self.out += struct.pack("<I", len(self.out) + 4) + self.names[text]
 
     def open(self, tag: str, attributes: bool = False) -> None:
         self.out += struct.pack("<BHI", 0x41 if attributes else 0x01, 0xFFFF, 0)
@@ -222,7 +234,7 @@ class _LogWriter:
         if field == "SYSTEM_KEYWORDS":
             return 0x15, struct.pack("<Q", int(text, 16))
         if field == "SYSTEM_TIMECREATED_SYSTEMTIME" and text[0].isdigit():
-            since = datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f") - datetime(1601, 1, 1)
+            since = datetime.fromisoformat(text) - datetime(1601, 1, 1)
             return 0x11, struct.pack("<Q", (since // timedelta(microseconds=1)) * 10)
         return 0x01, text.encode("utf-16-le")
 
@@ -288,8 +300,10 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row_id")
-        content = log_file([(int(n), {k: v["value"] for k, v in dict(f).items()}) for n, f in zip(pdf["row_id"], pdf["fields"])])
+        content = log_file([(int(n), dict(f)) for n, f in zip(pdf["row_id"], pdf["fields"])])
         return pd.DataFrame({"source_file": [f"/logs/{pdf['file_no'].iloc[0]:06}.evtx"], "member": [""], "content": [content]})
 
     rows = event_fields(spark, sf_dir).withColumn("file_no", F.expr(f"row_id div {EVENTS_PER_FILE}"))
+    rows = rows.withColumn("fields", F.transform_values("fields", lambda _, v: v["value"]))
+    rows = rows.repartition(file_tasks(table(spark, sf_dir, "events")), "file_no")
     return rows.groupBy("file_no").applyInPandas(run, "source_file string, member string, content binary")

@@ -31,7 +31,7 @@ SIGNATURES = (
 )
 UNSUPPORTED = "unsupported"
 
-_BATCH_BYTES = 32 << 20
+_BATCH_BYTES = 4 << 20
 
 MEMBER_SCHEMA = "path string, length long, member string, depth int, chain array<string>, file_type string, content binary, error string"
 
@@ -139,6 +139,7 @@ def expand_containers(files: DataFrame, max_depth: int | None = None, max_bytes:
                 for leaf in _unpack(content.as_py(), max_depth, max_bytes):
                     rows.append((path.as_py(), length.as_py(), *leaf))
                     size += len(leaf[4] or b"")
+                    del leaf  # the list holds it until it is sent
                     if size > _BATCH_BYTES:
                         yield _to_batch(rows)
                         rows, size = [], 0

@@ -52,7 +52,7 @@ FRAME_SCHEMA = (
     "link_type int, precision string, reference string, sensor string, data binary, error string"
 )
 _FRAME_TYPES = [pa.string(), pa.string(), *[pa.int64()] * 4, pa.int32(), *[pa.string()] * 3, pa.binary(), pa.string()]
-_FRAMES_PER_BATCH = 8192
+_FRAMES_PER_BATCH, _BATCH_BYTES = 8192, 4 << 20
 
 
 def _rejected(reason: str):
@@ -87,11 +87,20 @@ def _frames(content: bytes, precision: str) -> Iterator[tuple]:
 def frame_batches(source_file: str, member: str, reference: str, sensor: str, numbered: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     """Arrow batches in FRAME_SCHEMA of (frame number, frame) pairs of one capture."""
     names = [part.split(" ")[0] for part in FRAME_SCHEMA.split(", ")]
-    while rows := list(islice(numbered, _FRAMES_PER_BATCH)):
-        made = [(source_file, member, n, *f[:5], reference, sensor, *f[5:]) for n, f in rows]
+    while made := list(_up_to_bytes(islice(numbered, _FRAMES_PER_BATCH), source_file, member, reference, sensor)):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), _FRAME_TYPES)], names=names)
 
 
+def _up_to_bytes(numbered: Iterator[tuple], source_file: str, member: str, reference: str, sensor: str) -> Iterator[tuple]:
+    """Rows of the next frames, until their data reach ``_BATCH_BYTES``."""
+    size = 0
+    for n, f in numbered:
+        yield source_file, member, n, *f[:5], reference, sensor, *f[5:]
+        size += len(f[5] or b"")
+        if size >= _BATCH_BYTES:
+            return
+
+
 def read_pcap(captures: DataFrame, precision: str = "header") -> DataFrame:
     """One row per frame; a reject has ``error`` and the place where framing stopped.
 
@@ -101,7 +110,7 @@ def read_pcap(captures: DataFrame, precision: str = "header") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):  # one capture at a time
                 frames = enumerate(_frames(row["content"], precision))
                 yield from frame_batches(row["source_file"], row["member"], row["reference"], row["sensor"], frames)
 
