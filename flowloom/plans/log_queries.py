@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowloom.operators import events as event_op
-from flowloom.plans.captures import EVENTS_PER_FILE, event_logs
+from flowloom.plans.captures import EVENTS_PER_FILE, event_logs, file_tasks
 from flowloom.plans.event_queries import _RAW, _SQL_TYPED
-from flowloom.plans.inputs import EVENT_FIELD_NAMES, event_fields
+from flowloom.plans.inputs import EVENT_FIELD_NAMES, event_fields, table
 from flowloom.sources.event_logs import flatten_event, read_evtx
 
 QUERIES, ORACLES = {}, {}
@@ -33,7 +33,7 @@ _SQL_TICKS = """case when try_cast(system_timecreated_systemtime as timestamp) i
 
 
 def _decoded(s, d):
-    found = read_evtx(event_logs(s, d))
+    found = read_evtx(event_logs(s, d), tasks=file_tasks(table(s, d, "events")))
     return found.select(
         "source_file", F.col("record_id").alias("row_id"), _texts("fields").alias("fields"),
         F.col("fields")["SYSTEM_TIMECREATED_SYSTEMTIME"]["type"].alias("time_type"), "error",
@@ -52,7 +52,8 @@ _add(
 
 def _log_events(s, d):
     """Log files to typed events in one plan."""
-    typed = event_op.typed_fields(read_evtx(event_logs(s, d)).withColumn("row_id", F.col("record_id")).drop("error"))
+    records = read_evtx(event_logs(s, d), tasks=file_tasks(table(s, d, "events")))
+    typed = event_op.typed_fields(records.withColumn("row_id", F.col("record_id")).drop("error"))
     return typed.select("row_id", "event_id", "version", "level", "opcode", "channel", "computer", F.unix_micros("ts").alias("ts_us"), "error")
 
 
