@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions import encode
 from flowloom.functions.columns import stable_uid
-from flowloom.functions.lineage import shared_folder
+from flowloom.functions.lineage import shared_folder, shared_table
 from flowloom.operators import cells as op
 from flowloom.operators import domains
 from flowloom.operators import events as event_op
@@ -167,11 +167,11 @@ def _event_cells_sql(first: str = "") -> str:
 _add("g1_event_cells", _event_cells, _event_cells_sql())
 
 
-def _through_tables(s, cells):
+def _through_tables(s, cells, persist=True):
     """Cells written twice under one label, as after a lost driver, and read back from their tables."""
     folder = f"{shared_folder(s)}/tables-{uuid.uuid4().hex}"
     for _ in range(2):
-        write_batch(cells, folder, "whole")
+        write_batch(cells, folder, "whole", persist)
     return _hexed(read_routed(s, folder)).select("table", "row_key", "family", "qualifier", "value", "cell_ts")
 
 
@@ -185,7 +185,7 @@ def _written_flows(s, d):
 _PACKET_TABLE_SQL, _EVENT_TABLE_SQL = """reference || '-packets' as "table", """, """'default:' || reference || '-evtx' as "table", """
 _add(
     "g5_write_packets",
-    lambda s, d: _through_tables(s, op.packet_cells(mixed_packets(s, d), table=op.packet_table())),
+    lambda s, d: _through_tables(s, op.packet_cells(mixed_packets(s, d), table=op.packet_table()), persist=False),
     f"{_SQL_PACKETS} {_sql_cells('cell_src', SQL_ROW_KEY, op.PACKET_CELLS, _PACKET_COLUMNS, first=_PACKET_TABLE_SQL)}",
 )
 _add(
@@ -196,7 +196,7 @@ _add(
 )
 _add(
     "g5_write_events",
-    lambda s, d: _through_tables(s, op.event_cells(_stored_events(s, d), stable_uid("sensor", "row_id"), table=op.event_table())),
+    lambda s, d: _through_tables(s, op.event_cells(shared_table(_stored_events(s, d)), stable_uid("sensor", "row_id"), table=op.event_table()), persist=False),
     _event_cells_sql(_EVENT_TABLE_SQL),
 )
 

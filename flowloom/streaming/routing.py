@@ -13,20 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_batch(routed: DataFrame, folder: str, label: str) -> None:
+def write_batch(routed: DataFrame, folder: str, label: str, persist: bool = True) -> None:
     """Store ``routed`` cells, which have a ``table`` and ``cell_ts``, as the batch ``label``.
 
     Rows without a table are an error. The rebalance splits a table that holds most of the rows. An empty batch writes
-    nothing.
+    nothing. The rows are read for the data and for the log, so they are kept in between; without ``persist`` they are
+    derived again, which is cheaper for cells of stored records, many to a record.
     """
-    kept = routed.persist(StorageLevel.MEMORY_AND_DISK)  # read for the data and for the log
+    kept = routed.persist(StorageLevel.MEMORY_AND_DISK) if persist else routed
     try:
         told = F.coalesce("table", F.raise_error(F.lit("a cell has no table")).cast("string"))
         dated = kept.select(told.alias("table"), F.to_date(F.timestamp_millis("cell_ts")).alias("date"), F.lit(label).alias("batch"), *(c for c in kept.columns if c != "table"))
         replace_parts(dated.hint("rebalance", "table", "date"), f"{folder}/data", ["table", "date", "batch"])
         replace_parts(kept.groupBy("table").agg(F.count("*").alias("rows")).withColumn("batch", F.lit(label)), f"{folder}/log", ["table", "batch"])
     finally:
-        kept.unpersist()
+        if persist:
+            kept.unpersist()
 
 
 def replace_parts(df: DataFrame, path: str, parts: list[str]) -> None:
