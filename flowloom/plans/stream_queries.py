@@ -17,10 +17,9 @@ from flowloom.plans.event_queries import ORACLES as EVENT_ORACLES
 from flowloom.plans.flow_queries import _ID, _ID_SQL, _KEY_SQL, _PLAIN_SRC, ARRIVAL_SQL, _keyed, _sessions, _tcp_flows
 from flowloom.plans.inputs import DUCK_MIXED_PACKETS, DUCK_PACKETS
 from flowloom.plans.metric_queries import _SQL_EVENT_POINTS
-from flowloom.sources.files import classify_magic
 from flowloom.streaming.counts import read_counts, write_counts
 from flowloom.streaming.flows import stream_flows
-from flowloom.streaming.ingest import stream_directory
+from flowloom.streaming.ingest import read_digests, stream_directory, write_digests
 from flowloom.streaming.metrics import stream_metrics
 from flowloom.streaming.routing import read_routed, write_routed, written
 from flowloom.streaming.sessions import stream_counters, stream_sessions
@@ -154,9 +153,10 @@ _add(
 
 def _directory(s, d):
     """The table files themselves as opaque arrivals of a watched directory."""
-    files = stream_directory(s, d, glob="*.parquet")
+    folder = f"{shared_folder(s)}/digests-{uuid.uuid4().hex}"
+    write_digests(stream_directory(s, d, glob="*.parquet"), f"{folder}/digests", f"{folder}/checkpoint", "files").awaitTermination()
     name = F.element_at(F.split("path", "/"), -1)
-    return drain(files.select(name.alias("file"), "length", classify_magic().alias("file_type"), F.sha2("content", 256).alias("digest")))
+    return read_digests(s, f"{folder}/digests").select(name.alias("file"), "length", "file_type", "digest")
 
 
 _add("a8_stream_directory", _directory)

@@ -7,10 +7,13 @@ from __future__ import annotations
 
 import bz2
 import io
+import re
 import tarfile
 import zipfile
 import zlib
 from collections.abc import Iterator
+from hashlib import sha256
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +36,17 @@ UNSUPPORTED = "unsupported"
 
 _BATCH_BYTES = 4 << 20
 
+#: Larger files are digested by range: Spark's text reader cuts a file at about this size too.
+WHOLE_BYTES = 128 << 20
+#: What the text reader unpacks by name, and the mark that it drops at a file's begin.
+_UNPACKED, _MARK = r"\.(gz|bz2|deflate|lz4|snappy|zst)$", b"\xef\xbb\xbf"
+#: Covers every signature.
+_HEAD_BYTES = 512
+_BLOCK_SCHEMA = "file string, length long, start long, number long, content binary"
+_BLOCK_NAMES = ["file", "length", "start", "number", "content"]
+_BLOCK_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+_DIGEST_TYPES = pa.schema([("file", pa.string()), ("length", pa.int64()), ("head", pa.binary()), ("digest", pa.string())])
+
 MEMBER_SCHEMA = "path string, length long, member string, depth int, chain array<string>, file_type string, content binary, error string"
 
 
@@ -52,6 +66,69 @@ def classify_magic(content: Column | str = "content", signatures=SIGNATURES) ->
     return F.coalesce(kind, F.lit(UNSUPPORTED))
 
 
+def fits_row(spark: SparkSession) -> Column:
+    """Whether a file is digested as one row with its content; others are not opened, as the file index decides it."""
+    limit = min(WHOLE_BYTES, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength")))
+    return (F.col("_metadata.file_size") <= limit) | F.col("_metadata.file_name").rlike(_UNPACKED)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of each split joined again, numbered in the order of the file."""
+    number = 0
+    for batch in batches:
+        *keys, lines = (column.to_pylist() for column in batch.columns)
+        for (file, length, start), run in groupby(zip(*keys, lines), lambda row: row[:3]):
+            rows = [[file], [length], [start], [number], [b"\n".join(row[3] for row in run)]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, _BLOCK_TYPES)], names=_BLOCK_NAMES)
+            number += 1
+
+
+def _file_digest(file: str, length: int, blocks: Iterator[bytes]) -> tuple:
+    """(file, length, head, digest) of a file's blocks in order; a line end lies between two.
+
+    Its length tells whether it ends with a line end and whether it begins with the mark that the reader dropped.
+    """
+    plain, marked, head, size = sha256(), sha256(_MARK), b"", -1
+    for block in blocks:
+        for piece in (b"\n", block) if size >= 0 else (block,):
+            plain.update(piece)
+            marked.update(piece)
+            head = head if len(head) >= _HEAD_BYTES else head + piece[:_HEAD_BYTES]
+        size += 1 + len(block)
+    missing = length - size
+    if missing not in (0, 1, len(_MARK), len(_MARK) + 1):
+        raise ValueError(f"{file} changed while it was read")
+    digest, begin = (marked, _MARK) if missing >= len(_MARK) else (plain, b"")
+    if missing % len(_MARK):
+        digest.update(b"\n")
+        head += b"\n"
+    return file, length, (begin + head)[:_HEAD_BYTES], digest.hexdigest()
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each file of a partition of blocks in order."""
+    blocks = (row for batch in batches for row in batch.to_pylist())
+    for (file, length), rows in groupby(blocks, lambda row: (row["file"], row["length"])):
+        row = _file_digest(file, length, (r["content"] for r in rows))
+        yield pa.RecordBatch.from_pylist([dict(zip(("file", "length", "head", "digest"), row))], schema=_DIGEST_TYPES)
+
+
+def range_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Type and SHA-256 of files of any size, ``file`` being their URI as in ``_metadata.file_path``.
+
+    Tasks read ranges of a file through Spark's text reader, as raw bytes between line ends, so that any store that
+    Spark reads will do and no row holds a file. SHA-256 is one state that takes the bytes in order: the ranges of a file
+    then pass through one task, a block at a time. The longest run without a line end must fit a row.
+    """
+    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
+    lines = reader.text([re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths])
+    place = ["_metadata.file_path", "_metadata.file_size", "_metadata.file_block_start"]
+    blocks = lines.select(*place, F.col("value").cast("binary")).mapInArrow(_blocks, _BLOCK_SCHEMA)
+    ordered = blocks.repartition("file").sortWithinPartitions("file", "start", "number")
+    found = ordered.mapInArrow(_digests, "file string, length long, head binary, digest string")
+    return found.select("file", "length", classify_magic("head").alias("file_type"), "digest")
+
+
 def _kind(head: bytes) -> str:
     for name, offset, signature in SIGNATURES:
         if head[offset:].startswith(bytes.fromhex(signature)):

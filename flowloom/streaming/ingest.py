@@ -6,16 +6,19 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from flowloom.operators.quality import tag_source
 from flowloom.sources.event_logs import TAGS, read_evtx
-from flowloom.sources.files import expand_containers
+from flowloom.sources.files import classify_magic, expand_containers, fits_row, range_digests
 from flowloom.sources.pcap import decode_packets, read_pcap
+from flowloom.streaming.routing import replace_parts
 
 # Poll interval and files taken per poll.
 POLL = {"processingTime": "60 seconds"}
 MAX_FILES = 1000
 _SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+_DIGESTS = "path string, length long, file_type string, digest string, batch string"
 
 
 def parse_sources(config: str) -> list[tuple[str, str]]:
@@ -34,6 +37,36 @@ def stream_directory(spark: SparkSession, path: str, glob: str = "*", max_files:
     return reader.option("maxFilesPerTrigger", max_files).load(path).filter("length > 0")
 
 
+def write_digests(files: DataFrame, folder: str, checkpoint: str, name: str, **trigger) -> StreamingQuery:
+    """Start a query that stores type and SHA-256 of the files of ``stream_directory``, kept per micro-batch.
+
+    Files that fit a row are digested as they come in, larger ones by range. A replayed batch replaces its earlier try.
+    """
+    spark = files.sparkSession
+    spark.createDataFrame([], _DIGESTS).write.mode("append").partitionBy("batch").parquet(folder)
+    known, none = ["path", F.col("_metadata.file_path").alias("file"), "length"], F.lit(None).cast("string")
+    whole = files.filter(fits_row(spark)).select(*known, classify_magic().alias("file_type"), F.sha2("content", 256).alias("digest"))
+    large = files.filter(~fits_row(spark)).select(*known, none.alias("file_type"), none.alias("digest"))
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        found, large = batch.filter("digest is not null"), batch.filter("digest is null")
+        if paths := [row.path for row in large.select("path").collect()]:  # as many as a poll takes
+            digests = range_digests(batch.sparkSession, paths)
+            found = found.unionByName(large.select("path", "file").join(digests, "file"))
+        label = F.lit(f"{name}-{number:012d}").alias("batch")
+        replace_parts(found.select("path", "length", "file_type", "digest", label), folder, ["batch"])
+        batch.unpersist()
+
+    writer = whole.unionByName(large).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger or {"availableNow": True}).start()
+
+
+def read_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length, file_type, digest) of all files that came in."""
+    return spark.read.schema(_DIGESTS).parquet(folder).drop("batch")
+
+
 def stream_event_logs(spark: SparkSession, config: str, pattern: str, glob: str = "*", max_files: int = MAX_FILES) -> DataFrame:
     """Decoded records and rejects of all event logs arriving in the configured directories, packed or not.
 

@@ -1,5 +1,8 @@
 """Streams give what the batch gives, however the input is divided into micro-batches."""
 
+import gzip
+import hashlib
+import os
 import time
 
 import pytest
@@ -12,9 +15,11 @@ from flowloom.operators.metrics import event_metrics, rollup_metrics
 from flowloom.operators.quality import ingest_counts
 from flowloom.operators.sessions import IDLE_S
 from flowloom.plans.captures import log_file
+from flowloom.plans.stream_queries import QUERIES
+from flowloom.sources.files import _kind
 from flowloom.streaming.counts import read_counts, write_counts
 from flowloom.streaming.flows import stream_flows
-from flowloom.streaming.ingest import parse_sources, stream_captures, stream_directory, stream_event_logs
+from flowloom.streaming.ingest import parse_sources, read_digests, stream_captures, stream_directory, stream_event_logs, write_digests
 from flowloom.streaming.metrics import stream_metrics, stream_metrics_idle
 from flowloom.streaming.routing import read_routed, replace_parts, write_batch, write_routed, written
 from flowloom.streaming.sessions import stream_counters, stream_sessions
@@ -272,6 +277,51 @@ def test_directory_stream_takes_each_file_once(spark, tmp_path):
     assert drain(stream, tmp_path).count() == 5
 
 
+def _odd_files() -> dict[str, bytes]:
+    """Contents with marks, line ends of all kinds, bytes that are no text, and signatures."""
+    mark, mixed = b"\xef\xbb\xbf", bytes(range(256)) * 40
+    return {
+        "plain a.x": mixed, "ends.x": mixed + b"\n", "two ends.x": mixed + b"\r\n\n\n", "marked.x": mark + mixed, "marked ends.x": mark + mixed + b"\n",
+        "ends only.x": b"\n" * 900, "mark only.x": mark, "double mark.x": mark + mark + b"\n", "returns.x": b"\r\r\n\r" * 300, "no ends.x": b"\0" * 5000,
+        "log%20[1].x": bytes.fromhex("456c6646696c6500") + mixed, "tar.x": b"a" * 200 + b"\n" * 57 + b"ustar" + mixed, "packed.x.gz": gzip.compress(mixed), "empty.x": b"",
+    }
+
+
+@pytest.mark.parametrize("largest", [2**31 - 1, 4])
+def test_digests_of_files_by_row_and_by_range(spark, tmp_path, monkeypatch, largest):
+    """Files larger than a row may hold are read by small ranges; a packed name is not unpacked."""
+    inbox = tmp_path / "in" / "day=1"
+    inbox.mkdir(parents=True)
+    contents = _odd_files()
+    for name, content in contents.items():
+        (inbox / name).write_bytes(content)
+    monkeypatch.setattr("flowloom.sources.files.WHOLE_BYTES", largest)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+    try:
+        write_digests(stream_directory(spark, str(tmp_path / "in"), max_files=5), f"{tmp_path}/d", f"{tmp_path}/cp", "in").awaitTermination()
+        rows = read_digests(spark, f"{tmp_path}/d").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = {os.path.basename(r.path): (r.length, r.file_type, r.digest) for r in rows}
+    assert len(rows) == len(got)
+    assert got == {n: (len(c), _kind(c[:512]), hashlib.sha256(c).hexdigest()) for n, c in contents.items() if c}
+    assert [got[n][1] for n in ("log%20[1].x", "tar.x", "packed.x.gz")] == ["evtx", "tar", "gzip"]
+
+
+def test_table_file_larger_than_a_row_is_digested(spark, tmp_path):
+    """The reader of whole files ends at a size, the query does not."""
+    spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("s")).coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    (file,) = (tmp_path / "t.parquet").glob("*.parquet")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 1 << 20)
+    try:
+        rows = QUERIES["a8_stream_directory"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    content = file.read_bytes()
+    assert len(content) > 1 << 20
+    assert [tuple(r) for r in rows] == [(file.name, len(content), "unsupported", hashlib.sha256(content).hexdigest())]
+
+
 def test_source_config():
     assert parse_sources("/a|x, /b|y") == [("/a", "x"), ("/b", "y")]
     for wrong in ("/a", "/a|", "/a|b|c"):
